@@ -106,124 +106,154 @@ def scd2_merge(
 
     columns = target.columns
     is_open = F.coalesce(F.col(v.active), F.lit(False))
-    active = target.filter(is_open)
     closed = target.filter(~is_open)
-
-    old = active.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
-                        F.struct(*columns).alias("t"))
-    staged = source.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
-                           F.struct(*source.columns).alias("s"))
     join_keys = [f"_k{i}" for i in range(len(keys))]
+    named_keys = [F.col(k).alias(j) for k, j in zip(keys, join_keys, strict=True)]
+
+    # Both sides as flat columns: old values o_*, staged values s_*.
+    old = target.filter(is_open).select(
+        *named_keys, *[F.col(c).alias(f"o_{c}") for c in columns], F.lit(True).alias("_old")
+    )
+    staged = source.select(
+        *named_keys, *[F.col(c).alias(f"s_{c}") for c in source.columns], F.lit(True).alias("_new")
+    )
+    merge = _Merge(rule, columns, source.columns, target, load_ts)
 
     if rule.snapshot:
-        before = _known_keys(closed, keys).withColumn("_returned", F.lit(True))
+        before = closed.select(*named_keys).distinct().withColumn("_returned", F.lit(True))
         pairs = staged.join(before, join_keys, "left").join(old, join_keys, "full")
-        versions = _versions(pairs, columns, source.columns, rule, load_ts)
+        versions = merge.versions(pairs)
     else:
         # A delta is small against its target: broadcastable on the right side
         # of both joins, so the target is scanned without a shuffle.
-        flagged = target.select(*keys, is_open.alias("_open"))
         seen = (
-            _renamed(flagged, keys)
+            target.select(*named_keys, is_open.alias("_open"))
             .join(staged.select(*join_keys), join_keys, "left_semi")
             .groupBy(*join_keys)
             .agg(F.max("_open").alias("_open"))
         )
-        looked_up = staged.join(seen, join_keys, "left")
-        opened = looked_up.filter(~F.coalesce(F.col("_open"), F.lit(False))).select(
-            "s", F.lit(None).cast(old.schema["t"].dataType).alias("t"),
-            F.col("_open").isNotNull().alias("_returned"),
+        unmatched = (
+            staged.join(seen, join_keys, "left")
+            .filter(~F.coalesce(F.col("_open"), F.lit(False)))
+            .withColumn("_returned", F.col("_open").isNotNull())
+        )
+        versions = merge.versions(old.join(staged, join_keys, "left")).unionByName(
+            merge.opened(unmatched)
         )
-        matched = old.join(staged, join_keys, "left").withColumn("_returned", F.lit(False))
-        versions = _versions(
-            matched.select("t", "s", "_returned"), columns, source.columns, rule, load_ts
-        ).unionByName(_versions(opened, columns, source.columns, rule, load_ts))
     return versions.unionByName(closed)
 
 
-def _renamed(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    for i, k in enumerate(keys):
-        df = df.withColumnRenamed(k, f"_k{i}")
-    return df
+# What becomes of a (old row, staged row) pair, as row codes.
+_KEEP, _END, _OPEN, _OVERWRITE = 0, 1, 2, 3
 
 
-def _known_keys(closed: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return _renamed(closed.select(*keys).distinct(), keys)
+class _Merge:
+    """Column expressions of one merge."""
 
+    def __init__(self, rule: Rule, columns: Sequence[str], given: Sequence[str],
+                 target: DataFrame, load_ts: Stamp):
+        self.rule, self.columns, self.given = rule, columns, set(given)
+        self.types = {f.name: f.dataType for f in target.schema.fields}
+        self.load_time = ntz(load_ts)
 
-def _differs(rule: Rule) -> Column:
-    if rule.change == "hash":
-        return ~F.col(f"t.{rule.hash_column}").eqNullSafe(F.col(f"s.{rule.hash_column}"))
-    if rule.change == "tracked":
-        same = F.lit(True)
-        for c in rule.tracked:
-            same = same & F.col(f"t.{c}").eqNullSafe(F.col(f"s.{c}"))
-        return ~same
-    if rule.change == "touched":
-        return F.lit(True)
-    raise ValueError(rule.change)
-
-
-def _versions(
-    pairs: DataFrame, columns: list[str], given: list[str], rule: Rule, load_ts: Stamp
-) -> DataFrame:
-    """Zero to two versions per (old row, staged row) pair."""
-    v = rule.validity
-    types = {f.name: f.dataType for f in pairs.schema["t"].dataType.fields}
-    old = lambda c: F.col(f"t.{c}")
-    new = lambda c: F.col(f"s.{c}")
-
-    has_old, has_new = F.col("t").isNotNull(), F.col("s").isNotNull()
-    load_time = ntz(load_ts)
-    stamp = ntz(new(rule.stamp)) if rule.stamp else load_time
-    gone_at = ntz(new(rule.deleted)) if rule.deleted else F.lit(None).cast("timestamp_ntz")
-    removed = gone_at.isNotNull()
-    change_at = F.greatest(stamp, old(v.start))
-    first_from = ntz(ORIGIN) if rule.open_from == "origin" else stamp
-    returned = F.coalesce(F.col("_returned"), F.lit(False))
-
-    def row(values: Callable[[str], Column], start: Column, end: Column, active: Column) -> Column:
-        marks = {v.start: start, v.end: end, v.active: active}
-        cells = [(marks[c] if c in marks else values(c)).cast(types[c]).alias(c) for c in columns]
-        return F.struct(*cells)
-
-    def from_source(c: str) -> Column:
-        return new(c) if c in given else F.lit(None)
-
-    def from_both(c: str) -> Column:
-        return new(c) if c in given else old(c)
-
-    kept = F.col("t")
-    if rule.change == "tracked" or rule.inplace is not None:
-        wanted = rule.inplace_columns
-        take = lambda c: from_both(c) if wanted is None or c in wanted else old(c)
-        overwritten = row(take, old(v.start), old(v.end), old(v.active))
-    else:
-        overwritten = kept
-
-    changed = _differs(rule)
-    if rule.inplace is not None:
-        changed = changed & ~F.coalesce(rule.inplace(old, new), F.lit(False))
-
-    def ended(at: Column) -> Column:
-        # An end stamped before its start must not turn the version inside out.
-        return row(old, old(v.start), F.greatest(ntz(at), old(v.start)), F.lit(False))
-
-    fresh = row(from_source, change_at, ntz(FOREVER), F.lit(True))
-    first = row(from_source, first_from, F.coalesce(gone_at, ntz(FOREVER)), ~removed)
-    again = row(from_source, stamp, ntz(FOREVER), F.lit(True))
-    missing = ended(load_time) if rule.snapshot and rule.vanished else kept
-
-    emitted = (
-        F.when(~has_new, F.array(missing))
-        .when(has_old & removed, F.array(ended(gone_at)))
-        .when(has_old & changed, F.array(ended(change_at), fresh))
-        .when(has_old, F.array(overwritten))
-        .when(returned & removed, F.lit(None))  # closed before, deleted again: no row
-        .when(returned, F.array(again))
-        .otherwise(F.array(first))
-    )
-    return pairs.select(F.inline(emitted)).select(*columns)
+    @staticmethod
+    def old(c: str) -> Column:
+        return F.col(f"o_{c}")
+
+    @staticmethod
+    def new(c: str) -> Column:
+        return F.col(f"s_{c}")
+
+    @property
+    def stamp(self) -> Column:
+        return ntz(self.new(self.rule.stamp)) if self.rule.stamp else self.load_time
+
+    @property
+    def gone_at(self) -> Column:
+        return ntz(self.new(self.rule.deleted)) if self.rule.deleted else ntz(F.lit(None))
+
+    def _changed(self) -> Column:
+        rule, old, new = self.rule, self.old, self.new
+        if rule.change == "hash":
+            changed = ~old(rule.hash_column).eqNullSafe(new(rule.hash_column))
+        elif rule.change == "tracked":
+            changed = F.lit(False)
+            for c in rule.tracked:
+                changed = changed | ~old(c).eqNullSafe(new(c))
+        elif rule.change == "touched":
+            changed = F.lit(True)
+        else:
+            raise ValueError(rule.change)
+        if rule.inplace is not None:
+            changed = changed & ~F.coalesce(rule.inplace(old, new), F.lit(False))
+        return changed
+
+    def _overwrites(self, c: str) -> bool:
+        rule = self.rule
+        if c not in self.given or not (rule.change == "tracked" or rule.inplace is not None):
+            return False
+        return rule.inplace_columns is None or c in rule.inplace_columns
+
+    def versions(self, pairs: DataFrame) -> DataFrame:
+        """Zero to two versions per pair; a single scan of the joined rows."""
+        rule, v = self.rule, self.rule.validity
+        has_old, has_new = F.col("_old").isNotNull(), F.col("_new").isNotNull()
+        removed = self.gone_at.isNotNull()
+        returned = F.col("_returned").isNotNull() if rule.snapshot else F.lit(False)
+        vanishes = rule.snapshot and rule.vanished
+
+        def rows(*codes: int) -> Column:
+            return F.array(*[F.lit(c) for c in codes])
+
+        codes = (
+            F.when(~has_new, rows(_END if vanishes else _KEEP))
+            .when(has_old & removed, rows(_END))
+            .when(has_old & self._changed(), rows(_END, _OPEN))
+            .when(has_old, rows(_OVERWRITE))
+            .when(returned & removed, F.lit(None))  # closed before, deleted again: no row
+            .otherwise(rows(_OPEN))
+        )
+        # A change stamped before the version it ends must not turn it inside out.
+        change_at = F.greatest(self.stamp, self.old(v.start))
+        end_at = F.when(~has_new, self.load_time).when(removed, self.gone_at).otherwise(change_at)
+        known = has_old | returned
+        marks = self._open_marks(known, F.when(has_old, change_at).otherwise(self.stamp))
+        code = F.col("_code")
+        ended = {v.start: self.old(v.start),
+                 v.end: F.greatest(end_at, self.old(v.start)),
+                 v.active: F.lit(False)}
+
+        def cell(c: str) -> Column:
+            if c in marks:
+                return (F.when(code == _OPEN, marks[c]).when(code == _END, ended[c])
+                        .otherwise(self.old(c)))
+            fresh = self.new(c) if c in self.given else F.lit(None)
+            taken = code.isin(_OPEN, _OVERWRITE) if self._overwrites(c) else code == _OPEN
+            return F.when(taken, fresh).otherwise(self.old(c))
+
+        return pairs.withColumn("_code", F.explode(codes)).select(
+            *[cell(c).cast(self.types[c]).alias(c) for c in self.columns]
+        )
+
+    def opened(self, staged: DataFrame) -> DataFrame:
+        """Versions of staged rows without an active one; ``_returned`` tells old keys."""
+        returned = F.col("_returned")
+        marks = self._open_marks(returned, self.stamp)
+        kept = staged.filter(~(returned & self.gone_at.isNotNull()))
+
+        def cell(c: str) -> Column:
+            return marks[c] if c in marks else self.new(c) if c in self.given else F.lit(None)
+
+        return kept.select(*[cell(c).cast(self.types[c]).alias(c) for c in self.columns])
+
+    def _open_marks(self, known: Column, known_from: Column) -> dict[str, Column]:
+        v, gone_at = self.rule.validity, self.gone_at
+        first = ntz(ORIGIN) if self.rule.open_from == "origin" else self.stamp
+        return {
+            v.start: F.when(known, known_from).otherwise(first),
+            v.end: F.when(known, ntz(FOREVER)).otherwise(F.coalesce(gone_at, ntz(FOREVER))),
+            v.active: known | gone_at.isNull(),
+        }
 
 
 def soft_delete(target: DataFrame, staged: DataFrame, keys: Sequence[str],
@@ -269,18 +299,22 @@ def split_by_parent(
     joined = dim.join(changed, on, "left")
     inside = (F.col("_at") > F.col(v.start)) & (F.col("_at") < F.col(v.end))
 
-    def part(marks: dict[str, Column]) -> Column:
-        return F.struct(*[
-            marks.get(c, F.col(c)).cast(dim.schema[c].dataType).alias(c) for c in dim.columns
-        ])
-
-    head = part({v.end: F.col("_at"), v.active: F.lit(False)})
-    tail = part({
-        v.start: F.col("_at"),
-        **{c: F.col(f"_p_{c}") for c in take},
-        **{c: F.lit(None) for c in new_version},
-    })
-    whole = part({})
-    return joined.select(
-        F.inline(F.when(inside, F.array(head, tail)).otherwise(F.array(whole)))
+    # Row 0 is the part before the change (or the whole row), row 1 the part after.
+    row, parts = F.col("_row"), F.when(inside, F.array(F.lit(0), F.lit(1)))
+
+    def cell(c: str) -> Column:
+        if c == v.start:
+            return F.when(row == 1, F.col("_at")).otherwise(F.col(c))
+        if c == v.end:
+            return F.when(inside & (row == 0), F.col("_at")).otherwise(F.col(c))
+        if c == v.active:
+            return F.when(inside & (row == 0), F.lit(False)).otherwise(F.col(c))
+        if c in take:
+            return F.when(row == 1, F.col(f"_p_{c}")).otherwise(F.col(c))
+        if c in new_version:
+            return F.when(row == 0, F.col(c))
+        return F.col(c)
+
+    return joined.withColumn("_row", F.explode(parts.otherwise(F.array(F.lit(0))))).select(
+        *[cell(c).cast(dim.schema[c].dataType).alias(c) for c in dim.columns]
     )

@@ -274,11 +274,11 @@ SPLIT = ["inventory_id", "film_id", "title", "rental_duration"]
 @register("parent_change_split", with_(f"""
 SELECT {', '.join(SPLIT)}, {RANGE} FROM (
   SELECT m.inventory_id, m.film_id, m.title, m.rental_duration, m.effective_date_from,
-    CASE WHEN hit THEN at ELSE m.effective_date_to END AS effective_date_to,
+    CASE WHEN hit THEN cut_at ELSE m.effective_date_to END AS effective_date_to,
     m.is_active AND NOT coalesce(hit, FALSE) AS is_active
   FROM cut m
   UNION ALL
-  SELECT m.inventory_id, m.film_id, m.new_title, m.new_duration, at, m.effective_date_to,
+  SELECT m.inventory_id, m.film_id, m.new_title, m.new_duration, cut_at, m.effective_date_to,
     m.is_active
   FROM cut m WHERE hit)""",
     disks=f"""SELECT i.*, f.title, f.rental_duration
@@ -286,7 +286,7 @@ SELECT {', '.join(SPLIT)}, {RANGE} FROM (
     first=initial_sql("disks", ", ".join(SPLIT)),
     films=f"SELECT * FROM ({film(AFTER)}) WHERE last_update >= TIMESTAMP '{BEFORE}'",
     cut="""SELECT o.*, f.title AS new_title, f.rental_duration AS new_duration,
-      f.last_update AS at,
+      f.last_update AS cut_at,
       f.last_update > effective_date_from AND f.last_update < effective_date_to AS hit
       FROM first o LEFT JOIN films f USING (film_id)"""))
 def parent_change_split(spark, sf_dir):

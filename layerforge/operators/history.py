@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -105,44 +106,54 @@ def scd2_merge(
         source = source.withColumn(rule.hash_column, row_hash(rule.tracked))
 
     columns = target.columns
-    is_open = F.coalesce(F.col(v.active), F.lit(False))
-    closed = target.filter(~is_open)
-    join_keys = [f"_k{i}" for i in range(len(keys))]
-    named_keys = [F.col(k).alias(j) for k, j in zip(keys, join_keys, strict=True)]
+    is_open = F.col(v.active)
+    closed = target.filter(~is_open | is_open.isNull())
 
     # Both sides as flat columns: old values o_*, staged values s_*.
     old = target.filter(is_open).select(
-        *named_keys, *[F.col(c).alias(f"o_{c}") for c in columns], F.lit(True).alias("_old")
+        *[F.col(c).alias(f"o_{c}") for c in columns], F.lit(True).alias("_old")
     )
     staged = source.select(
-        *named_keys, *[F.col(c).alias(f"s_{c}") for c in source.columns], F.lit(True).alias("_new")
+        *[F.col(c).alias(f"s_{c}") for c in source.columns], F.lit(True).alias("_new")
     )
     merge = _Merge(rule, columns, source.columns, target, load_ts)
 
     if rule.snapshot:
-        before = closed.select(*named_keys).distinct().withColumn("_returned", F.lit(True))
-        pairs = staged.join(before, join_keys, "left").join(old, join_keys, "full")
+        before = _prefixed(closed, keys, "b_").distinct().withColumn("_returned", F.lit(True))
+        pairs = staged.join(before, _equal(keys, "s_", "b_"), "left").join(
+            old, _equal(keys, "s_", "o_"), "full"
+        )
         versions = merge.versions(pairs)
     else:
         # A delta is small against its target: broadcastable on the right side
         # of both joins, so the target is scanned without a shuffle.
         seen = (
-            target.select(*named_keys, is_open.alias("_open"))
-            .join(staged.select(*join_keys), join_keys, "left_semi")
-            .groupBy(*join_keys)
-            .agg(F.max("_open").alias("_open"))
+            _prefixed(target, keys, "b_", is_open.alias("_open"))
+            .join(_prefixed(source, keys, "s_"), _equal(keys, "b_", "s_"), "left_semi")
+            .groupBy(*[f"b_{k}" for k in keys])
+            .agg(F.max(F.coalesce("_open", F.lit(False))).alias("_open"))
         )
         unmatched = (
-            staged.join(seen, join_keys, "left")
+            staged.join(seen, _equal(keys, "s_", "b_"), "left")
             .filter(~F.coalesce(F.col("_open"), F.lit(False)))
             .withColumn("_returned", F.col("_open").isNotNull())
         )
-        versions = merge.versions(old.join(staged, join_keys, "left")).unionByName(
-            merge.opened(unmatched)
-        )
+        versions = merge.versions(
+            old.join(staged, _equal(keys, "o_", "s_"), "left")
+        ).unionByName(merge.opened(unmatched))
     return versions.unionByName(closed)
 
 
+def _prefixed(df: DataFrame, keys: Sequence[str], prefix: str, *more: Column) -> DataFrame:
+    return df.select(*[F.col(k).alias(prefix + k) for k in keys], *more)
+
+
+def _equal(keys: Sequence[str], left: str, right: str) -> Column:
+    return reduce(
+        lambda a, b: a & b, [F.col(left + k) == F.col(right + k) for k in keys]
+    )
+
+
 # What becomes of a (old row, staged row) pair, as row codes.
 _KEEP, _END, _OPEN, _OVERWRITE = 0, 1, 2, 3
 

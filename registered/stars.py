@@ -6,12 +6,16 @@ from pyspark.sql import functions as F
 
 from layerforge.operators import facts
 from layerforge.operators.keys import number_rows
+from layerforge.plans import layered, star
+from layerforge.plans.sinks import PlanSink
 from layerforge.sources import standins as S
 from registered.analytics import calendar
 from registered.base import (
     AFTER,
     BEFORE,
     CALENDAR,
+    CALENDAR_DAYS,
+    CALENDAR_START,
     PLACE,
     RENTAL_ROWS,
     film,
@@ -19,9 +23,13 @@ from registered.base import (
     payment,
     register,
     rental,
+    sql_text,
     staff,
+    texts,
+    versions,
     with_,
 )
+from registered.history import RANGE, SINCE, initial_sql, merge_sql
 
 DISK = ["inventory_id", "film_id", *facts.FILM_COLUMNS]
 
@@ -120,3 +128,159 @@ def fact_rental_coarse(spark, sf_dir):
     return facts.fact_rental_coarse(
         S.rental(spark, sf_dir, AFTER), S.payment(spark, sf_dir, BEFORE), disks, people
     ).withColumn("amount", F.col("amount").cast("decimal(18,2)"))
+
+
+# --- whole loads -----------------------------------------------------------------
+
+
+def _star(spark, sf_dir):
+    """First load and one delta load of the star schema."""
+    sink = PlanSink()
+    star.load(S.source_tables(spark, sf_dir, BEFORE), sink, calendar(spark), BEFORE)
+    return star.load(
+        S.source_tables(spark, sf_dir, AFTER), sink, calendar(spark), AFTER, previous_load=BEFORE
+    )
+
+
+def _layered(spark, sf_dir):
+    """First load and one delta load of all layers."""
+    sink = PlanSink()
+    layered.load(S.source_tables(spark, sf_dir, BEFORE), sink, BEFORE,
+                 CALENDAR_START, CALENDAR_DAYS)
+    return layered.load(S.source_tables(spark, sf_dir, AFTER), sink, AFTER,
+                        CALENDAR_START, CALENDAR_DAYS, previous_load=BEFORE)
+
+
+def _since_target(table: str) -> str:
+    """Rows of two loads where the second takes only stamps after the first's newest."""
+    return f"""
+    SELECT * FROM {table}1 WHERE {table}_id NOT IN (
+      SELECT {table}_id FROM {table}2
+      WHERE last_update > (SELECT max(last_update) FROM {table}1))
+    UNION ALL
+    SELECT * FROM {table}2 WHERE last_update > (SELECT max(last_update) FROM {table}1)"""
+
+
+@register("layered_load_by_date", with_("""
+SELECT c.date_dim_pk AS sales_date_rn,
+  c.day_of_month || ' ' || c.month_name || ' ' || c.year_actual AS sales_date_title,
+  CAST(sum(amount) AS DOUBLE) AS amount
+FROM p JOIN c ON c.date_actual = CAST(p.payment_date AS DATE)
+WHERE deleted IS NULL GROUP BY 1, 2""",
+    c=CALENDAR, payment1=payment(BEFORE), payment2=payment(AFTER), p=_since_target("payment")))
+def layered_load_by_date(spark, sf_dir):
+    return _layered(spark, sf_dir)["report.sales_by_date"]
+
+
+@register("layered_load_by_film", with_("""
+SELECT sk AS sales_film_rn, p_name AS sales_film_title, CAST(sum(p.amount) AS DOUBLE) AS amount
+FROM p JOIN r USING (rental_id) JOIN i ON i.inventory_id = r.inventory_id
+  JOIN k ON k.film_id = i.film_id JOIN part ON p_partkey = i.film_id
+WHERE p.deleted IS NULL AND r.deleted IS NULL AND i.deleted IS NULL GROUP BY 1, 2""",
+    payment1=payment(BEFORE), payment2=payment(AFTER), p=_since_target("payment"),
+    rental1=rental(BEFORE), rental2=rental(AFTER), r=_since_target("rental"),
+    i=inventory(AFTER), f1=film(BEFORE), f2=film(AFTER),
+    k="""SELECT film_id, row_number() OVER (ORDER BY film_id NOT IN (SELECT film_id FROM f1),
+      film_id) AS sk FROM f2"""))
+def layered_load_by_film(spark, sf_dir):
+    return _layered(spark, sf_dir)["report.sales_by_film"]
+
+
+_PAID = ["payment_id", "amount", "payment_date", "rental_id", "inventory_id", "inventory_from",
+         "staff_id", "staff_from"]
+_RENTED = ["rental_id", "rental_date", "return_date", "inventory_id", "inventory_from",
+           "staff_id", "staff_from"]
+
+
+def _asof(rows: str, disks: str, people: str) -> str:
+    return f"""SELECT x.*, di.effective_date_from AS inventory_from,
+      ds.effective_date_from AS staff_from
+    FROM {rows} x JOIN {disks} di ON di.inventory_id = x.inventory_id
+        AND x.last_update >= di.effective_date_from AND x.last_update < di.effective_date_to
+      JOIN {people} ds ON ds.staff_id = x.staff_id
+        AND x.last_update >= ds.effective_date_from AND x.last_update < ds.effective_date_to"""
+
+
+_STAR = {
+    "i1": inventory(BEFORE),
+    "i2": f"SELECT * FROM ({inventory(AFTER)}) WHERE {SINCE}",
+    "di1": initial_sql("i1", "inventory_id, film_id"),
+    "dm": merge_sql("di1", "i2", "inventory_id", ["inventory_id", "film_id"], "TRUE"),
+    "films": f"SELECT * FROM ({film(AFTER)}) WHERE last_update >= TIMESTAMP '{BEFORE}'",
+    "cut": """SELECT m.*, f.last_update AS cut_at,
+      coalesce(f.last_update > effective_date_from AND f.last_update < effective_date_to, FALSE)
+        AS hit FROM dm m LEFT JOIN films f USING (film_id)""",
+    "di2": """SELECT inventory_id, effective_date_from,
+        CASE WHEN hit THEN cut_at ELSE effective_date_to END AS effective_date_to FROM cut
+      UNION ALL SELECT inventory_id, cut_at, effective_date_to FROM cut WHERE hit""",
+    "s1": staff(BEFORE),
+    "s2": f"SELECT * FROM ({staff(AFTER)}) WHERE {SINCE}",
+    "ds1": initial_sql("s1", "staff_id"),
+    "ds2": merge_sql("ds1", "s2", "staff_id", ["staff_id"], "TRUE"),
+    "r1": rental(BEFORE),
+    "r2": rental(AFTER),
+}
+
+
+def _facts(fact, dims, columns):
+    """Facts with the disk, staff and version start their keys stand for."""
+    disks = dims["dim_inventory"].select(
+        "inventory_pk", F.col("inventory_id").alias("disk"),
+        F.col("effective_date_from").alias("inventory_from"),
+    )
+    people = dims["dim_staff"].select(
+        "staff_pk", F.col("staff_id").alias("person"),
+        F.col("effective_date_from").alias("staff_from"),
+    )
+    named = (
+        fact.drop("inventory_id", "staff_id")
+        .join(disks, F.col("inventory_fk") == F.col("inventory_pk"))
+        .join(people, F.col("staff_fk") == F.col("staff_pk"))
+        .withColumnsRenamed({"disk": "inventory_id", "person": "staff_id"})
+    )
+    return texts(versions(named, *columns), "inventory_from", "staff_from")
+
+
+_NAMED = ("{}, inventory_id, staff_id, "
+          f"{sql_text('inventory_from')} AS inventory_from, {sql_text('staff_from')} AS staff_from, "
+          f"{RANGE}")
+
+
+@register("star_load_payment", with_(
+    "SELECT " + _NAMED.format("payment_id, amount, rental_id, "
+        "CAST(strftime(payment_date, '%Y%m%d') AS INT) AS payment_date_fk") + " FROM merged",
+    **_STAR, p1=payment(BEFORE),
+    p2=f"""SELECT p.* FROM ({payment(AFTER)}) p JOIN r2 USING (rental_id)
+      WHERE p.last_update >= TIMESTAMP '{BEFORE}' OR p.deleted >= TIMESTAMP '{BEFORE}'
+        OR r2.last_update >= TIMESTAMP '{BEFORE}'""",
+    k1=_asof("p1", "di1", "ds1"), first=initial_sql("k1", ", ".join(_PAID)),
+    src=_asof("p2", "di2", "ds2"),
+    merged=merge_sql("first", "src", "payment_id", _PAID,
+                     "o.amount <> s.amount OR o.payment_date <> s.payment_date",
+                     overwrite=("inventory_id", "inventory_from", "staff_id", "staff_from"))))
+def star_load_payment(spark, sf_dir):
+    loaded = _star(spark, sf_dir)
+    return _facts(loaded["fact_payment"], loaded, [
+        "payment_id", "amount", "rental_id", "payment_date_fk", "inventory_id", "staff_id",
+        "inventory_from", "staff_from",
+    ])
+
+
+@register("star_load_rental", with_(
+    "SELECT " + _NAMED.format("rental_id, "
+        "CAST(strftime(rental_date, '%Y%m%d') AS INT) AS rental_date_fk, "
+        "CAST(strftime(return_date, '%Y%m%d') AS INT) AS return_date_fk") + " FROM merged",
+    **_STAR, staged=f"SELECT * FROM r2 WHERE {SINCE}",
+    k1=_asof("r1", "di1", "ds1"), first=initial_sql("k1", ", ".join(_RENTED), start="last_update"),
+    src=_asof("staged", "di2", "ds2"),
+    merged=merge_sql("first", "src", "rental_id", _RENTED,
+                     """NOT (o.return_date IS NULL AND s.return_date IS NOT NULL
+                       AND o.inventory_id = s.inventory_id AND o.staff_id = s.staff_id
+                       AND o.rental_date = s.rental_date)""",
+                     start="s.last_update", overwrite=("return_date",))))
+def star_load_rental(spark, sf_dir):
+    loaded = _star(spark, sf_dir)
+    return _facts(loaded["fact_rental"], loaded, [
+        "rental_id", "rental_date_fk", "return_date_fk", "inventory_id", "staff_id",
+        "inventory_from", "staff_from",
+    ])

@@ -14,6 +14,7 @@ from layerforge.operators.history import Rule, Validity, empty_history, scd2_mer
 from layerforge.operators.keys import assign_keys, translate_keys
 from layerforge.plans.reports import sales_by_date, sales_by_film
 from layerforge.plans.sinks import PlanSink, StoreSink
+from layerforge.plans.steps import side_by_side
 
 # Natural key of each table.
 KEY = {
@@ -61,59 +62,66 @@ def load(
     ``previous_load`` is the load log's mark for the two delta tables.
     ``whole_row_hash`` also counts a bump of ``last_update`` as a change.
     """
-    staging = {}
-    for name, df in source.items():
+    def to_staging(name: str) -> DataFrame:
+        df = source[name]
         rows = delta_scan(df, previous_load) if name in DELTA_TABLES else df
-        staging[name] = sink.put(f"staging.{name}", rows)
+        return sink.put(f"staging.{name}", rows)
 
-    ods = {}
-    for name, rows in staging.items():
+    staging = side_by_side(source, to_staging)
+
+    def to_ods(name: str) -> DataFrame:
         target = f"ods.{name}"
-        ods[name] = (
-            sink.upsert(target, rows, KEY[name]) if name in DELTA_TABLES else sink.put(target, rows)
-        )
+        if name in DELTA_TABLES:
+            return sink.upsert(target, staging[name], KEY[name])
+        return sink.put(target, staging[name])
+
+    ods = side_by_side(source, to_ods)
 
-    ref = {}
-    for name, rows in ods.items():
+    def to_ref(name: str) -> DataFrame:
         known = sink.get(f"ref.{name}")
+        # A key not staged now was numbered when it was staged, so the delta
+        # tables need only their staged rows looked up.
+        rows = staging[name]
         keyed = rows.select(F.col(KEY[name]).cast("long").alias("nk"))
         if known is None:
             known = keyed.limit(0).select(F.lit(0).cast("long").alias("sk"), "nk")
-        ref[name] = sink.put(f"ref.{name}", assign_keys(keyed, known, "nk"))
+        return sink.put(f"ref.{name}", assign_keys(keyed, known, "nk"))
 
-    integ = {}
-    for name, rows in ods.items():
+    ref = side_by_side(source, to_ref)
+
+    def to_integ(name: str) -> DataFrame:
         mapping = {column: ref[table] for column, table in TRANSLATED[name].items()}
-        widened = rows.withColumns({c: F.col(c).cast("long") for c in mapping})
+        rows = ods[name].withColumns({c: F.col(c).cast("long") for c in mapping})
         target = f"integ.{name}"
-        if name in DELTA_TABLES:
-            before = sink.get(target)
-            fresh = widened if before is None else delta_from_target(widened, before)
-            integ[name] = sink.upsert(target, translate_keys(fresh, mapping), KEY[name])
-        else:
-            integ[name] = sink.put(target, translate_keys(widened, mapping))
-
-    dds = {}
-    for name, rows in integ.items():
-        target = f"dds.{name}"
+        if name not in DELTA_TABLES:
+            return sink.put(target, translate_keys(rows, mapping))
         before = sink.get(target)
-        if name in DELTA_TABLES:
-            fresh = rows if before is None else delta_from_target(rows, before)
-            dds[name] = sink.upsert(target, fresh, KEY[name])
-        else:
-            dds[name] = sink.put(target, _versioned(before, rows, name, load_ts, whole_row_hash))
+        fresh = rows if before is None else delta_from_target(rows, before)
+        return sink.upsert(target, translate_keys(fresh, mapping), KEY[name])
+
+    integ = side_by_side(source, to_integ)
+
+    def to_dds(name: str) -> DataFrame:
+        target, rows = f"dds.{name}", integ[name]
+        before = sink.get(target)
+        if name not in DELTA_TABLES:
+            return sink.put(target, _versioned(before, rows, name, load_ts, whole_row_hash))
+        fresh = rows if before is None else delta_from_target(rows, before)
+        return sink.upsert(target, fresh, KEY[name])
+
+    dds = side_by_side(source, to_dds)
 
     spark = next(iter(source.values())).sparkSession
     calendar = small_side(
         calendar_small(spark, calendar_start, calendar_days, months), calendar_days
     )
-    report = {
-        "sales_by_date": sink.put("report.sales_by_date", sales_by_date(dds["payment"], calendar)),
-        "sales_by_film": sink.put(
-            "report.sales_by_film",
-            sales_by_film(dds["payment"], dds["rental"], dds["inventory"], dds["film"]),
+    marts = {
+        "sales_by_date": sales_by_date(dds["payment"], calendar),
+        "sales_by_film": sales_by_film(
+            dds["payment"], dds["rental"], dds["inventory"], dds["film"]
         ),
     }
+    report = side_by_side(marts, lambda name: sink.put(f"report.{name}", marts[name]))
     sink.commit(load_ts)
     layers = {"staging": staging, "ods": ods, "ref": ref, "integ": integ, "dds": dds,
               "report": report}

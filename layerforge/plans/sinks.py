@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 
 from layerforge.operators.delta import Stamp, delete_insert
 from layerforge.sources.store import (
     BLOCK,
+    Loaded,
     TableStore,
     replace_in_blocks,
     write_blocks,
@@ -47,36 +47,27 @@ class StoreSink:
         self.store, self.load_id, self.ids_per_block = store, load_id, ids_per_block
         self._committed = store.current_loads()
         self._written: dict[str, DataFrame] = {}
-
-    def _block_path(self, name: str) -> str:
-        return f"{self.store.root}/{name.replace('.', '/')}/blocks"
+        self._loaded: dict[str, Loaded] = {}
 
     def get(self, name: str) -> DataFrame | None:
         if name in self._written:
             return self._written[name]
-        if self._committed.get(name) == BLOCK:
-            return self.store.spark.read.parquet(self._block_path(name)).drop(BLOCK)
         return self.store.read(name, self._committed)
 
     def put(self, name: str, df: DataFrame, partition_by: tuple[str, ...] = ()) -> DataFrame:
         self._written[name] = self.store.write(name, df, self.load_id, partition_by)
+        self._loaded[name] = Loaded(self.load_id, df.schema)
         return self._written[name]
 
     def upsert(self, name: str, delta: DataFrame, key: str) -> DataFrame:
-        spark, path = self.store.spark, self._block_path(name)
-        try:
-            spark.read.parquet(path)
+        spark, path = self.store.spark, self.store.block_path(name)
+        if name in self._committed:
             replace_in_blocks(spark, path, delta, key, self.ids_per_block)
-        except AnalysisException as e:
-            if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-                raise
+        else:
             write_blocks(delta, path, key, self.ids_per_block)
-        self._written[name] = spark.read.parquet(path).drop(BLOCK)
-        self._committed[name] = BLOCK
+        self._written[name] = spark.read.schema(delta.schema).parquet(path)
+        self._loaded[name] = Loaded(BLOCK, delta.schema)
         return self._written[name]
 
     def commit(self, load_ts: Stamp) -> None:
-        in_place = [n for n in self._written if self._committed.get(n) == BLOCK]
-        self.store.commit([n for n in self._written if n not in in_place], load_ts, self.load_id)
-        if in_place:
-            self.store.commit(in_place, load_ts, BLOCK)
+        self.store.commit(self._loaded, load_ts)

@@ -25,6 +25,7 @@ from layerforge.operators.history import (
 from layerforge.operators.keys import fill_keys
 from layerforge.plans.reports import sales_by_date_star, sales_by_title_star
 from layerforge.plans.sinks import PlanSink, StoreSink
+from layerforge.plans.steps import side_by_side
 
 TOUCHED = Rule(change="touched", snapshot=False)
 
@@ -182,31 +183,39 @@ def load(
         "address": source["address"],
         "city": source["city"],
     }
-    staged = {name: sink.put(f"staging.{name}", df) for name, df in staged.items()}
-
-    dims = {
-        "dim_inventory": sink.put("core.dim_inventory", load_dim_inventory(
-            sink.get("core.dim_inventory"), staged["inventory"], staged["film"],
-            None if previous_load is None else ntz(previous_load), load_ts,
-        )),
-        "dim_staff": sink.put("core.dim_staff", load_dim_staff(
-            sink.get("core.dim_staff"), staged["staff"], staged["store"], staged["address"],
-            staged["city"], load_ts,
-        )),
-    }
-    at = (dims["dim_inventory"], dims["dim_staff"], calendar, load_ts)
-    facts = {
-        "fact_payment": sink.put("core.fact_payment", load_fact_payment(
-            sink.get("core.fact_payment"), staged["payment"], *at), ("is_active",)),
-        "fact_rental": sink.put("core.fact_rental", load_fact_rental(
-            sink.get("core.fact_rental"), staged["rental"], *at), ("is_active",)),
-    }
+    scans = dict(staged)
+    staged = side_by_side(scans, lambda name: sink.put(f"staging.{name}", scans[name]))
+
+    def to_dimension(name: str) -> DataFrame:
+        before = sink.get(f"core.{name}")
+        if name == "dim_inventory":
+            since = None if previous_load is None else ntz(previous_load)
+            rows = load_dim_inventory(before, staged["inventory"], staged["film"], since, load_ts)
+        else:
+            rows = load_dim_staff(
+                before, staged["staff"], staged["store"], staged["address"], staged["city"],
+                load_ts,
+            )
+        return sink.put(f"core.{name}", rows)
+
+    dims = side_by_side(["dim_inventory", "dim_staff"], to_dimension)
+
+    def to_fact(name: str) -> DataFrame:
+        before = sink.get(f"core.{name}")
+        build, rows = (
+            (load_fact_payment, staged["payment"]) if name == "fact_payment"
+            else (load_fact_rental, staged["rental"])
+        )
+        fact = build(before, rows, dims["dim_inventory"], dims["dim_staff"], calendar, load_ts)
+        return sink.put(f"core.{name}", fact, ("is_active",))
+
+    facts = side_by_side(["fact_payment", "fact_rental"], to_fact)
+
     payments = facts["fact_payment"].filter("is_active")
-    reports = {
-        "sales_date": sink.put("report.sales_date", sales_by_date_star(payments, calendar)),
-        "sales_film": sink.put(
-            "report.sales_film", sales_by_title_star(payments, dims["dim_inventory"])
-        ),
+    marts = {
+        "sales_date": sales_by_date_star(payments, calendar),
+        "sales_film": sales_by_title_star(payments, dims["dim_inventory"]),
     }
+    reports = side_by_side(marts, lambda name: sink.put(f"report.{name}", marts[name]))
     sink.commit(load_ts)
     return {**dims, **facts, **reports}

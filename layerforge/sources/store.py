@@ -7,16 +7,36 @@ visible and can simply run again.
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from layerforge.functions.dates import ntz
 from layerforge.operators.delta import Stamp
+from layerforge.session import checkpoint_dir
 
-LOG_SCHEMA = "table_name string, update_dt timestamp_ntz, load_id string"
+# The schema is kept with the load: readers open no footer to infer it, and
+# partition columns come back with their own type.
+LOG_SCHEMA = "table_name string, update_dt timestamp_ntz, load_id string, schema_json string"
+
+
+@dataclass(frozen=True)
+class Loaded:
+    """Where a table of a load is and what its columns are."""
+
+    load_id: str
+    schema: StructType
+
+
+def scratch_store(spark: SparkSession) -> TableStore:
+    """Store of its own in the shared checkpoint folder, for one run."""
+    return TableStore(spark, f"{checkpoint_dir(spark)}/store-{uuid.uuid4().hex}")
 
 
 class TableStore:
@@ -38,12 +58,17 @@ class TableStore:
                 raise
             return self.spark.createDataFrame([], LOG_SCHEMA)
 
-    def current_loads(self) -> dict[str, str]:
-        """Newest load id per table (one row per table to the driver)."""
+    def current_loads(self) -> dict[str, Loaded]:
+        """Newest load of each table (one row per table to the driver)."""
         newest = self.log().groupBy("table_name").agg(
-            F.max_by("load_id", "update_dt").alias("load_id")
+            F.max_by(F.struct("load_id", "schema_json"), "update_dt").alias("last")
         )
-        return {r["table_name"]: r["load_id"] for r in newest.collect()}
+        return {
+            r["table_name"]: Loaded(
+                r["last"]["load_id"], StructType.fromJson(json.loads(r["last"]["schema_json"]))
+            )
+            for r in newest.collect()
+        }
 
     def write(
         self, name: str, df: DataFrame, load_id: str, partition_by: Sequence[str] = ()
@@ -53,25 +78,32 @@ class TableStore:
         df.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
             *partition_by
         ).parquet(path)
-        return self.spark.read.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
 
-    def read(self, name: str, loads: dict[str, str] | None = None) -> DataFrame | None:
+    def read(self, name: str, loads: dict[str, Loaded] | None = None) -> DataFrame | None:
         """Newest committed state of a table, None before its first load."""
         loads = self.current_loads() if loads is None else loads
-        return self.spark.read.parquet(self._path(name, loads[name])) if name in loads else None
+        if name not in loads:
+            return None
+        last = loads[name]
+        path = self.block_path(name) if last.load_id == BLOCK else self._path(name, last.load_id)
+        return self.spark.read.schema(last.schema).parquet(path)
 
     def read_all(self) -> dict[str, DataFrame]:
         loads = self.current_loads()
         return {name: self.read(name, loads) for name in loads}
 
-    def commit(self, names: Sequence[str], load_ts: Stamp, load_id: str) -> None:
+    def block_path(self, name: str) -> str:
+        return f"{self.root}/{name.replace('.', '/')}/blocks"
+
+    def commit(self, tables: dict[str, Loaded], load_ts: Stamp) -> None:
         """Make the tables of a load visible: one file appended to the log."""
-        rows = self.spark.range(1).select(
-            F.explode(F.array(*[F.lit(n) for n in names])).alias("table_name"),
-            ntz(load_ts).alias("update_dt"),
-            F.lit(load_id).alias("load_id"),
-        )
-        rows.coalesce(1).write.mode("append").parquet(f"{self.root}/_load_log")
+        rows = [(n, t.load_id, json.dumps(t.schema.jsonValue())) for n, t in tables.items()]
+        named = self.spark.createDataFrame(
+            rows, "table_name string, load_id string, schema_json string"
+        ).withColumn("update_dt", ntz(load_ts))
+        log = named.select("table_name", "update_dt", "load_id", "schema_json")
+        log.coalesce(1).write.mode("append").parquet(f"{self.root}/_load_log")
 
 
 BLOCK = "id_block"

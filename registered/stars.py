@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from layerforge.operators import facts
 from layerforge.operators.keys import number_rows
 from layerforge.plans import layered, star
-from layerforge.plans.sinks import PlanSink
+from layerforge.plans.sinks import StoreSink
 from layerforge.sources import standins as S
+from layerforge.sources.store import scratch_store
 from registered.analytics import calendar
 from registered.base import (
     AFTER,
@@ -134,21 +135,23 @@ def fact_rental_coarse(spark, sf_dir):
 
 
 def _star(spark, sf_dir):
-    """First load and one delta load of the star schema."""
-    sink = PlanSink()
-    star.load(S.source_tables(spark, sf_dir, BEFORE), sink, calendar(spark), BEFORE)
+    """First load and one delta load of the star schema, written to a store."""
+    store, days = scratch_store(spark), calendar(spark)
+    star.load(S.source_tables(spark, sf_dir, BEFORE), StoreSink(store, "1"), days, BEFORE)
     return star.load(
-        S.source_tables(spark, sf_dir, AFTER), sink, calendar(spark), AFTER, previous_load=BEFORE
+        S.source_tables(spark, sf_dir, AFTER), StoreSink(store, "2"), days, AFTER,
+        previous_load=BEFORE,
     )
 
 
 def _layered(spark, sf_dir):
-    """First load and one delta load of all layers."""
-    sink = PlanSink()
-    layered.load(S.source_tables(spark, sf_dir, BEFORE), sink, BEFORE,
-                 CALENDAR_START, CALENDAR_DAYS)
-    return layered.load(S.source_tables(spark, sf_dir, AFTER), sink, AFTER,
-                        CALENDAR_START, CALENDAR_DAYS, previous_load=BEFORE)
+    """First load and one delta load of all layers, written to a store."""
+    store, span = scratch_store(spark), (CALENDAR_START, CALENDAR_DAYS)
+    layered.load(S.source_tables(spark, sf_dir, BEFORE), StoreSink(store, "1"), BEFORE, *span)
+    return layered.load(
+        S.source_tables(spark, sf_dir, AFTER), StoreSink(store, "2"), AFTER, *span,
+        previous_load=BEFORE,
+    )
 
 
 def _since_target(table: str) -> str:

@@ -65,13 +65,17 @@ def assign_keys(
     return key_table.unionByName(added.select(*key_table.columns))
 
 
-def fill_keys(df: DataFrame, sk: str, order_by: Sequence[str | Column]) -> DataFrame:
-    """Give rows without a surrogate the next numbers; others keep theirs."""
-    numbered = df.filter(F.col(sk).isNotNull())
-    added = number_rows(
-        df.filter(F.col(sk).isNull()).drop(sk), order_by, sk, start=max_key(df, sk)
-    )
-    return numbered.unionByName(added.select(*df.columns))
+def fill_keys(
+    df: DataFrame, sk: str, order_by: Sequence[str | Column], known: DataFrame | None = None
+) -> DataFrame:
+    """Give rows without a surrogate the next numbers; others keep theirs.
+
+    ``known`` is a table already holding every number in use (the target before
+    a merge): its maximum is read from the files instead of from the new plan.
+    """
+    start = max_key(df if known is None else known, sk)
+    added = number_rows(df.filter(F.col(sk).isNull()).drop(sk), order_by, sk, start)
+    return df.filter(F.col(sk).isNotNull()).unionByName(added.select(*df.columns))
 
 
 def translate_keys(

@@ -52,7 +52,7 @@ def load_dim_inventory(
         merged, film, ["film_id"], FILM_COLUMNS, film_changed_since,
         new_version=["inventory_pk"],
     )
-    return fill_keys(split, "inventory_pk", ["inventory_id", DEFAULT.start])
+    return fill_keys(split, "inventory_pk", ["inventory_id", DEFAULT.start], target)
 
 
 def load_dim_staff(
@@ -67,7 +67,7 @@ def load_dim_staff(
     if target is None:
         target = _start(rows, STAFF_COLUMNS, "staff_pk")
     merged = scd2_merge(target, rows, ["staff_id"], TOUCHED, load_ts)
-    return fill_keys(merged, "staff_pk", ["staff_id", DEFAULT.start])
+    return fill_keys(merged, "staff_pk", ["staff_id", DEFAULT.start], target)
 
 
 PAYMENT_COLUMNS = [
@@ -96,7 +96,7 @@ def load_fact_payment(
     if target is None:
         target = _start(rows, PAYMENT_COLUMNS, "payment_pk")
     merged = scd2_merge(target, rows, ["payment_id"], PAYMENT_RULE, load_ts)
-    return fill_keys(merged, "payment_pk", ["payment_id", DEFAULT.start])
+    return fill_keys(merged, "payment_pk", ["payment_id", DEFAULT.start], target)
 
 
 RENTAL_COLUMNS = [
@@ -155,7 +155,7 @@ def load_fact_rental(
     if target is None:
         target = _start(rows, RENTAL_COLUMNS, "rental_pk")
     merged = scd2_merge(target, rows, ["rental_id"], rental_rule(require_return_before), load_ts)
-    return fill_keys(merged, "rental_pk", ["rental_id", DEFAULT.start])
+    return fill_keys(merged, "rental_pk", ["rental_id", DEFAULT.start], target)
 
 
 def load(

@@ -13,7 +13,7 @@ from layerforge.operators.delta import Stamp, delta_from_target, delta_scan
 from layerforge.operators.history import Rule, Validity, empty_history, scd2_merge
 from layerforge.operators.keys import assign_keys, translate_keys
 from layerforge.plans.reports import sales_by_date, sales_by_film
-from layerforge.plans.sinks import PlanSink, StoreSink
+from layerforge.plans.sinks import StoreSink
 from layerforge.plans.steps import side_by_side
 
 # Natural key of each table.
@@ -49,7 +49,7 @@ STAMPS = ("last_update", "deleted")
 
 def load(
     source: dict[str, DataFrame],
-    sink: PlanSink | StoreSink,
+    sink: StoreSink,
     load_ts: Stamp,
     calendar_start: date | str,
     calendar_days: int,

@@ -24,7 +24,7 @@ from layerforge.operators.history import (
 )
 from layerforge.operators.keys import fill_keys
 from layerforge.plans.reports import sales_by_date_star, sales_by_title_star
-from layerforge.plans.sinks import PlanSink, StoreSink
+from layerforge.plans.sinks import StoreSink
 from layerforge.plans.steps import side_by_side
 
 TOUCHED = Rule(change="touched", snapshot=False)
@@ -160,7 +160,7 @@ def load_fact_rental(
 
 def load(
     source: dict[str, DataFrame],
-    sink: PlanSink | StoreSink,
+    sink: StoreSink,
     calendar: DataFrame,
     load_ts: Stamp,
     previous_load: Stamp | None = None,

@@ -87,14 +87,16 @@ def scd2_merge(
     rule: Rule,
     load_ts: Stamp,
     source_unique: bool = False,
+    keep_closed: bool = True,
 ) -> DataFrame:
     """New state of a versioned target.
 
     Cases per key: new, changed, unchanged, deleted, vanished, returned. A key
     that was closed and comes back opens again at its change time. Closed
     versions pass through without a shuffle; only their distinct keys are
-    looked up. Target columns the source lacks (a surrogate) are NULL on new
-    versions.
+    looked up. ``keep_closed`` False leaves them out, for tables where they are
+    already written. Target columns the source lacks (a surrogate) are NULL on
+    new versions.
     """
     keys, v = list(keys), rule.validity
     if rule.deleted is not None and rule.deleted not in source.columns:
@@ -141,7 +143,7 @@ def scd2_merge(
         versions = merge.versions(
             old.join(staged, _equal(keys, "o_", "s_"), "left")
         ).unionByName(merge.opened(unmatched))
-    return versions.unionByName(closed)
+    return versions.unionByName(closed) if keep_closed else versions
 
 
 def _prefixed(df: DataFrame, keys: Sequence[str], prefix: str, *more: Column) -> DataFrame:

@@ -55,14 +55,21 @@ def new_keys(src: DataFrame, key_table: DataFrame, nk: Sequence[str]) -> DataFra
     return src.select(*nk).distinct().join(key_table.select(*nk), list(nk), "left_anti")
 
 
-def assign_keys(
+def added_keys(
     src: DataFrame, key_table: DataFrame, nk: str | Sequence[str], sk: str = "sk"
 ) -> DataFrame:
-    """Key table with surrogates added for unseen natural keys, in key order."""
+    """Key rows for unseen natural keys, numbered on in key order."""
     nk = [nk] if isinstance(nk, str) else list(nk)
     unseen = new_keys(src, key_table, nk)
     added = number_rows(unseen, nk, sk, start=max_key(key_table, sk))
-    return key_table.unionByName(added.select(*key_table.columns))
+    return added.select(*key_table.columns)
+
+
+def assign_keys(
+    src: DataFrame, key_table: DataFrame, nk: str | Sequence[str], sk: str = "sk"
+) -> DataFrame:
+    """Key table with surrogates added for unseen natural keys."""
+    return key_table.unionByName(added_keys(src, key_table, nk, sk))
 
 
 def fill_keys(

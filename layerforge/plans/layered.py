@@ -11,7 +11,7 @@ from layerforge.functions.dates import MONTHS_EN, ORIGIN
 from layerforge.operators.calendar import calendar_small, small_side
 from layerforge.operators.delta import Stamp, delta_from_target, delta_scan
 from layerforge.operators.history import Rule, Validity, empty_history, scd2_merge
-from layerforge.operators.keys import assign_keys, translate_keys
+from layerforge.operators.keys import added_keys, translate_keys
 from layerforge.plans.reports import sales_by_date, sales_by_film
 from layerforge.plans.sinks import StoreSink
 from layerforge.plans.steps import side_by_side
@@ -85,7 +85,7 @@ def load(
         keyed = rows.select(F.col(KEY[name]).cast("long").alias("nk"))
         if known is None:
             known = keyed.limit(0).select(F.lit(0).cast("long").alias("sk"), "nk")
-        return sink.put(f"ref.{name}", assign_keys(keyed, known, "nk"))
+        return sink.append(f"ref.{name}", added_keys(keyed, known, "nk"))
 
     ref = side_by_side(source, to_ref)
 
@@ -105,7 +105,8 @@ def load(
         target, rows = f"dds.{name}", integ[name]
         before = sink.get(target)
         if name not in DELTA_TABLES:
-            return sink.put(target, _versioned(before, rows, name, load_ts, whole_row_hash))
+            changes = _versioned(before, rows, name, load_ts, whole_row_hash)
+            return sink.versions(target, changes, DDS_VALIDITY.active)
         fresh = rows if before is None else delta_from_target(rows, before)
         return sink.upsert(target, fresh, KEY[name])
 
@@ -122,7 +123,7 @@ def load(
         ),
     }
     report = side_by_side(marts, lambda name: sink.put(f"report.{name}", marts[name]))
-    sink.commit(load_ts)
+    sink.commit()
     layers = {"staging": staging, "ods": ods, "ref": ref, "integ": integ, "dds": dds,
               "report": report}
     return {f"{layer}.{name}": df for layer, tables in layers.items() for name, df in tables.items()}
@@ -143,4 +144,6 @@ def _versioned(
         stamps = [c for c in STAMPS if c in rows.columns]
         before = empty_history(rows, DDS_VALIDITY, drop=stamps).withColumn("hash", F.lit(""))
         before = before.select(*business, *DDS_VALIDITY.columns, "hash")
-    return scd2_merge(before, rows, [KEY[name]], rule, load_ts, source_unique=True)
+    return scd2_merge(
+        before, rows, [KEY[name]], rule, load_ts, source_unique=True, keep_closed=False
+    )

@@ -2,51 +2,106 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
+from pyspark.sql.types import StructType
 
-from layerforge.operators.delta import Stamp
+from layerforge.operators.delta import Stamp, delete_insert
 from layerforge.sources.store import (
-    BLOCK,
+    APPEND,
+    BLOCKS,
+    FULL,
+    VERSIONS,
     Loaded,
     TableStore,
-    replace_in_blocks,
+    rebuild_blocks,
     write_blocks,
 )
 
 
 class StoreSink:
-    """Writes each table; later steps read the files, not the plan behind them.
+    """Writes the tables of one load; later steps read the files, not the plans.
 
-    Tables are new directories per load, visible once the load commits. Tables
-    maintained by ``upsert`` are block tables changed in place: only blocks
-    with staged keys are rewritten.
+    A load that failed runs again under the same id: it starts from the state
+    before itself, and block tables it had already prepared are only copied.
     """
 
-    def __init__(self, store: TableStore, load_id: str, ids_per_block: int = 10_000_000):
-        self.store, self.load_id, self.ids_per_block = store, load_id, ids_per_block
-        self._committed = store.current_loads()
+    def __init__(
+        self, store: TableStore, load_id: str, load_ts: Stamp, ids_per_block: int = 10_000_000
+    ):
+        self.store, self.load_id, self.load_ts = store, load_id, load_ts
+        self.ids_per_block = ids_per_block
+        self._before = store.current(besides=load_id)
+        self._prepared = {
+            n for n, t in store.current().items()
+            if n.endswith("@pending") and t.load_id == load_id
+        }
         self._written: dict[str, DataFrame] = {}
         self._loaded: dict[str, Loaded] = {}
 
     def get(self, name: str) -> DataFrame | None:
-        if name in self._written:
-            return self._written[name]
-        return self.store.read(name, self._committed)
+        """Table as written by this load, or as the loads before left it."""
+        return self._written[name] if name in self._written else self.store.read(
+            name, self._before
+        )
 
-    def put(self, name: str, df: DataFrame, partition_by: tuple[str, ...] = ()) -> DataFrame:
-        self._written[name] = self.store.write(name, df, self.load_id, partition_by)
-        self._loaded[name] = Loaded(self.load_id, df.schema)
-        return self._written[name]
+    def put(self, name: str, df: DataFrame) -> DataFrame:
+        """Whole table."""
+        self.store.write(name, df, self.load_id)
+        return self._note(name, FULL, df.schema)
+
+    def append(self, name: str, added: DataFrame) -> DataFrame:
+        """Rows that join those of earlier loads."""
+        self.store.write(name, added, self.load_id)
+        return self._note(name, APPEND, added.schema)
+
+    def versions(self, name: str, changes: DataFrame, active: str) -> DataFrame:
+        """Open rows and the rows closed by this load; rows closed before stay as they are."""
+        self.store.write(name, changes, self.load_id, (active,))
+        return self._note(name, VERSIONS, changes.schema, active)
 
     def upsert(self, name: str, delta: DataFrame, key: str) -> DataFrame:
-        spark, path = self.store.spark, self.store.block_path(name)
-        if name in self._committed:
-            replace_in_blocks(spark, path, delta, key, self.ids_per_block)
-        else:
-            write_blocks(delta, path, key, self.ids_per_block)
-        self._written[name] = spark.read.schema(delta.schema).parquet(path)
-        self._loaded[name] = Loaded(BLOCK, delta.schema)
+        """Delete-insert by key into a block table."""
+        return self.rebuild(name, delta, key, lambda rows: (
+            delta if rows is None else delete_insert(rows, delta, [key])
+        ))
+
+    def rebuild(
+        self, name: str, delta: DataFrame, key: str,
+        build: Callable[[DataFrame | None], DataFrame],
+    ) -> DataFrame:
+        """Block table whose touched id ranges are built anew from their present rows.
+
+        The new content is written aside and logged before it is copied into
+        place: a copy that fails is made again from the same files.
+        """
+        spark, path = self.store.spark, self.store.path(name, BLOCKS)
+        if name not in self._before:
+            first = build(None)
+            write_blocks(first, path, key, self.ids_per_block)
+            return self._note(name, BLOCKS, first.schema)
+        schema, aside = self._before[name].schema, f"{name}@pending"
+        pending = self.store.path(name, f"pending/load={self.load_id}")
+        if aside not in self._prepared:
+            rebuild_blocks(
+                spark, path, pending, schema, delta, key, self.ids_per_block, build
+            )
+            prepared = Loaded(self.load_id, (self.load_id,), BLOCKS, schema)
+            self.store.commit({aside: prepared}, self.load_ts)
+        rows = spark.read.schema(schema).parquet(pending).select(*schema.names)
+        write_blocks(rows, path, key, self.ids_per_block)
+        return self._note(name, BLOCKS, schema)
+
+    def _note(
+        self, name: str, kind: str, schema: StructType, active: str | None = None
+    ) -> DataFrame:
+        earlier = self._before[name].load_ids if name in self._before else ()
+        self._loaded[name] = Loaded(
+            self.load_id, (*earlier, self.load_id), kind, schema, active
+        )
+        self._written[name] = self.store.open(name, self._loaded[name])
         return self._written[name]
 
-    def commit(self, load_ts: Stamp) -> None:
-        self.store.commit(self._loaded, load_ts)
+    def commit(self) -> None:
+        self.store.commit(self._loaded, self.load_ts)

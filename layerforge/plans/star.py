@@ -88,6 +88,7 @@ def load_fact_payment(
     dim_staff: DataFrame,
     calendar: DataFrame,
     load_ts: Stamp,
+    numbered: DataFrame | None = None,
 ) -> DataFrame:
     """Amount, day and rental make versions; disk and staff keys are overwritten."""
     rows = dimension_keys_asof(payment_delta, dim_inventory, dim_staff, "last_update")
@@ -96,7 +97,9 @@ def load_fact_payment(
     if target is None:
         target = _start(rows, PAYMENT_COLUMNS, "payment_pk")
     merged = scd2_merge(target, rows, ["payment_id"], PAYMENT_RULE, load_ts)
-    return fill_keys(merged, "payment_pk", ["payment_id", DEFAULT.start], target)
+    return fill_keys(
+        merged, "payment_pk", ["payment_id", DEFAULT.start], target if numbered is None else numbered
+    )
 
 
 RENTAL_COLUMNS = [
@@ -142,6 +145,7 @@ def load_fact_rental(
     calendar: DataFrame,
     load_ts: Stamp,
     require_return_before: bool = False,
+    numbered: DataFrame | None = None,
 ) -> DataFrame:
     """A return date that arrives is filled in; any other staged change is a version.
 
@@ -155,7 +159,9 @@ def load_fact_rental(
     if target is None:
         target = _start(rows, RENTAL_COLUMNS, "rental_pk")
     merged = scd2_merge(target, rows, ["rental_id"], rental_rule(require_return_before), load_ts)
-    return fill_keys(merged, "rental_pk", ["rental_id", DEFAULT.start], target)
+    return fill_keys(
+        merged, "rental_pk", ["rental_id", DEFAULT.start], target if numbered is None else numbered
+    )
 
 
 def load(
@@ -202,12 +208,18 @@ def load(
 
     def to_fact(name: str) -> DataFrame:
         before = sink.get(f"core.{name}")
-        build, rows = (
-            (load_fact_payment, staged["payment"]) if name == "fact_payment"
-            else (load_fact_rental, staged["rental"])
+        build, source_table = (
+            (load_fact_payment, "payment") if name == "fact_payment"
+            else (load_fact_rental, "rental")
         )
-        fact = build(before, rows, dims["dim_inventory"], dims["dim_staff"], calendar, load_ts)
-        return sink.put(f"core.{name}", fact, ("is_active",))
+        rows = staged[source_table]
+
+        def blocks(present: DataFrame | None) -> DataFrame:
+            """Touched id ranges of the fact; numbers go on from the whole fact."""
+            return build(present, rows, dims["dim_inventory"], dims["dim_staff"], calendar,
+                         load_ts, numbered=before)
+
+        return sink.rebuild(f"core.{name}", rows, f"{source_table}_id", blocks)
 
     facts = side_by_side(["fact_payment", "fact_rental"], to_fact)
 
@@ -217,5 +229,5 @@ def load(
         "sales_film": sales_by_title_star(payments, dims["dim_inventory"]),
     }
     reports = side_by_side(marts, lambda name: sink.put(f"report.{name}", marts[name]))
-    sink.commit(load_ts)
+    sink.commit()
     return {**dims, **facts, **reports}

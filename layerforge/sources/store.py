@@ -1,15 +1,23 @@
-"""Tables on shared storage, one directory per load, found through the load log.
+"""Tables on shared storage, found through the load log.
 
-A load writes every table to a new directory and appends to the load log last.
+A load writes each table to a new directory and appends to the load log last.
 Readers follow the log, so a load that dies half-way leaves the old state
-visible and can simply run again.
+visible and can run again under the same id.
+
+Kinds of tables, by what a load has to write:
+
+full      the whole table; readers take the newest load
+append    new rows only; readers take all loads
+versions  open rows and the rows this load closed; readers take the newest
+          load and the closed rows of the earlier ones
+blocks    kept in place in ranges of ids; a load rewrites the ranges it touches
 """
 
 from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -21,17 +29,26 @@ from layerforge.functions.dates import ntz
 from layerforge.operators.delta import Stamp
 from layerforge.session import checkpoint_dir
 
+FULL, APPEND, VERSIONS, BLOCKS = "full", "append", "versions", "blocks"
+
 # The schema is kept with the load: readers open no footer to infer it, and
 # partition columns come back with their own type.
-LOG_SCHEMA = "table_name string, update_dt timestamp_ntz, load_id string, schema_json string"
+LOG_SCHEMA = (
+    "table_name string, update_dt timestamp_ntz, load_id string, kind string, schema_json string"
+)
+BLOCK = "id_block"
+MAX_BLOCKS_LISTED = 10_000
 
 
 @dataclass(frozen=True)
 class Loaded:
-    """Where a table of a load is and what its columns are."""
+    """A logged table: its newest load, all its loads, kind and columns."""
 
     load_id: str
+    load_ids: tuple[str, ...]
+    kind: str
     schema: StructType
+    active: str | None = None
 
 
 def scratch_store(spark: SparkSession) -> TableStore:
@@ -40,74 +57,97 @@ def scratch_store(spark: SparkSession) -> TableStore:
 
 
 class TableStore:
-    """Versioned Parquet tables under ``root``."""
+    """Parquet tables under ``root``."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
 
-    def _path(self, name: str, load_id: str) -> str:
-        return f"{self.root}/{name.replace('.', '/')}/load={load_id}"
+    def path(self, name: str, part: str = "") -> str:
+        return f"{self.root}/{name.replace('.', '/')}" + (f"/{part}" if part else "")
+
+    # --- log ---------------------------------------------------------------------
 
     def log(self) -> DataFrame:
-        """All loads so far: table, load time, load id."""
+        """All loads so far."""
         try:
-            return self.spark.read.schema(LOG_SCHEMA).parquet(f"{self.root}/_load_log")
+            rows = self.spark.read.schema(LOG_SCHEMA).parquet(f"{self.root}/_load_log")
+            return rows.select(*StructType.fromDDL(LOG_SCHEMA).names)
         except AnalysisException as e:
             if e.getCondition() != "PATH_NOT_FOUND":
                 raise
             return self.spark.createDataFrame([], LOG_SCHEMA)
 
-    def current_loads(self) -> dict[str, Loaded]:
-        """Newest load of each table (one row per table to the driver)."""
-        newest = self.log().groupBy("table_name").agg(
-            F.max_by(F.struct("load_id", "schema_json"), "update_dt").alias("last")
+    def current(self, besides: str | None = None) -> dict[str, Loaded]:
+        """State of every table, without the load ``besides``.
+
+        One row per table and its list of load ids come to the driver.
+        """
+        log = self.log() if besides is None else self.log().filter(F.col("load_id") != besides)
+        newest = log.groupBy("table_name").agg(
+            F.max_by(F.struct("load_id", "kind", "schema_json"), "update_dt").alias("last"),
+            F.sort_array(F.collect_set("load_id")).alias("load_ids"),
         )
-        return {
-            r["table_name"]: Loaded(
-                r["last"]["load_id"], StructType.fromJson(json.loads(r["last"]["schema_json"]))
+        out = {}
+        for r in newest.collect():
+            described = json.loads(r["last"]["schema_json"])
+            out[r["table_name"]] = Loaded(
+                r["last"]["load_id"], tuple(r["load_ids"]), r["last"]["kind"],
+                StructType.fromJson(described["schema"]), described.get("active"),
             )
-            for r in newest.collect()
-        }
+        return out
+
+    def commit(self, tables: dict[str, Loaded], load_ts: Stamp) -> None:
+        """Make the tables of a load visible: one new file under the log.
+
+        Each entry has a directory of its own, as steps running side by side
+        must not share a job's temporary folder.
+        """
+        rows = [
+            (n, t.load_id, t.kind,
+             json.dumps({"schema": t.schema.jsonValue(), "active": t.active}))
+            for n, t in tables.items()
+        ]
+        named = self.spark.createDataFrame(
+            rows, "table_name string, load_id string, kind string, schema_json string"
+        ).withColumn("update_dt", ntz(load_ts))
+        log = named.select("table_name", "update_dt", "load_id", "kind", "schema_json")
+        log.coalesce(1).write.parquet(f"{self.root}/_load_log/entry={uuid.uuid4().hex}")
+
+    # --- tables ------------------------------------------------------------------
 
     def write(
-        self, name: str, df: DataFrame, load_id: str, partition_by: Sequence[str] = ()
-    ) -> DataFrame:
-        """Write one table of a load and return it as read back."""
-        path = self._path(name, load_id)
+        self, name: str, df: DataFrame, load_id: str, partition_by: tuple[str, ...] = ()
+    ) -> None:
         df.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
             *partition_by
-        ).parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+        ).parquet(self.path(name, f"load={load_id}"))
+
+    def open(self, name: str, table: Loaded) -> DataFrame:
+        """Rows of a logged table."""
+        reader = self.spark.read
+        if table.kind in (BLOCKS, FULL):
+            part = BLOCKS if table.kind == BLOCKS else f"load={table.load_id}"
+            rows = reader.schema(table.schema).parquet(self.path(name, part))
+            return rows.select(*table.schema.names)
+        paths = [self.path(name, f"load={i}") for i in table.load_ids]
+        rows = (
+            reader.schema(StructType([*table.schema.fields]).add("load", "string"))
+            .option("basePath", self.path(name))
+            .parquet(*paths)
+        )
+        if table.kind == VERSIONS:
+            # Both are directory names: earlier loads' open rows are not read.
+            rows = rows.filter((F.col("load") == table.load_id) | ~F.col(table.active))
+        return rows.select(*table.schema.names)
 
-    def read(self, name: str, loads: dict[str, Loaded] | None = None) -> DataFrame | None:
+    def read(self, name: str, current: dict[str, Loaded] | None = None) -> DataFrame | None:
         """Newest committed state of a table, None before its first load."""
-        loads = self.current_loads() if loads is None else loads
-        if name not in loads:
-            return None
-        last = loads[name]
-        path = self.block_path(name) if last.load_id == BLOCK else self._path(name, last.load_id)
-        return self.spark.read.schema(last.schema).parquet(path)
-
-    def read_all(self) -> dict[str, DataFrame]:
-        loads = self.current_loads()
-        return {name: self.read(name, loads) for name in loads}
-
-    def block_path(self, name: str) -> str:
-        return f"{self.root}/{name.replace('.', '/')}/blocks"
+        current = self.current() if current is None else current
+        return self.open(name, current[name]) if name in current else None
 
-    def commit(self, tables: dict[str, Loaded], load_ts: Stamp) -> None:
-        """Make the tables of a load visible: one file appended to the log."""
-        rows = [(n, t.load_id, json.dumps(t.schema.jsonValue())) for n, t in tables.items()]
-        named = self.spark.createDataFrame(
-            rows, "table_name string, load_id string, schema_json string"
-        ).withColumn("update_dt", ntz(load_ts))
-        log = named.select("table_name", "update_dt", "load_id", "schema_json")
-        log.coalesce(1).write.mode("append").parquet(f"{self.root}/_load_log")
 
-
-BLOCK = "id_block"
-MAX_BLOCKS_PER_LOAD = 10_000
+# --- block tables ------------------------------------------------------------------
 
 
 def with_block(df: DataFrame, key: str, ids_per_block: int) -> DataFrame:
@@ -120,40 +160,55 @@ def with_block(df: DataFrame, key: str, ids_per_block: int) -> DataFrame:
 
 
 def write_blocks(df: DataFrame, path: str, key: str, ids_per_block: int) -> None:
-    """First write of a block table."""
-    blocks = with_block(df, key, ids_per_block)
-    blocks.repartition(BLOCK).sortWithinPartitions(BLOCK, key).write.mode("overwrite").option(
-        "partitionOverwriteMode", "static"
-    ).partitionBy(BLOCK).parquet(path)
-
+    """Write rows into block partitions; existing partitions of other blocks stay.
 
-def replace_in_blocks(
-    spark: SparkSession, path: str, delta: DataFrame, key: str, ids_per_block: int
-) -> int:
-    """Delete-insert by key that rewrites only the blocks holding staged keys.
-
-    Every touched block receives at least the staged rows, so dynamic overwrite
-    replaces exactly those. The same delta again gives the same table: a run
-    that failed is simply repeated. Returns the number of blocks rewritten.
+    Rows are spread by key inside a block as well: one block is several tasks.
     """
-    staged = with_block(delta, key, ids_per_block)
-    blocks = staged.select(BLOCK).distinct().limit(MAX_BLOCKS_PER_LOAD + 1)
-    touched = [r[0] for r in blocks.collect()]
-    if not touched:
-        return 0
-    target = spark.read.parquet(path)
-    if len(touched) <= MAX_BLOCKS_PER_LOAD:
-        target = target.filter(F.col(BLOCK).isin(touched))
-    else:  # too many for a literal list: choose the blocks by a join
-        target = target.join(staged.select(BLOCK).distinct(), BLOCK, "left_semi")
-    kept = target.join(delta.select(key).distinct(), key, "left_anti")
     (
-        kept.unionByName(staged.select(*target.columns))
-        .repartition(BLOCK)
+        with_block(df, key, ids_per_block)
+        .repartitionByRange(BLOCK, key)
         .sortWithinPartitions(BLOCK, key)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(BLOCK)
         .parquet(path)
     )
-    return len(touched)
+
+
+def touched_blocks(
+    target: DataFrame, delta: DataFrame, key: str, ids_per_block: int
+) -> DataFrame:
+    """Rows of a block table in the blocks that hold staged keys.
+
+    A short list of blocks is given as literals, so the scan opens only their
+    directories; a longer one selects them by a join.
+    """
+    blocks = with_block(delta.select(key), key, ids_per_block).select(BLOCK).distinct()
+    listed = [r[0] for r in blocks.limit(MAX_BLOCKS_LISTED + 1).collect()]
+    if len(listed) <= MAX_BLOCKS_LISTED:
+        return target.filter(F.col(BLOCK).isin(listed))
+    return target.join(blocks, BLOCK, "left_semi")
+
+
+def rebuild_blocks(
+    spark: SparkSession,
+    path: str,
+    pending: str,
+    schema: StructType,
+    delta: DataFrame,
+    key: str,
+    ids_per_block: int,
+    rebuild: Callable[[DataFrame], DataFrame],
+) -> None:
+    """First half of a block load: write the new content of the touched blocks aside.
+
+    ``rebuild`` gets the present rows of those blocks and returns all rows they
+    are to hold; it must keep at least one row per block. Copying ``pending``
+    into place afterwards may be repeated any number of times.
+    """
+    blocked = StructType([*schema.fields]).add(BLOCK, "long")
+    target = spark.read.schema(blocked).parquet(path)
+    present = touched_blocks(target, delta, key, ids_per_block).drop(BLOCK)
+    rebuild(present).select(*schema.names).write.mode("overwrite").option(
+        "partitionOverwriteMode", "static"
+    ).parquet(pending)

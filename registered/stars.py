@@ -137,9 +137,9 @@ def fact_rental_coarse(spark, sf_dir):
 def _star(spark, sf_dir):
     """First load and one delta load of the star schema, written to a store."""
     store, days = scratch_store(spark), calendar(spark)
-    star.load(S.source_tables(spark, sf_dir, BEFORE), StoreSink(store, "1"), days, BEFORE)
+    star.load(S.source_tables(spark, sf_dir, BEFORE), StoreSink(store, "1", BEFORE), days, BEFORE)
     return star.load(
-        S.source_tables(spark, sf_dir, AFTER), StoreSink(store, "2"), days, AFTER,
+        S.source_tables(spark, sf_dir, AFTER), StoreSink(store, "2", AFTER), days, AFTER,
         previous_load=BEFORE,
     )
 
@@ -147,9 +147,9 @@ def _star(spark, sf_dir):
 def _layered(spark, sf_dir):
     """First load and one delta load of all layers, written to a store."""
     store, span = scratch_store(spark), (CALENDAR_START, CALENDAR_DAYS)
-    layered.load(S.source_tables(spark, sf_dir, BEFORE), StoreSink(store, "1"), BEFORE, *span)
+    layered.load(S.source_tables(spark, sf_dir, BEFORE), StoreSink(store, "1", BEFORE), BEFORE, *span)
     return layered.load(
-        S.source_tables(spark, sf_dir, AFTER), StoreSink(store, "2"), AFTER, *span,
+        S.source_tables(spark, sf_dir, AFTER), StoreSink(store, "2", AFTER), AFTER, *span,
         previous_load=BEFORE,
     )
 

@@ -12,7 +12,7 @@ from layerforge.operators.lookup import overlapping_versions
 from layerforge.plans import layered, star, vault
 from layerforge.plans.sinks import StoreSink
 from layerforge.sources import schemas
-from layerforge.sources.store import TableStore, replace_in_blocks, write_blocks
+from layerforge.sources.store import TableStore
 
 T1, T2 = "2022-02-01", "2022-03-01"
 
@@ -74,45 +74,78 @@ def tables(spark, rows):
 
 def test_store_shows_only_committed_loads(spark, tmp_path):
     store = TableStore(spark, str(tmp_path))
-    first = StoreSink(store, "1")
-    first.put("ods.film", spark.range(3), ())
+    first = StoreSink(store, "1", T1)
+    first.put("ods.film", spark.range(3))
     assert store.read("ods.film") is None
-    first.commit(T1)
-    half = StoreSink(store, "2")
+    first.commit()
+    half = StoreSink(store, "2", T2)
     half.put("ods.film", spark.range(9))
     assert store.read("ods.film").count() == 3  # the second load never committed
-    again = StoreSink(store, "2")
+    again = StoreSink(store, "2", T2)
     again.put("ods.film", spark.range(5))
-    again.commit(T2)
+    again.commit()
     assert store.read("ods.film").count() == 5
     assert [r["update_dt"] for r in store.log().orderBy("update_dt").collect()] == [t(T1), t(T2)]
 
 
-def test_partition_columns_keep_their_type(spark, tmp_path):
+def test_appended_rows_join_earlier_loads(spark, tmp_path):
     store = TableStore(spark, str(tmp_path))
-    sink = StoreSink(store, "1")
-    sink.put("core.f", spark.range(4).withColumn("is_active", F.col("id") > 1), ("is_active",))
-    sink.commit(T1)
-    back = store.read("core.f").filter("is_active")
-    assert back.count() == 2
+    for load_id, rows in (("1", range(3)), ("2", range(3, 5)), ("2", range(3, 6))):
+        sink = StoreSink(store, load_id, T1 if load_id == "1" else T2)
+        known = sink.get("ref.film")
+        assert known is None or known.count() == 3  # a repeated load does not see itself
+        sink.append("ref.film", spark.createDataFrame([(i,) for i in rows], "nk long"))
+        sink.commit()
+    assert sorted(r["nk"] for r in store.read("ref.film").collect()) == list(range(6))
+
+
+def test_versions_keep_rows_closed_earlier(spark, tmp_path, values):
+    store = TableStore(spark, str(tmp_path))
+    ddl = "id long, is_active boolean"
+    for load_id, rows in (("1", [(1, True), (2, False)]), ("2", [(1, False), (3, True)])):
+        sink = StoreSink(store, load_id, T1 if load_id == "1" else T2)
+        sink.versions("dds.x", spark.createDataFrame(rows, ddl), "is_active")
+        sink.commit()
+    back = store.read("dds.x")
+    assert values(back) == [(1, False), (2, False), (3, True)]
     plan = back._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(is_active" in plan
+    assert "PartitionFilters: [((load" in plan
 
 
 def test_block_table_rewrites_only_touched_blocks(spark, tmp_path):
-    path = str(tmp_path / "t")
+    store = TableStore(spark, str(tmp_path))
     rows = spark.range(1000).select(F.col("id"), F.lit("a").alias("v"))
-    write_blocks(rows, path, "id", 100)
-    files = {p: p.stat().st_mtime_ns for p in (tmp_path / "t").rglob("*.parquet")}
+    first = StoreSink(store, "1", T1, ids_per_block=100)
+    first.upsert("ods.t", rows, "id")
+    first.commit()
+    blocks = tmp_path / "ods" / "t" / "blocks"
+    files = {p: p.stat().st_mtime_ns for p in blocks.rglob("*.parquet")}
     delta = spark.createDataFrame([(5, "b"), (450, "b"), (1001, "b")], "id long, v string")
-    for _ in range(2):  # the second run changes nothing
-        assert replace_in_blocks(spark, path, delta, "id", 100) == 3
-        got = spark.read.parquet(path)
+    for _ in range(2):  # the second run of the same load changes nothing
+        sink = StoreSink(store, "2", T2, ids_per_block=100)
+        got = sink.upsert("ods.t", delta, "id")
         assert (got.count(), got.filter("v = 'b'").count()) == (1001, 3)
         assert got.groupBy("id").count().filter("count > 1").isEmpty()
-    kept = [p for p, m in files.items() if p.exists() and p.stat().st_mtime_ns == m]
-    assert len(kept) == 8
-    assert replace_in_blocks(spark, path, delta.limit(0), "id", 100) == 0
+    kept = {p.parent.name for p, m in files.items() if p.exists() and p.stat().st_mtime_ns == m}
+    assert kept == {f"id_block={i}" for i in (1, 2, 3, 5, 6, 7, 8, 9)}
+    sink.commit()
+    assert StoreSink(store, "3", "2022-04-01").upsert("ods.t", delta.limit(0), "id").count() == 1001
+
+
+def test_repeated_block_load_does_not_build_again(spark, tmp_path):
+    """The copy may fail after the new content was prepared; building twice would be wrong."""
+    store = TableStore(spark, str(tmp_path))
+    first = StoreSink(store, "1", T1, ids_per_block=10)
+    first.upsert("core.f", spark.range(20).withColumn("n", F.lit(0)), "id")
+    first.commit()
+    delta = spark.range(3)
+
+    def add_one(present):
+        return present.withColumn("n", F.when(F.col("id") < 3, F.col("n") + 1).otherwise(0))
+
+    for _ in range(3):
+        got = StoreSink(store, "2", T2, ids_per_block=10).rebuild("core.f", delta, "id", add_one)
+        assert (got.count(), got.agg(F.sum("n")).first()[0]) == (20, 3)
 
 
 # --- whole loads ------------------------------------------------------------------
@@ -122,11 +155,11 @@ def test_block_table_rewrites_only_touched_blocks(spark, tmp_path):
 def sinks(spark, tmp_path):
     """Makes the sink of each load in turn."""
     store = TableStore(spark, str(tmp_path))
-    return lambda load_id: StoreSink(store, load_id, ids_per_block=100)
+    return lambda load_id, load_ts: StoreSink(store, load_id, load_ts, ids_per_block=100)
 
 
 def test_layered_load(spark, sinks, values):
-    first = layered.load(tables(spark, base()), sinks("1"), T1, "2021-01-01", 800)
+    first = layered.load(tables(spark, base()), sinks("1", T1), T1, "2021-01-01", 800)
     assert values(first["report.sales_by_date"]) == [
         (20211210, "10 December 2021", 4.99), (20211211, "11 December 2021", 2.0),
         (20211212, "12 December 2021", 1.0)]
@@ -134,7 +167,7 @@ def test_layered_load(spark, sinks, values):
         (1, "STAR TURN", pytest.approx(6.99)), (2, "RED DAWN", 1.0)]
 
     second = layered.load(
-        tables(spark, changed()), sinks("2"), T2, "2021-01-01", 800, previous_load=T1)
+        tables(spark, changed()), sinks("2", T2), T2, "2021-01-01", 800, previous_load=T1)
     film = second["dds.film"]
     assert values(film, "film_id", "title", "date_effective_from", "date_effective_to",
                   "is_active") == sorted([
@@ -147,7 +180,7 @@ def test_layered_load(spark, sinks, values):
     assert second["dds.payment"].count() == 4
 
     third = layered.load(
-        tables(spark, changed()), sinks("3"), "2022-04-01", "2021-01-01", 800, previous_load=T2)
+        tables(spark, changed()), sinks("3", "2022-04-01"), "2022-04-01", "2021-01-01", 800, previous_load=T2)
     for name in ("dds.film", "dds.city", "dds.inventory", "dds.payment", "dds.rental",
                  "report.sales_by_film"):
         assert values(third[name]) == values(second[name])  # nothing new
@@ -155,13 +188,13 @@ def test_layered_load(spark, sinks, values):
 
 def test_star_load(spark, sinks, values):
     days = calendar_dim(spark, "2021-01-01", 800)
-    first = star.load(tables(spark, base()), sinks("1"), days, T1)
+    first = star.load(tables(spark, base()), sinks("1", T1), days, T1)
     assert values(first["sales_film"]) == [
         ("RED DAWN", Decimal("1.00")), ("STAR TURN", Decimal("6.99"))]
     keys = values(first["fact_payment"], "payment_pk", "payment_id", "inventory_fk", "staff_fk")
     assert keys == [(1, 1001, 1, 1), (2, 1002, 2, 2), (3, 1003, 3, 1)]
 
-    second = star.load(tables(spark, changed()), sinks("2"), days, T2, previous_load=T1)
+    second = star.load(tables(spark, changed()), sinks("2", T2), days, T2, previous_load=T1)
     disks = values(second["dim_inventory"], "inventory_id", "title", "effective_date_from",
                    "effective_date_to", "is_active")
     assert disks == sorted([
@@ -198,11 +231,11 @@ def test_star_load(spark, sinks, values):
 
 
 def test_vault_load(spark, sinks, values):
-    first = vault.load(tables(spark, base()), sinks("1"), T1, "rentals")
+    first = vault.load(tables(spark, base()), sinks("1", T1), T1, "rentals")
     assert len(first) == 8 + 9 + 22
     assert first["vault.hub_rental"].count() == 3
     assert first["vault.link_rental_staff"].count() == 3
-    second = vault.load(tables(spark, changed()), sinks("2"), T2, "rentals")
+    second = vault.load(tables(spark, changed()), sinks("2", T2), T2, "rentals")
     assert values(second["vault.hub_rental"], "rental_id", "load_date") == [
         (101, "2022-02-01"), (102, "2022-02-01"), (103, "2022-02-01"), (104, "2022-03-01")]
     titles = values(second["vault.sat_film"], "title", "load_date", "load_end_date", "is_current")

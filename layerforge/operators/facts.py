@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from layerforge.operators.history import DEFAULT, Validity
-from layerforge.operators.lookup import asof_lookup
+from layerforge.operators.lookup import asof_lookup_dense
 
 FILM_COLUMNS = ["title", "rental_duration", "rental_rate", "length", "rating"]
 STAFF_COLUMNS = ["staff_id", "first_name", "last_name", "address", "district", "city_name"]
@@ -116,10 +116,10 @@ def _dimension_keys(
         disks = dim_inventory.select("inventory_id", F.col("inventory_pk").alias("inventory_fk"))
         people = dim_staff.select("staff_id", F.col("staff_pk").alias("staff_fk"))
         return rows.join(people, "staff_id").join(disks, "inventory_id")
-    rows = asof_lookup(
+    rows = asof_lookup_dense(
         rows, dim_staff, {"staff_id": "staff_id"}, ts, {"staff_fk": "staff_pk"}, v=history
     )
-    return asof_lookup(
+    return asof_lookup_dense(
         rows, dim_inventory, {"inventory_id": "inventory_id"}, ts,
         {"inventory_fk": "inventory_pk"}, v=history,
     )

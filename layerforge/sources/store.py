@@ -156,17 +156,17 @@ def with_block(df: DataFrame, key: str, ids_per_block: int) -> DataFrame:
     The block follows from the key alone, so a row never moves between
     partitions, and a delta of recent ids touches few of them.
     """
-    return df.withColumn(BLOCK, F.floor(F.col(key) / F.lit(ids_per_block)).cast("long"))
+    return df.withColumn(BLOCK, F.expr(f"`{key}` div {int(ids_per_block)}"))
 
 
 def write_blocks(df: DataFrame, path: str, key: str, ids_per_block: int) -> None:
     """Write rows into block partitions; existing partitions of other blocks stay.
 
-    Rows are spread by key inside a block as well: one block is several tasks.
+    Rebalancing gathers a block's rows and splits a block too large for a task.
     """
     (
         with_block(df, key, ids_per_block)
-        .repartitionByRange(BLOCK, key)
+        .hint("rebalance", F.col(BLOCK))
         .sortWithinPartitions(BLOCK, key)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

@@ -102,8 +102,9 @@ def scd2_merge(
     if rule.deleted is not None and rule.deleted not in source.columns:
         raise ValueError(f"source has no column {rule.deleted}")
     if not source_unique:
-        by = F.col(rule.stamp).desc() if rule.stamp else F.lit(0)
-        source = latest_per_key(source, keys, [by])
+        newest = [F.col(rule.stamp).desc()] if rule.stamp else []
+        # Equal stamps are told apart by content: a retried task picks the same row.
+        source = latest_per_key(source, keys, [*newest, F.xxhash64(*source.columns)])
     if rule.change == "hash":
         source = source.withColumn(rule.hash_column, row_hash(rule.tracked))
 
@@ -307,7 +308,8 @@ def split_by_parent(
         return dim
     on = list(on)
     changed = latest_per_key(
-        parents.filter(F.col(stamp) >= ntz(since)), on, [F.col(stamp).desc()]
+        parents.filter(F.col(stamp) >= ntz(since)).select(*on, stamp, *take), on,
+        [F.col(stamp).desc(), F.xxhash64(*take)],
     ).select(*on, F.col(stamp).alias("_at"), *[F.col(c).alias(f"_p_{c}") for c in take])
     joined = dim.join(changed, on, "left")
     inside = (F.col("_at") > F.col(v.start)) & (F.col("_at") < F.col(v.end))

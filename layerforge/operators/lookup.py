@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from layerforge.functions.dates import ntz
@@ -14,8 +14,10 @@ SECONDS_PER_DAY = 86400
 
 
 def _slice_number(ts: Column, seconds: int) -> Column:
-    """Number of the fixed-width time slice holding ``ts``."""
-    return F.floor(F.unix_seconds(ts.cast("timestamp")) / F.lit(seconds)).cast("long")
+    """Number of the fixed-width time slice holding ``ts``; the session zone plays no part."""
+    since_midnight = F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)
+    since_1970 = F.unix_date(F.to_date(ts)).cast("long") * SECONDS_PER_DAY + since_midnight
+    return F.floor((since_1970 - F.pmod(since_1970, F.lit(seconds))) / F.lit(seconds)).cast("long")
 
 
 def asof_lookup(
@@ -114,8 +116,6 @@ def overlapping_versions(dim: DataFrame, keys: Sequence[str], v: Validity = DEFA
     ``lead`` sorts all versions of one key in one task; it spills, it does not
     collect.
     """
-    from pyspark.sql import Window
-
     following = F.lead(v.start).over(Window.partitionBy(*keys).orderBy(v.start, v.end))
     return (
         dim.withColumn("_next", following)

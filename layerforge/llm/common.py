@@ -8,6 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from layerforge.session import checkpoint_dir
 
@@ -48,6 +49,11 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def with_fields(df: DataFrame, **added: str) -> T.StructType:
+    """The schema of ``df`` with further fields, given as DDL types."""
+    return T.StructType([*df.schema.fields, *(T.StructField(n, T._parse_datatype_string(k)) for n, k in added.items())])
+
+
 def lower_ascii(text: str | Column) -> Column:
     """A-Z to a-z; every other character stays."""
     c = F.col(text) if isinstance(text, str) else text

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from layerforge.llm.common import lower_ascii, partitions_for, register, staged, table
 
-KEYS_PER_SHARD = 50_000
+KEYS_PER_SHARD = 50_000  # keys of one filter
 FILTER_SCHEMA = "shard long, seed long, segment long, segments long, cells binary"
 
 

@@ -152,7 +152,7 @@ def sentence_ends(vocabulary: dict[bytes, int], size: int) -> np.ndarray:
 _LOADED: dict[str, tuple] = {}
 
 
-def _tokenizer(path: str, ranks_path: str) -> tuple:
+def tokenizer(path: str, ranks_path: str) -> tuple:
     """The tokenizer and its sentence ends; loaded once in a Python worker.
 
     The rank file holds the vocabulary of ``path``; special strings give their ids.
@@ -197,7 +197,7 @@ def pack(
     kind = dict(docs.dtypes)[id_col]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoding, ends = _tokenizer(path, ranks_path)
+        encoding, ends = tokenizer(path, ranks_path)
         packer = Packer(ends, size)
         base = TaskContext.get().partitionId() << 40
         names: dict[int, tuple] = {}  # open documents: id and number of tokens

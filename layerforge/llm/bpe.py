@@ -39,8 +39,8 @@ from layerforge.llm.common import register, table, with_fields
 # Fixed value: the pre-token pattern of the byte-level vocabulary.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 DIRECT = 48  # bytes up to which a pre-token is merged in one go
-CACHE = 300_000  # remembered words of a generation; there are two
-PAIRS = 500_000  # remembered answers whether two tokens may stand side by side
+CACHE = 600_000  # remembered words of a generation; there are two
+PAIRS = 1_000_000  # remembered answers whether two tokens may stand side by side
 CHUNK = 1 << 16  # characters that are cut into pre-tokens at once
 
 

@@ -1,4 +1,4 @@
 """Operators of a training-data pipeline, with their registered queries and SQL."""
 
-from layerforge.llm import bpe, exact_dedup, language_id, ngram_join, packing, secret_scan, sharding, token_counts  # noqa: F401
+from layerforge.llm import bpe, embedding_dedup, exact_dedup, language_id, ngram_join, packing, secret_scan, sharding, token_counts  # noqa: F401
 from layerforge.llm.common import QUERIES, SQL  # noqa: F401

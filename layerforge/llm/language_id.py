@@ -131,10 +131,19 @@ def train(
     Rows with ``usable`` not true, a null language, null text or no letter are
     never used. The sample reaches the driver as 4 KB bit rows.
     """
-    order = Window.partitionBy("_lang").orderBy(F.xxhash64(F.col("_id").cast("string")), "_id", "_text")
+    labelled = docs.where(usable & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
+        F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), F.col(lang_col).alias("_lang")
+    )
+    # one number for each language; a hash of the id thins out the frequent ones before the shuffle
+    counts = labelled.groupBy("_lang").agg(F.count("*").alias("n")).collect()
+    if not counts:
+        return fit(np.zeros((0, CELLS), bool), [], landmarks, ridge)
+    share = F.create_map(*(F.lit(v) for r in counts for v in (r["_lang"], 2.0 * per_language / r["n"])))
+    hashed = F.xxhash64(F.col("_id").cast("string"))
+    chance = F.pmod(hashed, F.lit(1 << 30)) / float(1 << 30)
+    order = Window.partitionBy("_lang").orderBy(hashed, "_id", "_text")
     sample = (
-        docs.where(usable & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-        .select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), F.col(lang_col).alias("_lang"))
+        labelled.where(chance < share[F.col("_lang")])
         .withColumn("_rank", F.row_number().over(order))
         .where(F.col("_rank") <= per_language)
     )

@@ -191,6 +191,20 @@ def halves(docs: DataFrame, id_col: str = "doc_id") -> Column:
     return F.coalesce((F.col(id_col) > F.lit(middle)).cast("int"), F.lit(0))
 
 
+def without_copies(docs: DataFrame) -> DataFrame:
+    """The row with the largest id of every class of equal texts; rows without an id stay.
+
+    Of equal rows with one id, one stays.
+    """
+    found = exact_dedup(docs, batch=halves(docs))
+    keyed = docs.withColumn("_sha", F.sha2(lower_ascii(F.coalesce("text", F.lit(""))), 256))
+    again = found.where("kept").groupBy("doc_id", "text_sha256").agg(F.count("*").alias("n")).where("n > 1")
+    if not again.isEmpty():
+        keyed = keyed.dropDuplicates(["doc_id", "_sha"])
+    gone = found.where(~F.col("kept") & F.col("doc_id").isNotNull()).select("doc_id", F.col("text_sha256").alias("_sha"))
+    return keyed.join(gone, ["doc_id", "_sha"], "left_anti").select(*docs.columns)
+
+
 @register(
     "op10_exact_dedup",
     """

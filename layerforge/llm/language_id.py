@@ -173,30 +173,34 @@ def held_out(id_col: str = "doc_id", folds: int = 5) -> Column:
     return F.coalesce(fold == 0, F.lit(True))
 
 
-def identify(docs: DataFrame, model: Model, *, text_col: str = "text") -> DataFrame:
-    """``docs`` with the columns lang_pred and score; columns of these names are replaced.
+def identify(
+    docs: DataFrame, model: Model, *, text_col: str = "text", lang_out: str = "lang_pred", score_out: str = "score"
+) -> DataFrame:
+    """``docs`` with the predicted language and its score; columns of these names are replaced.
 
     Whole texts are read. Null texts, and texts without a letter, get ``und`` and
     0, as does everything under a model without languages.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)  # CELLS x languages numbers
-    kept = docs.drop("lang_pred", "score")
+    kept = docs.drop(lang_out, score_out)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts = b.column(text_col).to_pylist()
-            names, scores = predict(shared.value, texts)
+            names, scores = predict(shared.value, b.column(text_col).to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [*b.columns, pa.array(names, pa.string()), pa.array(scores, pa.float64())],
-                names=[*b.schema.names, "lang_pred", "score"],
+                names=[*b.schema.names, lang_out, score_out],
             )
 
-    return kept.mapInArrow(score, with_fields(kept, lang_pred="string", score="double"))
+    return kept.mapInArrow(score, with_fields(kept, **{lang_out: "string", score_out: "double"}))
 
 
-def with_language(docs: DataFrame) -> DataFrame:
-    """Model from the labelled rows outside the held-out fold, applied to every row."""
-    return identify(docs, train(docs, ~held_out()))
+def accepted(docs: DataFrame) -> DataFrame:
+    """Rows whose language is known: a letter in the text and a score of REJECT_BELOW or more."""
+    model = train(docs, ~held_out())
+    found = identify(docs, model, lang_out="_lang_pred", score_out="_lang_score")
+    known = (F.col("_lang_pred") != UNKNOWN) & (F.col("_lang_score") >= REJECT_BELOW)
+    return found.where(known).select(*docs.columns)
 
 
 @register("op8_language_id")

@@ -239,26 +239,26 @@ def thresholds(tested: DataFrame, rate: float = RATE) -> dict[int, int]:
 
 # --- the scan ----------------------------------------------------------------
 
-def scan(docs: DataFrame, *, text_col: str = "text", rate: float = RATE) -> DataFrame:
-    """``docs`` with the column spans: array of (start, kind, end), in order.
+def scan(docs: DataFrame, *, text_col: str = "text", spans_col: str = "spans", rate: float = RATE) -> DataFrame:
+    """``docs`` with a column of spans: array of (start, kind, end), in order.
 
     kind is the number of a name in KINDS. Base spans are always there; random
     ones are the discoveries among all candidates of all rows. Null and empty
-    texts have no spans. Columns named spans are replaced; repeated rows are
+    texts have no spans. A column of that name is replaced; repeated rows are
     scanned each by itself, and count as candidates each.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    kept = docs.drop("spans")
+    kept = docs.drop(spans_col)
 
     def tested(df: DataFrame) -> DataFrame:
         base = F.when(F.length(text) >= 12, base_spans(text)).otherwise(
             F.expr("array()").cast("array<struct<kind:int,start:bigint,end:bigint>>")
         )
-        return df.withColumn("spans", let(base, lambda b: F.struct(
+        return df.withColumn(spans_col, let(base, lambda b: F.struct(
             b.alias("base"), candidates(text, b).alias("tested")
         )))
 
-    least = thresholds(tested(kept.select(text_col)).select(F.col("spans.tested").alias("tested")), rate)
+    least = thresholds(tested(kept.select(text_col)).select(F.col(spans_col)["tested"].alias("tested")), rate)
 
     def discovered(t: Column) -> Column:
         hit = F.lit(False)
@@ -273,7 +273,7 @@ def scan(docs: DataFrame, *, text_col: str = "text", rate: float = RATE) -> Data
         ))
         return F.array_sort(F.concat(base, more))
 
-    return tested(kept).withColumn("spans", let(F.col("spans"), merged))
+    return tested(kept).withColumn(spans_col, let(F.col(spans_col), merged))
 
 
 def joined(spans: Column) -> Column:
@@ -303,6 +303,18 @@ def masked(text: Column, spans: Column) -> Column:
     )
 
 
+def without_secrets(docs: DataFrame) -> DataFrame:
+    """``docs`` with secrets masked in text; n_chars follows. Rows without any are as before."""
+    found = scan(docs, spans_col="_spans")
+    hit = F.size("_spans") > 0
+    text = F.when(hit, masked(F.col("text"), F.col("_spans"))).otherwise(F.col("text"))
+    out = found.withColumn("text", text)
+    if "n_chars" in docs.columns:
+        kind = dict(docs.dtypes)["n_chars"]
+        out = out.withColumn("n_chars", F.when(hit, F.char_length("text").cast(kind)).otherwise(F.col("n_chars")))
+    return out.select(*docs.columns)
+
+
 @register("op3_secret_scan")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = scan(table(spark, sf_dir, "documents").select("doc_id", "text"))

@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import string
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -54,6 +57,44 @@ def with_fields(df: DataFrame, **added: str) -> T.StructType:
     return T.StructType([*df.schema.fields, *(T.StructField(n, T._parse_datatype_string(k)) for n, k in added.items())])
 
 
+ID_BITS = 23
+
+
+def marked_ids(rows: DataFrame, ids: DataFrame, id_col: str = "id") -> DataFrame:
+    """The rows whose id is in ``ids``, and some others; a screen before a join.
+
+    The screen is a table of 2^ID_BITS bits of hashed ids (1 MB). Its size does not
+    grow; more ids only let more other rows through.
+    """
+    part_bits = ID_BITS - 6
+
+    def mark(pdf: pd.DataFrame) -> pd.DataFrame:
+        bits = np.zeros(1 << part_bits, bool)
+        bits[pdf["cell"].to_numpy() >> 6] = True
+        return pd.DataFrame({"part": pdf["part"].iloc[:1], "bits": [np.packbits(bits).tobytes()]})
+
+    def cell(c: str) -> Column:
+        return F.pmod(F.xxhash64(c), F.lit(1 << ID_BITS))
+
+    name = ids.columns[0]
+    parts = (
+        ids.select(cell(name).alias("cell")).distinct().withColumn("part", F.col("cell") % 64)
+        .groupBy("part").applyInPandas(mark, "part long, bits binary").collect()
+    )
+    packed = np.zeros((64, 1 << (part_bits - 3)), np.uint8)
+    for r in parts:
+        packed[r["part"]] = np.frombuffer(r["bits"], np.uint8)
+    screen = rows.sparkSession.sparkContext.broadcast(packed)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        marks = np.unpackbits(screen.value, axis=1).astype(bool)
+        for b in batches:
+            c = b.column(b.num_columns - 1).to_numpy()
+            yield b.select(range(b.num_columns - 1)).filter(pa.array(marks[c & 63, c >> 6]))
+
+    return rows.withColumn("_cell", cell(id_col)).mapInArrow(keep, rows.schema)
+
+
 def lower_ascii(text: str | Column) -> Column:
     """A-Z to a-z; every other character stays."""
     c = F.col(text) if isinstance(text, str) else text

@@ -47,8 +47,14 @@ def date_key(d: Column) -> Column:
 
 
 def day_title(day: Column, month: Column, year: Column) -> Column:
-    """``1 January 2022``; NULL parts are skipped."""
-    return F.concat_ws(" ", day.cast("string"), month, year.cast("string"))
+    """``1 January 2022``; a NULL part is empty, both blanks stay."""
+    parts = [F.coalesce(p.cast("string"), F.lit("")) for p in (day, month, year)]
+    return F.concat(parts[0], F.lit(" "), parts[1], F.lit(" "), parts[2])
+
+
+def day_title_or_null(day: Column, month: Column, year: Column) -> Column:
+    """``1 January 2022``; NULL when a part is NULL."""
+    return F.concat(day.cast("string"), F.lit(" "), month, F.lit(" "), year.cast("string"))
 
 
 def _iso_day(d: Column) -> Column:

@@ -8,9 +8,17 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+MICROSECONDS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+
+
 def row_hash(columns: Iterable[str | Column]) -> Column:
-    """md5 over the row as JSON; NULLs are written out, so (NULL, 'a') <> ('a', NULL)."""
-    return F.md5(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}))
+    """md5 over the row as JSON; NULLs are written out, so (NULL, 'a') <> ('a', NULL).
+
+    Timestamps are written to the microsecond.
+    """
+    return F.md5(F.to_json(F.struct(*columns), {
+        "ignoreNullFields": "false", "timestampFormat": MICROSECONDS, "timestampNTZFormat": MICROSECONDS,
+    }))
 
 
 def hub_key(*business_key: str | Column) -> Column:

@@ -10,10 +10,6 @@ from pyspark.sql import functions as F
 
 from layerforge.functions.dates import DAYS_EN, MONTHS_EN, calendar_columns, date_key, month_name
 
-# One row per day; past this the table is no longer sure to be broadcastable.
-MAX_BROADCAST_DAYS = 200_000
-
-
 def days(spark: SparkSession, start: date | str, n: int) -> DataFrame:
     """``n`` consecutive dates as column ``d``."""
     first = F.lit(str(start)).cast("date")
@@ -55,8 +51,3 @@ def calendar_small(
         month_name(d, months).alias("month_name"),
         F.year(d).alias("year"),
     )
-
-
-def small_side(calendar: DataFrame, n: int) -> DataFrame:
-    """Broadcast hint, given only while the number of days is within the bound."""
-    return F.broadcast(calendar) if n <= MAX_BROADCAST_DAYS else calendar

@@ -12,16 +12,23 @@ FILM_COLUMNS = ["title", "rental_duration", "rental_rate", "length", "rating"]
 STAFF_COLUMNS = ["staff_id", "first_name", "last_name", "address", "district", "city_name"]
 
 
-def inventory_rows(inventory: DataFrame, film: DataFrame) -> DataFrame:
-    """Disks with the attributes of their film; other inventory columns stay."""
-    return inventory.join(film.select("film_id", *FILM_COLUMNS), "film_id")
+def inventory_rows(inventory: DataFrame, film: DataFrame, how: str = "inner") -> DataFrame:
+    """Disks with the attributes of their film; other inventory columns stay.
+
+    A left join keeps disks without a film; ``found`` tells them apart.
+    """
+    films = film.select("film_id", *FILM_COLUMNS, F.lit(True).alias("found"))
+    rows = inventory.join(films, "film_id", how)
+    return rows if how == "left" else rows.drop("found")
 
 
 def flatten_staff(
-    staff: DataFrame, store: DataFrame, address: DataFrame, city: DataFrame
+    staff: DataFrame, store: DataFrame, address: DataFrame, city: DataFrame, how: str = "inner"
 ) -> DataFrame:
     """Staff with the address of their store; other staff columns stay.
 
+    A left join keeps staff without a place; ``found`` tells them apart.
+
     Store, address and city are joined to each other first: the chain of small
     tables collapses into one small side for the staff rows.
     """
@@ -29,9 +36,10 @@ def flatten_staff(
         store.select("store_id", "address_id")
         .join(address.select("address_id", "address", "district", "city_id"), "address_id")
         .join(city.select("city_id", F.col("city").alias("city_name")), "city_id")
-        .select("store_id", "address", "district", "city_name")
+        .select("store_id", "address", "district", "city_name", F.lit(True).alias("found"))
     )
-    return staff.drop("address_id").join(place, "store_id")
+    rows = staff.drop("address_id").join(place, "store_id", how)
+    return rows if how == "left" else rows.drop("found")
 
 
 def date_role(df: DataFrame, calendar: DataFrame, ts: str, fk: str, how: str = "inner") -> DataFrame:
@@ -111,23 +119,24 @@ def _dimension_keys(
     dim_staff: DataFrame,
     ts: str,
     history: Validity | None,
+    how: str = "inner",
 ) -> DataFrame:
     if history is None:
         disks = dim_inventory.select("inventory_id", F.col("inventory_pk").alias("inventory_fk"))
         people = dim_staff.select("staff_id", F.col("staff_pk").alias("staff_fk"))
-        return rows.join(people, "staff_id").join(disks, "inventory_id")
+        return rows.join(people, "staff_id", how).join(disks, "inventory_id", how)
     rows = asof_lookup_dense(
-        rows, dim_staff, {"staff_id": "staff_id"}, ts, {"staff_fk": "staff_pk"}, v=history
+        rows, dim_staff, {"staff_id": "staff_id"}, ts, {"staff_fk": "staff_pk"}, how, v=history
     )
     return asof_lookup_dense(
         rows, dim_inventory, {"inventory_id": "inventory_id"}, ts,
-        {"inventory_fk": "inventory_pk"}, v=history,
+        {"inventory_fk": "inventory_pk"}, how, v=history,
     )
 
 
 def dimension_keys_asof(
     rows: DataFrame, dim_inventory: DataFrame, dim_staff: DataFrame, ts: str,
-    v: Validity = DEFAULT,
+    v: Validity = DEFAULT, how: str = "inner",
 ) -> DataFrame:
     """Add ``inventory_fk`` and ``staff_fk`` of the versions valid at ``ts``."""
-    return _dimension_keys(rows, dim_inventory, dim_staff, ts, v)
+    return _dimension_keys(rows, dim_inventory, dim_staff, ts, v, how)

@@ -65,6 +65,10 @@ class Rule:
     inplace     (old, new) -> Column: overwrite without a version when true;
                 ``old`` and ``new`` look up a column on either side.
     inplace_columns  columns that overwrite takes from the source.
+    if_first, if_changed, if_overwritten  boolean source columns: whether the
+                staged row may make a first version, the version after a
+                change, or overwrite. A deletion or change always closes the
+                old version, whatever these say.
     """
 
     change: str = "hash"
@@ -76,6 +80,9 @@ class Rule:
     open_from: str = "origin"
     inplace: Callable[[Callable, Callable], Column] | None = None
     inplace_columns: Sequence[str] | None = None
+    if_first: str | None = None
+    if_changed: str | None = None
+    if_overwritten: str | None = None
     hash_column: str = "hash"
     validity: Validity = field(default=DEFAULT)
 
@@ -186,6 +193,9 @@ class _Merge:
     def gone_at(self) -> Column:
         return ntz(self.new(self.rule.deleted)) if self.rule.deleted else ntz(F.lit(None))
 
+    def allowed(self, flag: str | None) -> Column:
+        return F.lit(True) if flag is None else F.coalesce(self.new(flag), F.lit(False))
+
     def _changed(self) -> Column:
         rule, old, new = self.rule, self.old, self.new
         if rule.change == "hash":
@@ -219,13 +229,15 @@ class _Merge:
         def rows(*codes: int) -> Column:
             return F.array(*[F.lit(c) for c in codes])
 
+        again = self.allowed(rule.if_changed)
         codes = (
             F.when(~has_new, rows(_END if vanishes else _KEEP))
             .when(has_old & removed, rows(_END))
-            .when(has_old & self._changed(), rows(_END, _OPEN))
-            .when(has_old, rows(_OVERWRITE))
+            .when(has_old & self._changed(), F.when(again, rows(_END, _OPEN)).otherwise(rows(_END)))
+            .when(has_old, F.when(self.allowed(rule.if_overwritten), rows(_OVERWRITE)).otherwise(rows(_KEEP)))
             .when(returned & removed, F.lit(None))  # closed before, deleted again: no row
-            .otherwise(rows(_OPEN))
+            .when(returned, F.when(again, rows(_OPEN)))
+            .when(self.allowed(rule.if_first), rows(_OPEN))
         )
         # A change stamped before the version it ends must not turn it inside out.
         change_at = F.greatest(self.stamp, self.old(v.start))
@@ -253,7 +265,10 @@ class _Merge:
         """Versions of staged rows without an active one; ``_returned`` tells old keys."""
         returned = F.col("_returned")
         marks = self._open_marks(returned, self.stamp)
-        kept = staged.filter(~(returned & self.gone_at.isNotNull()))
+        kept = staged.filter(
+            F.when(returned, self.gone_at.isNull() & self.allowed(self.rule.if_changed))
+            .otherwise(self.allowed(self.rule.if_first))
+        )
 
         def cell(c: str) -> Column:
             return marks[c] if c in marks else self.new(c) if c in self.given else F.lit(None)

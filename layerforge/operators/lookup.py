@@ -7,17 +7,16 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from layerforge.functions.dates import ntz
+from layerforge.functions.dates import ORIGIN, ntz
 from layerforge.operators.history import DEFAULT, Validity
 
-SECONDS_PER_DAY = 86400
+VERSIONS_PER_SLICE = 8
 
 
-def _slice_number(ts: Column, seconds: int) -> Column:
-    """Number of the fixed-width time slice holding ``ts``; the session zone plays no part."""
+def _seconds(ts: Column) -> Column:
+    """Whole seconds since 1970; the session zone plays no part."""
     since_midnight = F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)
-    since_1970 = F.unix_date(F.to_date(ts)).cast("long") * SECONDS_PER_DAY + since_midnight
-    return F.floor((since_1970 - F.pmod(since_1970, F.lit(seconds))) / F.lit(seconds)).cast("long")
+    return (F.unix_date(F.to_date(ts)).cast("long") * 86400 + since_midnight).cast("long")
 
 
 def asof_lookup(
@@ -58,52 +57,50 @@ def asof_lookup_dense(
     keys: Mapping[str, str],
     ts: str,
     take: Mapping[str, str],
-    dense_from: int = 1000,
-    slice_seconds: int = SECONDS_PER_DAY,
+    how: str = "inner",
+    per_slice: int = VERSIONS_PER_SLICE,
     v: Validity = DEFAULT,
 ) -> DataFrame:
-    """Inner as-of lookup where some keys have very many versions.
-
-    With the key alone, each fact row of such a key is tested against all of
-    its versions. Keys with at least ``dense_from`` versions are therefore
-    joined on key and time slice. The versions of one key do not overlap, so
-    cutting them at slice borders adds at most one row per slice between the
-    first and last fact time. Other keys use the plain lookup. Exact for any
-    threshold and slice width.
+    """As-of lookup where some keys may have very many versions.
+
+    With the key alone, each fact row of such a key is tested against all of its
+    versions. Here the time between a key's first and last change is cut into
+    one slice for every ``per_slice`` versions, and rows are joined on key and
+    slice. Versions of one key do not overlap, so cutting them at slice borders
+    adds at most one row per slice; a key with few versions is one slice. Fact
+    rows of one key spread over its slices, and adaptive execution splits those
+    that are still too many for a task. One plan, no action; exact for any
+    ``per_slice``. ``how`` is "inner" or "left".
     """
-    dim_keys, fact_keys = list(keys.values()), list(keys)
-    dense = dim.groupBy(*dim_keys).agg(F.count("*").alias("_n")).filter(
-        F.col("_n") >= dense_from
-    ).select(*dim_keys)
-    if dense.isEmpty():
-        return asof_lookup(fact, dim, keys, ts, take, v=v)
-
-    dense_in_fact = dense.select(*[F.col(d).alias(f) for f, d in keys.items()])
-    few = asof_lookup(
-        fact.join(dense_in_fact, fact_keys, "left_anti"),
-        dim.join(dense, dim_keys, "left_anti"),
-        keys, ts, take, v=v,
+    dim_keys = list(keys.values())
+    start = ntz(F.col(v.start))
+    spans = dim.groupBy(*dim_keys).agg(
+        F.floor(F.count("*") / F.lit(per_slice)).cast("long").alias("_slices"),
+        F.min(F.when(start > ntz(ORIGIN), _seconds(start))).alias("_low"),
+        F.max(_seconds(start)).alias("_high"),
     )
 
-    hot_fact = fact.join(dense_in_fact, fact_keys, "left_semi").withColumn(
-        "_slice", _slice_number(ntz(F.col(ts)), slice_seconds)
+    def number(at: Column) -> Column:
+        """Slice of a time: 0 before the key's first change, the last one after its last."""
+        width = F.greatest(F.col("_high") - F.col("_low"), F.lit(1))
+        raw = F.floor((_seconds(at) - F.col("_low")).cast("double") * F.col("_slices") / width)
+        return F.coalesce(F.least(F.greatest(raw, F.lit(0)), F.col("_slices")), F.lit(0)).cast("long")
+
+    pieces = (
+        dim.join(spans, dim_keys)
+        .withColumn("_slice", F.explode(F.sequence(number(start), number(ntz(F.col(v.end))))))
+        .drop("_slices", "_low", "_high")
     )
-    bounds = hot_fact.agg(F.min("_slice"), F.max("_slice")).first()
-    if bounds[0] is None:
-        return few
-    first = F.greatest(_slice_number(ntz(F.col(v.start)), slice_seconds), F.lit(bounds[0]))
-    last = F.least(_slice_number(ntz(F.col(v.end)), slice_seconds), F.lit(bounds[1]))
-    hot_dim = (
-        dim.join(dense, dim_keys, "left_semi")
-        .withColumns({"_first": first, "_last": last})
-        .filter(F.col("_first") <= F.col("_last"))
-        .withColumn("_slice", F.explode(F.sequence("_first", "_last")))
-        .drop("_first", "_last")
+    of_fact = spans.select(
+        *[F.col(d).alias(f"_k{i}") for i, d in enumerate(dim_keys)], "_slices", "_low", "_high"
+    )
+    on = F.lit(True)
+    for i, f in enumerate(keys):
+        on = on & (F.col(f) == F.col(f"_k{i}"))
+    sliced = fact.join(of_fact, on, how).select(
+        *fact.columns, number(ntz(F.col(ts))).alias("_slice")
     )
-    many = asof_lookup(
-        hot_fact, hot_dim, {**keys, "_slice": "_slice"}, ts, take, v=v
-    ).drop("_slice")
-    return few.unionByName(many)
+    return asof_lookup(sliced, pieces, {**keys, "_slice": "_slice"}, ts, take, how=how, v=v).drop("_slice")
 
 
 def current_version(dim: DataFrame, v: Validity = DEFAULT) -> DataFrame:

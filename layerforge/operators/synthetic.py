@@ -12,10 +12,17 @@ from layerforge.operators.delta import Stamp
 
 
 def pick(row: Column, seed: str, low: int, high: int) -> Column:
-    """Repeatable choice from ``low..high`` by row number: same rows on any retry."""
+    """Repeatable choice from ``low..high`` by row number: same rows on any retry.
+
+    60 bits of a hash, so every id up to 2^60 above ``low`` can be chosen.
+    """
+    return _number(row, seed) % F.lit(high - low + 1) + F.lit(low)
+
+
+def _number(row: Column, seed: str) -> Column:
+    """60 bits of a hash of row number and seed."""
     digest = F.md5(F.concat_ws(":", row.cast("string"), F.lit(seed)))
-    number = F.conv(F.substring(digest, 1, 8), 16, 10).cast("long")
-    return number % F.lit(high - low + 1) + F.lit(low)
+    return F.conv(F.substring(digest, 1, 15), 16, 10).cast("long")
 
 
 def id_range(table: DataFrame, column: str) -> tuple[int, int]:
@@ -51,6 +58,10 @@ def synthetic_rentals(
 
 
 def fill_random(table: DataFrame, column: str, n: int, seed: int) -> DataFrame:
-    """Mean of the whole column after ``n`` uniforms from [0, 1) are appended."""
-    added = table.sparkSession.range(n).select(F.rand(seed).alias(column))
+    """Mean of the whole column after ``n`` uniforms from [0, 1) are appended.
+
+    The uniforms are hashes of the row number: the same on any partitioning.
+    """
+    uniform = _number(F.col("id"), str(seed)) / F.lit(float(1 << 60))
+    added = table.sparkSession.range(n).select(uniform.alias(column))
     return table.select(column).unionByName(added).agg(F.avg(column).alias("avg_value"))

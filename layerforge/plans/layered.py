@@ -7,14 +7,15 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from layerforge.functions.dates import MONTHS_EN, ORIGIN
-from layerforge.operators.calendar import calendar_small, small_side
+from layerforge.functions.dates import MONTHS_EN
+from layerforge.operators.calendar import calendar_small
 from layerforge.operators.delta import Stamp, delta_from_target, delta_scan
 from layerforge.operators.history import Rule, Validity, empty_history, scd2_merge
 from layerforge.operators.keys import added_keys, translate_keys
 from layerforge.plans.reports import sales_by_date, sales_by_film
 from layerforge.plans.sinks import StoreSink
 from layerforge.plans.steps import side_by_side
+from layerforge.sources.store import TableStore
 
 # Natural key of each table.
 KEY = {
@@ -53,18 +54,17 @@ def load(
     load_ts: Stamp,
     calendar_start: date | str,
     calendar_days: int,
-    previous_load: Stamp = ORIGIN,
     months=MONTHS_EN,
     whole_row_hash: bool = False,
 ) -> dict[str, DataFrame]:
     """One full load of all layers with one load time.
 
-    ``previous_load`` is the load log's mark for the two delta tables.
+    The two delta tables are read from their marks in the load log on.
     ``whole_row_hash`` also counts a bump of ``last_update`` as a change.
     """
     def to_staging(name: str) -> DataFrame:
         df = source[name]
-        rows = delta_scan(df, previous_load) if name in DELTA_TABLES else df
+        rows = delta_scan(df, sink.mark(f"staging.{name}")) if name in DELTA_TABLES else df
         return sink.put(f"staging.{name}", rows)
 
     staging = side_by_side(source, to_staging)
@@ -113,9 +113,7 @@ def load(
     dds = side_by_side(source, to_dds)
 
     spark = next(iter(source.values())).sparkSession
-    calendar = small_side(
-        calendar_small(spark, calendar_start, calendar_days, months), calendar_days
-    )
+    calendar = calendar_small(spark, calendar_start, calendar_days, months)
     marts = {
         "sales_by_date": sales_by_date(dds["payment"], calendar),
         "sales_by_film": sales_by_film(
@@ -145,5 +143,17 @@ def _versioned(
         before = empty_history(rows, DDS_VALIDITY, drop=stamps).withColumn("hash", F.lit(""))
         before = before.select(*business, *DDS_VALIDITY.columns, "hash")
     return scd2_merge(
-        before, rows, [KEY[name]], rule, load_ts, source_unique=True, keep_closed=False
+        before, rows, [KEY[name]], rule, load_ts, keep_closed=False
     )
+
+
+def sales_by_film_report(store: TableStore) -> DataFrame:
+    """Title and amount from the committed film mart."""
+    rows = store.read("report.sales_by_film")
+    return rows.select(F.col("sales_film_title").alias("title"), "amount")
+
+
+def sales_by_date_report(store: TableStore) -> DataFrame:
+    """Day and amount from the committed date mart."""
+    rows = store.read("report.sales_by_date")
+    return rows.select(F.col("sales_date_title").alias("date_title"), "amount")

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from layerforge.functions.dates import day_title
+from layerforge.functions.dates import day_title, day_title_or_null
 from layerforge.functions.scalars import contains_text
 from layerforge.operators.lookup import current_version
 
@@ -17,7 +17,7 @@ from layerforge.operators.lookup import current_version
 def sales_by_date_star(fact_payment: DataFrame, calendar: DataFrame) -> DataFrame:
     """Sum per payment day with the day written out."""
     per_day = fact_payment.groupBy("payment_date_fk").agg(F.sum("amount").alias("amount"))
-    title = day_title(F.col("day_of_month"), F.col("month_name"), F.col("year_actual"))
+    title = day_title_or_null(F.col("day_of_month"), F.col("month_name"), F.col("year_actual"))
     return per_day.join(calendar, F.col("payment_date_fk") == F.col("date_dim_pk")).select(
         title.alias("date_title"), "amount", F.col("date_dim_pk").alias("date_sort")
     )

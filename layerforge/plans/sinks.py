@@ -2,49 +2,42 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql.types import StructType
 
-from layerforge.operators.delta import Stamp, delete_insert
-from layerforge.sources.store import (
-    APPEND,
-    BLOCKS,
-    FULL,
-    VERSIONS,
-    Loaded,
-    TableStore,
-    rebuild_blocks,
-    write_blocks,
-)
+from layerforge.operators.delta import Stamp, delete_insert, read_watermark
+from layerforge.sources.store import APPEND, FULL, VERSIONS, Loaded, TableStore
 
 
 class StoreSink:
     """Writes the tables of one load; later steps read the files, not the plans.
 
     A load that failed runs again under the same id: it starts from the state
-    before itself, and block tables it had already prepared are only copied.
+    before itself, and nothing it wrote is visible before ``commit``.
     """
 
-    def __init__(
-        self, store: TableStore, load_id: str, load_ts: Stamp, ids_per_block: int = 10_000_000
-    ):
+    def __init__(self, store: TableStore, load_id: str, load_ts: Stamp):
         self.store, self.load_id, self.load_ts = store, load_id, load_ts
-        self.ids_per_block = ids_per_block
         self._before = store.current(besides=load_id)
-        self._prepared = {
-            n for n, t in store.current().items()
-            if n.endswith("@pending") and t.load_id == load_id
-        }
         self._written: dict[str, DataFrame] = {}
         self._loaded: dict[str, Loaded] = {}
 
+    def mark(self, name: str) -> datetime:
+        """Time of the last load of a table before this one, 1900-01-01 without any."""
+        return read_watermark(self.store.log(besides=self.load_id), name)
+
+    def known(self, name: str) -> bool:
+        """Whether an earlier load wrote the table."""
+        return name in self._before
+
     def get(self, name: str) -> DataFrame | None:
         """Table as written by this load, or as the loads before left it."""
-        return self._written[name] if name in self._written else self.store.read(
-            name, self._before
-        )
+        if name in self._written:
+            return self._written[name]
+        table = self._before.get(name)
+        return None if table is None else self.store.open(name, table, besides=self.load_id)
 
     def put(self, name: str, df: DataFrame) -> DataFrame:
         """Whole table."""
@@ -62,45 +55,15 @@ class StoreSink:
         return self._note(name, VERSIONS, changes.schema, active)
 
     def upsert(self, name: str, delta: DataFrame, key: str) -> DataFrame:
-        """Delete-insert by key into a block table."""
-        return self.rebuild(name, delta, key, lambda rows: (
-            delta if rows is None else delete_insert(rows, delta, [key])
-        ))
-
-    def rebuild(
-        self, name: str, delta: DataFrame, key: str,
-        build: Callable[[DataFrame | None], DataFrame],
-    ) -> DataFrame:
-        """Block table whose touched id ranges are built anew from their present rows.
-
-        The new content is written aside and logged before it is copied into
-        place: a copy that fails is made again from the same files.
-        """
-        spark, path = self.store.spark, self.store.path(name, BLOCKS)
-        if name not in self._before:
-            first = build(None)
-            write_blocks(first, path, key, self.ids_per_block)
-            return self._note(name, BLOCKS, first.schema)
-        schema, aside = self._before[name].schema, f"{name}@pending"
-        pending = self.store.path(name, f"pending/load={self.load_id}")
-        if aside not in self._prepared:
-            rebuild_blocks(
-                spark, path, pending, schema, delta, key, self.ids_per_block, build
-            )
-            prepared = Loaded(self.load_id, (self.load_id,), BLOCKS, schema)
-            self.store.commit({aside: prepared}, self.load_ts)
-        rows = spark.read.schema(schema).parquet(pending).select(*schema.names)
-        write_blocks(rows, path, key, self.ids_per_block)
-        return self._note(name, BLOCKS, schema)
+        """Delete-insert by key, written as a whole table."""
+        rows = self.get(name)
+        return self.put(name, delta if rows is None else delete_insert(rows, delta, [key]))
 
     def _note(
         self, name: str, kind: str, schema: StructType, active: str | None = None
     ) -> DataFrame:
-        earlier = self._before[name].load_ids if name in self._before else ()
-        self._loaded[name] = Loaded(
-            self.load_id, (*earlier, self.load_id), kind, schema, active
-        )
-        self._written[name] = self.store.open(name, self._loaded[name])
+        self._loaded[name] = Loaded(self.load_id, kind, schema, active)
+        self._written[name] = self.store.open(name, self._loaded[name], besides=self.load_id)
         return self._written[name]
 
     def commit(self) -> None:

@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import replace
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from layerforge.functions.dates import ORIGIN, ntz
+from layerforge.functions.dates import ntz
 from layerforge.operators.delta import Stamp, delta_scan, delta_scan_joined
 from layerforge.operators.facts import (
     FILM_COLUMNS,
     STAFF_COLUMNS,
     date_role,
     dimension_keys_asof,
+    fact_payment,
+    fact_rental,
     flatten_staff,
     inventory_rows,
 )
@@ -28,6 +33,15 @@ from layerforge.plans.sinks import StoreSink
 from layerforge.plans.steps import side_by_side
 
 TOUCHED = Rule(change="touched", snapshot=False)
+# A staged row whose lookups fail opens no version, but it still closes one.
+LOOKED_UP = replace(TOUCHED, if_first="found", if_changed="found")
+
+Keep = Callable[[str, DataFrame], DataFrame]
+
+
+def unkept(name: str, rows: DataFrame) -> DataFrame:
+    """Intermediate rows as they are; a load passes a function that writes them once."""
+    return rows
 
 
 def _start(rows: DataFrame, columns: list[str], pk: str) -> DataFrame:
@@ -42,17 +56,18 @@ def load_dim_inventory(
     film: DataFrame,
     film_changed_since: Stamp | None,
     load_ts: Stamp,
+    keep: Keep = unkept,
 ) -> DataFrame:
     """Disk dimension: staged disks make versions, then changed films split them."""
-    rows = inventory_rows(inventory_delta, film)
+    rows = keep("disks", inventory_rows(inventory_delta, film, "left"))
     if target is None:
         target = _start(rows, ["inventory_id", "film_id", *FILM_COLUMNS], "inventory_pk")
-    merged = scd2_merge(target, rows, ["inventory_id"], TOUCHED, load_ts)
+    merged = scd2_merge(target, rows, ["inventory_id"], LOOKED_UP, load_ts)
     split = split_by_parent(
         merged, film, ["film_id"], FILM_COLUMNS, film_changed_since,
         new_version=["inventory_pk"],
     )
-    return fill_keys(split, "inventory_pk", ["inventory_id", DEFAULT.start], target)
+    return fill_keys(keep("disk_versions", split), "inventory_pk", ["inventory_id", DEFAULT.start], target)
 
 
 def load_dim_staff(
@@ -62,12 +77,14 @@ def load_dim_staff(
     address: DataFrame,
     city: DataFrame,
     load_ts: Stamp,
+    keep: Keep = unkept,
 ) -> DataFrame:
-    rows = flatten_staff(staff_delta, store, address, city)
+    """Staff dimension with the address of the store."""
+    rows = keep("people", flatten_staff(staff_delta, store, address, city, "left"))
     if target is None:
         target = _start(rows, STAFF_COLUMNS, "staff_pk")
-    merged = scd2_merge(target, rows, ["staff_id"], TOUCHED, load_ts)
-    return fill_keys(merged, "staff_pk", ["staff_id", DEFAULT.start], target)
+    merged = scd2_merge(target, rows, ["staff_id"], LOOKED_UP, load_ts)
+    return fill_keys(keep("people_versions", merged), "staff_pk", ["staff_id", DEFAULT.start], target)
 
 
 PAYMENT_COLUMNS = [
@@ -81,6 +98,13 @@ PAYMENT_RULE = Rule(
 )
 
 
+def _found(*keys: str) -> Column:
+    out = F.lit(True)
+    for k in keys:
+        out = out & F.col(k).isNotNull()
+    return out
+
+
 def load_fact_payment(
     target: DataFrame | None,
     payment_delta: DataFrame,
@@ -88,18 +112,26 @@ def load_fact_payment(
     dim_staff: DataFrame,
     calendar: DataFrame,
     load_ts: Stamp,
-    numbered: DataFrame | None = None,
+    keep: Keep = unkept,
+    keep_closed: bool = True,
 ) -> DataFrame:
-    """Amount, day and rental make versions; disk and staff keys are overwritten."""
-    rows = dimension_keys_asof(payment_delta, dim_inventory, dim_staff, "last_update")
-    rows = date_role(rows, calendar, "payment_date", "payment_date_fk")
-    rows = rows.select(*PAYMENT_COLUMNS, "last_update", "deleted")
+    """Amount, day and rental make versions; disk and staff keys are overwritten.
+
+    A payment without a valid disk, staff member or day opens no version and
+    overwrites no key; its deletion or change still closes the old version.
+    """
+    rows = dimension_keys_asof(payment_delta, dim_inventory, dim_staff, "last_update", how="left")
+    rows = date_role(rows, calendar, "payment_date", "payment_date_fk", "left")
+    rows = keep("payments", rows.select(
+        *PAYMENT_COLUMNS, "last_update", "deleted",
+        _found("inventory_fk", "staff_fk").alias("keys_found"),
+        _found("inventory_fk", "staff_fk", "payment_date_fk").alias("found"),
+    ))
     if target is None:
         target = _start(rows, PAYMENT_COLUMNS, "payment_pk")
-    merged = scd2_merge(target, rows, ["payment_id"], PAYMENT_RULE, load_ts)
-    return fill_keys(
-        merged, "payment_pk", ["payment_id", DEFAULT.start], target if numbered is None else numbered
-    )
+    rule = replace(PAYMENT_RULE, if_first="found", if_changed="found", if_overwritten="keys_found")
+    merged = scd2_merge(target, rows, ["payment_id"], rule, load_ts, keep_closed=keep_closed)
+    return fill_keys(keep("payment_versions", merged), "payment_pk", ["payment_id", DEFAULT.start], target)
 
 
 RENTAL_COLUMNS = [
@@ -145,81 +177,86 @@ def load_fact_rental(
     calendar: DataFrame,
     load_ts: Stamp,
     require_return_before: bool = False,
-    numbered: DataFrame | None = None,
+    keep: Keep = unkept,
+    keep_closed: bool = True,
 ) -> DataFrame:
     """A return date that arrives is filled in; any other staged change is a version.
 
     The fact keeps the natural disk and staff ids beside the version keys, so
-    "same disk" needs no join back to the dimensions.
+    "same disk" needs no join back to the dimensions. A first version needs
+    disk, staff and rental day; the version after a change needs disk and staff.
     """
-    rows = dimension_keys_asof(rental_delta, dim_inventory, dim_staff, "last_update")
-    rows = date_role(rows, calendar, "rental_date", "rental_date_fk")
+    rows = dimension_keys_asof(rental_delta, dim_inventory, dim_staff, "last_update", how="left")
+    rows = date_role(rows, calendar, "rental_date", "rental_date_fk", "left")
     rows = date_role(rows, calendar, "return_date", "return_date_fk", "left")
-    rows = rows.select(*RENTAL_COLUMNS, "last_update", "deleted")
+    rows = keep("rentals", rows.select(
+        *RENTAL_COLUMNS, "last_update", "deleted",
+        _found("inventory_fk", "staff_fk").alias("keys_found"),
+        _found("inventory_fk", "staff_fk", "rental_date_fk").alias("found"),
+    ))
     if target is None:
         target = _start(rows, RENTAL_COLUMNS, "rental_pk")
-    merged = scd2_merge(target, rows, ["rental_id"], rental_rule(require_return_before), load_ts)
-    return fill_keys(
-        merged, "rental_pk", ["rental_id", DEFAULT.start], target if numbered is None else numbered
-    )
+    rule = replace(rental_rule(require_return_before), if_first="found", if_changed="keys_found")
+    merged = scd2_merge(target, rows, ["rental_id"], rule, load_ts, keep_closed=keep_closed)
+    return fill_keys(keep("rental_versions", merged), "rental_pk", ["rental_id", DEFAULT.start], target)
 
 
-def load(
-    source: dict[str, DataFrame],
-    sink: StoreSink,
-    calendar: DataFrame,
-    load_ts: Stamp,
-    previous_load: Stamp | None = None,
-) -> dict[str, DataFrame]:
-    """One load of the star schema; ``previous_load`` None is the first.
-
-    Dimensions come before facts: facts look up versions as of ``last_update``.
-    """
-    mark = ORIGIN if previous_load is None else previous_load
+def _staged(source: dict[str, DataFrame], sink: StoreSink) -> dict[str, DataFrame]:
+    """Changed rows of the four delta tables since their last load, the others whole."""
     with_disk = source["payment"].drop("inventory_id")
-    staged = {
+    scans = {
         "film": source["film"],
-        "inventory": delta_scan(source["inventory"], mark),
-        "rental": delta_scan(source["rental"], mark),
+        "inventory": delta_scan(source["inventory"], sink.mark("staging.inventory")),
+        "rental": delta_scan(source["rental"], sink.mark("staging.rental")),
         "payment": delta_scan_joined(
-            with_disk, source["rental"], ["rental_id"], mark, ["inventory_id"]
+            with_disk, source["rental"], ["rental_id"], sink.mark("staging.payment"), ["inventory_id"]
         ),
-        "staff": delta_scan(source["staff"], mark),
+        "staff": delta_scan(source["staff"], sink.mark("staging.staff")),
         "store": source["store"],
         "address": source["address"],
         "city": source["city"],
     }
-    scans = dict(staged)
-    staged = side_by_side(scans, lambda name: sink.put(f"staging.{name}", scans[name]))
+    return side_by_side(scans, lambda name: sink.put(f"staging.{name}", scans[name]))
+
+
+def load(
+    source: dict[str, DataFrame], sink: StoreSink, calendar: DataFrame, load_ts: Stamp
+) -> dict[str, DataFrame]:
+    """One load of the star schema; what is new follows from the load log.
+
+    Dimensions come before facts: facts look up versions as of ``last_update``.
+    """
+    film_mark = ntz(sink.mark("staging.film")) if sink.known("staging.film") else None
+    staged = _staged(source, sink)
+
+    def keep(name: str, rows: DataFrame) -> DataFrame:
+        return sink.put(f"work.{name}", rows)
 
     def to_dimension(name: str) -> DataFrame:
         before = sink.get(f"core.{name}")
         if name == "dim_inventory":
-            since = None if previous_load is None else ntz(previous_load)
-            rows = load_dim_inventory(before, staged["inventory"], staged["film"], since, load_ts)
+            rows = load_dim_inventory(
+                before, staged["inventory"], staged["film"], film_mark, load_ts, keep
+            )
         else:
             rows = load_dim_staff(
                 before, staged["staff"], staged["store"], staged["address"], staged["city"],
-                load_ts,
+                load_ts, keep,
             )
         return sink.put(f"core.{name}", rows)
 
     dims = side_by_side(["dim_inventory", "dim_staff"], to_dimension)
 
     def to_fact(name: str) -> DataFrame:
-        before = sink.get(f"core.{name}")
-        build, source_table = (
-            (load_fact_payment, "payment") if name == "fact_payment"
-            else (load_fact_rental, "rental")
+        build, rows = (
+            (load_fact_payment, staged["payment"]) if name == "fact_payment"
+            else (load_fact_rental, staged["rental"])
         )
-        rows = staged[source_table]
-
-        def blocks(present: DataFrame | None) -> DataFrame:
-            """Touched id ranges of the fact; numbers go on from the whole fact."""
-            return build(present, rows, dims["dim_inventory"], dims["dim_staff"], calendar,
-                         load_ts, numbered=before)
-
-        return sink.rebuild(f"core.{name}", rows, f"{source_table}_id", blocks)
+        changes = build(
+            sink.get(f"core.{name}"), rows, dims["dim_inventory"], dims["dim_staff"], calendar,
+            load_ts, keep=keep, keep_closed=False,
+        )
+        return sink.versions(f"core.{name}", changes, DEFAULT.active)
 
     facts = side_by_side(["fact_payment", "fact_rental"], to_fact)
 
@@ -229,5 +266,49 @@ def load(
         "sales_film": sales_by_title_star(payments, dims["dim_inventory"]),
     }
     reports = side_by_side(marts, lambda name: sink.put(f"report.{name}", marts[name]))
+    dropped = sink.put("report.dropped", dropped_rows(sink))
+    sink.commit()
+    return {**staged, **dims, **facts, **reports, "dropped": dropped}
+
+
+# Staged rows of a load that open no version, and the flag that tells.
+_LOOKED_UP = {
+    "disks": "found", "people": "found", "payments": "found", "rentals": "found",
+}
+
+
+def dropped_rows(sink: StoreSink) -> DataFrame:
+    """Staged, undeleted rows of this load whose lookups found no film, place, version or day."""
+    out = None
+    for name, flag in _LOOKED_UP.items():
+        rows = sink.get(f"work.{name}").filter(F.col("deleted").isNull())
+        one = rows.agg(
+            F.count("*").alias("staged_rows"),
+            F.count_if(~F.coalesce(flag, F.lit(False))).alias("dropped_rows"),
+        ).select(F.lit(name).alias("step"), "staged_rows", "dropped_rows")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def full_reload(
+    source: dict[str, DataFrame], sink: StoreSink, calendar: DataFrame, as_of_event: bool = False
+) -> dict[str, DataFrame]:
+    """Dimensions as they are in the store; both facts emptied and built again from the source.
+
+    ``as_of_event`` takes the dimension versions valid at the event's date,
+    otherwise the open ones are taken.
+    """
+    disks, people = sink.get("core.dim_inventory"), sink.get("core.dim_staff")
+    if as_of_event:
+        history = DEFAULT
+    else:
+        history = None
+        disks, people = disks.filter(F.col(DEFAULT.active)), people.filter(F.col(DEFAULT.active))
+    paid = source["payment"].drop("inventory_id")
+    facts = {
+        "payment": fact_payment(paid, source["rental"], disks, people, calendar, history),
+        "rental": fact_rental(source["rental"], paid, disks, people, calendar, history),
+    }
+    done = side_by_side(facts, lambda name: sink.put(f"core.reloaded_{name}", facts[name]))
     sink.commit()
-    return {**dims, **facts, **reports}
+    return done

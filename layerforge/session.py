@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,17 +18,25 @@ SETTINGS = {
 }
 
 
-def local_session(cpus: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
-    """Session for tests and the benchmark; a cluster brings its own."""
+def local_session(
+    cpus: int | str = "*", shuffle_partitions: int = 8, checkpoint: str | None = None
+) -> SparkSession:
+    """Session for tests and the benchmark; a cluster brings its own.
+
+    ``checkpoint`` names the folder that takes the role of the shared one.
+    """
     builder = SparkSession.builder.master(f"local[{cpus}]").appName("layerforge")
     for key, value in SETTINGS.items():
         builder = builder.config(key, value)
+    if checkpoint is not None:
+        builder = builder.config("spark.checkpoint.dir", checkpoint)
     spark = (
         builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", "8g")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -55,6 +64,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return current
 
 
+def shared_folder(spark: SparkSession, label: str) -> str:
+    """A new folder name below the shared folder; deleted when the session's JVM ends."""
+    path = f"{checkpoint_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(where)
+    return path
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the checkpoint folder; survives executor loss."""
     checkpoint_dir(df.sparkSession)

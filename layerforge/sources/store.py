@@ -10,14 +10,12 @@ full      the whole table; readers take the newest load
 append    new rows only; readers take all loads
 versions  open rows and the rows this load closed; readers take the newest
           load and the closed rows of the earlier ones
-blocks    kept in place in ranges of ids; a load rewrites the ranges it touches
 """
 
 from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -27,33 +25,30 @@ from pyspark.sql.types import StructType
 
 from layerforge.functions.dates import ntz
 from layerforge.operators.delta import Stamp
-from layerforge.session import checkpoint_dir
+from layerforge.session import shared_folder
 
-FULL, APPEND, VERSIONS, BLOCKS = "full", "append", "versions", "blocks"
+FULL, APPEND, VERSIONS = "full", "append", "versions"
 
 # The schema is kept with the load: readers open no footer to infer it, and
 # partition columns come back with their own type.
 LOG_SCHEMA = (
     "table_name string, update_dt timestamp_ntz, load_id string, kind string, schema_json string"
 )
-BLOCK = "id_block"
-MAX_BLOCKS_LISTED = 10_000
 
 
 @dataclass(frozen=True)
 class Loaded:
-    """A logged table: its newest load, all its loads, kind and columns."""
+    """A logged table: its newest load, kind and columns."""
 
     load_id: str
-    load_ids: tuple[str, ...]
     kind: str
     schema: StructType
     active: str | None = None
 
 
 def scratch_store(spark: SparkSession) -> TableStore:
-    """Store of its own in the shared checkpoint folder, for one run."""
-    return TableStore(spark, f"{checkpoint_dir(spark)}/store-{uuid.uuid4().hex}")
+    """Store of its own in the shared folder, for one run; gone when the session's JVM ends."""
+    return TableStore(spark, shared_folder(spark, "store"))
 
 
 class TableStore:
@@ -68,41 +63,33 @@ class TableStore:
 
     # --- log ---------------------------------------------------------------------
 
-    def log(self) -> DataFrame:
-        """All loads so far."""
+    def log(self, besides: str | None = None) -> DataFrame:
+        """All loads so far, without the load ``besides``."""
         try:
             rows = self.spark.read.schema(LOG_SCHEMA).parquet(f"{self.root}/_load_log")
-            return rows.select(*StructType.fromDDL(LOG_SCHEMA).names)
+            rows = rows.select(*StructType.fromDDL(LOG_SCHEMA).names)
         except AnalysisException as e:
             if e.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return self.spark.createDataFrame([], LOG_SCHEMA)
+            rows = self.spark.createDataFrame([], LOG_SCHEMA)
+        return rows if besides is None else rows.filter(F.col("load_id") != besides)
 
     def current(self, besides: str | None = None) -> dict[str, Loaded]:
-        """State of every table, without the load ``besides``.
-
-        One row per table and its list of load ids come to the driver.
-        """
-        log = self.log() if besides is None else self.log().filter(F.col("load_id") != besides)
-        newest = log.groupBy("table_name").agg(
-            F.max_by(F.struct("load_id", "kind", "schema_json"), "update_dt").alias("last"),
-            F.sort_array(F.collect_set("load_id")).alias("load_ids"),
+        """State of every table, without the load ``besides`` (one row per table)."""
+        newest = self.log(besides).groupBy("table_name").agg(
+            F.max_by(F.struct("load_id", "kind", "schema_json"), "update_dt").alias("last")
         )
         out = {}
         for r in newest.collect():
             described = json.loads(r["last"]["schema_json"])
             out[r["table_name"]] = Loaded(
-                r["last"]["load_id"], tuple(r["load_ids"]), r["last"]["kind"],
+                r["last"]["load_id"], r["last"]["kind"],
                 StructType.fromJson(described["schema"]), described.get("active"),
             )
         return out
 
     def commit(self, tables: dict[str, Loaded], load_ts: Stamp) -> None:
-        """Make the tables of a load visible: one new file under the log.
-
-        Each entry has a directory of its own, as steps running side by side
-        must not share a job's temporary folder.
-        """
+        """Make the tables of a load visible: one new file under the log."""
         rows = [
             (n, t.load_id, t.kind,
              json.dumps({"schema": t.schema.jsonValue(), "active": t.active}))
@@ -123,92 +110,31 @@ class TableStore:
             *partition_by
         ).parquet(self.path(name, f"load={load_id}"))
 
-    def open(self, name: str, table: Loaded) -> DataFrame:
-        """Rows of a logged table."""
-        reader = self.spark.read
-        if table.kind in (BLOCKS, FULL):
-            part = BLOCKS if table.kind == BLOCKS else f"load={table.load_id}"
-            rows = reader.schema(table.schema).parquet(self.path(name, part))
-            return rows.select(*table.schema.names)
-        paths = [self.path(name, f"load={i}") for i in table.load_ids]
-        rows = (
-            reader.schema(StructType([*table.schema.fields]).add("load", "string"))
-            .option("basePath", self.path(name))
-            .parquet(*paths)
+    def open(self, name: str, table: Loaded, besides: str | None = None) -> DataFrame:
+        """Rows of a logged table; of a load not logged yet, its own rows count too.
+
+        Tables of several loads are read as one directory and joined to the
+        logged loads on the partition column, so other loads' files are pruned.
+        """
+        reader, columns = self.spark.read, table.schema.names
+        if table.kind == FULL:
+            return reader.schema(table.schema).parquet(
+                self.path(name, f"load={table.load_id}")
+            ).select(*columns)
+        rows = reader.schema(StructType([*table.schema.fields]).add("load", "string")).parquet(
+            self.path(name)
+        )
+        logged = self.log(besides).filter(F.col("table_name") == name).select(
+            F.col("load_id").alias("load")
         )
+        earlier = rows.filter(F.col("load") != table.load_id).join(logged, "load", "left_semi")
         if table.kind == VERSIONS:
-            # Both are directory names: earlier loads' open rows are not read.
-            rows = rows.filter((F.col("load") == table.load_id) | ~F.col(table.active))
-        return rows.select(*table.schema.names)
+            # Also a directory name: earlier loads' open rows are not read.
+            earlier = earlier.filter(~F.col(table.active))
+        mine = rows.filter(F.col("load") == table.load_id)
+        return mine.unionByName(earlier).select(*columns)
 
     def read(self, name: str, current: dict[str, Loaded] | None = None) -> DataFrame | None:
         """Newest committed state of a table, None before its first load."""
         current = self.current() if current is None else current
         return self.open(name, current[name]) if name in current else None
-
-
-# --- block tables ------------------------------------------------------------------
-
-
-def with_block(df: DataFrame, key: str, ids_per_block: int) -> DataFrame:
-    """Add the partition column of a block table: a range of ids per partition.
-
-    The block follows from the key alone, so a row never moves between
-    partitions, and a delta of recent ids touches few of them.
-    """
-    return df.withColumn(BLOCK, F.expr(f"`{key}` div {int(ids_per_block)}"))
-
-
-def write_blocks(df: DataFrame, path: str, key: str, ids_per_block: int) -> None:
-    """Write rows into block partitions; existing partitions of other blocks stay.
-
-    Rebalancing gathers a block's rows and splits a block too large for a task.
-    """
-    (
-        with_block(df, key, ids_per_block)
-        .hint("rebalance", F.col(BLOCK))
-        .sortWithinPartitions(BLOCK, key)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(BLOCK)
-        .parquet(path)
-    )
-
-
-def touched_blocks(
-    target: DataFrame, delta: DataFrame, key: str, ids_per_block: int
-) -> DataFrame:
-    """Rows of a block table in the blocks that hold staged keys.
-
-    A short list of blocks is given as literals, so the scan opens only their
-    directories; a longer one selects them by a join.
-    """
-    blocks = with_block(delta.select(key), key, ids_per_block).select(BLOCK).distinct()
-    listed = [r[0] for r in blocks.limit(MAX_BLOCKS_LISTED + 1).collect()]
-    if len(listed) <= MAX_BLOCKS_LISTED:
-        return target.filter(F.col(BLOCK).isin(listed))
-    return target.join(blocks, BLOCK, "left_semi")
-
-
-def rebuild_blocks(
-    spark: SparkSession,
-    path: str,
-    pending: str,
-    schema: StructType,
-    delta: DataFrame,
-    key: str,
-    ids_per_block: int,
-    rebuild: Callable[[DataFrame], DataFrame],
-) -> None:
-    """First half of a block load: write the new content of the touched blocks aside.
-
-    ``rebuild`` gets the present rows of those blocks and returns all rows they
-    are to hold; it must keep at least one row per block. Copying ``pending``
-    into place afterwards may be repeated any number of times.
-    """
-    blocked = StructType([*schema.fields]).add(BLOCK, "long")
-    target = spark.read.schema(blocked).parquet(path)
-    present = touched_blocks(target, delta, key, ids_per_block).drop(BLOCK)
-    rebuild(present).select(*schema.names).write.mode("overwrite").option(
-        "partitionOverwriteMode", "static"
-    ).parquet(pending)

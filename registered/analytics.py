@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date, timedelta
+
 from pyspark.sql import functions as F
 
 from layerforge.functions.dates import date_key
@@ -15,8 +17,6 @@ from registered.base import (
     AFTER,
     BEFORE,
     CALENDAR,
-    CALENDAR_DAYS,
-    CALENDAR_START,
     PAYMENT_ROWS,
     RENTAL_ROWS,
     film,
@@ -30,12 +30,21 @@ from registered.base import (
 )
 
 
-def calendar(spark):
-    return C.small_side(C.calendar_dim(spark, CALENDAR_START, CALENDAR_DAYS), CALENDAR_DAYS)
+def calendar_span(spark, sf_dir) -> tuple[date, int]:
+    """Whole years around all dates of the test tables, and the year after."""
+    shipped = C.days_between(S.table(spark, sf_dir, "lineitem"), ["l_shipdate"])
+    ordered = C.days_between(S.table(spark, sf_dir, "orders"), ["o_orderdate"])
+    ends = [start + timedelta(n - 1) for start, n in (shipped, ordered)]
+    first = date(min(shipped[0], ordered[0]).year, 1, 1)
+    return first, (date(max(ends).year + 1, 12, 31) - first).days + 1
+
+
+def calendar(spark, sf_dir):
+    return C.calendar_dim(spark, *calendar_span(spark, sf_dir))
 
 
-def small_calendar(spark):
-    return C.small_side(C.calendar_small(spark, CALENDAR_START, CALENDAR_DAYS), CALENDAR_DAYS)
+def small_calendar(spark, sf_dir):
+    return C.calendar_small(spark, *calendar_span(spark, sf_dir))
 
 
 # --- reports -----------------------------------------------------------------
@@ -52,7 +61,7 @@ def sales_by_date(spark, sf_dir):
     fact = S.payment_rows(spark, sf_dir).select(
         "amount", date_key(F.col("payment_date")).alias("payment_date_fk")
     )
-    return reports.sales_by_date_star(fact, calendar(spark)).withColumn(
+    return reports.sales_by_date_star(fact, calendar(spark, sf_dir)).withColumn(
         "amount", F.col("amount").cast("decimal(18,2)")
     )
 
@@ -63,7 +72,7 @@ SELECT c.date_dim_pk AS sales_date_rn, {TITLE} AS sales_date_title,
 FROM p JOIN c ON c.date_actual = CAST(p.payment_date AS DATE)
 WHERE deleted IS NULL GROUP BY 1, 2""", p=PAYMENT_ROWS, c=CALENDAR))
 def sales_by_date_live(spark, sf_dir):
-    return reports.sales_by_date(S.payment_rows(spark, sf_dir), small_calendar(spark))
+    return reports.sales_by_date(S.payment_rows(spark, sf_dir), small_calendar(spark, sf_dir))
 
 
 @register("sales_by_title", with_("""
@@ -341,29 +350,3 @@ def key_violations(spark, sf_dir):
     return twice.select(F.lit("duplicate").alias("kind"), "key", "n").unionByName(
         orphans.select(F.lit("orphan").alias("kind"), F.col("rental_id").alias("key"), "n")
     )
-
-
-@register("reconcile_counts", with_("""
-SELECT 'source' AS layer, 'payment' AS table_name, count(*) AS row_count, count(*) AS active_rows,
-  CAST(min(payment_date) AS DATE) AS min_date, CAST(max(payment_date) AS DATE) AS max_date FROM a
-UNION ALL
-SELECT 'source', 'rental', count(*), count(*), CAST(min(rental_date) AS DATE),
-  CAST(max(rental_date) AS DATE) FROM r
-UNION ALL
-SELECT 'core', 'payment', count(*), count_if(a.deleted IS NULL),
-  CAST(min(a.payment_date) AS DATE), CAST(max(a.payment_date) AS DATE)
-FROM a JOIN b USING (payment_id)""",
-    a=payment(AFTER), b=payment(BEFORE), r=rental(AFTER)))
-def reconcile_counts(spark, sf_dir):
-    paid = S.payment(spark, sf_dir, AFTER)
-    loaded = paid.join(
-        S.payment(spark, sf_dir, BEFORE).select("payment_id"), "payment_id", "left_semi"
-    ).withColumn("is_active", F.col("deleted").isNull())
-    return (
-        checks.reconcile_row("source", "payment", paid, "payment_date")
-        .unionByName(checks.reconcile_row(
-            "source", "rental", S.rental(spark, sf_dir, AFTER), "rental_date"))
-        .unionByName(checks.reconcile_row("core", "payment", loaded, "payment_date", "is_active"))
-    )
-
-

@@ -11,12 +11,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 # Load times. Rows shipped before each are known to that load; the last one is
-# past the newest row, so it sees the whole table.
+# the year before validity ends, so it sees every row there can be.
 EARLY = "1997-01-01 00:00:00"
 BEFORE = "2000-07-01 00:00:00"
-AFTER = "2002-01-01 00:00:00"
-CALENDAR_START = "1995-01-01"
-CALENDAR_DAYS = 2922  # eight years
+AFTER = "9998-01-01 00:00:00"
 
 
 def register(name: str, sql: str | None = None):
@@ -32,7 +30,7 @@ def register(name: str, sql: str | None = None):
 def text(column: str | Column) -> Column:
     """Timestamp as text: year 9999 does not fit the nanosecond range of some clients."""
     c = F.col(column) if isinstance(column, str) else column
-    return F.date_format(c, "yyyy-MM-dd HH:mm:ss")
+    return F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS")
 
 
 def texts(df: DataFrame, *columns: str) -> DataFrame:
@@ -56,7 +54,7 @@ FOREVER = "TIMESTAMP '9999-01-01 00:00:00'"
 
 
 def sql_text(expression: str) -> str:
-    return f"strftime({expression}, '%Y-%m-%d %H:%M:%S')"
+    return f"strftime({expression}, '%Y-%m-%d %H:%M:%S.%f')"
 
 
 def _states(keys: str, as_of: str) -> str:
@@ -124,12 +122,16 @@ PLACE = """SELECT s_suppkey AS store_id, n_name AS address,
     FROM supplier JOIN nation ON n_nationkey = s_nationkey
       JOIN region ON r_regionkey = n_regionkey"""
 
-CALENDAR = f"""SELECT CAST(d AS DATE) AS date_actual,
+# From the first day of the year of the oldest row to the end of the year after the newest.
+CALENDAR = """SELECT CAST(d AS DATE) AS date_actual,
       CAST(strftime(d, '%Y%m%d') AS INT) AS date_dim_pk,
       CAST(day(d) AS INT) AS day_of_month, strftime(d, '%B') AS month_name,
       CAST(year(d) AS INT) AS year_actual
-    FROM generate_series(DATE '{CALENDAR_START}',
-      DATE '{CALENDAR_START}' + {CALENDAR_DAYS - 1}, INTERVAL 1 DAY) AS g(d)"""
+    FROM (SELECT unnest(generate_series(low, high, INTERVAL 1 DAY)) AS d FROM (
+      SELECT date_trunc('year', least(a, c)) AS low,
+        date_trunc('year', greatest(b, e)) + INTERVAL 2 YEAR - INTERVAL 1 DAY AS high
+      FROM (SELECT min(l_shipdate) AS a, max(l_shipdate) AS b FROM lineitem),
+        (SELECT min(o_orderdate) AS c, max(o_orderdate) AS e FROM orders)))"""
 
 PAYMENT_ROWS = f"""SELECT l_orderkey AS rental_id, l_partkey AS film_id, l_suppkey AS staff_id,
       l_linenumber AS line, {AMOUNT} AS amount, l_shipdate AS payment_date,

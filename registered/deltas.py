@@ -22,6 +22,7 @@ from registered.base import (
     text,
     texts,
     with_,
+    staff,
 )
 
 FEED_MARK = "2024-01-20 00:00:00"
@@ -91,12 +92,12 @@ def previous_load_time(spark, sf_dir):
 
 
 @register("delta_from_target", with_("""
-SELECT event_id, user_id, event_type, value FROM feed
-WHERE last_update > (SELECT max(last_update) FROM feed WHERE event_type = 'signup')""", feed=FEED))
+SELECT payment_id, rental_id, staff_id, amount FROM new
+WHERE last_update > (SELECT max(last_update) FROM old)""", old=payment(BEFORE), new=payment(AFTER)))
 def delta_from_target(spark, sf_dir):
-    feed = S.event_feed(spark, sf_dir)
-    target = feed.filter(F.col("event_type") == "signup")
-    return D.delta_from_target(feed, target).select("event_id", "user_id", "event_type", "value")
+    """The target is the table as an earlier load left it."""
+    rows, target = S.payment(spark, sf_dir, AFTER), S.payment(spark, sf_dir, BEFORE)
+    return D.delta_from_target(rows, target).select("payment_id", "rental_id", "staff_id", "amount")
 
 
 @register("delete_insert_upsert", with_(f"""
@@ -201,7 +202,7 @@ def key_translate_dropped(spark, sf_dir):
 SELECT inventory_id, film_id, store_id, {sql_text('last_update')} AS last_update FROM i
 UNION ALL
 SELECT (SELECT max(inventory_id) FROM i) + row_number() OVER (ORDER BY p_partkey), p_partkey, 1,
-  '{AFTER}' FROM part""", i=inventory(AFTER)))
+  '{AFTER}.000000' FROM part""", i=inventory(AFTER)))
 def append_rows(spark, sf_dir):
     disks = S.inventory(spark, sf_dir, AFTER).drop("deleted")
     wanted = S.table(spark, sf_dir, "part").select(
@@ -211,28 +212,40 @@ def append_rows(spark, sf_dir):
     return texts(D.append_rows(disks, added, AFTER, "last_update"), "last_update")
 
 
-def _picked(column: str, seed: str) -> str:
-    return f"""CAST('0x' || substr(md5(i || ':{seed}'), 1, 8) AS BIGINT)
-      % (SELECT max({column}) - min({column}) + 1 FROM lineitem)
-      + (SELECT min({column}) FROM lineitem)"""
+def _picked(column: str, table: str) -> str:
+    return f"""CAST('0x' || substr(md5(i || ':{column}'), 1, 15) AS BIGINT)
+      % (SELECT max({column}) - min({column}) + 1 FROM {table})
+      + (SELECT min({column}) FROM {table})"""
 
 
-@register("synthetic_facts", f"""
+@register("synthetic_facts", with_(f"""
 SELECT i + (SELECT max(o_orderkey) FROM orders) + 1 AS rental_id,
   (SELECT max(o_orderdate) FROM orders) + INTERVAL 1 DAY AS rental_date,
   (SELECT max(o_orderdate) FROM orders) + INTERVAL 8 DAY AS return_date,
-  {_picked("l_partkey", "film_id")} AS film_id, {_picked("l_suppkey", "staff_id")} AS staff_id,
-  {sql_text(f"TIMESTAMP '{AFTER}'")} AS last_update
-FROM (SELECT unnest(range((SELECT count(*) FROM customer))) AS i)""")
+  {_picked("inventory_id", "disks")} AS inventory_id, {_picked("customer_id", "people")} AS customer_id,
+  {_picked("staff_id", "crew")} AS staff_id, {sql_text(f"TIMESTAMP '{AFTER}'")} AS last_update
+FROM (SELECT unnest(range((SELECT count(*) FROM customer))) AS i)""",
+    disks=inventory(AFTER), people="SELECT c_custkey AS customer_id FROM customer", crew=staff(AFTER)))
 def synthetic_facts(spark, sf_dir):
-    lines = S.table(spark, sf_dir, "lineitem")
-    ranges = {"film_id": G.id_range(lines, "l_partkey"), "staff_id": G.id_range(lines, "l_suppkey")}
-    n = S.table(spark, sf_dir, "customer").count()
-    added = G.synthetic_rentals(S.rental_rows(spark, sf_dir), n, ranges, AFTER)
+    """Rentals with disk, customer and staff from the id ranges of their own tables."""
+    people = S.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("customer_id"))
+    ranges = {
+        "inventory_id": G.id_range(S.inventory(spark, sf_dir, AFTER), "inventory_id"),
+        "customer_id": G.id_range(people, "customer_id"),
+        "staff_id": G.id_range(S.staff(spark, sf_dir, AFTER), "staff_id"),
+    }
+    added = G.synthetic_rentals(S.rental_rows(spark, sf_dir), people.count(), ranges, AFTER)
     return added.withColumn("last_update", text("last_update"))
 
 
-@register("fill_random")
+@register("fill_random", """
+SELECT round(avg(v), 6) AS avg_value FROM (
+  SELECT l_discount AS v FROM lineitem
+  UNION ALL
+  SELECT CAST(CAST('0x' || substr(md5(i || ':7'), 1, 15) AS BIGINT) AS DOUBLE)
+    / CAST(1152921504606846976 AS DOUBLE)
+  FROM (SELECT unnest(range((SELECT count(*) FROM orders))) AS i))""")
 def fill_random(spark, sf_dir):
     discounts = S.table(spark, sf_dir, "lineitem").select("l_discount")
-    return G.fill_random(discounts, "l_discount", S.table(spark, sf_dir, "orders").count(), 7)
+    filled = G.fill_random(discounts, "l_discount", S.table(spark, sf_dir, "orders").count(), 7)
+    return filled.select(F.round("avg_value", 6).alias("avg_value"))

@@ -47,16 +47,19 @@ def initial_sql(src: str, columns: str, start: str = ORIGIN) -> str:
 
 def merge_sql(
     old: str, src: str, key: str, columns: list[str], changed: str, vanish: str | None = None,
-    start: str = ORIGIN, overwrite: tuple[str, ...] = (),
+    start: str = ORIGIN, overwrite: tuple[str, ...] = (), first_if: str = "TRUE",
+    change_if: str = "TRUE", overwrite_if: str = "TRUE",
 ) -> str:
     """Next state of ``old`` (one active version per key at most) given ``src``.
 
     ``changed`` compares o.* and s.*; ``overwrite`` columns follow the source
-    while nothing changed; ``vanish`` closes keys missing from ``src``.
+    while nothing changed; ``vanish`` closes keys missing from ``src``. A first
+    version, one after a change and an overwrite each need their condition on
+    s.*; closing needs none.
     """
     kept = ", ".join(
         f"""CASE WHEN o.is_active AND s.{key} IS NOT NULL AND s.deleted IS NULL
-          AND NOT ({changed}) THEN s.{c} ELSE o.{c} END AS {c}""" if c in overwrite else f"o.{c}"
+          AND NOT ({changed}) AND {overwrite_if} THEN s.{c} ELSE o.{c} END AS {c}""" if c in overwrite else f"o.{c}"
         for c in columns
     )
     fresh = ", ".join(f"s.{c}" for c in columns)
@@ -77,7 +80,8 @@ def merge_sql(
       k.{key} IS NOT NULL OR s.deleted IS NULL
     FROM {src} s LEFT JOIN (SELECT DISTINCT {key} FROM {old}) k ON k.{key} = s.{key}
       LEFT JOIN {old} o ON o.{key} = s.{key} AND o.is_active
-    WHERE k.{key} IS NULL OR (s.deleted IS NULL AND (o.{key} IS NULL OR ({changed})))"""
+    WHERE CASE WHEN k.{key} IS NULL THEN {first_if}
+      ELSE s.deleted IS NULL AND (o.{key} IS NULL OR ({changed})) AND {change_if} END"""
 
 
 # --- full snapshots compared by row hash ---------------------------------------
@@ -382,7 +386,7 @@ def asof_dense_keys(spark, sf_dir):
     )
     found = L.asof_lookup_dense(
         feed, state, {"user_id": "user_id"}, "last_update",
-        {"state_from": "effective_date_from", "state": "event_type"}, dense_from=20,
+        {"state_from": "effective_date_from", "state": "event_type"},
     )
     return texts(found.select("event_id", "state_from", "state"), "state_from")
 

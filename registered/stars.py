@@ -4,19 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from layerforge.operators import facts
+from layerforge.operators import checks, facts
 from layerforge.operators.keys import number_rows
 from layerforge.plans import layered, star
 from layerforge.plans.sinks import StoreSink
 from layerforge.sources import standins as S
 from layerforge.sources.store import scratch_store
-from registered.analytics import calendar
+from registered.analytics import calendar, calendar_span
 from registered.base import (
     AFTER,
     BEFORE,
     CALENDAR,
-    CALENDAR_DAYS,
-    CALENDAR_START,
     PLACE,
     RENTAL_ROWS,
     film,
@@ -59,7 +57,7 @@ SELECT rental_id, a.date_dim_pk AS rental_date_fk, b.date_dim_pk AS return_date_
 FROM r JOIN c a ON a.date_actual = CAST(rental_date AS DATE)
   LEFT JOIN c b ON b.date_actual = CAST(return_date AS DATE)""", r=RENTAL_ROWS, c=CALENDAR))
 def fact_with_optional_date(spark, sf_dir):
-    days = calendar(spark)
+    days = calendar(spark, sf_dir)
     rows = facts.date_role(S.rental_rows(spark, sf_dir), days, "rental_date", "rental_date_fk")
     rows = facts.date_role(rows, days, "return_date", "return_date_fk", "left")
     return rows.select("rental_id", "rental_date_fk", "return_date_fk")
@@ -75,7 +73,8 @@ def _dims(spark, sf_dir):
 
 
 _CTES = {
-    "p": payment(BEFORE),
+    "p": payment(AFTER),
+    "early": payment(BEFORE),
     "r": rental(AFTER),
     "i": inventory(AFTER),
     "s": staff(AFTER),
@@ -94,8 +93,8 @@ FROM p JOIN r USING (rental_id) JOIN di ON di.inventory_id = r.inventory_id
 def fact_payment(spark, sf_dir):
     disks, people = _dims(spark, sf_dir)
     return facts.fact_payment(
-        S.payment(spark, sf_dir, BEFORE).drop("inventory_id"), S.rental(spark, sf_dir, AFTER),
-        disks, people, calendar(spark),
+        S.payment(spark, sf_dir, AFTER).drop("inventory_id"), S.rental(spark, sf_dir, AFTER),
+        disks, people, calendar(spark, sf_dir),
     )
 
 
@@ -105,7 +104,7 @@ SELECT r.rental_id, di.inventory_pk AS inventory_fk, ds.staff_pk AS staff_fk,
   CAST(sum(p.amount) AS DECIMAL(18,2)) AS amount
 FROM r JOIN ds ON ds.staff_id = r.staff_id JOIN di ON di.inventory_id = r.inventory_id
   JOIN c a ON a.date_actual = CAST(r.rental_date AS DATE)
-  LEFT JOIN p ON p.rental_id = r.rental_id
+  LEFT JOIN early p ON p.rental_id = r.rental_id
   LEFT JOIN c b ON b.date_actual = CAST(r.return_date AS DATE)
 GROUP BY 1, 2, 3, 4, 5""", **_CTES))
 def fact_rental_grain(spark, sf_dir):
@@ -113,7 +112,7 @@ def fact_rental_grain(spark, sf_dir):
     disks, people = _dims(spark, sf_dir)
     return facts.fact_rental(
         S.rental(spark, sf_dir, AFTER), S.payment(spark, sf_dir, BEFORE), disks, people,
-        calendar(spark),
+        calendar(spark, sf_dir),
     )
 
 
@@ -127,31 +126,25 @@ GROUP BY 1, 2, 3, 4""", **_CTES))
 def fact_rental_coarse(spark, sf_dir):
     disks, people = _dims(spark, sf_dir)
     return facts.fact_rental_coarse(
-        S.rental(spark, sf_dir, AFTER), S.payment(spark, sf_dir, BEFORE), disks, people
+        S.rental(spark, sf_dir, AFTER), S.payment(spark, sf_dir, AFTER), disks, people
     ).withColumn("amount", F.col("amount").cast("decimal(18,2)"))
 
 
 # --- whole loads -----------------------------------------------------------------
 
 
-def _star(spark, sf_dir):
+def _star(spark, sf_dir, store=None):
     """First load and one delta load of the star schema, written to a store."""
-    store, days = scratch_store(spark), calendar(spark)
+    store, days = store or scratch_store(spark), calendar(spark, sf_dir)
     star.load(S.source_tables(spark, sf_dir, BEFORE), StoreSink(store, "1", BEFORE), days, BEFORE)
-    return star.load(
-        S.source_tables(spark, sf_dir, AFTER), StoreSink(store, "2", AFTER), days, AFTER,
-        previous_load=BEFORE,
-    )
+    return star.load(S.source_tables(spark, sf_dir, AFTER), StoreSink(store, "2", AFTER), days, AFTER)
 
 
-def _layered(spark, sf_dir):
+def _layered(spark, sf_dir, store=None):
     """First load and one delta load of all layers, written to a store."""
-    store, span = scratch_store(spark), (CALENDAR_START, CALENDAR_DAYS)
+    store, span = store or scratch_store(spark), calendar_span(spark, sf_dir)
     layered.load(S.source_tables(spark, sf_dir, BEFORE), StoreSink(store, "1", BEFORE), BEFORE, *span)
-    return layered.load(
-        S.source_tables(spark, sf_dir, AFTER), StoreSink(store, "2", AFTER), AFTER, *span,
-        previous_load=BEFORE,
-    )
+    return layered.load(S.source_tables(spark, sf_dir, AFTER), StoreSink(store, "2", AFTER), AFTER, *span)
 
 
 def _since_target(table: str) -> str:
@@ -175,7 +168,7 @@ def layered_load_by_date(spark, sf_dir):
     return _layered(spark, sf_dir)["report.sales_by_date"]
 
 
-@register("layered_load_by_film", with_("""
+_BY_FILM = with_("""
 SELECT sk AS sales_film_rn, p_name AS sales_film_title, CAST(sum(p.amount) AS DOUBLE) AS amount
 FROM p JOIN r USING (rental_id) JOIN i ON i.inventory_id = r.inventory_id
   JOIN k ON k.film_id = i.film_id JOIN part ON p_partkey = i.film_id
@@ -184,45 +177,99 @@ WHERE p.deleted IS NULL AND r.deleted IS NULL AND i.deleted IS NULL GROUP BY 1,
     rental1=rental(BEFORE), rental2=rental(AFTER), r=_since_target("rental"),
     i=inventory(AFTER), f1=film(BEFORE), f2=film(AFTER),
     k="""SELECT film_id, row_number() OVER (ORDER BY film_id NOT IN (SELECT film_id FROM f1),
-      film_id) AS sk FROM f2"""))
+      film_id) AS sk FROM f2""")
+
+
+@register("layered_load_by_film", _BY_FILM)
 def layered_load_by_film(spark, sf_dir):
     return _layered(spark, sf_dir)["report.sales_by_film"]
 
 
+@register("mart_by_film", f"SELECT sales_film_title AS title, amount FROM ({_BY_FILM})")
+def mart_by_film(spark, sf_dir):
+    """The report function over the committed mart: title and amount."""
+    store = scratch_store(spark)
+    _layered(spark, sf_dir, store)
+    return layered.sales_by_film_report(store)
+
+
 _PAID = ["payment_id", "amount", "payment_date", "rental_id", "inventory_id", "inventory_from",
          "staff_id", "staff_from"]
 _RENTED = ["rental_id", "rental_date", "return_date", "inventory_id", "inventory_from",
            "staff_id", "staff_from"]
 
 
-def _asof(rows: str, disks: str, people: str) -> str:
+def _asof(rows: str, disks: str, people: str, at: str = "last_update", how: str = "JOIN") -> str:
     return f"""SELECT x.*, di.effective_date_from AS inventory_from,
       ds.effective_date_from AS staff_from
-    FROM {rows} x JOIN {disks} di ON di.inventory_id = x.inventory_id
-        AND x.last_update >= di.effective_date_from AND x.last_update < di.effective_date_to
-      JOIN {people} ds ON ds.staff_id = x.staff_id
-        AND x.last_update >= ds.effective_date_from AND x.last_update < ds.effective_date_to"""
+    FROM {rows} x {how} {disks} di ON di.inventory_id = x.inventory_id
+        AND x.{at} >= di.effective_date_from AND x.{at} < di.effective_date_to
+      {how} {people} ds ON ds.staff_id = x.staff_id
+        AND x.{at} >= ds.effective_date_from AND x.{at} < ds.effective_date_to"""
 
 
+# The dimension loads step by step: deleted disks and staff are closed, new ones
+# inserted, changed ones closed and opened again; films split versions. Only the
+# inserts need the film or the place of the store.
 _STAR = {
-    "i1": inventory(BEFORE),
-    "i2": f"SELECT * FROM ({inventory(AFTER)}) WHERE {SINCE}",
-    "di1": initial_sql("i1", "inventory_id, film_id"),
-    "dm": merge_sql("di1", "i2", "inventory_id", ["inventory_id", "film_id"], "TRUE"),
-    "films": f"SELECT * FROM ({film(AFTER)}) WHERE last_update >= TIMESTAMP '{BEFORE}'",
-    "cut": """SELECT m.*, f.last_update AS cut_at,
+    "c": CALENDAR,
+    "place": PLACE,
+    "f1": film(BEFORE),
+    "f2": film(AFTER),
+    "i1": f"SELECT * FROM ({inventory(BEFORE)}) JOIN (SELECT film_id, title FROM f1) USING (film_id)",
+    "i2": f"""SELECT x.*, f.title, f.film_id IS NOT NULL AS found FROM ({inventory(AFTER)}) x
+      LEFT JOIN f2 f USING (film_id)
+      WHERE x.last_update >= TIMESTAMP '{BEFORE}' OR x.deleted >= TIMESTAMP '{BEFORE}'""",
+    "di1": initial_sql("i1", "inventory_id, film_id, title"),
+    "dm": merge_sql("di1", "i2", "inventory_id", ["inventory_id", "film_id", "title"], "TRUE",
+                    first_if="s.found", change_if="s.found"),
+    "films": f"SELECT * FROM f2 WHERE last_update >= TIMESTAMP '{BEFORE}'",
+    "cut": """SELECT m.*, f.last_update AS cut_at, f.title AS new_title,
       coalesce(f.last_update > effective_date_from AND f.last_update < effective_date_to, FALSE)
         AS hit FROM dm m LEFT JOIN films f USING (film_id)""",
-    "di2": """SELECT inventory_id, effective_date_from,
-        CASE WHEN hit THEN cut_at ELSE effective_date_to END AS effective_date_to FROM cut
-      UNION ALL SELECT inventory_id, cut_at, effective_date_to FROM cut WHERE hit""",
-    "s1": staff(BEFORE),
-    "s2": f"SELECT * FROM ({staff(AFTER)}) WHERE {SINCE}",
-    "ds1": initial_sql("s1", "staff_id"),
-    "ds2": merge_sql("ds1", "s2", "staff_id", ["staff_id"], "TRUE"),
+    "di2": """SELECT inventory_id, film_id, title, effective_date_from,
+        CASE WHEN hit THEN cut_at ELSE effective_date_to END AS effective_date_to,
+        is_active AND NOT hit AS is_active FROM cut
+      UNION ALL SELECT inventory_id, film_id, new_title, cut_at, effective_date_to, is_active
+      FROM cut WHERE hit""",
+    "s1": f"""SELECT x.*, city_name FROM ({staff(BEFORE)}) x
+      JOIN (SELECT store_id, city_name FROM place) USING (store_id)""",
+    "s2": f"""SELECT x.*, p.city_name, p.store_id IS NOT NULL AS found FROM ({staff(AFTER)}) x
+      LEFT JOIN place p USING (store_id)
+      WHERE x.last_update >= TIMESTAMP '{BEFORE}' OR x.deleted >= TIMESTAMP '{BEFORE}'""",
+    "ds1": initial_sql("s1", "staff_id, first_name, city_name"),
+    "ds2": merge_sql("ds1", "s2", "staff_id", ["staff_id", "first_name", "city_name"], "TRUE",
+                     first_if="s.found", change_if="s.found"),
     "r1": rental(BEFORE),
     "r2": rental(AFTER),
+    "p1": payment(BEFORE),
+    "p2": f"""SELECT p.* FROM ({payment(AFTER)}) p JOIN r2 USING (rental_id)
+      WHERE p.last_update >= TIMESTAMP '{BEFORE}' OR p.deleted >= TIMESTAMP '{BEFORE}'
+        OR r2.last_update >= TIMESTAMP '{BEFORE}'""",
+    "rs": f"SELECT * FROM r2 WHERE {SINCE}",
+    # staged facts with the versions found for them, if any
+    "pk": _asof("p2", "di2", "ds2", how="LEFT JOIN"),
+    "rk": _asof("rs", "di2", "ds2", how="LEFT JOIN"),
 }
+_KEYS_FOUND = "(s.inventory_from IS NOT NULL AND s.staff_from IS NOT NULL)"
+
+
+@register("star_load_dims", with_(f"""
+SELECT 'disk' AS dim, inventory_id AS id, title AS name, {RANGE} FROM di2
+UNION ALL
+SELECT 'staff', staff_id, first_name || ' in ' || city_name, {RANGE} FROM ds2""", **_STAR))
+def star_load_dims(spark, sf_dir):
+    loaded = _star(spark, sf_dir)
+    disks = loaded["dim_inventory"].select(
+        F.lit("disk").alias("dim"), F.col("inventory_id").alias("id"), F.col("title").alias("name"),
+        "effective_date_from", "effective_date_to", "is_active",
+    )
+    people = loaded["dim_staff"].select(
+        F.lit("staff").alias("dim"), F.col("staff_id").alias("id"),
+        F.concat("first_name", F.lit(" in "), "city_name").alias("name"),
+        "effective_date_from", "effective_date_to", "is_active",
+    )
+    return versions(disks.unionByName(people), "dim", "id", "name")
 
 
 def _facts(fact, dims, columns):
@@ -252,15 +299,11 @@ _NAMED = ("{}, inventory_id, staff_id, "
 @register("star_load_payment", with_(
     "SELECT " + _NAMED.format("payment_id, amount, rental_id, "
         "CAST(strftime(payment_date, '%Y%m%d') AS INT) AS payment_date_fk") + " FROM merged",
-    **_STAR, p1=payment(BEFORE),
-    p2=f"""SELECT p.* FROM ({payment(AFTER)}) p JOIN r2 USING (rental_id)
-      WHERE p.last_update >= TIMESTAMP '{BEFORE}' OR p.deleted >= TIMESTAMP '{BEFORE}'
-        OR r2.last_update >= TIMESTAMP '{BEFORE}'""",
-    k1=_asof("p1", "di1", "ds1"), first=initial_sql("k1", ", ".join(_PAID)),
-    src=_asof("p2", "di2", "ds2"),
-    merged=merge_sql("first", "src", "payment_id", _PAID,
+    **_STAR, k1=_asof("p1", "di1", "ds1"), first=initial_sql("k1", ", ".join(_PAID)),
+    merged=merge_sql("first", "pk", "payment_id", _PAID,
                      "o.amount <> s.amount OR o.payment_date <> s.payment_date",
-                     overwrite=("inventory_id", "inventory_from", "staff_id", "staff_from"))))
+                     overwrite=("inventory_id", "inventory_from", "staff_id", "staff_from"),
+                     first_if=_KEYS_FOUND, change_if=_KEYS_FOUND, overwrite_if=_KEYS_FOUND)))
 def star_load_payment(spark, sf_dir):
     loaded = _star(spark, sf_dir)
     return _facts(loaded["fact_payment"], loaded, [
@@ -273,17 +316,142 @@ def star_load_payment(spark, sf_dir):
     "SELECT " + _NAMED.format("rental_id, "
         "CAST(strftime(rental_date, '%Y%m%d') AS INT) AS rental_date_fk, "
         "CAST(strftime(return_date, '%Y%m%d') AS INT) AS return_date_fk") + " FROM merged",
-    **_STAR, staged=f"SELECT * FROM r2 WHERE {SINCE}",
-    k1=_asof("r1", "di1", "ds1"), first=initial_sql("k1", ", ".join(_RENTED), start="last_update"),
-    src=_asof("staged", "di2", "ds2"),
-    merged=merge_sql("first", "src", "rental_id", _RENTED,
+    **_STAR, k1=_asof("r1", "di1", "ds1"),
+    first=initial_sql("k1", ", ".join(_RENTED), start="last_update"),
+    merged=merge_sql("first", "rk", "rental_id", _RENTED,
                      """NOT (o.return_date IS NULL AND s.return_date IS NOT NULL
                        AND o.inventory_id = s.inventory_id AND o.staff_id = s.staff_id
                        AND o.rental_date = s.rental_date)""",
-                     start="s.last_update", overwrite=("return_date",))))
+                     start="s.last_update", overwrite=("return_date",),
+                     first_if=_KEYS_FOUND, change_if=_KEYS_FOUND)))
 def star_load_rental(spark, sf_dir):
     loaded = _star(spark, sf_dir)
     return _facts(loaded["fact_rental"], loaded, [
         "rental_id", "rental_date_fk", "return_date_fk", "inventory_id", "staff_id",
         "inventory_from", "staff_from",
     ])
+
+
+# --- reports on a load, and full reloads -------------------------------------------
+
+
+def _dropped_sql(step: str, rows: str, found: str) -> str:
+    return f"""SELECT '{step}' AS step, count(*) AS staged_rows,
+      count_if(NOT ({found})) AS dropped_rows FROM {rows} s WHERE deleted IS NULL"""
+
+
+@register("load_dropped", with_(" UNION ALL ".join([
+    _dropped_sql("disks", "i2", "found"), _dropped_sql("people", "s2", "found"),
+    _dropped_sql("payments", "pk", _KEYS_FOUND), _dropped_sql("rentals", "rk", _KEYS_FOUND)]), **_STAR))
+def load_dropped(spark, sf_dir):
+    """Undeleted rows of the second load that no lookup found a home for."""
+    return _star(spark, sf_dir)["dropped"]
+
+
+_FACT = {
+    "k1": _asof("p1", "di1", "ds1"),
+    "first": initial_sql("k1", ", ".join(_PAID)),
+    "merged": merge_sql("first", "pk", "payment_id", _PAID,
+                        "o.amount <> s.amount OR o.payment_date <> s.payment_date",
+                        first_if=_KEYS_FOUND, change_if=_KEYS_FOUND),
+}
+
+
+@register("reconcile_counts", with_("""
+SELECT 'source' AS layer, 'payment' AS table_name, count(*) AS row_count, count(*) AS active_rows,
+  CAST(min(payment_date) AS DATE) AS min_date, CAST(max(payment_date) AS DATE) AS max_date FROM p
+UNION ALL
+SELECT 'staging', 'payment', count(*), count(*), CAST(min(payment_date) AS DATE),
+  CAST(max(payment_date) AS DATE) FROM p2
+UNION ALL
+SELECT 'core', 'payment', count(*), count_if(is_active), CAST(min(payment_date) AS DATE),
+  CAST(max(payment_date) AS DATE) FROM merged""", **_STAR, **_FACT, p=payment(AFTER)))
+def reconcile_counts(spark, sf_dir):
+    """Payments in source, staging and core after two loads."""
+    loaded = _star(spark, sf_dir)
+    fact = loaded["fact_payment"].withColumn(
+        "day", F.to_date(F.col("payment_date_fk").cast("string"), "yyyyMMdd")
+    )
+    return (
+        checks.reconcile_row("source", "payment", S.payment(spark, sf_dir, AFTER), "payment_date")
+        .unionByName(checks.reconcile_row("staging", "payment", loaded["payment"], "payment_date"))
+        .unionByName(checks.reconcile_row("core", "payment", fact, "day", "is_active"))
+    )
+
+
+_ONE = "(SELECT max(payment_id) FROM p2)"
+
+
+@register("key_trace", with_(f"""
+SELECT 'source' AS table_name, count(*) AS row_count FROM p WHERE payment_id = {_ONE}
+UNION ALL SELECT 'staging', count(*) FROM p2 WHERE payment_id = {_ONE}
+UNION ALL SELECT 'core', count(*) FROM merged WHERE payment_id = {_ONE}""",
+    **_STAR, **_FACT, p=payment(AFTER)))
+def key_trace(spark, sf_dir):
+    """One payment through the layers of a load: the newest staged one."""
+    loaded = _star(spark, sf_dir)
+    one = loaded["payment"].agg(F.max("payment_id")).first()[0]
+    return checks.trace_key({
+        "source": S.payment(spark, sf_dir, AFTER), "staging": loaded["payment"],
+        "core": loaded["fact_payment"],
+    }, "payment_id", one)
+
+
+_OPEN = {
+    "od": "SELECT * FROM di2 WHERE is_active",
+    "os": "SELECT * FROM ds2 WHERE is_active",
+    "pa": payment(AFTER),
+    "paid": "SELECT rental_id, count(*) AS cnt, sum(amount) AS amount FROM pa GROUP BY 1",
+}
+
+
+def _reloaded(spark, sf_dir, as_of_event):
+    store = scratch_store(spark)
+    loaded = _star(spark, sf_dir, store)
+    facts = star.full_reload(
+        S.source_tables(spark, sf_dir, AFTER), StoreSink(store, "3", AFTER), calendar(spark, sf_dir),
+        as_of_event,
+    )
+    disks = loaded["dim_inventory"].select(
+        F.col("inventory_pk").alias("inventory_fk"), "inventory_id",
+        F.col("effective_date_from").alias("inventory_from"))
+    people = loaded["dim_staff"].select(
+        F.col("staff_pk").alias("staff_fk"), "staff_id", F.col("effective_date_from").alias("staff_from"))
+    return {
+        name: texts(rows.join(disks, "inventory_fk").join(people, "staff_fk").drop("inventory_fk", "staff_fk"),
+                    "inventory_from", "staff_from")
+        for name, rows in facts.items()
+    }
+
+
+def _reload_payment_sql(rows: str) -> str:
+    return f"""SELECT payment_id, amount, CAST(strftime(payment_date, '%Y%m%d') AS INT) AS payment_date_fk,
+      inventory_id, staff_id, {sql_text('inventory_from')} AS inventory_from,
+      {sql_text('staff_from')} AS staff_from FROM {rows}"""
+
+
+@register("full_reload_payment", with_(_reload_payment_sql("x"), **_STAR, **_OPEN, x="""
+    SELECT p.*, di.effective_date_from AS inventory_from, ds.effective_date_from AS staff_from
+    FROM pa p JOIN od di USING (inventory_id) JOIN os ds USING (staff_id)"""))
+def full_reload_payment(spark, sf_dir):
+    """All payment facts built again on the open dimension versions."""
+    return _reloaded(spark, sf_dir, False)["payment"]
+
+
+@register("fact_payment_asof", with_(_reload_payment_sql("x"), **_STAR, **_OPEN,
+    x=_asof("pa", "di2", "ds2", "payment_date")))
+def fact_payment_asof(spark, sf_dir):
+    """All payment facts built again on the versions valid at the payment date."""
+    return _reloaded(spark, sf_dir, True)["payment"]
+
+
+@register("fact_rental_asof", with_(f"""
+SELECT x.rental_id, CAST(strftime(rental_date, '%Y%m%d') AS INT) AS rental_date_fk,
+  CAST(strftime(return_date, '%Y%m%d') AS INT) AS return_date_fk, coalesce(cnt, 1) AS cnt,
+  CAST(paid.amount AS DECIMAL(18,2)) AS amount, inventory_id, staff_id,
+  {sql_text('inventory_from')} AS inventory_from, {sql_text('staff_from')} AS staff_from
+FROM x LEFT JOIN paid USING (rental_id)""", **_STAR, **_OPEN,
+    x=_asof("r2", "di2", "ds2", "rental_date")))
+def fact_rental_asof(spark, sf_dir):
+    """All rental facts built again on the versions valid at the rental date."""
+    return _reloaded(spark, sf_dir, True)["rental"]

@@ -233,10 +233,11 @@ def random_versions(spark, rnd, keys, most):
               "effective_date_to timestamp_ntz, is_active boolean")
 
 
-@pytest.mark.parametrize("slice_seconds", [3600, 86400, 90 * 86400])
-def test_dense_lookup_is_the_plain_one(spark, slice_seconds):
-    rnd = random.Random(slice_seconds)
+@pytest.mark.parametrize("per_slice", [1, 8, 1000])
+def test_dense_lookup_is_the_plain_one(spark, per_slice):
+    rnd = random.Random(per_slice)
     versions, dim = random_versions(spark, rnd, 12, 300)
+    # key 0 holds two thirds of the facts; keys 12 and 13 have no version
     facts = [(i, rnd.choice([0, 0, rnd.randrange(14)]),
               datetime(2019, 12, 1) + timedelta(minutes=rnd.randrange(60 * 24 * 500)))
              for i in range(3000)]
@@ -249,9 +250,13 @@ def test_dense_lookup_is_the_plain_one(spark, slice_seconds):
                   if v[2] <= at < v[3])
     args = ({"id": "id"}, "at", {"name": "name"})
     plain = L.asof_lookup(fact, dim, *args).select("f", "id", "name")
-    dense = L.asof_lookup_dense(fact, dim, *args, dense_from=50, slice_seconds=slice_seconds)
+    dense = L.asof_lookup_dense(fact, dim, *args, per_slice=per_slice)
     assert sorted(tuple(r) for r in plain.collect()) == want
     assert sorted(tuple(r) for r in dense.select("f", "id", "name").collect()) == want
+    left = L.asof_lookup_dense(fact, dim, *args, how="left", per_slice=per_slice).select("f", "id", "name")
+    found = {f for f, *_ in want}
+    missing = [(f, k, None) for f, k, _ in facts if f not in found]
+    assert sorted((tuple(r) for r in left.collect()), key=repr) == sorted(want + missing, key=repr)
 
 
 def test_closed_interval_matches_both_sides_of_a_boundary(spark, frame):

@@ -109,43 +109,39 @@ def test_versions_keep_rows_closed_earlier(spark, tmp_path, values):
     back = store.read("dds.x")
     assert values(back) == [(1, False), (2, False), (3, True)]
     plan = back._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [((load" in plan
+    assert "PartitionFilters: [isnotnull(load" in plan
 
 
-def test_block_table_rewrites_only_touched_blocks(spark, tmp_path):
+def test_nothing_shows_before_the_commit(spark, tmp_path):
+    """A load that fails between two tables, first or later, leaves the state before it."""
     store = TableStore(spark, str(tmp_path))
-    rows = spark.range(1000).select(F.col("id"), F.lit("a").alias("v"))
-    first = StoreSink(store, "1", T1, ids_per_block=100)
-    first.upsert("ods.t", rows, "id")
-    first.commit()
-    blocks = tmp_path / "ods" / "t" / "blocks"
-    files = {p: p.stat().st_mtime_ns for p in blocks.rglob("*.parquet")}
-    delta = spark.createDataFrame([(5, "b"), (450, "b"), (1001, "b")], "id long, v string")
-    for _ in range(2):  # the second run of the same load changes nothing
-        sink = StoreSink(store, "2", T2, ids_per_block=100)
-        got = sink.upsert("ods.t", delta, "id")
-        assert (got.count(), got.filter("v = 'b'").count()) == (1001, 3)
-        assert got.groupBy("id").count().filter("count > 1").isEmpty()
-    kept = {p.parent.name for p, m in files.items() if p.exists() and p.stat().st_mtime_ns == m}
-    assert kept == {f"id_block={i}" for i in (1, 2, 3, 5, 6, 7, 8, 9)}
-    sink.commit()
-    assert StoreSink(store, "3", "2022-04-01").upsert("ods.t", delta.limit(0), "id").count() == 1001
-
-
-def test_repeated_block_load_does_not_build_again(spark, tmp_path):
-    """The copy may fail after the new content was prepared; building twice would be wrong."""
-    store = TableStore(spark, str(tmp_path))
-    first = StoreSink(store, "1", T1, ids_per_block=10)
-    first.upsert("core.f", spark.range(20).withColumn("n", F.lit(0)), "id")
+    rows = spark.range(20).withColumn("is_active", F.lit(True))
+    failed = StoreSink(store, "1", T1)
+    failed.upsert("ods.t", rows, "id")  # and then it dies
+    assert store.read("ods.t") is None
+    first = StoreSink(store, "1", T1)
+    first.upsert("ods.t", rows.limit(5), "id")
+    first.versions("core.f", rows.limit(5), "is_active")
     first.commit()
-    delta = spark.range(3)
+    assert (store.read("ods.t").count(), store.read("core.f").count()) == (5, 5)
+    later = StoreSink(store, "2", T2)
+    later.upsert("ods.t", rows, "id")
+    later.versions("core.f", rows, "is_active")
+    assert (store.read("ods.t").count(), store.read("core.f").count()) == (5, 5)
+    again = StoreSink(store, "2", T2)
+    assert (again.get("ods.t").count(), again.get("core.f").count()) == (5, 5)
+    assert again.upsert("ods.t", rows.limit(8), "id").count() == 8
 
-    def add_one(present):
-        return present.withColumn("n", F.when(F.col("id") < 3, F.col("n") + 1).otherwise(0))
 
-    for _ in range(3):
-        got = StoreSink(store, "2", T2, ids_per_block=10).rebuild("core.f", delta, "id", add_one)
-        assert (got.count(), got.agg(F.sum("n")).first()[0]) == (20, 3)
+def test_marks_come_from_the_log(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path))
+    assert StoreSink(store, "1", T1).mark("staging.t") == t("1900-01-01")
+    first = StoreSink(store, "1", T1)
+    first.put("staging.t", spark.range(3))
+    first.commit()
+    assert StoreSink(store, "2", T2).mark("staging.t") == t(T1)
+    assert StoreSink(store, "1", T1).mark("staging.t") == t("1900-01-01")  # a repeated load
+    assert StoreSink(store, "2", T2).mark("staging.other") == t("1900-01-01")
 
 
 # --- whole loads ------------------------------------------------------------------
@@ -155,7 +151,7 @@ def test_repeated_block_load_does_not_build_again(spark, tmp_path):
 def sinks(spark, tmp_path):
     """Makes the sink of each load in turn."""
     store = TableStore(spark, str(tmp_path))
-    return lambda load_id, load_ts: StoreSink(store, load_id, load_ts, ids_per_block=100)
+    return lambda load_id, load_ts: StoreSink(store, load_id, load_ts)
 
 
 def test_layered_load(spark, sinks, values):
@@ -167,7 +163,7 @@ def test_layered_load(spark, sinks, values):
         (1, "STAR TURN", pytest.approx(6.99)), (2, "RED DAWN", 1.0)]
 
     second = layered.load(
-        tables(spark, changed()), sinks("2", T2), T2, "2021-01-01", 800, previous_load=T1)
+        tables(spark, changed()), sinks("2", T2), T2, "2021-01-01", 800)
     film = second["dds.film"]
     assert values(film, "film_id", "title", "date_effective_from", "date_effective_to",
                   "is_active") == sorted([
@@ -180,7 +176,7 @@ def test_layered_load(spark, sinks, values):
     assert second["dds.payment"].count() == 4
 
     third = layered.load(
-        tables(spark, changed()), sinks("3", "2022-04-01"), "2022-04-01", "2021-01-01", 800, previous_load=T2)
+        tables(spark, changed()), sinks("3", "2022-04-01"), "2022-04-01", "2021-01-01", 800)
     for name in ("dds.film", "dds.city", "dds.inventory", "dds.payment", "dds.rental",
                  "report.sales_by_film"):
         assert values(third[name]) == values(second[name])  # nothing new
@@ -194,7 +190,7 @@ def test_star_load(spark, sinks, values):
     keys = values(first["fact_payment"], "payment_pk", "payment_id", "inventory_fk", "staff_fk")
     assert keys == [(1, 1001, 1, 1), (2, 1002, 2, 2), (3, 1003, 3, 1)]
 
-    second = star.load(tables(spark, changed()), sinks("2", T2), days, T2, previous_load=T1)
+    second = star.load(tables(spark, changed()), sinks("2", T2), days, T2)
     disks = values(second["dim_inventory"], "inventory_id", "title", "effective_date_from",
                    "effective_date_to", "is_active")
     assert disks == sorted([
@@ -230,6 +226,59 @@ def test_star_load(spark, sinks, values):
         assert checks.orphan_keys(second["fact_payment"], column, second[dim], pk).isEmpty()
 
 
+def test_star_load_closes_what_no_lookup_finds(spark, sinks, values):
+    """A deletion or change ends the old fact or version though its disk, film or day is gone."""
+    days = calendar_dim(spark, "2021-01-01", 800)
+    star.load(tables(spark, base()), sinks("1", T1), days, T1)
+    gone, at = t("2022-02-10"), t("2022-02-15")
+    rows = base()
+    rows["inventory"][0] = (11, 1, 1, t("2021-12-01"), gone)  # disk 11 closed before what follows
+    rows["inventory"][1] = (12, 9, 1, t("2021-12-01"), at)  # deleted, and its film is unknown
+    rows["inventory"][2] = (21, 9, 2, at, None)  # changed to a film that is unknown
+    rows["staff"][1] = (*rows["staff"][1][:5], 9, *rows["staff"][1][6:9], at, None, None)  # no such store
+    rows["payment"][0] = (*rows["payment"][0][:6], at, at)  # deleted
+    rows["payment"][2] = (*rows["payment"][2][:4], Decimal("7.00"), t("1950-01-01"), at, None)  # day unknown
+    rows["rental"][0] = (101, t("2021-12-10"), 11, 1, at, 2, at, None)  # other staff, disk closed
+    rows["rental"][2] = (103, t("1950-01-01"), 12, 1, None, 1, t("2022-02-11"), None)  # day unknown
+    done = star.load(tables(spark, rows), sinks("2", T2), days, T2)
+    assert values(done["dim_inventory"], "inventory_id", "effective_date_to", "is_active") == sorted([
+        (11, "2022-02-10", False), (12, "2022-02-15", False), (21, "2022-02-15", False)], key=repr)
+    assert values(done["dim_staff"], "staff_id", "effective_date_to", "is_active") == sorted([
+        (1, "9999-01-01", True), (2, "2022-02-15", False)], key=repr)
+    assert values(done["fact_payment"], "payment_id", "effective_date_to", "is_active") == sorted([
+        (1001, "2022-02-15", False), (1002, "9999-01-01", True), (1003, "2022-02-15", False)], key=repr)
+    assert values(done["fact_rental"], "rental_id", "rental_date_fk", "effective_date_to", "is_active") == sorted([
+        (101, 20211210, "2022-02-15", False),
+        (102, 20211211, "9999-01-01", True),
+        (103, 20211212, "2022-02-11", False),
+        (103, None, "9999-01-01", True)], key=repr)  # after a change the day may be missing
+    assert ("disks", 1, 1) in values(done["dropped"])
+    # a third load takes only what is new
+    rows["payment"].append((1005, 1, 1, 102, Decimal("3.00"), t("2022-03-10"), t("2022-03-10"), None))
+    third = star.load(tables(spark, rows), sinks("3", "2022-04-01"), days, "2022-04-01")
+    assert values(third["payment"], "payment_id") == [(1005,)]
+
+
+def test_duplicate_source_key_opens_one_version(spark, sinks):
+    rows = base()
+    rows["city"].append((1, "Oslo again", 7, t("2021-12-05")))
+    done = layered.load(tables(spark, rows), sinks("1", T1), T1, "2021-01-01", 800)
+    open_ = done["dds.city"].filter("is_active")
+    assert checks.duplicate_keys(open_, ["city_id"]).isEmpty()
+
+
+def test_full_reload(spark, sinks, values):
+    days = calendar_dim(spark, "2021-01-01", 800)
+    star.load(tables(spark, base()), sinks("1", T1), days, T1)
+    star.load(tables(spark, changed()), sinks("2", T2), days, T2)
+    now = star.full_reload(tables(spark, changed()), sinks("3", "2022-04-01"), days)
+    then = star.full_reload(tables(spark, changed()), sinks("4", "2022-05-01"), days, as_of_event=True)
+    # disk 21 is closed now, but was open on the day of its payment
+    assert values(now["payment"], "payment_id") == [(1001,), (1002,), (1004,)]
+    assert values(then["payment"], "payment_id") == [(1001,), (1002,), (1003,), (1004,)]
+    assert values(then["rental"], "rental_id", "cnt") == [(101, 1), (102, 1), (103, 1), (104, 1)]
+
+
 def test_vault_load(spark, sinks, values):
     first = vault.load(tables(spark, base()), sinks("1", T1), T1, "rentals")
     assert len(first) == 8 + 9 + 22

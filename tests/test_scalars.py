@@ -98,3 +98,39 @@ def test_calendar_against_python(spark):
 def test_small_calendar_takes_month_names(spark):
     row = calendar_small(spark, "2005-01-01", 1, MONTHS_RU).first()
     assert tuple(row) == (20050101, date(2005, 1, 1), 1, "Января", 2005)
+
+
+def test_row_hash_sees_microseconds(spark):
+    stamps = [F.lit(f"2020-01-01 00:00:00.00000{i}").cast(kind) for kind in ("timestamp_ntz", "timestamp") for i in (1, 2)]
+    hashes = [value(spark, row_hash([s.alias("at")])) for s in stamps]
+    assert hashes[0] != hashes[1] and hashes[2] != hashes[3]
+
+
+def test_titles_with_a_missing_month(spark):
+    from layerforge.functions.dates import day_title, day_title_or_null
+
+    parts = (F.lit(1), F.lit(None).cast("string"), F.lit(2022))
+    assert value(spark, day_title(*parts)) == "1  2022"
+    assert value(spark, day_title_or_null(*parts)) is None
+    whole = (F.lit(1), F.lit("May"), F.lit(2022))
+    assert value(spark, day_title(*whole)) == value(spark, day_title_or_null(*whole)) == "1 May 2022"
+
+
+def test_one_hub_row_for_one_hash_key(spark, values):
+    from layerforge.operators import vault as V
+
+    rows = spark.createDataFrame([("a", 1), ("A", 1), (" a", 2), ("b", None), (None, 3)], "k string, n int")
+    hub = V.load_hub(rows, "k", "hk", "2020-01-01", "x")
+    assert values(hub, "k") == [(" a",), ("b",)]
+    link = V.load_link(rows, {"h1": "k", "h2": "n"}, "lk", "2020-01-01", "x")
+    assert link.count() == 2  # (a, 1) and (a, 2); a missing reference links nothing
+    assert link.filter("h1 IS NULL OR h2 IS NULL").isEmpty()
+    swapped = spark.createDataFrame([(1, None), (None, 1)], "a int, b int")
+    assert V.load_link(swapped, {"h1": "a", "h2": "b"}, "lk", "2020-01-01", "x").isEmpty()
+
+
+def test_picks_reach_the_whole_range(spark):
+    from layerforge.operators.synthetic import pick
+
+    got = [r[0] for r in spark.range(2000).select(pick(F.col("id"), "s", 1, 10**12)).collect()]
+    assert min(got) >= 1 and 10**11 * 9 < max(got) <= 10**12

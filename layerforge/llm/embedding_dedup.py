@@ -7,8 +7,8 @@ each shard a flat graph is built: nearest candidates and some random ones,
 pruned so that an edge is left out when a kept neighbour leads there as well
 (Vamana's rule), with edges back. The adjacency lists of a node from all its
 shards are united. Then every node is a query: a greedy search starts at medoids
-of its shard, and once it has reached the range it expands every node in range
-until no new one turns up. Pairs are verified in double precision; a pair that
+of its shard, and once it has reached the range it expands every node in or near
+it until no new one turns up. Pairs are verified in double precision; a pair that
 two shards share counts in the first of them only. Of the pairs only counts and
 the links of a spanning forest leave a task.
 
@@ -30,23 +30,24 @@ from layerforge.llm.common import partitions_for, register, staged, table
 from layerforge.llm.components import components
 
 MIN_COSINE = 0.98
-CLUSTER = 1000  # nodes that a cluster is meant to hold
+CLUSTER = 250  # nodes that a cluster is meant to hold
 MAX_CENTERS = 4096  # centers of all labels together; they are broadcast
 SAMPLE_PER_CENTER = 32  # nodes that centers are fitted on
-SHARD = 2000  # nodes of a shard at most (two blocks)
-DEGREE, NEAREST, RANDOM = 24, 48, 8
+SHARD = 1000  # nodes of a shard; a larger cluster is cut into blocks of half a shard
+DEGREE, NEAREST, RANDOM, FORCED = 24, 48, 8, 4
 ALPHA = 1.2
-BEAM, MEDOIDS = 32, 8
+BEAM, MEDOIDS = 32, 24
+MARGIN = 0.02  # below the range by which nodes are still expanded
 OVERLAP = 2
 AUDIT_QUERIES = 128
-TARGET_RECALL = 0.95
+TARGET_RECALL = 0.98
 _SLACK = 1e-4  # single-precision search, double-precision verdict
 
 
 # --- one shard, in numpy ------------------------------------------------------
 
 def robust_graph(x: np.ndarray, seed: int = 0) -> np.ndarray:
-    """Neighbours of each unit row of ``x``, padded with -1: shape (n, 2 * DEGREE)."""
+    """Neighbours of each unit row of ``x``, padded with -1; every row can be reached from the medoids."""
     n = len(x)
     if n < 2:
         return np.full((n, 2 * DEGREE), -1)
@@ -64,17 +65,57 @@ def robust_graph(x: np.ndarray, seed: int = 0) -> np.ndarray:
         order = np.argsort(dist, axis=1, kind="stable")
         lists.append(_pruned(x, q, np.take_along_axis(cand, order, axis=1), np.take_along_axis(dist, order, axis=1)))
     out = np.concatenate(lists)
-    # edges back, as far as there is room; the rest of the room stays empty
-    full = np.full((n, 2 * DEGREE), -1)
-    full[:, :DEGREE] = out
+    # edges back: always from the nearest FORCED neighbours, from others as far as there is room
     src, slot = np.nonzero(out >= 0)
     dst = out[src, slot]
-    order = np.argsort(dst, kind="stable")
-    src, dst = src[order], dst[order]
+    order = np.lexsort((src, slot, dst))
+    src, dst, slot = src[order], dst[order], slot[order]
+    place = np.arange(len(dst)) - np.searchsorted(dst, dst)
+    kept = (place < DEGREE) | (slot < FORCED)
+    src, dst = src[kept], dst[kept]
     place = np.arange(len(dst)) - np.searchsorted(dst, dst)
-    room = place < DEGREE
-    full[dst[room], DEGREE + place[room]] = src[room]
-    return full
+    full = np.full((n, DEGREE + (place.max() + 1 if len(place) else 0)), -1)
+    full[:, :DEGREE] = out
+    full[dst, DEGREE + place] = src
+    return _reachable(x, full)
+
+
+def _reachable(x: np.ndarray, graph: np.ndarray) -> np.ndarray:
+    """The graph with an edge from the nearest reached node to every node that medoids do not reach."""
+    n = len(x)
+    reached = np.zeros(n, bool)
+
+    def spread(front: np.ndarray) -> np.ndarray:
+        found = []
+        while len(front):
+            reached[front] = True
+            found.append(front)
+            near = np.unique(graph[front])
+            near = near[near >= 0]
+            front = near[~reached[near]]
+        return np.concatenate(found)
+
+    spread(medoids(x))
+    best, source = np.full(n, -np.inf, np.float32), np.full(n, -1)
+    new = np.flatnonzero(reached)
+    more: dict[int, list[int]] = {}
+    while not reached.all():
+        left = np.flatnonzero(~reached)
+        for at in range(0, len(new), 512):
+            sim = x[left] @ x[new[at : at + 512]].T
+            top = sim.argmax(axis=1)
+            value = sim[np.arange(len(left)), top]
+            better = value > best[left]
+            best[left[better]], source[left[better]] = value[better], new[at + top[better]]
+        node = int(left[best[left].argmax()])
+        more.setdefault(int(source[node]), []).append(node)
+        new = spread(np.array([node]))
+    if not more:
+        return graph
+    wide = np.full((n, max(map(len, more.values()))), -1)
+    for node, to in more.items():
+        wide[node, : len(to)] = to
+    return np.concatenate([graph, wide], axis=1)
 
 
 def _pruned(x: np.ndarray, q: np.ndarray, cand: np.ndarray, dist: np.ndarray) -> np.ndarray:
@@ -98,20 +139,15 @@ def _pruned(x: np.ndarray, q: np.ndarray, cand: np.ndarray, dist: np.ndarray) ->
 
 
 def medoids(x: np.ndarray, count: int = MEDOIDS) -> np.ndarray:
-    """The row nearest to the mean, then rows far from those chosen."""
-    first = int((x @ x.mean(axis=0)).argmax())
-    chosen, best = [first], x @ x[first]
-    while len(chosen) < min(count, len(x)):
-        nxt = int(best.argmin())
-        chosen.append(nxt)
-        best = np.maximum(best, x @ x[nxt])
-    return np.array(chosen)
+    """The row nearest to the mean of each of ``count`` interleaved parts: dense regions have theirs."""
+    parts = [np.arange(i, len(x), count) for i in range(min(count, len(x)))]
+    return np.unique([p[(x[p] @ x[p].mean(axis=0)).argmax()] for p in parts])
 
 
 def range_search(x: np.ndarray, graph: np.ndarray, least: float, beam: int) -> np.ndarray:
     """Boolean matrix: which rows each row finds at cosine ``least`` or more. All queries in step."""
     n = len(x)
-    seen, expanded, hit = (np.zeros((n, n), bool) for _ in range(3))
+    seen, expanded, hit, close = (np.zeros((n, n), bool) for _ in range(4))
     starts = medoids(x)
     width = max(beam, len(starts))
     ids = np.full((n, width), -1)
@@ -121,6 +157,7 @@ def range_search(x: np.ndarray, graph: np.ndarray, least: float, beam: int) -> n
     seen[:, starts] = True
     q = np.arange(n)
     hit[:, starts] = sims[:, : len(starts)] >= least
+    close[:, starts] = sims[:, : len(starts)] >= least - MARGIN
     while len(q):
         open_ = np.isfinite(sims[q]) & ~expanded[q[:, None], np.maximum(ids[q], 0)]
         best = np.where(open_, sims[q], -np.inf)
@@ -136,6 +173,7 @@ def range_search(x: np.ndarray, graph: np.ndarray, least: float, beam: int) -> n
             continue
         sim = np.einsum("ij,ij->i", x[new_q], x[new])
         hit[new_q, new] = sim >= least
+        close[new_q, new] = sim >= least - MARGIN
         # merge the new ones into the beams
         order = np.argsort(new_q, kind="stable")
         new_q, new, sim = new_q[order], new[order], sim[order]
@@ -151,16 +189,18 @@ def range_search(x: np.ndarray, graph: np.ndarray, least: float, beam: int) -> n
         keep = np.argsort(-all_sims, axis=1, kind="stable")[:, :width]
         ids[touched] = np.take_along_axis(all_ids, keep, axis=1)
         sims[touched] = np.take_along_axis(all_sims, keep, axis=1)
-    # the range expands: every node in range is expanded, whatever the beam
+    # the range expands: every node in or near the range is expanded, whatever the beam
     while True:
-        qs, nodes = np.nonzero(hit & ~expanded)
+        qs, nodes = np.nonzero(close & ~expanded)
         if not len(qs):
             return hit
         expanded[qs, nodes] = True
         for at in range(0, len(qs), 50_000):
             new_q, new = _neighbours(graph, qs[at : at + 50_000], nodes[at : at + 50_000], seen)
             if len(new):
-                hit[new_q, new] = np.einsum("ij,ij->i", x[new_q], x[new]) >= least
+                sim = np.einsum("ij,ij->i", x[new_q], x[new])
+                hit[new_q, new] = sim >= least
+                close[new_q, new] = sim >= least - MARGIN
 
 
 def _neighbours(graph: np.ndarray, q: np.ndarray, node: np.ndarray, seen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -82,13 +82,17 @@ def fit(rows: np.ndarray, labels: list[str], landmarks: int = LANDMARKS, ridge:
     if not languages:
         return Model([], np.zeros((CELLS, 0), np.float32))
     code = np.array([languages.index(x) for x in labels])
-    x = rows.astype(np.float32) / _norm(rows)[:, None]
     rank = np.zeros(len(code), int)
     for c in range(len(languages)):
         rank[code == c] = np.arange((code == c).sum())
     chosen = np.lexsort((code, rank))[:landmarks]
-    marks = x[chosen]
-    k_nm = (x @ marks.T).astype(np.float64)
+
+    def unit(part: np.ndarray) -> np.ndarray:
+        return part.astype(np.float32) / _norm(part)[:, None]
+
+    marks = unit(rows[chosen])
+    # in blocks: as numbers, the presence rows take 32 times their bits
+    k_nm = np.concatenate([unit(rows[a : a + 128]) @ marks.T for a in range(0, len(rows), 128)]).astype(np.float64)
     k_mm = k_nm[chosen]
     y = np.where(code[:, None] == np.arange(len(languages)), 1.0, -1.0)
     # languages with few texts weigh as much as those with many

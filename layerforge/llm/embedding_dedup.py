@@ -41,6 +41,7 @@ MARGIN = 0.02  # below the range by which nodes are still expanded
 OVERLAP = 2
 AUDIT_QUERIES = 128
 TARGET_RECALL = 0.98
+AT_ONCE = 1 << 19  # graph entries that are gathered at once
 _SLACK = 1e-4  # single-precision search, double-precision verdict
 
 
@@ -54,8 +55,8 @@ def robust_graph(x: np.ndarray, seed: int = 0) -> np.ndarray:
     rng = np.random.default_rng(seed)
     near = min(NEAREST, n - 1)
     lists = []
-    for at in range(0, n, 512):
-        q = np.arange(at, min(at + 512, n))
+    for at in range(0, n, 128):
+        q = np.arange(at, min(at + 128, n))
         sim = x[q] @ x.T
         sim[np.arange(len(q)), q] = -np.inf
         top = np.argpartition(-sim, near - 1, axis=1)[:, :near]
@@ -171,7 +172,7 @@ def range_search(x: np.ndarray, graph: np.ndarray, least: float, beam: int) -> n
         new_q, new = _neighbours(graph, q, node, seen)
         if not len(new):
             continue
-        sim = np.einsum("ij,ij->i", x[new_q], x[new])
+        sim = _cosines(x, new_q, new)
         hit[new_q, new] = sim >= least
         close[new_q, new] = sim >= least - MARGIN
         # merge the new ones into the beams
@@ -195,14 +196,23 @@ def range_search(x: np.ndarray, graph: np.ndarray, least: float, beam: int) -> n
         if not len(qs):
             return hit
         expanded[qs, nodes] = True
-        for at in range(0, len(qs), 50_000):
-            new_q, new = _neighbours(graph, qs[at : at + 50_000], nodes[at : at + 50_000], seen)
+        step = max(1, AT_ONCE // graph.shape[1])
+        for at in range(0, len(qs), step):
+            new_q, new = _neighbours(graph, qs[at : at + step], nodes[at : at + step], seen)
             if len(new):
-                sim = np.einsum("ij,ij->i", x[new_q], x[new])
+                sim = _cosines(x, new_q, new)
                 hit[new_q, new] = sim >= least
                 close[new_q, new] = sim >= least - MARGIN
 
 
+def _cosines(x: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Products of rows a and b, some at once: the gathered rows are the memory of a search."""
+    step = max(1, 8 * AT_ONCE // x.shape[1])
+    return np.concatenate([
+        np.einsum("ij,ij->i", x[a[i : i + step]], x[b[i : i + step]]) for i in range(0, len(a), step)
+    ])
+
+
 def _neighbours(graph: np.ndarray, q: np.ndarray, node: np.ndarray, seen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(query, neighbour) not seen before, each once; marks them as seen."""
     near = graph[node]
@@ -240,9 +250,8 @@ def _shard_links(pdf: pd.DataFrame, beam: int, least: float) -> pd.DataFrame:
     hit |= hit.T
     np.fill_diagonal(hit, False)
     a, b = np.nonzero(np.triu(hit))
-    for part in range(0, len(a), 1 << 18):
-        s = slice(part, part + (1 << 18))
-        hit[a[s], b[s]] = np.einsum("ij,ij->i", exact[a[s]], exact[b[s]]) >= least
+    if len(a):
+        hit[a, b] = _cosines(exact, a, b) >= least
     hit = np.triu(hit)
     # the pair counts in the first shard that both are in
     kinds: dict[tuple, int] = {}

@@ -95,6 +95,14 @@ def marked_ids(rows: DataFrame, ids: DataFrame, id_col: str = "id") -> DataFrame
     return rows.withColumn("_cell", cell(id_col)).mapInArrow(keep, rows.schema)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores before it until no column is called so."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def lower_ascii(text: str | Column) -> Column:
     """A-Z to a-z; every other character stays."""
     c = F.col(text) if isinstance(text, str) else text

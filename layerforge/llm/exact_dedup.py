@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from layerforge.llm.common import lower_ascii, partitions_for, register, staged, table
+from layerforge.llm.common import free_name, lower_ascii, partitions_for, register, staged, table
 
 KEYS_PER_SHARD = 50_000  # keys of one filter
 FILTER_SCHEMA = "shard long, seed long, segment long, segments long, cells binary"
@@ -197,12 +197,13 @@ def without_copies(docs: DataFrame) -> DataFrame:
     Of equal rows with one id, one stays.
     """
     found = exact_dedup(docs, batch=halves(docs))
-    keyed = docs.withColumn("_sha", F.sha2(lower_ascii(F.coalesce("text", F.lit(""))), 256))
+    sha = free_name(docs, "sha")
+    keyed = docs.withColumn(sha, F.sha2(lower_ascii(F.coalesce("text", F.lit(""))), 256))
     again = found.where("kept").groupBy("doc_id", "text_sha256").agg(F.count("*").alias("n")).where("n > 1")
     if not again.isEmpty():
-        keyed = keyed.dropDuplicates(["doc_id", "_sha"])
-    gone = found.where(~F.col("kept") & F.col("doc_id").isNotNull()).select("doc_id", F.col("text_sha256").alias("_sha"))
-    return keyed.join(gone, ["doc_id", "_sha"], "left_anti").select(*docs.columns)
+        keyed = keyed.dropDuplicates(["doc_id", sha])
+    gone = found.where(~F.col("kept") & F.col("doc_id").isNotNull()).select("doc_id", F.col("text_sha256").alias(sha))
+    return keyed.join(gone, ["doc_id", sha], "left_anti").select(*docs.columns)
 
 
 @register(

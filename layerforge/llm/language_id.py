@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from layerforge.llm.common import register, table, with_fields
+from layerforge.llm.common import free_name, register, table, with_fields
 
 CELLS = 1 << 15
 ORDERS = 4
@@ -202,8 +202,9 @@ def identify(
 def accepted(docs: DataFrame) -> DataFrame:
     """Rows whose language is known: a letter in the text and a score of REJECT_BELOW or more."""
     model = train(docs, ~held_out())
-    found = identify(docs, model, lang_out="_lang_pred", score_out="_lang_score")
-    known = (F.col("_lang_pred") != UNKNOWN) & (F.col("_lang_score") >= REJECT_BELOW)
+    guess, sure = free_name(docs, "lang_pred"), free_name(docs, "score")
+    found = identify(docs, model, lang_out=guess, score_out=sure)
+    known = (F.col(guess) != UNKNOWN) & (F.col(sure) >= REJECT_BELOW)
     return found.where(known).select(*docs.columns)
 
 

@@ -10,8 +10,8 @@ for what a random string of that encoding does and a word-like one does not:
 
 * chi-squared uniformity over the alphabet: how likely word-like text, whose
   symbols coincide at WORD_COINCIDENCE, comes out as even as this;
-* runs: how likely text that changes between capitals, small letters, digits and
-  signs at WORD_CHANGES comes out with as many runs;
+* runs: how likely text whose pieces (words with or without a capital, capitals,
+  digits, signs) end at WORD_CHANGES comes out with as many;
 * serial correlation of neighbouring symbols, which a random string must pass.
 
 The first two give one p-value (Stouffer). Expected values and spreads follow
@@ -27,7 +27,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from layerforge.llm.common import register, table
+from layerforge.llm.common import free_name, register, table
 
 # Kinds in the order of ties, their patterns and least lengths.
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -38,7 +38,7 @@ KINDS = ["assign", "access", "hex", "random"]
 
 CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
 WORD_COINCIDENCE = 0.065  # chance that two letters of a European language agree
-WORD_CHANGES = 0.2  # chance that word-like tokens change their kind of symbol
+WORD_CHANGES = 0.25  # chance that the next symbol of a word-like token starts another piece
 RATE = 0.01
 LENGTH_CLASSES = [20, 28, 40, 64]  # least lengths
 SERIAL_LIMIT = 2.58  # two-sided, one in a hundred
@@ -172,7 +172,7 @@ def score(found: Column, symbols: Column) -> Column:
                     F.array_distinct(chars), zero,
                     lambda acc, c: acc + F.pow(F.char_length(body) - F.char_length(F.replace(body, c, F.lit(""))), F.lit(2.0)),
                 ).alias("squares"),
-                F.size(F.regexp_extract_all(body, F.lit("[A-Z]+|[a-z]+|[0-9]+|[^A-Za-z0-9]+"), F.lit(0)))
+                F.size(F.regexp_extract_all(body, F.lit("[A-Z]?[a-z]+|[A-Z]+|[0-9]+|[^A-Za-z0-9]+"), F.lit(0)))
                 .cast("double").alias("runs"),
                 F.aggregate(at, zero, lambda acc, x: acc + x).alias("sum"),
                 F.aggregate(at, zero, lambda acc, x: acc + x * x).alias("sum2"),
@@ -305,9 +305,10 @@ def masked(text: Column, spans: Column) -> Column:
 
 def without_secrets(docs: DataFrame) -> DataFrame:
     """``docs`` with secrets masked in text; n_chars follows. Rows without any are as before."""
-    found = scan(docs, spans_col="_spans")
-    hit = F.size("_spans") > 0
-    text = F.when(hit, masked(F.col("text"), F.col("_spans"))).otherwise(F.col("text"))
+    spans = free_name(docs, "spans")
+    found = scan(docs, spans_col=spans)
+    hit = F.size(spans) > 0
+    text = F.when(hit, masked(F.col("text"), F.col(spans))).otherwise(F.col("text"))
     out = found.withColumn("text", text)
     if "n_chars" in docs.columns:
         kind = dict(docs.dtypes)["n_chars"]

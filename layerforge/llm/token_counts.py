@@ -52,12 +52,12 @@ def measure(
     text = F.coalesce(F.col(text_col), F.lit(""))
     words = F.size(F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != ""))
     rows = docs.select(
-        *kept, F.octet_length(text).cast("long").alias("bytes"), words.cast("long").alias("_words"),
+        F.struct(*kept).alias("row"), F.octet_length(text).cast("long").alias("bytes"), words.cast("long").alias("_words"),
         F.col(text_col).alias("_text"),
     )
     counted = rows.mapInArrow(run, with_fields(rows.drop("_text"), _bpe="long"))
     return counted.select(
-        *kept, "bytes", F.create_map(F.lit(WORDS), "_words", F.lit(BPE), "_bpe").alias(count_col)
+        *(F.col("row")[c].alias(c) for c in kept), "bytes", F.create_map(F.lit(WORDS), "_words", F.lit(BPE), "_bpe").alias(count_col)
     )
 
 

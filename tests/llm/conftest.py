@@ -1,10 +1,14 @@
 """Small hostile inputs for the training-data operators."""
 
+import os
 import random
+import sys
 
 import pytest
 from pyspark.sql import types as T
 
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+
 # Names that operators use inside, to clash with.
 EXTRA = ["id", "n", "batch", "key", "norm", "spans", "h", "sha", "marks", "_id", "_text", "counts", "part", "shard"]
 
@@ -29,7 +33,7 @@ def docs(spark):
 
 
 @pytest.fixture
-def words():
+def tokens():
     """Repeatable invented text."""
     rnd = random.Random(5)
     bank = ["".join(rnd.choice("abcdefghijklmnoprstuvw") for _ in range(rnd.randint(2, 8))) for _ in range(400)]
@@ -40,11 +44,3 @@ def words():
 
     return make
 
-
-def near(tokens, edits, seed):
-    """A copy with some words replaced."""
-    r = random.Random(seed)
-    out = list(tokens)
-    for _ in range(edits):
-        out[r.randrange(len(out))] = f"edit{r.randrange(10**6)}"
-    return out

@@ -46,8 +46,8 @@ def test_the_plan_is_the_cheapest():
         assert at == cuts[-1] and cost == brute(cuts, penalties, 1024)
 
 
-def test_pieces_cover_every_document_once(docs, words):
-    rows = [(i, " ".join(words(random.Random(i).randint(0, 900), i)) + ". End!\n" * (i % 3)) for i in range(120)]
+def test_pieces_cover_every_document_once(docs, tokens):
+    rows = [(i, " ".join(tokens(random.Random(i).randint(0, 900), i)) + ". End!\n" * (i % 3)) for i in range(120)]
     rows += [(500, None), (501, ""), (502, "nostop " * 30_000), (503, "<|endoftext|>"), (504, "!" * 500),
              (505, "twice."), (505, "twice."), (None, "no id")]
     library = tokenizers.Tokenizer.from_file(vocabulary_path())

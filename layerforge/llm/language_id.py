@@ -33,7 +33,8 @@ RIDGE = 1e-3
 UNKNOWN = "und"
 REJECT_BELOW = 0.2
 _LETTER = re.compile(r"[^\W\d_]")
-_SLICE = 1 << 20  # characters that are hashed at once
+ROWS_AT_ONCE = 256
+_SLICE = 1 << 17  # characters that are hashed at once
 
 
 @dataclass(frozen=True)
@@ -189,12 +190,14 @@ def identify(
     kept = docs.drop(lang_out, score_out)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            names, scores = predict(shared.value, b.column(text_col).to_pylist())
-            yield pa.RecordBatch.from_arrays(
-                [*b.columns, pa.array(names, pa.string()), pa.array(scores, pa.float64())],
-                names=[*b.schema.names, lang_out, score_out],
-            )
+        for whole in batches:
+            for at in range(0, whole.num_rows, ROWS_AT_ONCE):
+                b = whole.slice(at, ROWS_AT_ONCE)
+                names, scores = predict(shared.value, b.column(text_col).to_pylist())
+                yield pa.RecordBatch.from_arrays(
+                    [*b.columns, pa.array(names, pa.string()), pa.array(scores, pa.float64())],
+                    names=[*b.schema.names, lang_out, score_out],
+                )
 
     return kept.mapInArrow(score, with_fields(kept, **{lang_out: "string", score_out: "double"}))
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import string
-import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -13,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from layerforge.session import checkpoint_dir
+from layerforge.session import shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -33,14 +32,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_folder(spark: SparkSession, label: str) -> str:
-    """A new folder name below the shared checkpoint folder; gone when the session's JVM ends."""
-    path = f"{checkpoint_dir(spark)}/llm-{label}-{uuid.uuid4().hex}"
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(where)
-    return path
-
-
 def staged(df: DataFrame, label: str) -> DataFrame:
     """``df`` written once to the shared folder and read back.
 
@@ -54,7 +45,7 @@ def staged(df: DataFrame, label: str) -> DataFrame:
 
 def with_fields(df: DataFrame, **added: str) -> T.StructType:
     """The schema of ``df`` with further fields, given as DDL types."""
-    return T.StructType([*df.schema.fields, *(T.StructField(n, T._parse_datatype_string(k)) for n, k in added.items())])
+    return T.StructType([*df.schema.fields, *(T.StructField(n, T.DataType.fromDDL(k)) for n, k in added.items())])
 
 
 ID_BITS = 23

@@ -13,7 +13,6 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from layerforge.llm.common import free_name, lower_ascii, partitions_for, register, staged, table
 

@@ -290,6 +290,37 @@ def substring_dedup(
     )
 
 
-@register("op4_suffix_array_dedup")
+@register(
+    "op4_suffix_array_dedup",
+    """
+    WITH d AS (
+        SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents
+    ), w AS (
+        SELECT doc_id, i, substr(x, 2 * i + 1, 100) AS s
+        FROM (SELECT doc_id, x, unnest(range(0, len(x) // 2 - 49)) AS i FROM d WHERE len(x) >= 100)
+    ), first AS (SELECT s, min(doc_id) AS doc_id FROM w GROUP BY s
+    ), gone AS (
+        SELECT w.doc_id, w.i FROM w JOIN first ON first.s = w.s AND first.doc_id < w.doc_id
+    ), marked AS (
+        SELECT doc_id, i, CASE WHEN i > lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 50 THEN 1 ELSE 0 END AS new
+        FROM gone
+    ), numbered AS (
+        SELECT doc_id, i, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS span FROM marked
+    ), spans AS (
+        SELECT doc_id, span, min(i) AS low, max(i) + 50 AS high FROM numbered GROUP BY 1, 2
+    ), gaps AS (
+        SELECT doc_id, low, coalesce(lag(high) OVER (PARTITION BY doc_id ORDER BY low), 0) AS start FROM spans
+        UNION ALL
+        SELECT doc_id, 9223372036854775807, max(high) FROM spans GROUP BY 1
+    ), kept AS (
+        SELECT gaps.doc_id, string_agg(substr(x, 2 * start + 1, CASE WHEN low > len(x) // 2 THEN len(x)
+            ELSE 2 * (low - start) END), '' ORDER BY low) AS x
+        FROM gaps JOIN d USING (doc_id) GROUP BY 1
+    ), sums AS (SELECT doc_id, sum(high - low) AS n_removed, count(*) AS n_spans FROM spans GROUP BY 1)
+    SELECT d.doc_id, CAST(len(d.x) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+        coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept.x, d.x))) AS kept_sha256
+    FROM d LEFT JOIN sums USING (doc_id) LEFT JOIN kept USING (doc_id)
+    """,
+)
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(table(spark, sf_dir, "documents"))

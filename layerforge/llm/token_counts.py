@@ -18,8 +18,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from layerforge.llm.bpe import vocabulary_path
-from layerforge.llm.common import register, shared_folder, staged, table, with_fields
+from layerforge.llm.common import register, staged, table, with_fields
 from layerforge.llm.packing import tokenizer
+from layerforge.session import shared_folder
 
 KEYS = ["source", "lang", "tokenizer"]
 SUMS = ["documents", "tokens", "bytes"]

@@ -10,6 +10,7 @@ from layerforge.operators import delta as D
 from layerforge.operators import history as H
 from layerforge.operators import lookup as L
 from layerforge.plans import star
+from layerforge.session import cut_lineage
 from layerforge.sources import standins as S
 from registered.base import (
     AFTER,
@@ -153,10 +154,15 @@ def scd2_returned(spark, sf_dir):
 STAFF = ["staff_id", "first_name", "last_name", "active"]
 
 
+def _written(df):
+    """A state or staged rows as a load finds them: written once, read as often as a merge needs."""
+    return cut_lineage(df)
+
+
 def _touched(spark, sf_dir, rows, key, columns):
     target = H.add_history_columns(rows(spark, sf_dir, BEFORE).select(*columns).limit(0))
-    state = H.scd2_merge(target, rows(spark, sf_dir, BEFORE), [key], star.TOUCHED, BEFORE)
-    staged = D.delta_scan(rows(spark, sf_dir, AFTER), BEFORE)
+    state = _written(H.scd2_merge(target, rows(spark, sf_dir, BEFORE), [key], star.TOUCHED, BEFORE))
+    staged = _written(D.delta_scan(rows(spark, sf_dir, AFTER), BEFORE))
     return H.scd2_merge(state, staged, [key], star.TOUCHED, AFTER)
 
 
@@ -228,8 +234,8 @@ def fact_scd2_payment(spark, sf_dir):
     """Units, date and rental make versions; disk and staff follow in place."""
     rows = S.payment(spark, sf_dir, BEFORE)
     target = H.add_history_columns(rows.select(*PAID).limit(0))
-    state = H.scd2_merge(target, rows, ["payment_id"], UNITS_RULE, BEFORE)
-    staged = D.delta_scan(S.payment(spark, sf_dir, AFTER), BEFORE)
+    state = _written(H.scd2_merge(target, rows, ["payment_id"], UNITS_RULE, BEFORE))
+    staged = _written(D.delta_scan(S.payment(spark, sf_dir, AFTER), BEFORE))
     state = H.scd2_merge(state, staged, ["payment_id"], UNITS_RULE, AFTER)
     return texts(versions(state, *PAID), "payment_date")
 
@@ -263,8 +269,8 @@ def fact_scd2_rental(spark, sf_dir):
     """A return date that arrives is filled in; other staged rows make versions."""
     rows = _rented(S.rental(spark, sf_dir, BEFORE))
     target = H.add_history_columns(rows.select(*RENTED).limit(0))
-    state = H.scd2_merge(target, rows, ["rental_id"], star.rental_rule(), BEFORE)
-    staged = _rented(D.delta_scan(S.rental(spark, sf_dir, AFTER), BEFORE))
+    state = _written(H.scd2_merge(target, rows, ["rental_id"], star.rental_rule(), BEFORE))
+    staged = _written(_rented(D.delta_scan(S.rental(spark, sf_dir, AFTER), BEFORE)))
     return versions(
         H.scd2_merge(state, staged, ["rental_id"], star.rental_rule(), AFTER), *RENTED
     )
@@ -330,13 +336,13 @@ def asof_dim_lookup(spark, sf_dir):
     rows = S.rental(spark, sf_dir, AFTER).select(
         "rental_id", "inventory_id", "staff_id", "last_update"
     )
-    disks = _touched(spark, sf_dir, S.inventory, "inventory_id", DISK)
-    people = _touched(spark, sf_dir, S.staff, "staff_id", STAFF)
+    disks = _written(_touched(spark, sf_dir, S.inventory, "inventory_id", DISK))
+    people = _written(_touched(spark, sf_dir, S.staff, "staff_id", STAFF))
     rows = L.asof_lookup(
         rows, disks, {"inventory_id": "inventory_id"}, "last_update",
         {"inventory_from": "effective_date_from", "store_id": "store_id"},
     )
-    rows = L.asof_lookup(
+    rows = L.asof_lookup_dense(
         rows, people, {"staff_id": "staff_id"}, "last_update",
         {"staff_from": "effective_date_from", "active": "active"},
     )

@@ -51,9 +51,17 @@ def with_fields(df: DataFrame, **added: str) -> T.StructType:
 ID_BITS = 23
 
 
-def marked_ids(rows: DataFrame, ids: DataFrame, id_col: str = "id") -> DataFrame:
+def marked_ids(
+    rows: DataFrame,
+    ids: DataFrame,
+    id_col: str = "id",
+    then: Callable[[pa.RecordBatch], pa.RecordBatch] | None = None,
+    schema: str | None = None,
+) -> DataFrame:
     """The rows whose id is in ``ids``, and some others; a screen before a join.
 
+    ``then`` makes something of the rows that pass, in the same worker.
+
     The screen is a table of 2^ID_BITS bits of hashed ids (1 MB). Its size does not
     grow; more ids only let more other rows through.
     """
@@ -81,9 +89,10 @@ def marked_ids(rows: DataFrame, ids: DataFrame, id_col: str = "id") -> DataFrame
         marks = np.unpackbits(screen.value, axis=1).astype(bool)
         for b in batches:
             c = b.column(b.num_columns - 1).to_numpy()
-            yield b.select(range(b.num_columns - 1)).filter(pa.array(marks[c & 63, c >> 6]))
+            b = b.select(range(b.num_columns - 1)).filter(pa.array(marks[c & 63, c >> 6]))
+            yield b if then is None else then(b)
 
-    return rows.withColumn("_cell", cell(id_col)).mapInArrow(keep, rows.schema)
+    return rows.withColumn("_cell", cell(id_col)).mapInArrow(keep, rows.schema if then is None else schema)
 
 
 def free_name(df: DataFrame, name: str) -> str:

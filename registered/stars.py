@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from layerforge.operators import checks, facts
@@ -133,16 +135,39 @@ def fact_rental_coarse(spark, sf_dir):
 # --- whole loads -----------------------------------------------------------------
 
 
-def _star(spark, sf_dir, store=None):
+_LOADED = {}
+
+
+def _loaded(kind, spark, sf_dir, build):
+    """Store and tables of two loads; queries of one session on one input share them.
+
+    The first query that asks pays for the loads, the others read what they wrote.
+    """
+    key = (kind, spark.sparkContext.applicationId, sf_dir)
+    if key not in _LOADED:
+        store = scratch_store(spark)
+        _LOADED[key] = store, build(spark, sf_dir, store)
+    return _LOADED[key]
+
+
+def _star(spark, sf_dir):
+    return _loaded("star", spark, sf_dir, _load_star)[1]
+
+
+def _layered(spark, sf_dir):
+    return _loaded("layered", spark, sf_dir, _load_layers)[1]
+
+
+def _load_star(spark, sf_dir, store):
     """First load and one delta load of the star schema, written to a store."""
-    store, days = store or scratch_store(spark), calendar(spark, sf_dir)
+    days = calendar(spark, sf_dir)
     star.load(S.source_tables(spark, sf_dir, BEFORE), StoreSink(store, "1", BEFORE), days, BEFORE)
     return star.load(S.source_tables(spark, sf_dir, AFTER), StoreSink(store, "2", AFTER), days, AFTER)
 
 
-def _layered(spark, sf_dir, store=None):
+def _load_layers(spark, sf_dir, store):
     """First load and one delta load of all layers, written to a store."""
-    store, span = store or scratch_store(spark), calendar_span(spark, sf_dir)
+    span = calendar_span(spark, sf_dir)
     layered.load(S.source_tables(spark, sf_dir, BEFORE), StoreSink(store, "1", BEFORE), BEFORE, *span)
     return layered.load(S.source_tables(spark, sf_dir, AFTER), StoreSink(store, "2", AFTER), AFTER, *span)
 
@@ -188,8 +213,7 @@ def layered_load_by_film(spark, sf_dir):
 @register("mart_by_film", f"SELECT sales_film_title AS title, amount FROM ({_BY_FILM})")
 def mart_by_film(spark, sf_dir):
     """The report function over the committed mart: title and amount."""
-    store = scratch_store(spark)
-    _layered(spark, sf_dir, store)
+    store, _ = _loaded("layered", spark, sf_dir, _load_layers)
     return layered.sales_by_film_report(store)
 
 
@@ -406,11 +430,10 @@ _OPEN = {
 
 
 def _reloaded(spark, sf_dir, as_of_event):
-    store = scratch_store(spark)
-    loaded = _star(spark, sf_dir, store)
+    store, loaded = _loaded("star", spark, sf_dir, _load_star)
     facts = star.full_reload(
-        S.source_tables(spark, sf_dir, AFTER), StoreSink(store, "3", AFTER), calendar(spark, sf_dir),
-        as_of_event,
+        S.source_tables(spark, sf_dir, AFTER), StoreSink(store, f"reload-{uuid.uuid4().hex}", AFTER),
+        calendar(spark, sf_dir), as_of_event,
     )
     disks = loaded["dim_inventory"].select(
         F.col("inventory_pk").alias("inventory_fk"), "inventory_id",

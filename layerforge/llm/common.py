@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import string
 from collections.abc import Callable, Iterator
 
@@ -32,14 +33,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def staged(df: DataFrame, label: str) -> DataFrame:
+def staged(df: DataFrame, label: str, large: bool = False) -> DataFrame:
     """``df`` written once to the shared folder and read back.
 
     Cuts the lineage: a lost executor costs its running tasks, not the stages before.
+    Spark drops the shuffle files of a finished plan when the driver collects its
+    garbage; after a ``large`` one it is asked to.
     """
     spark = df.sparkSession
     path = shared_folder(spark, label)
     df.write.parquet(path)
+    if large:
+        gc.collect()
+        spark._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -264,11 +264,11 @@ def substring_dedup(
     # one text for an id
     firsts = staged(firsts.groupBy("id").agg(F.min(F.struct("sha", "h")).alias("t")).select("id", "t.sha", "t.h"), "firsts")
     marks = repeated_grams(read.where(F.col("id").isNotNull() & (F.octet_length("text") >= length)), length, gram, buckets)
-    marks = staged(marks.groupBy("h").agg(F.collect_list("mark").alias("marks")), "marks")
+    marks = staged(marks.groupBy("h").agg(F.collect_list("mark").alias("marks")), "marks", large=True)
     wanted = staged(firsts.select("id", "h").join(marks, "h"), "wanted")
 
     marked = marked_ids(read, wanted.select("id")).join(wanted, ["id", "h"])
-    gone = staged(removals(marked, length, gram, buckets), "gone")
+    gone = staged(removals(marked, length, gram, buckets), "gone", large=True)
     gone = gone.groupBy("id").agg(F.collect_list("first").alias("firsts"), F.collect_list("last").alias("lasts"))
     gone = staged(gone.join(firsts.select("id", "h"), "id"), "stretches")
     cut = staged(_cut(marked_ids(read, gone.select("id")).join(gone, ["id", "h"]).dropDuplicates(["id", "h"])), "cut")

@@ -8,6 +8,11 @@ product of presence vectors, kernel values and coefficients multiply out to one
 matrix (n-gram cells x languages), and whole batches of texts are scored by one
 matrix product.
 
+A text of no known language is told by its lead: how far the best of its values
+stands above their mean. The values of a text unlike all languages lie close
+together, whatever their height. The least lead is taken from texts that the
+model judging them has not seen.
+
 n-grams live in ``CELLS`` hashed cells, so a text of any length is one bit row of
 4 KB; only such rows of a bounded sample come to the driver.
 """
@@ -31,7 +36,10 @@ PER_LANGUAGE = 600  # training texts of a language at most (all, if it has fewer
 LANDMARKS = 300  # of all languages together
 RIDGE = 1e-3
 UNKNOWN = "und"
-REJECT_BELOW = 0.2
+CLEAN_SHARE = 0.01  # of the training texts that may lie below the lead the limit is taken from
+LEAD_SHARE = 0.25  # of that lead which a text must reach
+LEAST_CLEAN = 50  # fewer judged training texts set no limit
+LEAST_CELLS = 32  # texts with fewer n-grams are too short to be rejected
 _LETTER = re.compile(r"[^\W\d_]")
 ROWS_AT_ONCE = 256
 _SLICE = 1 << 17  # characters that are hashed at once
@@ -103,24 +111,68 @@ def fit(rows: np.ndarray, labels: list[str], landmarks: int = LANDMARKS, ridge:
     return Model(languages, (marks.T.astype(np.float64) @ alpha).astype(np.float32))
 
 
+def _values(model: Model, rows: np.ndarray) -> np.ndarray:
+    return (rows.astype(np.float32) @ model.weights) / _norm(rows)[:, None]
+
+
+def _lead(values: np.ndarray) -> np.ndarray:
+    return values.max(axis=1) - values.mean(axis=1)
+
+
+def least_lead(rows: np.ndarray, labels: list[str], landmarks: int = LANDMARKS, ridge: float = RIDGE) -> float:
+    """The lead below which a text has no known language.
+
+    Each half of the training texts is judged by a model of the other one. Only
+    texts it names rightly count, so wrong labels do not lower the limit. One
+    language has nothing to stand out from, and few texts tell nothing: 0.
+    """
+    rank: dict[str, int] = {}
+    half = np.empty(len(labels), bool)
+    for i, label in enumerate(labels):
+        half[i] = rank.setdefault(label, 0) % 2
+        rank[label] += 1
+    leads = []
+    for mine in (half, ~half):
+        model = fit(rows[~mine], [x for x, m in zip(labels, mine) if not m], landmarks, ridge)
+        if len(model.languages) < 2:
+            continue
+        at = np.flatnonzero(mine)
+        for some in np.array_split(at, range(128, len(at), 128)):  # in blocks, as in fit
+            values = _values(model, rows[some])
+            right = np.array([model.languages[b] == labels[i] for b, i in zip(values.argmax(axis=1), some)], bool)
+            leads.append(_lead(values)[right & (rows[some].sum(axis=1) >= LEAST_CELLS)])
+    clean = np.concatenate(leads) if leads else np.zeros(0)
+    return LEAD_SHARE * float(np.quantile(clean, CLEAN_SHARE)) if len(clean) >= LEAST_CLEAN else 0.0
+
+
 def predict(model: Model, texts: list[str | None], rows_at_once: int = 32) -> tuple[list[str], list[float]]:
     """Language and score (0 to 1) of each text; ``und`` and 0 without a letter."""
-    names, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
+    names, scores, _ = judged(model, texts, rows_at_once)
+    return names, scores
+
+
+def judged(
+    model: Model, texts: list[str | None], rows_at_once: int = 32
+) -> tuple[list[str], list[float], list[float]]:
+    """Language, score and lead of each text; infinite lead of texts too short to be rejected."""
+    names, scores, leads = [UNKNOWN] * len(texts), [0.0] * len(texts), [0.0] * len(texts)
     if not model.languages:
-        return names, scores
+        return names, scores, leads
     known = [i for i, t in enumerate(texts) if has_letter(t)]
     for at in range(0, len(known), rows_at_once):
         some = known[at : at + rows_at_once]
         rows = presence([texts[i] for i in some])
-        values = (rows.astype(np.float32) @ model.weights) / _norm(rows)[:, None]
-        best = values.argmax(axis=1)
+        values = _values(model, rows)
+        best, lead = values.argmax(axis=1), _lead(values)
+        lead[rows.sum(axis=1) < LEAST_CELLS] = np.inf
         for j, i in enumerate(some):
             names[i] = model.languages[best[j]]
             scores[i] = float(np.clip((values[j, best[j]] + 1.0) / 2.0, 0.0, 1.0))
-    return names, scores
+            leads[i] = float(lead[j])
+    return names, scores, leads
 
 
-def train(
+def sample(
     docs: DataFrame,
     usable: Column,
     *,
@@ -128,10 +180,8 @@ def train(
     text_col: str = "text",
     lang_col: str = "lang",
     per_language: int = PER_LANGUAGE,
-    landmarks: int = LANDMARKS,
-    ridge: float = RIDGE,
-) -> Model:
-    """Fit on at most ``per_language`` rows of each language, picked by a hash of the id.
+) -> tuple[np.ndarray, list[str]]:
+    """Presence rows and languages of at most ``per_language`` rows of each language, picked by a hash of the id.
 
     Rows with ``usable`` not true, a null language, null text or no letter are
     never used. The sample reaches the driver as 4 KB bit rows.
@@ -142,12 +192,12 @@ def train(
     # one number for each language; a hash of the id thins out the frequent ones before the shuffle
     counts = labelled.groupBy("_lang").agg(F.count("*").alias("n")).collect()
     if not counts:
-        return fit(np.zeros((0, CELLS), bool), [], landmarks, ridge)
+        return np.zeros((0, CELLS), bool), []
     share = F.create_map(*(F.lit(v) for r in counts for v in (r["_lang"], 2.0 * per_language / r["n"])))
     hashed = F.xxhash64(F.col("_id").cast("string"))
     chance = F.pmod(hashed, F.lit(1 << 30)) / float(1 << 30)
     order = Window.partitionBy("_lang").orderBy(hashed, "_id", "_text")
-    sample = (
+    picked = (
         labelled.where(chance < share[F.col("_lang")])
         .withColumn("_rank", F.row_number().over(order))
         .where(F.col("_rank") <= per_language)
@@ -164,12 +214,19 @@ def train(
                         names=["lang", "rank", "bits"],
                     )
 
-    found = sample.select("_text", "_lang", "_rank").mapInArrow(bits, "lang string, rank int, bits binary")
+    found = picked.select("_text", "_lang", "_rank").mapInArrow(bits, "lang string, rank int, bits binary")
     found = sorted(found.collect(), key=lambda r: (r["rank"], r["lang"]))
     rows = np.zeros((len(found), CELLS), bool)
     for i, r in enumerate(found):
         rows[i] = np.unpackbits(np.frombuffer(r["bits"], np.uint8)).astype(bool)
-    return fit(rows, [r["lang"] for r in found], landmarks, ridge)
+    return rows, [r["lang"] for r in found]
+
+
+def train(
+    docs: DataFrame, usable: Column, *, landmarks: int = LANDMARKS, ridge: float = RIDGE, **columns
+) -> Model:
+    """Fit on the rows of ``sample``."""
+    return fit(*sample(docs, usable, **columns), landmarks, ridge)
 
 
 def held_out(id_col: str = "doc_id", folds: int = 5) -> Column:
@@ -179,35 +236,43 @@ def held_out(id_col: str = "doc_id", folds: int = 5) -> Column:
 
 
 def identify(
-    docs: DataFrame, model: Model, *, text_col: str = "text", lang_out: str = "lang_pred", score_out: str = "score"
+    docs: DataFrame, model: Model, *, text_col: str = "text", lang_out: str = "lang_pred", score_out: str = "score",
+    lead_out: str | None = None,
 ) -> DataFrame:
     """``docs`` with the predicted language and its score; columns of these names are replaced.
 
     Whole texts are read. Null texts, and texts without a letter, get ``und`` and
-    0, as does everything under a model without languages.
+    0, as does everything under a model without languages. ``lead_out`` names a
+    column for the lead, if it is wanted.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)  # CELLS x languages numbers
-    kept = docs.drop(lang_out, score_out)
+    more = [] if lead_out is None else [lead_out]
+    kept = docs.drop(lang_out, score_out, *more)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for at in range(0, whole.num_rows, ROWS_AT_ONCE):
                 b = whole.slice(at, ROWS_AT_ONCE)
-                names, scores = predict(shared.value, b.column(text_col).to_pylist())
+                names, *numbers = judged(shared.value, b.column(text_col).to_pylist())
+                numbers = [pa.array(x, pa.float64()) for x in numbers[: 1 + len(more)]]
                 yield pa.RecordBatch.from_arrays(
-                    [*b.columns, pa.array(names, pa.string()), pa.array(scores, pa.float64())],
-                    names=[*b.schema.names, lang_out, score_out],
+                    [*b.columns, pa.array(names, pa.string()), *numbers],
+                    names=[*b.schema.names, lang_out, score_out, *more],
                 )
 
-    return kept.mapInArrow(score, with_fields(kept, **{lang_out: "string", score_out: "double"}))
+    return kept.mapInArrow(score, with_fields(kept, **{lang_out: "string"}, **dict.fromkeys([score_out, *more], "double")))
 
 
 def accepted(docs: DataFrame) -> DataFrame:
-    """Rows whose language is known: a letter in the text and a score of REJECT_BELOW or more."""
-    model = train(docs, ~held_out())
-    guess, sure = free_name(docs, "lang_pred"), free_name(docs, "score")
-    found = identify(docs, model, lang_out=guess, score_out=sure)
-    known = (F.col(guess) != UNKNOWN) & (F.col(sure) >= REJECT_BELOW)
+    """Rows whose language is known: a letter in the text, and the lead of a training text.
+
+    Texts too short to tell stay. A text of all languages in equal parts is like none.
+    """
+    rows, labels = sample(docs, ~held_out())
+    model, least = fit(rows, labels), least_lead(rows, labels)
+    guess, sure, lead = (free_name(docs, c) for c in ("lang_pred", "score", "lead"))
+    found = identify(docs, model, lang_out=guess, score_out=sure, lead_out=lead)
+    known = (F.col(guess) != UNKNOWN) & (F.col(lead) >= least)
     return found.where(known).select(*docs.columns)
 
 

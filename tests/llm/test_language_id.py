@@ -85,3 +85,24 @@ def test_the_stage_drops_only_the_unknown(docs, rows):
     assert got.columns == df.columns
     gone = {900, 901, 902}
     assert sorted((r.doc_id for r in got.collect()), key=repr) == sorted((i for i, *_ in rows if i not in gone), key=repr)
+
+
+def test_the_stage_drops_unlearned_languages_and_gibberish(docs, rows):
+    rnd = random.Random(7)
+    strange = [
+        " ".join("".join(rnd.choice(letters) for _ in range(rnd.randint(3, 9))) for _ in range(60))
+        for letters in ("αβγδεζηθικλμνξοπρστυφχψω", "日月火水木金土山川田人口", "bcdfghjklmnpqrtvwxz") for _ in range(4)
+    ]
+    df = docs([*rows, *((2000 + i, t, "xx") for i, t in enumerate(strange))])
+    left = {r.doc_id for r in X.accepted(df.withColumn("lang", F.when(F.col("doc_id") < 2000, F.col("lang")))).collect()}
+    assert not [i for i in left if i is not None and i >= 2000]
+    assert {i for i, t, _ in rows if t and X.has_letter(t)} <= left
+
+
+def test_the_limit_needs_two_languages_and_enough_texts():
+    texts = [text(l, 30, s) for l in SYLLABLES for s in range(40)]
+    labels = [l for l in SYLLABLES for _ in range(40)]
+    rows = X.presence(texts)
+    assert 0.05 < X.least_lead(rows, labels) < 0.5
+    assert X.least_lead(rows[:40], labels[:40]) == 0.0 and X.least_lead(rows[::10], labels[::10]) == 0.0
+    assert X.least_lead(rows[:0], []) == 0.0

@@ -4,9 +4,13 @@ Built-in Spark functions only. All work on a text happens inside its row: the
 texts between and inside the matches of a pattern give the positions, so there
 is no shuffle but that of a small histogram.
 
-Battery. Runs of 20 or more base64-like characters that no pattern covers are
-candidates if an encoding of 32 symbols or more can be inferred. Each is tested
-for what a random string of that encoding does and a word-like one does not:
+Battery. Candidates are the runs of 20 or more characters of one base64 alphabet
+("+/" or "-_" for its signs) that no pattern covers; what a pattern leaves of a
+run is a run, and so are the letters and digits between signs. "=" ends a run, as
+padding only at the end of the whole. Runs that overlap are tested each by
+itself, and those found become one span. An encoding of 32 symbols or
+more is inferred for each; runs without one (words, numbers) are not tested. Each is tested for what a random
+string of that encoding does and a word-like one does not:
 
 * chi-squared uniformity over the alphabet: how likely word-like text, whose
   symbols coincide at WORD_COINCIDENCE, comes out as even as this;
@@ -36,7 +40,14 @@ HEX = r"[0-9a-f]{16,}"
 ASSIGN_LEAST = 12
 KINDS = ["assign", "access", "hex", "random"]
 
-CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
+LONG = r"[A-Za-z0-9+/_-]{20}"  # no candidate is without this
+_PADDING = r"(?:=+(?![A-Za-z0-9+/_-]))?"
+# runs of either alphabet that are no part of a longer run of the other, and runs of letters and digits beside a sign
+CANDIDATES = [
+    rf"(?<![A-Za-z0-9+/])(?=[A-Za-z0-9]*+[+/]|(?<![_-])[A-Za-z0-9]++(?![_-]))[A-Za-z0-9+/]{{20,}}+{_PADDING}",
+    rf"(?<![A-Za-z0-9_-])(?=[A-Za-z0-9]*+[_-])[A-Za-z0-9_-]{{20,}}+{_PADDING}",
+    rf"(?<![A-Za-z0-9])(?=(?<=[+/_-])|[A-Za-z0-9]++[+/_-])[A-Za-z0-9]{{20,}}+{_PADDING}",
+]
 WORD_COINCIDENCE = 0.065  # chance that two letters of a European language agree
 WORD_CHANGES = 0.25  # chance that the next symbol of a word-like token starts another piece
 RATE = 0.01
@@ -73,6 +84,10 @@ def running_sums(values: Column, block: int = 64) -> Column:
     return F.when(F.size(values) > 0, full).otherwise(F.expr("array()").cast("array<bigint>"))
 
 
+def no_matches() -> Column:
+    return F.expr("array()").cast("array<struct<start:bigint,end:bigint,found:string>>")
+
+
 def matches(text: Column, pattern: str, group: int = 0) -> Column:
     """Array of (start, end, found) of the leftmost matches; code points, end exclusive."""
     parts = F.struct(
@@ -94,8 +109,24 @@ def matches(text: Column, pattern: str, group: int = 0) -> Column:
             ),
         )
 
-    empty = F.expr("array()").cast("array<struct<start:bigint,end:bigint,found:string>>")
-    return F.when(F.regexp_like(text, F.lit(pattern)), let(parts, placed)).otherwise(empty)
+    return F.when(F.regexp_like(text, F.lit(pattern)), let(parts, placed)).otherwise(no_matches())
+
+
+def covered(text: Column, spans: Column, instead: Callable[[Column], Column]) -> Column:
+    """The text with ``instead`` for every sorted span, given how many characters it adds to those before."""
+
+    def step(acc: Column, s: Column) -> Column:
+        between = F.substring(acc["rest"], F.lit(1), F.greatest(s["start"] - acc["at"], F.lit(0)).cast("int"))
+        cut = F.greatest(s["end"] - acc["at"], F.lit(0)).cast("int")
+        new = F.greatest(s["end"] - F.greatest(s["start"], acc["at"]), F.lit(0))
+        return F.struct(
+            F.concat(acc["done"], between, instead(new)).alias("done"),
+            F.substring(acc["rest"], cut + 1, F.lit(2**31 - 1)).alias("rest"),
+            F.greatest(acc["at"], s["end"]).alias("at"),
+        )
+
+    start = F.struct(F.lit("").alias("done"), text.alias("rest"), F.lit(0).cast("long").alias("at"))
+    return F.aggregate(spans, start, step, lambda acc: F.concat(acc["done"], acc["rest"]))
 
 
 def base_spans(text: Column) -> Column:
@@ -195,12 +226,18 @@ def length_class(length: Column) -> Column:
     return out
 
 
+def outside(text: Column, spans: Column) -> Column:
+    """The text with a space for every character inside the spans."""
+    return F.when(F.size(spans) == 0, text).otherwise(
+        covered(text, F.array_sort(spans), lambda new: F.repeat(F.lit(" "), new.cast("int")))
+    )
+
+
 def candidates(text: Column, base: Column) -> Column:
     """Array of (start, end, class, step) of the tested strings outside the base spans."""
-    free = F.filter(
-        matches(text, CANDIDATE),
-        lambda m: ~F.exists(base, lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"])),
-    )
+    base = F.transform(base, lambda b: F.struct(b["start"].alias("start"), b["end"].alias("end")))
+    some = let(outside(text, base), lambda rest: F.concat(*(matches(rest, c) for c in CANDIDATES)))
+    free = F.when(F.regexp_like(text, F.lit(LONG)), some).otherwise(no_matches())
     coded = F.filter(
         F.transform(free, lambda m: F.struct(
             m["start"].alias("start"), m["end"].alias("end"), m["found"].alias("found"), alphabet(m["found"]).alias("symbols")
@@ -271,11 +308,26 @@ def scan(docs: DataFrame, *, text_col: str = "text", spans_col: str = "spans", r
         more = F.transform(F.filter(s["tested"], discovered), lambda t: F.struct(
             t["start"].alias("start"), F.lit(KINDS.index("random")).alias("kind"), t["end"].alias("end")
         ))
-        return F.array_sort(F.concat(base, more))
+        return F.array_sort(F.concat(base, united(F.array_sort(more))))
 
     return tested(kept).withColumn(spans_col, let(F.col(spans_col), merged))
 
 
+def united(spans: Column) -> Column:
+    """Sorted spans of one kind, with one span for those that overlap."""
+
+    def step(acc: Column, s: Column) -> Column:
+        last = F.element_at(acc, -1)
+        longer = F.struct(last["start"].alias("start"), last["kind"].alias("kind"), F.greatest(last["end"], s["end"]).alias("end"))
+        return F.when(s["start"] < last["end"], F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(longer))).otherwise(
+            F.concat(acc, F.array(s))
+        )
+
+    return F.when(F.size(spans) < 2, spans).otherwise(
+        F.aggregate(F.slice(spans, 2, F.size(spans)), F.slice(spans, 1, 1), step)
+    )
+
+
 def joined(spans: Column) -> Column:
     """kind:start:end, comma-joined."""
     names = F.array(*(F.lit(k) for k in KINDS))
@@ -286,20 +338,8 @@ def joined(spans: Column) -> Column:
 
 def masked(text: Column, spans: Column) -> Column:
     """The text with every stretch covered by spans replaced by one mark for each span."""
-
-    def step(acc: Column, s: Column) -> Column:
-        between = F.substring(acc["rest"], F.lit(1), F.greatest(s["start"] - acc["at"], F.lit(0)).cast("int"))
-        fresh = s["end"] > acc["at"]
-        cut = F.greatest(s["end"] - acc["at"], F.lit(0)).cast("int")
-        return F.struct(
-            F.concat(acc["done"], between, F.when(fresh, F.lit(MASK)).otherwise(F.lit(""))).alias("done"),
-            F.substring(acc["rest"], cut + 1, F.lit(2**31 - 1)).alias("rest"),
-            F.greatest(acc["at"], s["end"]).alias("at"),
-        )
-
-    start = F.struct(F.lit("").alias("done"), text.alias("rest"), F.lit(0).cast("long").alias("at"))
     return F.when(F.size(spans) == 0, text).otherwise(
-        F.aggregate(spans, start, step, lambda acc: F.concat(acc["done"], acc["rest"]))
+        covered(text, spans, lambda new: F.when(new > 0, F.lit(MASK)).otherwise(F.lit("")))
     )
 
 

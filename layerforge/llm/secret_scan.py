@@ -8,12 +8,14 @@ Battery. Candidates are the runs of 20 or more characters of one base64 alphabet
 ("+/" or "-_" for its signs) that no pattern covers; what a pattern leaves of a
 run is a run, and so are the letters and digits between signs. "=" ends a run, as
 padding only at the end of the whole. Runs that overlap are tested each by
-itself, and those found become one span. An encoding of 32 symbols or
-more is inferred for each; runs without one (words, numbers) are not tested. Each is tested for what a random
+itself, and those found become one span. An encoding is inferred for each: hex in
+upper or mixed case, base32, A-Z0-9, a-z0-9, base62 and both kinds of base64; runs
+without one (words, numbers) are not tested. Each is tested for what a random
 string of that encoding does and a word-like one does not:
 
 * chi-squared uniformity over the alphabet: how likely word-like text, whose
-  symbols coincide at WORD_COINCIDENCE, comes out as even as this;
+  symbols coincide at WORD_COINCIDENCE (in hex digits HEX_COINCIDENCE), comes out
+  as even as this;
 * runs: how likely text whose pieces (words with or without a capital, capitals,
   digits, signs) end at WORD_CHANGES comes out with as many;
 * serial correlation of neighbouring symbols, which a random string must pass.
@@ -49,12 +51,14 @@ CANDIDATES = [
     rf"(?<![A-Za-z0-9])(?=(?<=[+/_-])|[A-Za-z0-9]++[+/_-])[A-Za-z0-9]{{20,}}+{_PADDING}",
 ]
 WORD_COINCIDENCE = 0.065  # chance that two letters of a European language agree
+HEX_COINCIDENCE = 0.1  # chance that two symbols of a decimal number agree; words of a-f agree more often
 WORD_CHANGES = 0.25  # chance that the next symbol of a word-like token starts another piece
 RATE = 0.01
 LENGTH_CLASSES = [20, 28, 40, 64]  # least lengths
 SERIAL_LIMIT = 2.58  # two-sided, one in a hundred
 STEPS = 10  # per decade of p
 UPPER, LOWER, DIGITS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789"
+HEX_DIGITS = DIGITS + "abcdef"  # of either case
 MASK = "[SECRET]"
 
 
@@ -144,14 +148,17 @@ def base_spans(text: Column) -> Column:
 # --- the battery -------------------------------------------------------------
 
 def alphabet(found: Column) -> Column:
-    """Symbols of the smallest encoding that fits and has 32 symbols or more; null if none."""
+    """Symbols of the smallest encoding that fits; null if none. Hex digits stand for both cases."""
     body = F.regexp_replace(found, r"=+\z", "")
     letters = F.regexp_like(body, F.lit("[A-Z]")) & F.regexp_like(body, F.lit("[a-z]"))
     digit = F.regexp_like(body, F.lit("[0-9]"))
     small = digit & F.regexp_like(body, F.lit("[a-z]")) & ~F.regexp_like(body, F.lit(r"\A[0-9a-f]+\z"))
+    large = digit & F.regexp_like(body, F.lit("[A-Z]"))
     return (
-        F.when(digit & F.regexp_like(body, F.lit(r"\A[A-Z2-7]+\z")) & F.regexp_like(body, F.lit("[G-Z]")),
+        F.when(large & F.regexp_like(body, F.lit(r"\A[A-Fa-f0-9]+\z")), F.lit(HEX_DIGITS))
+        .when(digit & F.regexp_like(body, F.lit(r"\A[A-Z2-7]+\z")) & F.regexp_like(body, F.lit("[G-Z]")),
                F.lit(UPPER + DIGITS[2:8]))
+        .when(large & F.regexp_like(body, F.lit(r"\A[A-Z0-9]+\z")), F.lit(UPPER + DIGITS))
         .when(small & F.regexp_like(body, F.lit(r"\A[a-z0-9]+\z")), F.lit(LOWER + DIGITS))
         .when(letters & F.regexp_like(body, F.lit(r"\A[A-Za-z0-9]+\z")), F.lit(UPPER + LOWER + DIGITS))
         .when(letters & F.regexp_like(body, F.lit(r"\A[A-Za-z0-9+/]+\z")), F.lit(UPPER + LOWER + DIGITS + "+/"))
@@ -174,7 +181,8 @@ def score(found: Column, symbols: Column) -> Column:
         n, k = s["n"], s["k"]
         # chi-squared against the spread of a word-like source of this length
         even = k / n * s["squares"] - n
-        excess = (n - 1) * (k * WORD_COINCIDENCE - 1)
+        word_like = F.when(s["k"] == len(HEX_DIGITS), F.lit(HEX_COINCIDENCE)).otherwise(F.lit(WORD_COINCIDENCE))
+        excess = (n - 1) * (k * word_like - 1)
         z_even = ((k - 1 + excess) - even) / F.sqrt(2 * (k - 1) + 4 * excess)
         changes = n - 1
         z_runs = ((s["runs"] - 1) - changes * WORD_CHANGES) / F.sqrt(changes * (WORD_CHANGES * (1 - WORD_CHANGES)))
@@ -215,6 +223,7 @@ def score(found: Column, symbols: Column) -> Column:
         )
 
     body = F.regexp_replace(found, r"=+\z", "")
+    body = F.when(symbols == HEX_DIGITS, F.lower(body)).otherwise(body)
     given = F.struct(body.alias("body"), F.split(body, "(?!^)(?=.)").alias("chars"), symbols.alias("symbols"))
     return let(given, measured)
 

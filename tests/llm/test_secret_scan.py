@@ -166,3 +166,10 @@ def test_a_stage_masks_a_secret_after_a_name(docs):
     df = docs([(i, f"auth={alnum(rnd)} end") for i in range(20)])
     texts = [r.text for r in X.without_secrets(df).collect()]
     assert sum(t == f"auth={X.MASK} end" for t in texts) >= 17
+
+
+@pytest.mark.parametrize("symbols", ["0123456789ABCDEF", "0123456789abcdefABCDEF", "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"])
+def test_upper_case_encodings_are_tested(docs, symbols):
+    ordinary = ["SEE 12345678901234567890123 THERE", "DE89370400440532013000", "ORDER20240131NUMBER000017", "DEADBEEFCAFE0000000000000000", "A1111111111111111111111111111"]
+    _, covered = found_shares(docs, lambda rnd: "".join(rnd.choice(symbols) for _ in range(40)), ["see % there", "auth=%"], ordinary)
+    assert min(covered) >= 0.8, covered

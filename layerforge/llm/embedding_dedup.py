@@ -12,12 +12,14 @@ it until no new one turns up. Pairs are verified in double precision; a pair tha
 two shards share counts in the first of them only. Of the pairs only counts and
 the links of a spanning forest leave a task.
 
-An audit compares a fixed number of queries with brute force over all rows and
-widens overlap and beam while recall is below ``TARGET_RECALL``.
+An audit compares some nodes with all nodes by brute force: a share of the table,
+and more while they have too few links to judge by. While recall is below
+``TARGET_RECALL`` overlap and beam are widened; the last search must reach it.
 """
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,7 +41,12 @@ ALPHA = 1.2
 BEAM, MEDOIDS = 32, 24
 MARGIN = 0.02  # below the range by which nodes are still expanded
 OVERLAP = 2
-AUDIT_QUERIES = 128
+AUDIT_QUERIES = 128  # at least
+AUDIT_SHARE = 0.01  # of the nodes
+AUDIT_LINKS = 200  # true links that the audited nodes must have, if the table has them
+AUDIT_AT_ONCE = 4096  # nodes whose vectors are broadcast
+AUDIT_PAIRS = 10**11  # beyond the share, no more nodes than make so many comparisons
+SEARCHES = 5
 TARGET_RECALL = 0.98
 AT_ONCE = 1 << 19  # graph entries that are gathered at once
 _SLACK = 1e-4  # single-precision search, double-precision verdict
@@ -235,7 +242,7 @@ def _unit(vectors: pd.Series) -> np.ndarray:
 
 
 def _shard_links(pdf: pd.DataFrame, beam: int, least: float) -> pd.DataFrame:
-    """Counts and spanning links of one shard: (id, links, root)."""
+    """Counts and spanning links of one shard: (id, links with copies, pairs of nodes, root)."""
     pdf = pdf.sort_values("id").reset_index(drop=True)
     n = len(pdf)
     shard = int(pdf["shard"].iloc[0])
@@ -272,7 +279,7 @@ def _shard_links(pdf: pd.DataFrame, beam: int, least: float) -> pd.DataFrame:
             break
         label = new
     ids = pdf["id"].to_numpy()
-    return pd.DataFrame({"id": ids, "links": links.astype(np.int64), "root": ids[label]})
+    return pd.DataFrame({"id": ids, "links": links.astype(np.int64), "pairs": own.sum(axis=1), "root": ids[label]})
 
 
 # --- shards -------------------------------------------------------------------
@@ -402,11 +409,13 @@ def near_duplicates(
     classes = good.groupBy("grp", "vec").agg(F.min("id").alias("rep"), F.count("*").alias("copies"))
     nodes = staged(classes.select("grp", F.col("rep").alias("id"), "vec", "copies"), "nodes")
 
-    for _ in range(3):
+    for _ in range(SEARCHES):
         found = _search(nodes, overlap, beam, least)
         if not audit or recall(nodes, found, least, audit) >= TARGET_RECALL:
             break
         overlap, beam = overlap * 2, beam * 2
+    else:
+        raise RuntimeError(f"{SEARCHES} searches found less than {TARGET_RECALL} of the audited links")
 
     per_node = found.groupBy("id").agg(F.sum("links").alias("links"))
     links = components(found.select(F.col("id").alias("a"), F.col("root").alias("b")))
@@ -425,7 +434,7 @@ def near_duplicates(
 
 
 def _search(nodes: DataFrame, overlap: int, beam: int, least: float) -> DataFrame:
-    """(id, links, root) of every node, once for each of its shards."""
+    """(id, links, pairs, root) of every node, once for each of its shards."""
     placed = _assigned(nodes, overlap)
     kind = dict(placed.dtypes)["vec"]
     members = placed.select("id", "vec", "copies", "shards", F.explode("shards").alias("shard"))
@@ -445,39 +454,69 @@ def _search(nodes: DataFrame, overlap: int, beam: int, least: float) -> DataFram
 
     return staged(
         whole.withColumn("shard", F.explode("shards")).groupBy("shard").applyInPandas(
-            search, "id long, links long, root long"
+            search, "id long, links long, pairs long, root long"
         ),
         "found",
     )
 
 
 def recall(nodes: DataFrame, found: DataFrame, least: float, queries: int) -> float:
-    """Share of the links of some nodes, by brute force over all nodes, that were found."""
-    picked = nodes.orderBy(F.xxhash64("id", F.lit(5)), "id").limit(queries).collect()
-    if not picked:
+    """Share of the links of some nodes, by brute force over all nodes, that were found.
+
+    Copies do not count. Of the share of all links and the mean share of a node's
+    links, the smaller one. The nodes are picked by a hash of the id: ``queries``
+    or ``AUDIT_SHARE`` of the table, and four times as many until they have
+    ``AUDIT_LINKS`` links or are all.
+    """
+    total = nodes.count()
+    if not total:
         return 1.0
-    asked: dict[int, list] = {}
-    for r in picked:
-        asked.setdefault(r["grp"], []).append((r["id"], _unit(pd.Series([r["vec"]]))[0]))
+    chance = F.pmod(F.xxhash64("id", F.lit(5)), F.lit(1 << 30)) / float(1 << 30)
+    got = staged(found.groupBy("id").agg(F.sum("pairs").alias("pairs")), "pairs")
+    low, goal = 0.0, min(1.0, max(AUDIT_SHARE, queries / total))
+    true = hit = linked = shares = 0
+    while True:
+        while low < goal:
+            high = min(goal, low + AUDIT_AT_ONCE / total)
+            r = _audited(nodes, nodes.where((chance >= low) & (chance < high)), got, least)
+            true, hit, linked, shares, low = true + r[0], hit + r[1], linked + r[2], shares + r[3], high
+        if true >= AUDIT_LINKS or goal == 1.0:
+            break
+        if 4 * goal * total * total > AUDIT_PAIRS:
+            warnings.warn(f"the recall of op 9 is judged by {true} links only", stacklevel=2)
+            break
+        goal = min(1.0, 4 * goal)
+    return min(hit / true, shares / linked) if true else 1.0
+
+
+def _audited(nodes: DataFrame, some: DataFrame, got: DataFrame, least: float) -> tuple:
+    """(true links, those found, nodes with links, sum of their found shares) of ``some`` nodes."""
+    asked: dict[int, tuple[list, list]] = {}
+    for r in some.select("grp", "id", "vec").collect():
+        ids, vecs = asked.setdefault(r["grp"], ([], []))
+        ids.append(r["id"])
+        vecs.append(r["vec"])
+    asked = {g: (np.array(i), _unit(pd.Series(v))) for g, (i, v) in asked.items()}
     wanted = nodes.sparkSession.sparkContext.broadcast(asked)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = {g: np.zeros(len(i), np.int64) for g, (i, _) in wanted.value.items()}
         for b in batches:
-            hits, counts = [], []
-            pdf = b.to_pandas()
-            for g, part in pdf.groupby("grp"):
-                if g in wanted.value:
-                    x, ids, n = _unit(part["vec"]), part["id"].to_numpy(), part["copies"].to_numpy()
-                    for i, v in wanted.value[g]:
-                        near = (x @ v >= least) & (ids != i)
-                        hits.append(i)
-                        counts.append(int(n[near].sum()))
-            yield pa.RecordBatch.from_pydict({"id": pa.array(hits, pa.int64()), "n": pa.array(counts, pa.int64())})
-
-    true = nodes.select("grp", "id", "vec", "copies").mapInArrow(compare, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
-    got = found.groupBy("id").agg(F.sum("links").alias("links"))
-    r = true.join(got, "id", "left").agg(F.sum("n"), F.sum(F.least("n", F.coalesce("links", F.lit(0))))).first()
-    return 1.0 if not r[0] else r[1] / r[0]
+            for g, part in b.to_pandas().groupby("grp"):
+                if g not in counts:
+                    continue
+                ids, q = wanted.value[g]
+                for at in range(0, len(part), 512):
+                    own = part["id"].to_numpy()[at : at + 512]
+                    near = _unit(part["vec"].iloc[at : at + 512]) @ q.T >= least
+                    counts[g] += (near & (own[:, None] != ids[None, :])).sum(axis=0)
+        for g, n in counts.items():
+            yield pa.RecordBatch.from_pydict({"id": pa.array(wanted.value[g][0]), "n": pa.array(n)})
+
+    true = nodes.select("grp", "id", "vec").mapInArrow(compare, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    both = true.where("n > 0").join(got, "id", "left").withColumn("hit", F.least("n", F.coalesce("pairs", F.lit(0))))
+    r = both.agg(F.sum("n"), F.sum("hit"), F.count("*"), F.sum(F.col("hit") / F.col("n"))).first()
+    return tuple(x or 0 for x in r)
 
 
 @register("op9_embedding_near_dedup")

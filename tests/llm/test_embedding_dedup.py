@@ -93,3 +93,43 @@ def test_few_and_no_rows(spark):
     assert X.near_duplicates(df.limit(0)).collect() == []
     none = spark.createDataFrame([(1, None, 1, "", ""), (2, [0.0], 1, "", "")], SCHEMA)
     assert sorted(tuple(r) for r in X.near_duplicates(none).collect()) == [(1, 0, 1, True), (2, 0, 2, True)]
+
+
+def nodes_of(spark, vectors, copies):
+    rows = [(0, i, [float(x) for x in v], c) for i, (v, c) in enumerate(zip(vectors, copies))]
+    return spark.createDataFrame(rows, "grp long, id long, vec array<float>, copies long")
+
+
+def test_copies_do_not_hide_a_missed_pair(spark):
+    nodes = nodes_of(spark, [(1, 0, 0), (1, 0.01, 0), (0, 0, 1), (0, 0.01, 1)], [1000, 1000, 1, 1])
+    found = spark.createDataFrame([(0, 1000, 1, 0), (1, 1000, 1, 0)], "id long, links long, pairs long, root long")
+    assert X.recall(nodes, found, 0.98, 128) == 0.5
+    every = found.union(spark.createDataFrame([(2, 1, 1, 2), (3, 1, 1, 2)], found.schema))
+    assert X.recall(nodes, every, 0.98, 128) == 1.0
+
+
+def test_rare_links_are_audited_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(X, "AUDIT_AT_ONCE", 300)
+    rnd = np.random.default_rng(18)
+    vectors = list(rnd.normal(size=(1500, 24)))
+    vectors.append(vectors[0] + 1e-3)
+    nodes = nodes_of(spark, vectors, [1] * len(vectors))
+    none = spark.createDataFrame([], "id long, links long, pairs long, root long")
+    assert X.recall(nodes, none, 0.98, 8) == 0.0
+    both = spark.createDataFrame([(0, 1, 1, 0), (1500, 1, 1, 0)], none.schema)
+    assert X.recall(nodes, both, 0.98, 8) == 1.0
+
+
+def test_a_search_that_misses_the_target_is_an_error(spark, monkeypatch):
+    monkeypatch.setattr(X, "SEARCHES", 2)
+    overlaps = []
+
+    def search(nodes, overlap, beam, least):
+        overlaps.append(overlap)
+        return spark.createDataFrame([], "id long, links long, pairs long, root long")
+
+    monkeypatch.setattr(X, "_search", search)
+    df = spark.createDataFrame([(1, [1.0, 0.0], 1, "", ""), (2, [1.0, 0.01], 1, "", "")], SCHEMA)
+    with pytest.raises(RuntimeError):
+        X.near_duplicates(df).collect()
+    assert overlaps == [2, 4]

@@ -198,9 +198,10 @@ def without_copies(docs: DataFrame) -> DataFrame:
     found = exact_dedup(docs, batch=halves(docs))
     sha = free_name(docs, "sha")
     keyed = docs.withColumn(sha, F.sha2(lower_ascii(F.coalesce("text", F.lit(""))), 256))
-    again = found.where("kept").groupBy("doc_id", "text_sha256").agg(F.count("*").alias("n")).where("n > 1")
+    again = found.where("kept AND doc_id IS NOT NULL").groupBy("doc_id", "text_sha256").agg(F.count("*").alias("n")).where("n > 1")
     if not again.isEmpty():
-        keyed = keyed.dropDuplicates(["doc_id", sha])
+        one = keyed.where("doc_id IS NOT NULL").dropDuplicates(["doc_id", sha])
+        keyed = one.unionByName(keyed.where("doc_id IS NULL"))
     gone = found.where(~F.col("kept") & F.col("doc_id").isNotNull()).select("doc_id", F.col("text_sha256").alias(sha))
     return keyed.join(gone, ["doc_id", sha], "left_anti").select(*docs.columns)
 

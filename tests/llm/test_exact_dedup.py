@@ -67,3 +67,10 @@ def test_the_stage_keeps_one_row_of_a_class(docs):
     assert got.columns == df.columns
     assert sorted(((r.doc_id, r.text) for r in got.collect()), key=repr) == sorted(
         [(2, "a"), (3, "b"), (4, "c"), (6, ""), (9, "z"), (None, "a")], key=repr)
+
+
+def test_rows_without_an_id_stay_whatever_else_repeats(docs):
+    rows = [(None, "a"), (None, "a"), (None, "b")]
+    for more in ([], [(9, "z"), (9, "z")]):
+        got = [(r.doc_id, r.text) for r in X.without_copies(docs(rows + more + [(1, "q")])).collect()]
+        assert sorted(got, key=repr) == sorted([*rows, *more[:1], (1, "q")], key=repr)

@@ -37,7 +37,7 @@ LANDMARKS = 300  # of all languages together
 RIDGE = 1e-3
 UNKNOWN = "und"
 CLEAN_SHARE = 0.01  # of the training texts that may lie below the lead the limit is taken from
-LEAD_SHARE = 0.25  # of that lead which a text must reach
+LEAD_SHARE = 0.2  # of that lead which a text must reach
 LEAST_CLEAN = 50  # fewer judged training texts set no limit
 LEAST_CELLS = 32  # texts with fewer n-grams are too short to be rejected
 _LETTER = re.compile(r"[^\W\d_]")

@@ -18,5 +18,5 @@ def test_same_rows(spark, name):
     assert difference is None and rows > 0
 
 
-def test_ten_operators():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+def test_all_operators():
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))

@@ -400,8 +400,7 @@ _SQL = r"""WITH turns AS (
         SELECT c.conv_id, 1000 + i, role, text FROM convs c JOIN turns t ON t.conv_id = c.conv_id AND i > h),
     steps AS (
         SELECT conv_id, row_number() OVER w AS depth, sha256(role) || sha256(text) AS said,
-            len(list_filter(string_split_regex(text, '[ 	-
-]+'), lambda x: x <> '')) AS words
+            len(list_filter(string_split_regex(text, '[\x20\x09-\x0D]+'), lambda x: x <> '')) AS words
         FROM rebuilt WINDOW w AS (PARTITION BY conv_id ORDER BY i)),
     prefixes AS (
         SELECT conv_id, depth, words, sha256(string_agg(said, ',') OVER w) AS node,

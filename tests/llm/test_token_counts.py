@@ -57,11 +57,54 @@ def test_batches_commit_once_and_in_any_order(spark, docs, rows, tmp_path):
         totals.apply("1", [X.signed(counted, 1, source, lang)])
     left = [r for r in rows if r[0] is None or r[0] % 3]
     assert read(totals.read()) == direct(left)
-    (tmp_path / "t" / "batch=3").mkdir()  # a batch that never finished
-    assert read(totals.read()) == direct(left)
     assert read(totals.compact(f"{tmp_path}/c").read()) == direct(left)
 
 
+def test_a_repeat_after_folding_counts_no_second_time(spark, docs, tmp_path):
+    rows = [(1, "a b c", "en", "s"), (2, "d", "en", "s")]
+    load = [X.signed(measured(docs, rows), 1, F.col("source"), F.col("lang"))]
+    totals = X.Totals(spark, f"{tmp_path}/t")
+    assert totals.apply("load/1", load)
+    for i in range(2):  # folded, and folded again
+        totals = totals.compact(f"{tmp_path}/c{i}")
+        assert not totals.apply("load/1", load)
+        assert read(totals.read()) == direct(rows)
+    assert totals.apply("base", load)  # a batch may bear any name
+    assert not totals.apply("base", load)
+    assert read(totals.read()) == direct(rows * 2)
+    with pytest.raises(ValueError):
+        totals.compact(f"{tmp_path}/t")
+
+
+def test_a_batch_counts_from_its_marker_on(spark, docs, tmp_path, monkeypatch):
+    rows = [(1, "a b c", "en", "s"), (2, "d", "en", "s")]
+    load = [X.signed(measured(docs, rows), 1, F.col("source"), F.col("lang"))]
+    totals = X.Totals(spark, f"{tmp_path}/t")
+    totals.apply("1", load)
+    committed = sorted(p for p in (tmp_path / "t").rglob("*") if p.is_file())
+    with monkeypatch.context() as m:  # dies when the sums are written, before the marker
+        m.setattr(X.Totals, "_files", lambda *_: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError):
+            totals._commit("b-2", X.summed(load[0]))
+    assert read(totals.read()) == direct(rows)
+    assert totals.apply("2", load) and not totals.apply("1", load)
+    assert read(totals.read()) == direct(rows * 2)
+    assert all(p.exists() for p in committed)
+
+
+def test_a_new_tokenizer_and_a_new_text(spark, docs, tmp_path):
+    before, after = [(1, "a b\nc", "en", "s")], [(1, "a b\nc d", "en", "s")]
+    old, new = measured(docs, before), measured(docs, after)
+    totals = X.Totals(spark, f"{tmp_path}/t")
+    source, lang = F.col("source"), F.col("lang")
+    totals.apply("load", [X.signed(old, 1, source, lang, (X.SPACED, X.BPE))])
+    assert read(totals.read())["s", "en", X.SPACED][1] == 2
+    totals.apply("version", [X.signed(old, -1, source, lang, (X.SPACED,)), X.signed(old, 1, source, lang, (X.WORDS,))])
+    assert read(totals.read()) == direct(before)
+    totals.apply("text", [X.signed(old, -1, source, lang), X.signed(new, 1, source, lang)])
+    assert read(totals.read()) == direct(after)
+
+
 def test_a_revised_count_moves_between_keys(spark, docs, tmp_path):
     rows = [(1, "a b c", "en", "s"), (2, "d", "en", "s")]
     counted = measured(docs, rows)

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from layerforge.operators.history import DEFAULT, Validity
-from layerforge.operators.lookup import asof_lookup_dense
+from layerforge.operators.lookup import asof_lookup_sorted
 
 FILM_COLUMNS = ["title", "rental_duration", "rental_rate", "length", "rating"]
 STAFF_COLUMNS = ["staff_id", "first_name", "last_name", "address", "district", "city_name"]
@@ -64,9 +66,13 @@ def fact_payment(
     dim_staff: DataFrame,
     calendar: DataFrame,
     history: Validity | None = None,
+    keep: Callable[[DataFrame], DataFrame] = lambda rows: rows,
 ) -> DataFrame:
-    """Payment facts, full reload; with ``history`` the keys are as of the payment date."""
-    rows = payment.join(rental.select("rental_id", "inventory_id"), "rental_id")
+    """Payment facts, full reload; with ``history`` the keys are as of the payment date.
+
+    ``keep`` may write the joined rows once: as-of lookups read them more than once.
+    """
+    rows = keep(payment.join(rental.select("rental_id", "inventory_id"), "rental_id"))
     rows = _dimension_keys(rows, dim_inventory, dim_staff, "payment_date", history)
     rows = date_role(rows, calendar, "payment_date", "payment_date_fk")
     return rows.select("payment_id", "amount", "payment_date_fk", "inventory_fk", "staff_fk")
@@ -125,12 +131,12 @@ def _dimension_keys(
         disks = dim_inventory.select("inventory_id", F.col("inventory_pk").alias("inventory_fk"))
         people = dim_staff.select("staff_id", F.col("staff_pk").alias("staff_fk"))
         return rows.join(people, "staff_id", how).join(disks, "inventory_id", how)
-    rows = asof_lookup_dense(
+    staffed = asof_lookup_sorted(
         rows, dim_staff, {"staff_id": "staff_id"}, ts, {"staff_fk": "staff_pk"}, how, v=history
     )
-    return asof_lookup_dense(
-        rows, dim_inventory, {"inventory_id": "inventory_id"}, ts,
-        {"inventory_fk": "inventory_pk"}, how, v=history,
+    return asof_lookup_sorted(
+        staffed, dim_inventory, {"inventory_id": "inventory_id"}, ts,
+        {"inventory_fk": "inventory_pk"}, how, v=history, sample_of=rows,
     )
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -11,6 +11,10 @@ from layerforge.functions.dates import ORIGIN, ntz
 from layerforge.operators.history import DEFAULT, Validity
 
 VERSIONS_PER_SLICE = 8
+# A key with more rows than that, facts and versions, is cut into cells by time.
+ROWS_PER_CELL = 1_000_000
+SAMPLED = 0.001  # share of rows that decides where; results do not depend on it
+MOST_CELLS = 1000  # of one key
 
 
 def _seconds(ts: Column) -> Column:
@@ -103,6 +107,98 @@ def asof_lookup_dense(
     return asof_lookup(sliced, pieces, {**keys, "_slice": "_slice"}, ts, take, how=how, v=v).drop("_slice")
 
 
+def asof_lookup_sorted(
+    fact: DataFrame,
+    dim: DataFrame,
+    keys: Mapping[str, str],
+    ts: str,
+    take: Mapping[str, str],
+    how: str = "inner",
+    v: Validity = DEFAULT,
+    rows_per_cell: int = ROWS_PER_CELL,
+    sampled: float = SAMPLED,
+    sample_of: DataFrame | None = None,
+) -> DataFrame:
+    """As-of lookup in one sorted pass over facts and versions together.
+
+    Both are dealt by key and sorted by time; the last version before a fact is
+    its candidate, and holds if its interval has not ended. Facts are shuffled
+    once, whatever the number of versions, and nothing is compared in pairs.
+
+    Keys with very many rows, of either kind, are cut at quantiles of their
+    times into cells that go to tasks of their own. A version is carried into
+    every later cell it reaches; of the versions of one key at most one crosses
+    a cut, so at most one row a cut is added. Cuts come from a sample: of n rows
+    there are n / ``rows_per_cell`` at most, small enough to be broadcast.
+    ``sample_of`` (keys and ``ts``) stands in for facts that are costly to
+    compute twice.
+
+    Versions of one key must not overlap; intervals are half-open, empty ones
+    never match. NULL keys and times find nothing. ``how`` is "inner" or "left".
+    One plan, no action.
+    """
+    names = [f"_k{i}" for i in range(len(keys))]
+    of_fact = [F.col(f).alias(n) for f, n in zip(keys, names, strict=True)]
+    of_dim = [F.col(d).alias(n) for d, n in zip(keys.values(), names, strict=True)]
+    found = F.struct(
+        ntz(F.col(v.end)).alias("to"), F.struct(*[F.col(d).alias(n) for n, d in take.items()]).alias("row")
+    )
+    facts = fact.select(*of_fact, ntz(F.col(ts)).alias("_at"), F.struct(*fact.columns).alias("_row"))
+    versions = dim.filter(ntz(F.col(v.start)) < ntz(F.col(v.end))).select(
+        *of_dim, ntz(F.col(v.start)).alias("_at"), found.alias("_version")
+    )
+    cuts = _cuts(
+        (facts if sample_of is None else sample_of.select(*of_fact, ntz(F.col(ts)).alias("_at")))
+        .select(*names, "_at").unionByName(versions.select(*names, "_at")),
+        names, rows_per_cell, sampled,
+    )
+
+    def cell(test: Callable[[Column], Column]) -> Column:
+        return F.coalesce(F.size(F.filter("_cuts", test)), F.lit(0))
+
+    unknown = F.lit(False)
+    for n in names:
+        unknown = unknown | F.col(n).isNull()
+    # Facts without a key find nothing anywhere: they are spread.
+    aside = -1 - F.pmod(F.xxhash64("_at"), F.lit(MOST_CELLS)).cast("int")
+    facts = facts.join(F.broadcast(cuts), names, "left").withColumn(
+        "_cell", F.when(unknown, aside).otherwise(cell(lambda c: c <= F.col("_at")))
+    )
+    reached = F.sequence(cell(lambda c: c <= F.col("_at")), cell(lambda c: c < F.col("_version.to")))
+    versions = versions.join(F.broadcast(cuts), names, "left").withColumn("_cell", F.explode(reached))
+    both = versions.drop("_cuts").withColumn("_fact", F.lit(False)).unionByName(
+        facts.drop("_cuts").withColumn("_fact", F.lit(True)), allowMissingColumns=True
+    )
+    before = Window.partitionBy(*names, "_cell").orderBy("_at", "_fact").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
+    last = both.withColumn("_version", F.last("_version", ignorenulls=True).over(before)).filter("_fact")
+    holds = F.col("_at") < F.col("_version.to")
+    if how == "inner":
+        last = last.filter(holds)
+    return last.select(
+        *[F.col("_row")[c].alias(c) for c in fact.columns],
+        *[F.when(holds, F.col("_version.row")[n]).alias(n) for n in take],
+    )
+
+
+def _cuts(rows: DataFrame, names: Sequence[str], rows_per_cell: int, sampled: float) -> DataFrame:
+    """Keys with more rows than a cell should have, and the times (``_cuts``) between their cells."""
+    known = rows.sample(sampled, seed=1) if sampled < 1 else rows
+    quantiles = [i / MOST_CELLS for i in range(1, MOST_CELLS)]
+    per_key = known.dropna().groupBy(*names).agg(
+        F.count("*").alias("n"), F.percentile_approx("_at", quantiles, 10 * MOST_CELLS).alias("q")
+    )
+    cells = F.least(F.floor(F.col("n") / F.lit(rows_per_cell * sampled)), F.lit(MOST_CELLS)).cast("int")
+    between = F.transform(
+        F.sequence(F.lit(1), F.col("cells") - 1),
+        lambda i: F.element_at("q", F.floor(i * MOST_CELLS / F.col("cells")).cast("int")),
+    )
+    return per_key.withColumn("cells", cells).filter("cells >= 2").select(
+        *names, F.array_distinct(between).alias("_cuts")
+    )
+
+
 def current_version(dim: DataFrame, v: Validity = DEFAULT) -> DataFrame:
     return dim.filter(F.col(v.active))
 

@@ -306,7 +306,10 @@ def full_reload(
         disks, people = disks.filter(F.col(DEFAULT.active)), people.filter(F.col(DEFAULT.active))
     paid = source["payment"].drop("inventory_id")
     facts = {
-        "payment": fact_payment(paid, source["rental"], disks, people, calendar, history),
+        "payment": fact_payment(
+            paid, source["rental"], disks, people, calendar, history,
+            (lambda rows: sink.put("work.reload_payment", rows)) if as_of_event else (lambda rows: rows),
+        ),
         "rental": fact_rental(source["rental"], paid, disks, people, calendar, history),
     }
     done = side_by_side(facts, lambda name: sink.put(f"core.reloaded_{name}", facts[name]))

@@ -10,6 +10,7 @@ from layerforge.operators import delta as D
 from layerforge.operators import history as H
 from layerforge.operators import lookup as L
 from layerforge.plans import star
+from layerforge.plans.steps import side_by_side
 from layerforge.session import cut_lineage
 from layerforge.sources import standins as S
 from registered.base import (
@@ -161,9 +162,12 @@ def _written(df):
 
 def _touched(spark, sf_dir, rows, key, columns):
     target = H.add_history_columns(rows(spark, sf_dir, BEFORE).select(*columns).limit(0))
-    state = _written(H.scd2_merge(target, rows(spark, sf_dir, BEFORE), [key], star.TOUCHED, BEFORE))
-    staged = _written(D.delta_scan(rows(spark, sf_dir, AFTER), BEFORE))
-    return H.scd2_merge(state, staged, [key], star.TOUCHED, AFTER)
+    plans = {
+        "state": H.scd2_merge(target, rows(spark, sf_dir, BEFORE), [key], star.TOUCHED, BEFORE),
+        "staged": D.delta_scan(rows(spark, sf_dir, AFTER), BEFORE),
+    }
+    done = side_by_side(plans, lambda name: _written(plans[name]))
+    return H.scd2_merge(done["state"], done["staged"], [key], star.TOUCHED, AFTER)
 
 
 @register("scd2_initial", with_(
@@ -333,21 +337,24 @@ FROM r JOIN di ON di.inventory_id = r.inventory_id
     AND r.last_update >= ds.effective_date_from AND r.last_update < ds.effective_date_to""",
     **_DIMS))
 def asof_dim_lookup(spark, sf_dir):
-    rows = S.rental(spark, sf_dir, AFTER).select(
-        "rental_id", "inventory_id", "staff_id", "last_update"
-    )
-    disks = _written(_touched(spark, sf_dir, S.inventory, "inventory_id", DISK))
-    people = _written(_touched(spark, sf_dir, S.staff, "staff_id", STAFF))
-    rows = L.asof_lookup(
-        rows, disks, {"inventory_id": "inventory_id"}, "last_update",
+    def table(name):
+        if name == "rental":
+            return _written(S.rental(spark, sf_dir, AFTER).select("rental_id", "inventory_id", "staff_id", "last_update"))
+        return _touched(spark, sf_dir, *(
+            (S.inventory, "inventory_id", DISK) if name == "inventory" else (S.staff, "staff_id", STAFF)))
+
+    dims = side_by_side(["inventory", "staff", "rental"], table)
+    rows = dims["rental"]
+    placed = L.asof_lookup_sorted(
+        rows, dims["inventory"], {"inventory_id": "inventory_id"}, "last_update",
         {"inventory_from": "effective_date_from", "store_id": "store_id"},
     )
-    rows = L.asof_lookup_dense(
-        rows, people, {"staff_id": "staff_id"}, "last_update",
-        {"staff_from": "effective_date_from", "active": "active"},
+    done = L.asof_lookup_sorted(
+        placed, dims["staff"], {"staff_id": "staff_id"}, "last_update",
+        {"staff_from": "effective_date_from", "active": "active"}, sample_of=rows,
     )
     return texts(
-        rows.select("rental_id", "inventory_from", "store_id", "staff_from", "active"),
+        done.select("rental_id", "inventory_from", "store_id", "staff_from", "active"),
         "inventory_from", "staff_from",
     )
 

@@ -5,6 +5,7 @@ from dataclasses import replace
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from layerforge.operators import history as H
@@ -233,9 +234,9 @@ def random_versions(spark, rnd, keys, most):
               "effective_date_to timestamp_ntz, is_active boolean")
 
 
-@pytest.mark.parametrize("per_slice", [1, 8, 1000])
-def test_dense_lookup_is_the_plain_one(spark, per_slice):
-    rnd = random.Random(per_slice)
+def facts_and_versions(spark, seed):
+    """Facts, versions and what should be found, as rows and tables."""
+    rnd = random.Random(seed)
     versions, dim = random_versions(spark, rnd, 12, 300)
     # key 0 holds two thirds of the facts; keys 12 and 13 have no version
     facts = [(i, rnd.choice([0, 0, rnd.randrange(14)]),
@@ -248,6 +249,12 @@ def test_dense_lookup_is_the_plain_one(spark, per_slice):
         by_key.setdefault(v[0], []).append(v)
     want = sorted((f, k, v[1]) for f, k, at in facts for v in by_key.get(k, [])
                   if v[2] <= at < v[3])
+    return facts, fact, dim, want
+
+
+@pytest.mark.parametrize("per_slice", [1, 8, 1000])
+def test_dense_lookup_is_the_plain_one(spark, per_slice):
+    facts, fact, dim, want = facts_and_versions(spark, per_slice)
     args = ({"id": "id"}, "at", {"name": "name"})
     plain = L.asof_lookup(fact, dim, *args).select("f", "id", "name")
     dense = L.asof_lookup_dense(fact, dim, *args, per_slice=per_slice)
@@ -259,6 +266,55 @@ def test_dense_lookup_is_the_plain_one(spark, per_slice):
     assert sorted((tuple(r) for r in left.collect()), key=repr) == sorted(want + missing, key=repr)
 
 
+@pytest.mark.parametrize("rows_per_cell", [1, 40, 500, 10**6])
+def test_sorted_lookup_is_the_plain_one(spark, rows_per_cell):
+    """One key holds most facts and versions; it is cut into up to 1000 cells."""
+    facts, fact, dim, want = facts_and_versions(spark, rows_per_cell)
+    empty = dim.limit(30).withColumn("effective_date_to", F.col("effective_date_from"))  # match nothing
+    options = {"rows_per_cell": rows_per_cell, "sampled": 1.0}
+    for how in ("inner", "left"):
+        got = L.asof_lookup_sorted(fact, dim.unionByName(empty), {"id": "id"}, "at", {"name": "name"}, how, **options)
+        assert got.columns == ["f", "id", "at", "name"]
+        found = {f for f, *_ in want}
+        missing = [(f, k, None) for f, k, _ in facts if f not in found] if how == "left" else []
+        assert sorted((tuple(r) for r in got.select("f", "id", "name").collect()), key=repr) == sorted(want + missing, key=repr)
+
+
+def test_sorted_lookup_of_gaps_nulls_and_other_types(spark, frame, values):
+    dim = frame("k bigint, id string, effective_date_from timestamp_ntz, effective_date_to timestamp_ntz",
+                [(1, "a", "2020-01-01", "2020-02-01"), (1, "b", "2020-03-01", "9999-01-01"), (None, "x", "1900-01-01", "9999-01-01")])
+    fact = frame("id int, at timestamp_ntz", [
+        (1, "2019-12-31"), (1, "2020-01-01"), (1, "2020-02-01"), (1, "2020-03-01"), (1, None), (None, "2020-01-01"),
+        (2, "2020-01-01"), (1, "2020-01-01")])
+    for cells in ({}, {"rows_per_cell": 1, "sampled": 1.0}):
+        got = L.asof_lookup_sorted(fact, dim, {"id": "k"}, "at", {"name": "id", "since": "effective_date_from"}, "left", **cells)
+        assert values(got) == sorted([
+            (1, "2019-12-31", None, None), (1, "2020-01-01", "a", "2020-01-01"), (1, "2020-02-01", None, None),
+            (1, "2020-03-01", "b", "2020-03-01"), (1, None, None, None), (None, "2020-01-01", None, None),
+            (2, "2020-01-01", None, None), (1, "2020-01-01", "a", "2020-01-01")], key=repr)
+        none = L.asof_lookup_sorted(fact, dim.limit(0), {"id": "k"}, "at", {"name": "id"}, **cells)
+        assert none.collect() == [] and L.asof_lookup_sorted(fact.limit(0), dim, {"id": "k"}, "at", {"name": "id"}, **cells).isEmpty()
+
+
+def test_sorted_lookup_spreads_a_hot_key_and_shuffles_facts_once(spark):
+    """A third of all facts and versions belong to one key; no task holds more than a few cells of it."""
+    step = F.make_dt_interval(secs=F.col("id").cast("decimal(18,6)"))
+    key = F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id") % 1000)
+    begin = F.lit("2020-01-01").cast("timestamp_ntz")
+    fact = spark.range(60000).select(key.alias("k"), (begin + step).alias("at"), "id")
+    starts = spark.range(20000).select(key.alias("k"), (begin + 3 * step).alias("effective_date_from"), F.col("id").alias("version"))
+    following = F.lead("effective_date_from").over(Window.partitionBy("k").orderBy("effective_date_from"))
+    dim = starts.withColumn("effective_date_to", F.coalesce(following, F.lit("9999-01-01").cast("timestamp_ntz")))
+    args = (fact, dim, {"k": "k"}, "at", {"version": "version"})
+    got = L.asof_lookup_sorted(*args, rows_per_cell=500, sampled=1.0)
+    assert got.exceptAll(L.asof_lookup_dense(*args)).isEmpty() and got.count() == L.asof_lookup_dense(*args).count()
+    cuts = L._cuts(fact.selectExpr("k AS _k0", "at AS _at"), ["_k0"], 500, 1.0).collect()
+    assert [(r["_k0"], len(r["_cuts"])) for r in cuts] == [(-1, 39)]  # 20,000 facts
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    fact_exchanges = [x for x in plan.splitlines() if "hashpartitioning" in x and "_cell" in x]
+    assert len({x.split("plan_id")[0] for x in fact_exchanges}) == 1 and "NestedLoop" not in plan
+
+
 def test_closed_interval_matches_both_sides_of_a_boundary(spark, frame):
     dim = frame("id int, effective_date_from timestamp_ntz, effective_date_to timestamp_ntz",
                 [(1, "2020-01-01", "2020-02-01"), (1, "2020-02-01", "2021-01-01")])

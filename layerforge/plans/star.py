@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from layerforge.functions.dates import ntz
-from layerforge.operators.delta import Stamp, delta_scan, delta_scan_joined
+from layerforge.operators.delta import Stamp, delta_scan, delta_scan_joined, latest_per_key
 from layerforge.operators.facts import (
     FILM_COLUMNS,
     STAFF_COLUMNS,
@@ -44,6 +44,51 @@ def unkept(name: str, rows: DataFrame) -> DataFrame:
     return rows
 
 
+# Key of each table that may hold rows whose lookups find nothing yet.
+LATE_KEY = {
+    "inventory": "inventory_id", "staff": "staff_id", "payment": "payment_id", "rental": "rental_id",
+}
+
+
+def restaged(delta: DataFrame, late: DataFrame | None, key: str) -> DataFrame:
+    """The delta and the rows carried over from earlier loads; ``carried`` tells them apart.
+
+    A key in the delta has its newest state there, which takes the place of the
+    one carried over, also when it says that the row was deleted.
+    """
+    rows = delta.withColumn("carried", F.lit(False))
+    if late is None:
+        return rows
+    waiting = late.join(delta.select(key).distinct(), key, "left_anti")
+    return rows.unionByName(waiting.withColumn("carried", F.lit(True)).select(*rows.columns))
+
+
+def unresolved(
+    staged: DataFrame, looked_up: DataFrame, key: str, loaded: DataFrame | None = None
+) -> DataFrame:
+    """Staged rows to carry over: the newest of their key, not deleted, lookups in vain.
+
+    Their own stamp is older than the next mark, so no later delta has them.
+    ``looked_up`` are the same rows with ``found``. Where a row may take effect
+    although a lookup failed, ``loaded`` (the table after the load) says so: a
+    key with an open version there is not carried over.
+    """
+    def newest(rows: DataFrame) -> DataFrame:
+        return latest_per_key(rows, [key], [F.col("last_update").desc(), F.xxhash64(*rows.columns)])
+
+    in_vain = F.col("deleted").isNull() & ~F.coalesce("found", F.lit(False))
+    keys = newest(looked_up).filter(in_vain).select(key)
+    if loaded is not None:
+        # The few keys go to the large table, not the other way round.
+        open_ = loaded.filter(F.col(DEFAULT.active)).select(key).join(keys, key, "left_semi")
+        keys = keys.join(open_, key, "left_anti")
+    return newest(staged.drop("carried").join(keys, key, "left_semi"))
+
+
+def _carried(rows: DataFrame) -> list[str]:
+    return [c for c in ("carried",) if c in rows.columns]
+
+
 def _start(rows: DataFrame, columns: list[str], pk: str) -> DataFrame:
     """Empty target: key, business columns, validity."""
     empty = rows.limit(0).select(F.lit(None).cast("long").alias(pk), *columns)
@@ -125,7 +170,7 @@ def load_fact_payment(
     rows = keep("payments", rows.select(
         *PAYMENT_COLUMNS, "last_update", "deleted",
         _found("inventory_fk", "staff_fk").alias("keys_found"),
-        _found("inventory_fk", "staff_fk", "payment_date_fk").alias("found"),
+        _found("inventory_fk", "staff_fk", "payment_date_fk").alias("found"), *_carried(rows),
     ))
     if target is None:
         target = _start(rows, PAYMENT_COLUMNS, "payment_pk")
@@ -192,7 +237,7 @@ def load_fact_rental(
     rows = keep("rentals", rows.select(
         *RENTAL_COLUMNS, "last_update", "deleted",
         _found("inventory_fk", "staff_fk").alias("keys_found"),
-        _found("inventory_fk", "staff_fk", "rental_date_fk").alias("found"),
+        _found("inventory_fk", "staff_fk", "rental_date_fk").alias("found"), *_carried(rows),
     ))
     if target is None:
         target = _start(rows, RENTAL_COLUMNS, "rental_pk")
@@ -225,6 +270,7 @@ def load(
     """One load of the star schema; what is new follows from the load log.
 
     Dimensions come before facts: facts look up versions as of ``last_update``.
+    Staged rows whose lookups find nothing are carried over to the next load.
     """
     film_mark = ntz(sink.mark("staging.film")) if sink.known("staging.film") else None
     staged = _staged(source, sink)
@@ -232,31 +278,43 @@ def load(
     def keep(name: str, rows: DataFrame) -> DataFrame:
         return sink.put(f"work.{name}", rows)
 
+    def rows_of(name: str) -> DataFrame:
+        late = sink.get(f"staging.late_{name}")
+        return keep(f"staged_{name}", restaged(staged[name], late, LATE_KEY[name]))
+
+    def carry_over(name: str, rows: DataFrame, step: str, loaded: DataFrame | None = None) -> None:
+        late = unresolved(rows, sink.get(f"work.{step}"), LATE_KEY[name], loaded)
+        sink.put(f"staging.late_{name}", late)
+
     def to_dimension(name: str) -> DataFrame:
         before = sink.get(f"core.{name}")
         if name == "dim_inventory":
-            rows = load_dim_inventory(
-                before, staged["inventory"], staged["film"], film_mark, load_ts, keep
-            )
+            given = rows_of("inventory")
+            rows = load_dim_inventory(before, given, staged["film"], film_mark, load_ts, keep)
+            carry_over("inventory", given, "disks")
         else:
+            given = rows_of("staff")
             rows = load_dim_staff(
-                before, staged["staff"], staged["store"], staged["address"], staged["city"],
-                load_ts, keep,
+                before, given, staged["store"], staged["address"], staged["city"], load_ts, keep
             )
+            carry_over("staff", given, "people")
         return sink.put(f"core.{name}", rows)
 
     dims = side_by_side(["dim_inventory", "dim_staff"], to_dimension)
 
     def to_fact(name: str) -> DataFrame:
-        build, rows = (
-            (load_fact_payment, staged["payment"]) if name == "fact_payment"
-            else (load_fact_rental, staged["rental"])
+        build, source_name = (
+            (load_fact_payment, "payment") if name == "fact_payment" else (load_fact_rental, "rental")
         )
+        given = rows_of(source_name)
         changes = build(
-            sink.get(f"core.{name}"), rows, dims["dim_inventory"], dims["dim_staff"], calendar,
+            sink.get(f"core.{name}"), given, dims["dim_inventory"], dims["dim_staff"], calendar,
             load_ts, keep=keep, keep_closed=False,
         )
-        return sink.versions(f"core.{name}", changes, DEFAULT.active)
+        loaded = sink.versions(f"core.{name}", changes, DEFAULT.active)
+        # A rental may be returned, or change, while its disk or day is unknown.
+        carry_over(source_name, given, f"{source_name}s", loaded if source_name == "rental" else None)
+        return loaded
 
     facts = side_by_side(["fact_payment", "fact_rental"], to_fact)
 
@@ -271,21 +329,24 @@ def load(
     return {**staged, **dims, **facts, **reports, "dropped": dropped}
 
 
-# Staged rows of a load that open no version, and the flag that tells.
-_LOOKED_UP = {
-    "disks": "found", "people": "found", "payments": "found", "rentals": "found",
-}
+_STEPS = ("disks", "people", "payments", "rentals")
 
 
 def dropped_rows(sink: StoreSink) -> DataFrame:
-    """Staged, undeleted rows of this load whose lookups found no film, place, version or day."""
+    """Staged, undeleted rows of this load whose lookups found no film, place, version or day.
+
+    ``carried_rows`` of the staged ones were carried over from earlier loads, and
+    ``carried_dropped_rows`` of those again found nothing.
+    """
     out = None
-    for name, flag in _LOOKED_UP.items():
+    for name in _STEPS:
         rows = sink.get(f"work.{name}").filter(F.col("deleted").isNull())
+        vain = ~F.coalesce("found", F.lit(False))
         one = rows.agg(
-            F.count("*").alias("staged_rows"),
-            F.count_if(~F.coalesce(flag, F.lit(False))).alias("dropped_rows"),
-        ).select(F.lit(name).alias("step"), "staged_rows", "dropped_rows")
+            F.count("*").alias("staged_rows"), F.count_if("carried").alias("carried_rows"),
+            F.count_if(vain).alias("dropped_rows"),
+            F.count_if(vain & F.col("carried")).alias("carried_dropped_rows"),
+        ).select(F.lit(name).alias("step"), "*")
         out = one if out is None else out.unionByName(one)
     return out
 

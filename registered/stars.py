@@ -7,9 +7,12 @@ import uuid
 from pyspark.sql import functions as F
 
 from layerforge.operators import checks, facts
+from layerforge.operators.delta import delta_scan
+from layerforge.operators.history import add_history_columns
 from layerforge.operators.keys import number_rows
 from layerforge.plans import layered, star
 from layerforge.plans.sinks import StoreSink
+from layerforge.session import cut_lineage
 from layerforge.sources import standins as S
 from layerforge.sources.store import scratch_store
 from registered.analytics import calendar, calendar_span
@@ -232,6 +235,12 @@ def _asof(rows: str, disks: str, people: str, at: str = "last_update", how: str
         AND x.{at} >= ds.effective_date_from AND x.{at} < ds.effective_date_to"""
 
 
+def _restaged(delta: str, late: str, key: str) -> str:
+    """A delta and the rows carried over whose key it lacks."""
+    return f"""SELECT *, FALSE AS carried FROM ({delta}) UNION ALL BY NAME
+      SELECT *, TRUE AS carried FROM {late} WHERE {key} NOT IN (SELECT {key} FROM ({delta}))"""
+
+
 # The dimension loads step by step: deleted disks and staff are closed, new ones
 # inserted, changed ones closed and opened again; films split versions. Only the
 # inserts need the film or the place of the store.
@@ -241,9 +250,12 @@ _STAR = {
     "f1": film(BEFORE),
     "f2": film(AFTER),
     "i1": f"SELECT * FROM ({inventory(BEFORE)}) JOIN (SELECT film_id, title FROM f1) USING (film_id)",
-    "i2": f"""SELECT x.*, f.title, f.film_id IS NOT NULL AS found FROM ({inventory(AFTER)}) x
-      LEFT JOIN f2 f USING (film_id)
-      WHERE x.last_update >= TIMESTAMP '{BEFORE}' OR x.deleted >= TIMESTAMP '{BEFORE}'""",
+    # Rows of the first load without a home come again with the second, unless it has their key.
+    "late_i": f"""SELECT * FROM ({inventory(BEFORE)})
+      WHERE deleted IS NULL AND film_id NOT IN (SELECT film_id FROM f1)""",
+    "staged_i": _restaged(f"SELECT * FROM ({inventory(AFTER)}) WHERE {SINCE}", "late_i", "inventory_id"),
+    "i2": """SELECT x.*, f.title, f.film_id IS NOT NULL AS found FROM staged_i x
+      LEFT JOIN f2 f USING (film_id)""",
     "di1": initial_sql("i1", "inventory_id, film_id, title"),
     "dm": merge_sql("di1", "i2", "inventory_id", ["inventory_id", "film_id", "title"], "TRUE",
                     first_if="s.found", change_if="s.found"),
@@ -258,9 +270,11 @@ _STAR = {
       FROM cut WHERE hit""",
     "s1": f"""SELECT x.*, city_name FROM ({staff(BEFORE)}) x
       JOIN (SELECT store_id, city_name FROM place) USING (store_id)""",
-    "s2": f"""SELECT x.*, p.city_name, p.store_id IS NOT NULL AS found FROM ({staff(AFTER)}) x
-      LEFT JOIN place p USING (store_id)
-      WHERE x.last_update >= TIMESTAMP '{BEFORE}' OR x.deleted >= TIMESTAMP '{BEFORE}'""",
+    "late_s": f"""SELECT * FROM ({staff(BEFORE)})
+      WHERE deleted IS NULL AND store_id NOT IN (SELECT store_id FROM place)""",
+    "staged_s": _restaged(f"SELECT * FROM ({staff(AFTER)}) WHERE {SINCE}", "late_s", "staff_id"),
+    "s2": """SELECT x.*, p.city_name, p.store_id IS NOT NULL AS found FROM staged_s x
+      LEFT JOIN place p USING (store_id)""",
     "ds1": initial_sql("s1", "staff_id, first_name, city_name"),
     "ds2": merge_sql("ds1", "s2", "staff_id", ["staff_id", "first_name", "city_name"], "TRUE",
                      first_if="s.found", change_if="s.found"),
@@ -270,9 +284,14 @@ _STAR = {
     "p2": f"""SELECT p.* FROM ({payment(AFTER)}) p JOIN r2 USING (rental_id)
       WHERE p.last_update >= TIMESTAMP '{BEFORE}' OR p.deleted >= TIMESTAMP '{BEFORE}'
         OR r2.last_update >= TIMESTAMP '{BEFORE}'""",
-    "rs": f"SELECT * FROM r2 WHERE {SINCE}",
+    "late_p": f"""SELECT * FROM p1 WHERE deleted IS NULL
+      AND payment_id NOT IN (SELECT payment_id FROM ({_asof("p1", "di1", "ds1")}))""",
+    "late_r": f"""SELECT * FROM r1 WHERE deleted IS NULL
+      AND rental_id NOT IN (SELECT rental_id FROM ({_asof("r1", "di1", "ds1")}))""",
+    "ps": _restaged("SELECT * FROM p2", "late_p", "payment_id"),
+    "rs": _restaged(f"SELECT * FROM r2 WHERE {SINCE}", "late_r", "rental_id"),
     # staged facts with the versions found for them, if any
-    "pk": _asof("p2", "di2", "ds2", how="LEFT JOIN"),
+    "pk": _asof("ps", "di2", "ds2", how="LEFT JOIN"),
     "rk": _asof("rs", "di2", "ds2", how="LEFT JOIN"),
 }
 _KEYS_FOUND = "(s.inventory_from IS NOT NULL AND s.staff_from IS NOT NULL)"
@@ -361,17 +380,63 @@ def star_load_rental(spark, sf_dir):
 
 def _dropped_sql(step: str, rows: str, found: str) -> str:
     return f"""SELECT '{step}' AS step, count(*) AS staged_rows,
-      count_if(NOT ({found})) AS dropped_rows FROM {rows} s WHERE deleted IS NULL"""
+      CAST(coalesce(count_if(carried), 0) AS BIGINT) AS carried_rows,
+      CAST(coalesce(count_if(NOT ({found})), 0) AS BIGINT) AS dropped_rows,
+      CAST(coalesce(count_if(carried AND NOT ({found})), 0) AS BIGINT) AS carried_dropped_rows
+      FROM {rows} s WHERE deleted IS NULL"""
 
 
 @register("load_dropped", with_(" UNION ALL ".join([
     _dropped_sql("disks", "i2", "found"), _dropped_sql("people", "s2", "found"),
     _dropped_sql("payments", "pk", _KEYS_FOUND), _dropped_sql("rentals", "rk", _KEYS_FOUND)]), **_STAR))
 def load_dropped(spark, sf_dir):
-    """Undeleted rows of the second load that no lookup found a home for."""
+    """Undeleted rows of the second load that no lookup found a home for, new and carried over."""
     return _star(spark, sf_dir)["dropped"]
 
 
+_PARTIAL = "inventory_id % 5 <> 0"
+
+
+@register("late_keys", with_(f"""
+SELECT payment_id, amount, rental_id, CAST(strftime(payment_date, '%Y%m%d') AS INT) AS payment_date_fk,
+  inventory_id, {RANGE}, payment_id IN (SELECT payment_id FROM late) AS was_late FROM merged""",
+    p1=payment(BEFORE), delta=f"SELECT * FROM ({payment(AFTER)}) WHERE {SINCE}",
+    first=initial_sql(f"(SELECT * FROM p1 WHERE {_PARTIAL})", ", ".join(_PAID[:5])),
+    late=f"SELECT * FROM p1 WHERE NOT ({_PARTIAL}) AND deleted IS NULL",
+    ps=_restaged("SELECT * FROM delta", "late", "payment_id"),
+    merged=merge_sql("first", "ps", "payment_id", _PAID[:5],
+                     "o.amount <> s.amount OR o.payment_date <> s.payment_date",
+                     overwrite=("inventory_id",))))
+def late_keys(spark, sf_dir):
+    """Two loads of payments; every fifth disk reaches the dimension between them.
+
+    Payments of those disks find no version in the first load and wait for the
+    second, which opens them although its delta does not have them.
+    """
+    days = calendar(spark, sf_dir)
+    disks, people = [cut_lineage(add_history_columns(d)) for d in _dims(spark, sf_dir)]
+    looked_up = {}
+
+    def keep(name, rows):
+        looked_up[name] = cut_lineage(rows)
+        return looked_up[name]
+
+    def load(target, staged, known, load_ts):
+        rows = cut_lineage(star.load_fact_payment(target, staged, known, people, days, load_ts, keep))
+        return rows, cut_lineage(star.unresolved(staged, looked_up["payments"], "payment_id"))
+
+    staged = cut_lineage(star.restaged(S.payment(spark, sf_dir, BEFORE), None, "payment_id"))
+    state, late = load(None, staged, disks.filter(_PARTIAL), BEFORE)
+    delta = cut_lineage(delta_scan(S.payment(spark, sf_dir, AFTER), BEFORE))
+    state, _ = load(state, star.restaged(delta, late, "payment_id"), disks, AFTER)
+    named = state.join(disks.select(F.col("inventory_pk").alias("inventory_fk"), "inventory_id"), "inventory_fk")
+    marked = named.join(late.select("payment_id", F.lit(True).alias("was_late")), "payment_id", "left")
+    return versions(
+        marked.withColumn("was_late", F.coalesce("was_late", F.lit(False))),
+        "payment_id", "amount", "rental_id", "payment_date_fk", "inventory_id", "was_late",
+    )
+
+
 _FACT = {
     "k1": _asof("p1", "di1", "ds1"),
     "first": initial_sql("k1", ", ".join(_PAID)),

@@ -252,13 +252,61 @@ def test_star_load_closes_what_no_lookup_finds(spark, sinks, values):
         (102, 20211211, "9999-01-01", True),
         (103, 20211212, "2022-02-11", False),
         (103, None, "9999-01-01", True)], key=repr)  # after a change the day may be missing
-    assert ("disks", 1, 1) in values(done["dropped"])
+    assert ("disks", 1, 0, 1, 0) in values(done["dropped"])
     # a third load takes only what is new
     rows["payment"].append((1005, 1, 1, 102, Decimal("3.00"), t("2022-03-10"), t("2022-03-10"), None))
     third = star.load(tables(spark, rows), sinks("3", "2022-04-01"), days, "2022-04-01")
     assert values(third["payment"], "payment_id") == [(1005,)]
 
 
+def test_rows_without_a_home_come_back(spark, sinks, values):
+    """What found no disk, film or day is staged again with every load until it does."""
+    def load(n, rows, at):
+        return star.load(tables(spark, rows), sinks(str(n), at), days, at)
+
+    days = calendar_dim(spark, "2021-01-01", 800)
+    rows, at, d = base(), t("2021-12-20"), Decimal
+    disk, film = (31, 3, 1, at, None), (3, "LATE SHOW", *rows["film"][0][2:10], t("2022-03-20"), ["Trailers"])
+    rows["rental"].append((105, t("2021-12-20"), 31, 1, None, 1, at, None))
+    rows["payment"] += [(1005, 1, 1, 105, d("5.00"), at, at, None), (1006, 1, 1, 105, d("6.00"), at, at, None),
+                        (1007, 1, 1, 105, d("7.00"), at, at, None)]
+    first = load(1, rows, T1)  # neither disk 31 nor film 3 is known
+    assert values(first["dropped"]) == sorted([
+        ("disks", 3, 0, 0, 0), ("people", 2, 0, 0, 0), ("payments", 6, 0, 3, 0), ("rentals", 4, 0, 1, 0)])
+    assert values(first["fact_payment"], "payment_id") == [(1001,), (1002,), (1003,)]
+    rows["inventory"].append((*disk[:3], t("2022-02-10"), None))  # the disk comes, its film does not
+    at2 = t("2022-02-15")
+    rows["payment"][4] = (1006, 1, 1, 105, d("6.50"), at, at2, None)  # a newer state, still without a disk
+    rows["payment"][5] = (*rows["payment"][5][:6], at2, at2)  # deleted while it waited
+    second = load(2, rows, T2)
+    assert values(second["dropped"]) == sorted([
+        ("disks", 1, 0, 1, 0), ("people", 0, 0, 0, 0), ("payments", 2, 1, 2, 1), ("rentals", 1, 1, 1, 1)])
+    rows["film"].append(film)
+    third = load(3, rows, "2022-04-01")  # no staged row is new, but the film is there
+    assert values(third["payment"]) == [] and values(third["inventory"]) == []
+    assert values(third["dropped"]) == sorted([
+        ("disks", 1, 1, 0, 0), ("people", 0, 0, 0, 0), ("payments", 2, 2, 0, 0), ("rentals", 1, 1, 0, 0)])
+    paid = values(third["fact_payment"].filter("payment_id > 1003"), "payment_id", "amount", "effective_date_from", "is_active")
+    assert paid == [(1005, d("5.00"), "1900-01-01", True), (1006, d("6.50"), "1900-01-01", True)]
+    assert values(third["fact_rental"].filter("is_active"), "rental_id") == [(101,), (102,), (103,), (105,)]
+    assert ("LATE SHOW", d("11.50")) in values(third["sales_film"])
+    fourth = load(4, rows, "2022-05-01")  # nothing waits any more
+    assert {r[2] for r in values(fourth["dropped"])} == {0}
+    assert values(fourth["fact_payment"]) == values(third["fact_payment"])
+
+
+def test_a_returned_rental_is_not_staged_again(spark, sinks, values):
+    """A return date is filled in though the disk is closed; the rental took effect and waits for nothing."""
+    days = calendar_dim(spark, "2021-01-01", 800)
+    rows = base()
+    star.load(tables(spark, rows), sinks("1", T1), days, T1)
+    rows["inventory"][0] = (11, 1, 1, t("2021-12-01"), t("2022-02-10"))
+    rows["rental"][0] = (101, t("2021-12-10"), 11, 1, t("2022-02-15"), 1, t("2022-02-15"), None)
+    star.load(tables(spark, rows), sinks("2", T2), days, T2)
+    third = star.load(tables(spark, rows), sinks("3", "2022-04-01"), days, "2022-04-01")
+    assert values(third["fact_rental"].filter("rental_id = 101"), "return_date_fk", "is_active") == [(20220215, True)]
+
+
 def test_duplicate_source_key_opens_one_version(spark, sinks):
     rows = base()
     rows["city"].append((1, "Oslo again", 7, t("2021-12-05")))

@@ -7,8 +7,17 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql.types import StructType
 
-from layerforge.operators.delta import Stamp, delete_insert, read_watermark
-from layerforge.sources.store import APPEND, FULL, VERSIONS, Loaded, TableStore
+from layerforge.operators.delta import Stamp, read_watermark
+from layerforge.sources.store import (
+    APPEND,
+    FOLD_LOADS,
+    FOLD_SHARE,
+    FULL,
+    KEYED,
+    VERSIONS,
+    Loaded,
+    TableStore,
+)
 
 
 class StoreSink:
@@ -55,14 +64,26 @@ class StoreSink:
         return self._note(name, VERSIONS, changes.schema, active)
 
     def upsert(self, name: str, delta: DataFrame, key: str) -> DataFrame:
-        """Delete-insert by key, written as a whole table."""
-        rows = self.get(name)
-        return self.put(name, delta if rows is None else delete_insert(rows, delta, [key]))
-
-    def _note(
-        self, name: str, kind: str, schema: StructType, active: str | None = None
-    ) -> DataFrame:
-        self._loaded[name] = Loaded(self.load_id, kind, schema, active)
+        """Delete-insert by key: the staged rows are written, readers pass over what they replace.
+
+        The whole table is written by the first load, and by one that finds a
+        large share of it staged since.
+        """
+        if name not in self._before:
+            return self._keyed(name, delta, key, whole=True)
+        merged = self._keyed(name, delta, key, whole=False)
+        loads = [*self.store.loads(name, besides=self.load_id), self._loaded[name]]
+        since = sum(t.rows for t in loads[1:])
+        if len(loads) <= FOLD_LOADS and since <= FOLD_SHARE * loads[0].rows:
+            return merged
+        return self._keyed(name, merged, key, whole=True)
+
+    def _keyed(self, name: str, rows: DataFrame, key: str, whole: bool) -> DataFrame:
+        n = self.store.write_keyed(name, rows, self.load_id, whole)
+        return self._note(name, KEYED, rows.schema, key=key, rows=n, whole=whole)
+
+    def _note(self, name: str, kind: str, schema: StructType, active: str | None = None, **more) -> DataFrame:
+        self._loaded[name] = Loaded(self.load_id, kind, schema, active, **more)
         self._written[name] = self.store.open(name, self._loaded[name], besides=self.load_id)
         return self._written[name]
 

@@ -10,6 +10,8 @@ full      the whole table; readers take the newest load
 append    new rows only; readers take all loads
 versions  open rows and the rows this load closed; readers take the newest
           load and the closed rows of the earlier ones
+keyed     staged rows only, the whole table now and then; for every key, readers
+          take the rows of the newest load that has it
 """
 
 from __future__ import annotations
@@ -17,9 +19,10 @@ from __future__ import annotations
 import json
 import uuid
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -27,7 +30,11 @@ from layerforge.functions.dates import ntz
 from layerforge.operators.delta import Stamp
 from layerforge.session import shared_folder
 
-FULL, APPEND, VERSIONS = "full", "append", "versions"
+FULL, APPEND, VERSIONS, KEYED = "full", "append", "versions", "keyed"
+# A keyed table is written whole again when the loads since hold this share of
+# the rows of the last whole one, or are so many: bytes written stay in
+# proportion to the rows staged.
+FOLD_SHARE, FOLD_LOADS = 0.5, 32
 
 # The schema is kept with the load: readers open no footer to infer it, and
 # partition columns come back with their own type.
@@ -44,6 +51,24 @@ class Loaded:
     kind: str
     schema: StructType
     active: str | None = None
+    key: str | None = None
+    rows: int | None = None  # of this load, for keyed tables
+    whole: bool = False  # a keyed table's load that stands for all loads before it
+
+    def described(self) -> str:
+        return json.dumps({
+            "schema": self.schema.jsonValue(), "active": self.active, "key": self.key,
+            "rows": self.rows, "whole": self.whole,
+        })
+
+    @staticmethod
+    def of(row: Row) -> Loaded:
+        """From an entry of the load log."""
+        d = json.loads(row["schema_json"])
+        return Loaded(
+            row["load_id"], row["kind"], StructType.fromJson(d["schema"]), d.get("active"),
+            d.get("key"), d.get("rows"), d.get("whole", False),
+        )
 
 
 def scratch_store(spark: SparkSession) -> TableStore:
@@ -79,22 +104,21 @@ class TableStore:
         newest = self.log(besides).groupBy("table_name").agg(
             F.max_by(F.struct("load_id", "kind", "schema_json"), "update_dt").alias("last")
         )
-        out = {}
-        for r in newest.collect():
-            described = json.loads(r["last"]["schema_json"])
-            out[r["table_name"]] = Loaded(
-                r["last"]["load_id"], r["last"]["kind"],
-                StructType.fromJson(described["schema"]), described.get("active"),
-            )
-        return out
+        return {r["table_name"]: Loaded.of(r["last"]) for r in newest.collect()}
+
+    def loads(self, name: str, besides: str | None = None) -> list[Loaded]:
+        """Loads of a keyed table from the last whole one on, oldest first (``FOLD_LOADS`` at most)."""
+        rows = self.log(besides).filter(F.col("table_name") == name)
+        whole = F.get_json_object("schema_json", "$.whole") == "true"
+        since = rows.filter(whole).agg(F.max("update_dt")).first()[0]
+        rows = rows if since is None else rows.filter(F.col("update_dt") >= F.lit(since))
+        found = [Loaded.of(r) for r in rows.orderBy("update_dt", "load_id").collect()]
+        starts = [i for i, t in enumerate(found) if t.whole]
+        return found[starts[-1]:] if starts else found
 
     def commit(self, tables: dict[str, Loaded], load_ts: Stamp) -> None:
         """Make the tables of a load visible: one new file under the log."""
-        rows = [
-            (n, t.load_id, t.kind,
-             json.dumps({"schema": t.schema.jsonValue(), "active": t.active}))
-            for n, t in tables.items()
-        ]
+        rows = [(n, t.load_id, t.kind, t.described()) for n, t in tables.items()]
         named = self.spark.createDataFrame(
             rows, "table_name string, load_id string, kind string, schema_json string"
         ).withColumn("update_dt", ntz(load_ts))
@@ -110,6 +134,12 @@ class TableStore:
             *partition_by
         ).parquet(self.path(name, f"load={load_id}"))
 
+    def write_keyed(self, name: str, df: DataFrame, load_id: str, whole: bool) -> int:
+        """Staged rows of a load, or the whole table as it leaves it; returns their number (from the footers)."""
+        path = self.path(name, f"{'whole' if whole else 'load'}={load_id}")
+        df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path).count()
+
     def open(self, name: str, table: Loaded, besides: str | None = None) -> DataFrame:
         """Rows of a logged table; of a load not logged yet, its own rows count too.
 
@@ -117,6 +147,8 @@ class TableStore:
         logged loads on the partition column, so other loads' files are pruned.
         """
         reader, columns = self.spark.read, table.schema.names
+        if table.kind == KEYED:
+            return self._newest_by_key(name, table, besides)
         if table.kind == FULL:
             return reader.schema(table.schema).parquet(
                 self.path(name, f"load={table.load_id}")
@@ -134,6 +166,27 @@ class TableStore:
         mine = rows.filter(F.col("load") == table.load_id)
         return mine.unionByName(earlier).select(*columns)
 
+    def _newest_by_key(self, name: str, table: Loaded, besides: str | None) -> DataFrame:
+        """The whole load without the keys staged since, and the newest load's rows of those.
+
+        Only the rows staged since are ranked, and by map tasks before the
+        shuffle; their keys are looked up from the whole load's side, so it is
+        scanned without a shuffle while they are few.
+        """
+        loads = [t for t in self.loads(name, besides) if t.load_id != table.load_id]
+        loads = [table] if table.whole else [*loads, table]
+        files = self.spark.read.schema(table.schema)
+        parts = [files.parquet(self.path(name, f"{'whole' if t.whole else 'load'}={t.load_id}")) for t in loads]
+        if len(parts) == 1:
+            return parts[0]
+        since = [p.withColumn("_load", F.lit(i)) for i, p in enumerate(parts) if i]
+        by_key = Window.partitionBy(table.key).orderBy(F.col("_load").desc())
+        staged = reduce(DataFrame.unionByName, since)
+        # Equal ranks stay: a load may stage several rows of a key.
+        newest = staged.withColumn("_rank", F.rank().over(by_key)).filter("_rank = 1").drop("_rank", "_load")
+        keys = staged.select(table.key).distinct()
+        return parts[0].join(keys, table.key, "left_anti").unionByName(newest)
+
     def read(self, name: str, current: dict[str, Loaded] | None = None) -> DataFrame | None:
         """Newest committed state of a table, None before its first load."""
         current = self.current() if current is None else current

@@ -9,10 +9,11 @@ document with a smaller id.
    units of work. Which grams occur in several texts is found from four bytes of
    each gram's hash, dealt to buckets; a chance hit costs work only.
 3. The strings of the runs whose gram occurs again are dealt to shards by gram,
-   so equal windows meet. Each shard gets a suffix array by induced sorting;
-   neighbours in it with LENGTH common bytes are equal windows, and the smallest
-   id of such a group decides for all its members.
-4. The runs report what goes, by document, and the texts are cut.
+   so equal windows meet. A batch of texts sends each different string once, with
+   its smallest id. Each shard gets a suffix array by induced sorting; neighbours
+   in it with LENGTH common bytes are equal windows, and the smallest id of such a
+   group decides for all its members.
+4. The answers go back to the batches, whose texts report what goes and are cut.
 
 Between tasks, keys and strings travel packed by task and bucket.
 """
@@ -25,6 +26,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -125,89 +127,182 @@ def repeated_grams(texts: DataFrame, length: int, gram: int, buckets: int) -> Da
 
 # --- what goes -------------------------------------------------------------------
 
-def removals(marked: DataFrame, length: int, gram: int, buckets: int) -> DataFrame:
-    """(id, first, last): stretches of each text that go; they may touch and overlap."""
+SPANS = "id long, h long, first long, last long"
+
+
+def _packed(batch: pa.RecordBatch, number: int, length: int, gram: int, buckets: int) -> pa.RecordBatch | None:
+    """One row a bucket: the different strings of the wanted runs, and where they occur.
+
+    A string that many texts of the batch have is there once, with the smallest
+    and the largest id.
+    """
+    ids, hashes_of_texts, wanted = batch.column("id").to_numpy(), batch.column("h").to_numpy(), batch.column("marks")
+    bounds = np.frombuffer(wanted.buffers()[1], np.int32)[wanted.offset : wanted.offset + len(wanted) + 1]
+    flat = wanted.values.to_numpy(zero_copy_only=False)
+    number_of: dict[bytes, int] = {}
+    held = []
+    for data, offsets, row, first, count, hashes in _text_runs(batch.column("text"), length, gram):
+        marks = _marks(hashes, buckets)
+        keep = np.zeros(len(row), bool)
+        edges = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]])) if len(row) else []
+        for a, z in zip(edges, [*edges[1:], len(row)]):
+            r = row[a]
+            keep[a:z] = np.isin(marks[a:z], flat[bounds[r] : bounds[r + 1]])
+        if not keep.any():
+            continue
+        row, first, size, bucket = row[keep], first[keep], count[keep] + length - 1, marks[keep] >> 32
+        blob, begin = data.tobytes(), offsets[row] + first
+        kind = [
+            number_of.setdefault(blob[x:y], len(number_of)) for x, y in zip(begin.tolist(), (begin + size).tolist())
+        ]
+        held.append((bucket, ids[row], hashes_of_texts[row], first, np.array(kind, np.int64)))
+    if not held:
+        return None
+    bucket, docs, texts, first, kind = (np.concatenate(c) for c in zip(*held))
+    strings = list(number_of)
+    least, most = np.full(len(strings), np.iinfo(np.int64).max), np.full(len(strings), np.iinfo(np.int64).min)
+    np.minimum.at(least, kind, docs)
+    np.maximum.at(most, kind, docs)
+    home = np.zeros(len(strings), np.int64)  # equal strings have one gram, so one bucket
+    home[kind] = bucket
+    turn = np.argsort(home, kind="stable")
+    place = np.empty(len(strings), np.int64)
+    place[turn] = np.arange(len(strings))
+    names, at = np.unique(home[turn], return_index=True)
+    order = np.argsort(bucket, kind="stable")
+    docs, texts, first, kind = docs[order], texts[order], first[order], place[kind[order]]
+    starts = np.searchsorted(bucket[order], names)
+    rows = []
+    for name, a, z, x, y in zip(
+        names.tolist(), at, [*at[1:], len(strings)], starts, [*starts[1:], len(docs)], strict=True
+    ):
+        mine = [strings[i] for i in turn[a:z].tolist()]
+        rows.append((
+            name, number, np.array([len(m) for m in mine], np.int32).tobytes(), b"".join(mine),
+            least[turn[a:z]].tobytes(), most[turn[a:z]].tobytes(), docs[x:y].astype(np.int64).tobytes(),
+            texts[x:y].astype(np.int64).tobytes(), first[x:y].astype(np.int64).tobytes(), (kind[x:y] - a).astype(np.int32).tobytes(),
+        ))
+    c = list(zip(*rows))
+    return pa.RecordBatch.from_arrays(
+        [*(pa.array(x, pa.int64()) for x in c[:2]), *(pa.array(x, pa.binary()) for x in c[2:])],
+        names=["bucket", "batch", *STRINGS, *OCCURRENCES],
+    )
+
+
+STRINGS = ["sizes", "strings", "least", "most"]
+OCCURRENCES = ["ids", "hs", "firsts", "kinds"]
+DECIDED = ["counts", "starts", "stops", "owners"]
 
-    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            ids = b.column("id").to_numpy()
-            wanted = b.column("marks")
-            bounds = np.frombuffer(wanted.buffers()[1], np.int32)[wanted.offset : wanted.offset + len(wanted) + 1]
-            flat = wanted.values.to_numpy(zero_copy_only=False)
-            held = []
-            for data, offsets, row, first, count, hashes in _text_runs(b.column("text"), length, gram):
-                marks = _marks(hashes, buckets)
-                keep = np.zeros(len(row), bool)
-                edges = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]])) if len(row) else []
-                for a, z in zip(edges, [*edges[1:], len(row)]):
-                    r = row[a]
-                    keep[a:z] = np.isin(marks[a:z], flat[bounds[r] : bounds[r + 1]])
-                if not keep.any():
-                    continue
-                row, first, size, bucket = row[keep], first[keep], count[keep] + length - 1, marks[keep] >> 32
-                order = np.argsort(bucket, kind="stable")
-                row, first, size, bucket = row[order], first[order], size[order], bucket[order]
-                begin = offsets[row] + first
-                ends = np.cumsum(size)
-                where = np.repeat(begin - (ends - size), size) + np.arange(ends[-1])
-                held.append((bucket, ids[row], first, size, data[where]))
-            if not held:
-                continue
-            rows = []
-            for bucket, docs, first, size, blob in held:
-                names, at = np.unique(bucket, return_index=True)
-                ends = np.concatenate([[0], np.cumsum(size)])
-                for name, a, z in zip(names, at, [*at[1:], len(bucket)]):
-                    rows.append((
-                        int(name), docs[a:z].astype(np.int64).tobytes(), first[a:z].astype(np.int64).tobytes(),
-                        size[a:z].astype(np.int32).tobytes(), blob[ends[a] : ends[z]].tobytes(),
-                    ))
-            c = list(zip(*rows))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c[0], pa.int64()), *(pa.array(x, pa.binary()) for x in c[1:])],
-                names=["bucket", "ids", "firsts", "sizes", "strings"],
-            )
 
-    def decide(pdf: pd.DataFrame) -> pd.DataFrame:
-        def joined(column: str, kind: type) -> np.ndarray:
-            return np.concatenate([np.frombuffer(x, kind) for x in pdf[column]])
+def _flat(column: pd.Series, kind: type) -> np.ndarray:
+    return np.concatenate([np.frombuffer(x, kind) for x in column])
 
-        ids, firsts, sizes = joined("ids", np.int64), joined("firsts", np.int64), joined("sizes", np.int32).astype(np.int64)
-        blob = b"".join(pdf["strings"])
-        ends = np.cumsum(sizes)
-        distinct: dict[bytes, int] = {}
-        kind = np.array(
-            [distinct.setdefault(blob[e - s : e], len(distinct)) for e, s in zip(ends.tolist(), sizes.tolist())], np.int64
+
+def _gathered(first: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """first[0], first[0] + 1, ... (count[0] of them), then those of the next."""
+    ends = np.cumsum(count)
+    return np.repeat(first - (ends - count), count) + np.arange(ends[-1] if len(ends) else 0)
+
+
+def _decided(pdf: pd.DataFrame, length: int) -> pd.DataFrame:
+    """For the strings of each batch: stretches of windows and the smallest id that has them.
+
+    Stretches that no text of the batch can lose are left out.
+    """
+    sizes, least, most = _flat(pdf["sizes"], np.int32).astype(np.int64), _flat(pdf["least"], np.int64), _flat(pdf["most"], np.int64)
+    blob = b"".join(pdf["strings"])
+    ends = np.cumsum(sizes)
+    distinct: dict[bytes, int] = {}
+    kind = np.array([distinct.setdefault(blob[e - s : e], len(distinct)) for e, s in zip(ends.tolist(), sizes.tolist())], np.int64)
+    del blob
+    owners = np.full(len(distinct), np.iinfo(np.int64).max)
+    np.minimum.at(owners, kind, least)
+    strings = list(distinct)
+    of_window, begins = least_owner(strings, owners, length)
+    windows = np.array([len(x) for x in strings], np.int64) - length + 1
+    of = np.repeat(np.arange(len(strings)), windows)
+    change = np.ones(len(of), bool)
+    change[1:] = (of[1:] != of[:-1]) | (of_window[1:] != of_window[:-1])
+    start = np.flatnonzero(change)
+    stop, owner = np.append(start[1:], len(of)), of_window[start]
+    start, stop, of = start - begins[of[start]], stop - begins[of[start]], of[start]
+    n = np.bincount(of, minlength=len(strings))
+    first = np.cumsum(n) - n
+    pick = _gathered(first[kind], n[kind])
+    string = np.repeat(np.arange(len(kind)), n[kind])
+    keep = owner[pick] < most[string]
+    pick, string = pick[keep], string[keep]
+    count = np.bincount(string, minlength=len(kind)).astype(np.int32)
+    rows, at, seg = [], 0, 0
+    for bucket, batch, packed in zip(pdf["bucket"], pdf["batch"], pdf["sizes"], strict=True):
+        mine = count[at : at + len(packed) // 4]
+        total = int(mine.sum())
+        if total:
+            p = pick[seg : seg + total]
+            rows.append((bucket, batch, mine.tobytes(), start[p].astype(np.int32).tobytes(),
+                         stop[p].astype(np.int32).tobytes(), owner[p].astype(np.int64).tobytes()))
+        at, seg = at + len(mine), seg + total
+    return pd.DataFrame(rows, columns=["bucket", "batch", *DECIDED])
+
+
+def _stretches(b: pa.RecordBatch, length: int) -> Iterator[pa.RecordBatch]:
+    """What each occurrence of a string loses."""
+    for i in range(b.num_rows):
+        def part(name: str, kind: type) -> np.ndarray:
+            return np.frombuffer(b.column(name)[i].as_buffer(), kind)
+
+        count = part("counts", np.int32).astype(np.int64)
+        ids, kinds = part("ids", np.int64), part("kinds", np.int32)
+        hit = np.flatnonzero(count[kinds])
+        ids, kinds, hs, firsts = ids[hit], kinds[hit], part("hs", np.int64)[hit], part("firsts", np.int64)[hit]
+        pick = _gathered((np.cumsum(count) - count)[kinds], count[kinds])
+        occurrence = np.repeat(np.arange(len(ids)), count[kinds])
+        goes = part("owners", np.int64)[pick] < ids[occurrence]
+        pick, occurrence = pick[goes], occurrence[goes]
+        start, stop = part("starts", np.int32)[pick], part("stops", np.int32)[pick]
+        joins = np.zeros(len(pick), bool)  # goes on where the stretch before it stops
+        joins[1:] = (occurrence[1:] == occurrence[:-1]) & (start[1:] == stop[:-1])
+        s = np.flatnonzero(~joins)
+        e = np.append(s[1:], len(pick))[: len(s)] - 1
+        o = occurrence[s]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(ids[o]), pa.array(hs[o]), pa.array(firsts[o] + start[s]), pa.array(firsts[o] + stop[e] - 1 + length)],
+            names=["id", "h", "first", "last"],
         )
-        del blob
-        owners = np.full(len(distinct), np.iinfo(np.int64).max)
-        np.minimum.at(owners, kind, ids)
-        least, begins = least_owner(list(distinct), owners, length)
-        out = []
-        # in blocks, so that windows of all runs are never laid out at once
-        for a in range(0, len(ids), 1 << 15):
-            z = min(len(ids), a + (1 << 15))
-            count = sizes[a:z] - length + 1
-            stops = np.cumsum(count)
-            run = np.repeat(np.arange(z - a), count)
-            place = np.arange(stops[-1]) - np.repeat(stops - count, count)
-            goes = least[begins[kind[a:z]][run] + place] < ids[a:z][run]
-            start = goes.copy()
-            start[1:] &= ~goes[:-1] | (run[1:] != run[:-1])
-            end = goes.copy()
-            end[:-1] &= ~goes[1:] | (run[1:] != run[:-1])
-            s, e = np.flatnonzero(start), np.flatnonzero(end)
-            out.append((ids[a:z][run[s]], firsts[a:z][run[s]] + place[s], firsts[a:z][run[e]] + place[e] + length))
-        return pd.DataFrame({k: np.concatenate([o[i] for o in out]) for i, k in enumerate(("id", "first", "last"))})
-
-    sent = marked.select("id", "text", "marks").mapInArrow(
-        send, "bucket long, ids binary, firsts binary, sizes binary, strings binary"
+
+
+def removals(marked: DataFrame, length: int, gram: int, buckets: int) -> DataFrame:
+    """(id, h, first, last): stretches of each text that go; they may touch and overlap.
+
+    Only the different strings of a batch of texts go to the shard of their gram,
+    however many texts have them; the shard's answer goes back to the batch.
+    """
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 32
+        for b in batches:
+            rows = _packed(b, number, length, gram, buckets)
+            number += 1
+            if rows is not None:
+                yield rows
+
+    binaries = ", ".join(f"{c} binary" for c in [*STRINGS, *OCCURRENCES])
+    packed = marked.select("id", "h", "text", "marks").mapInArrow(pack, f"bucket long, batch long, {binaries}")
+    packed = staged(packed, "strings", large=True)
+    answers = packed.select("bucket", "batch", *STRINGS).groupBy("bucket").applyInPandas(
+        lambda pdf: _decided(pdf, length), "bucket long, batch long, " + ", ".join(f"{c} binary" for c in DECIDED)
     )
-    return sent.groupBy("bucket").applyInPandas(decide, "id long, first long, last long")
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield from _stretches(b, length)
+
+    both = packed.select("bucket", "batch", *OCCURRENCES).join(answers, ["bucket", "batch"])
+    return both.select(*OCCURRENCES, *DECIDED).mapInArrow(spread, SPANS)
 
 
 def _cut(texts: DataFrame) -> DataFrame:
-    """(id, n_removed, n_spans, kept_sha256) of texts with their stretches."""
+    """(id, h, n_removed, n_spans, kept_sha256) of texts with their stretches."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -223,12 +318,12 @@ def _cut(texts: DataFrame) -> DataFrame:
                 rows.append((int(gone.sum()), spans, hashlib.sha256(part[~gone].tobytes()).hexdigest()))
             c = list(zip(*rows)) or [()] * 3
             yield pa.RecordBatch.from_arrays(
-                [b.column("id"), pa.array(c[0], pa.int64()), pa.array(c[1], pa.int64()), pa.array(c[2], pa.string())],
-                names=["id", "n_removed", "n_spans", "kept_sha256"],
+                [b.column("id"), b.column("h"), pa.array(c[0], pa.int64()), pa.array(c[1], pa.int64()), pa.array(c[2], pa.string())],
+                names=["id", "h", "n_removed", "n_spans", "kept_sha256"],
             )
 
-    return texts.select("id", "text", "firsts", "lasts").mapInArrow(
-        run, "id long, n_removed long, n_spans long, kept_sha256 string"
+    return texts.select("id", "h", "text", "firsts", "lasts").mapInArrow(
+        run, "id long, h long, n_removed long, n_spans long, kept_sha256 string"
     )
 
 
@@ -245,9 +340,8 @@ def substring_dedup(
 
     Null texts are empty. Texts shorter than ``length`` lose nothing. Ids are
     integers; rows without one neither lose bytes nor make others lose any. Rows
-    that share an id and a text are one document; of several texts under one id,
-    the bytes that go are found for the text with the smallest digest alone, the
-    others stay whole. No rows give no rows; other columns are not looked at.
+    that share an id lose nothing to each other, and each of their texts counts
+    for larger ids. No rows give no rows; other columns are not looked at.
     """
     if not gram < length <= DEPTH:
         raise ValueError(f"gram < length <= {DEPTH} is needed")
@@ -260,22 +354,21 @@ def substring_dedup(
     buckets = partitions_for(max(1, total), bucket_bytes)
 
     named = base.where("id IS NOT NULL")
-    firsts = named.groupBy("sha", "h").agg(F.min("id").alias("id"))
-    # one text for an id
-    firsts = staged(firsts.groupBy("id").agg(F.min(F.struct("sha", "h")).alias("t")).select("id", "t.sha", "t.h"), "firsts")
+    # Every different text once, with its smallest id; an id may have several.
+    firsts = staged(named.groupBy("sha", "h").agg(F.min("id").alias("id")), "firsts")
     marks = repeated_grams(read.where(F.col("id").isNotNull() & (F.octet_length("text") >= length)), length, gram, buckets)
     marks = staged(marks.groupBy("h").agg(F.collect_list("mark").alias("marks")), "marks", large=True)
     wanted = staged(firsts.select("id", "h").join(marks, "h"), "wanted")
 
     marked = marked_ids(read, wanted.select("id")).join(wanted, ["id", "h"])
     gone = staged(removals(marked, length, gram, buckets), "gone", large=True)
-    gone = gone.groupBy("id").agg(F.collect_list("first").alias("firsts"), F.collect_list("last").alias("lasts"))
-    gone = staged(gone.join(firsts.select("id", "h"), "id"), "stretches")
+    gone = gone.groupBy("id", "h").agg(F.collect_list("first").alias("firsts"), F.collect_list("last").alias("lasts"))
+    gone = staged(gone, "stretches")
     cut = staged(_cut(marked_ids(read, gone.select("id")).join(gone, ["id", "h"]).dropDuplicates(["id", "h"])), "cut")
-    cut = cut.join(firsts.select("id", "sha"), "id")
+    cut = cut.join(firsts, ["id", "h"]).drop("h")
 
-    first = firsts.select("sha", F.col("id").alias("first_id")).groupBy("sha").agg(F.min("first_id").alias("first_id"))
-    rows = base.join(first, "sha", "left").join(cut, ["id", "sha"], "left")
+    first = firsts.select("sha", F.col("id").alias("first_id"))
+    rows = base.drop("h").join(first, "sha", "left").join(cut, ["id", "sha"], "left")
     copy = (F.col("first_id") < F.col("id")) & (F.col("n_bytes") >= length)
 
     def value(of_copy: Column, of_cut: str, other: Column) -> Column:

@@ -104,11 +104,38 @@ def test_what_goes_is_what_brute_force_says(docs, tokens, bucket_bytes):
     rows += [(2, None), (3, ""), (4, "short"), (5, "a" * 49), (6, "a" * 50), (7, "a" * 51), (8, "b" * 5000), (9, "b" * 9000),
              (10, "ab" * 3000), (11, passages[0]), (12, passages[0]), (12, passages[0]), (None, passages[1]), (None, None),
              (13, "x" * 25 + passages[2][:60]), (14, "日" * 40), (15, "日" * 41)]
+    # several texts under one id, which share strings with each other and with larger ids
+    rows += [(16, "first " + passages[3] + passages[4]), (16, passages[4] + " second"), (16, passages[5] + passages[3]),
+             (16, passages[4] + " second"), (17, "x" + passages[4]), (17, passages[5] + passages[3]), (18, "y" + passages[5] + passages[4])]
     got = X.substring_dedup(docs(rows), bucket_bytes=bucket_bytes)
     assert got.columns == ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
     assert sorted((tuple(r) for r in got.collect()), key=repr) == brute(rows)
 
 
+def test_several_texts_of_an_id_all_count(docs, tokens):
+    s, u = (" ".join(tokens(14, k))[:80].ljust(80, "q") for k in (1, 2))
+    rows = [(1, s), (1, u), (2, "x" + s), (4, "q" + s + u)]
+    got = sorted(tuple(r) for r in X.substring_dedup(docs(rows)).collect())
+    assert got == brute(rows)
+    assert [(i, n) for i, _, n, *_ in got] == [(1, 0), (1, 0), (2, 80), (4, 160)]
+
+
+def test_a_batch_sends_a_string_once():
+    import pyarrow as pa
+
+    rnd = random.Random(21)
+    passage = "".join(rnd.choice("abcdefghij ") for _ in range(300))
+    texts = [f"{i:05d} {passage} {i:05d}" for i in range(500)]
+    hashes = np.concatenate([h for *_, h in X._text_runs(pa.array(texts), 50, 24)])
+    marks = np.unique(X._marks(hashes, 4)).tolist()
+    batch = pa.RecordBatch.from_pydict({"id": range(500), "h": range(500), "text": texts, "marks": [marks] * 500})
+    packed = X._packed(batch, 0, 50, 24, 4).to_pydict()
+    shared = [x for x in (b"".join(packed["strings"]),) if x][0]
+    assert shared.count(passage[120:180].encode()) <= 3  # in overlapping runs, not once a text
+    assert sum(len(k) // 4 for k in packed["kinds"]) == len(hashes)
+    assert sum(len(x) // 4 for x in packed["sizes"]) < len(hashes) / 2
+
+
 def test_no_rows(docs):
     assert X.substring_dedup(docs([(1, "a")]).limit(0)).collect() == []
     with pytest.raises(ValueError):

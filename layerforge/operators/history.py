@@ -10,7 +10,7 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from layerforge.functions.dates import FOREVER, ORIGIN, ntz
@@ -325,26 +325,75 @@ def split_by_parent(
     changed = latest_per_key(
         parents.filter(F.col(stamp) >= ntz(since)).select(*on, stamp, *take), on,
         [F.col(stamp).desc(), F.xxhash64(*take)],
-    ).select(*on, F.col(stamp).alias("_at"), *[F.col(c).alias(f"_p_{c}") for c in take])
-    joined = dim.join(changed, on, "left")
+    ).select(
+        *on, F.col(stamp).alias("_at"), *[F.col(c).alias(f"_p_{c}") for c in take],
+        F.lit(None).cast("timestamp_ntz").alias("_prev"), F.lit(None).cast("timestamp_ntz").alias("_next"),
+    )
+    return _pieces(dim, changed, on, take, v, new_version)
+
+
+def split_by_history(
+    dim: DataFrame,
+    changes: DataFrame,
+    on: Sequence[str],
+    take: Sequence[str],
+    since: Stamp | None = None,
+    stamp: str = "last_update",
+    v: Validity = DEFAULT,
+    new_version: Sequence[str] = (),
+) -> DataFrame:
+    """Re-version rows by every change of their parent, not only the newest one.
+
+    Where ``split_by_parent`` reads a snapshot, this reads a feed: all states a
+    parent took. The two histories are intersected: n changes strictly inside a
+    version make n + 1 pieces. The first keeps its values; each other takes
+    ``take`` from its change and lasts until the next one, the last to the end of
+    the version. Changes of one parent at one time count once, by content. NULL
+    keys and times split nothing.
+
+    A parent's changes are ordered beside each other once, before the join, so a
+    version meets its changes with an equality on the key and no piece has to
+    look for its neighbours.
+    """
+    on = list(on)
+    if since is not None:
+        changes = changes.filter(F.col(stamp) >= ntz(since))
+    known = changes.select(*on, F.col(stamp).cast("timestamp_ntz").alias("_at"), *[F.col(c).alias(f"_p_{c}") for c in take])
+    once = latest_per_key(known.dropna(subset=[*on, "_at"]), [*on, "_at"], [F.xxhash64(*[f"_p_{c}" for c in take])])
+    in_time = Window.partitionBy(*on).orderBy("_at")
+    placed = once.withColumns({"_prev": F.lag("_at").over(in_time), "_next": F.lead("_at").over(in_time)})
+    return _pieces(dim, placed, on, take, v, new_version)
+
+
+def _pieces(
+    dim: DataFrame, changes: DataFrame, on: list[str], take: Sequence[str], v: Validity, new_version: Sequence[str]
+) -> DataFrame:
+    """``dim`` cut at the changes (``_at``, values ``_p_*``) between ``_prev`` and ``_next``."""
+    of_parent = changes.select(*[F.col(c).alias(f"_on_{c}") for c in on], *[c for c in changes.columns if c not in on])
     inside = (F.col("_at") > F.col(v.start)) & (F.col("_at") < F.col(v.end))
+    same = reduce(lambda a, b: a & b, [F.col(c) == F.col(f"_on_{c}") for c in on])
+    joined = dim.join(of_parent, same & inside, "left")
 
-    # Row 0 is the part before the change (or the whole row), row 1 the part after.
-    row, parts = F.col("_row"), F.when(inside, F.array(F.lit(0), F.lit(1)))
+    # Row 0 is the part before the first change (or the whole row), row 1 the part after a change.
+    row, cut = F.col("_row"), F.col("_at").isNotNull()
+    leads = F.coalesce(F.col("_prev") <= F.col(v.start), F.lit(True))
+    rows = F.when(~cut, F.array(F.lit(0))).when(leads, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(1)))
+    goes_on = F.coalesce(F.col("_next") < F.col(v.end), F.lit(False))  # to another change
 
     def cell(c: str) -> Column:
         if c == v.start:
             return F.when(row == 1, F.col("_at")).otherwise(F.col(c))
         if c == v.end:
-            return F.when(inside & (row == 0), F.col("_at")).otherwise(F.col(c))
+            return (F.when((row == 1) & goes_on, F.col("_next")).when(cut & (row == 0), F.col("_at"))
+                    .otherwise(F.col(c)))
         if c == v.active:
-            return F.when(inside & (row == 0), F.lit(False)).otherwise(F.col(c))
+            return F.when((cut & (row == 0)) | ((row == 1) & goes_on), F.lit(False)).otherwise(F.col(c))
         if c in take:
             return F.when(row == 1, F.col(f"_p_{c}")).otherwise(F.col(c))
         if c in new_version:
             return F.when(row == 0, F.col(c))
         return F.col(c)
 
-    return joined.withColumn("_row", F.explode(parts.otherwise(F.array(F.lit(0))))).select(
+    return joined.withColumn("_row", F.explode(rows)).select(
         *[cell(c).cast(dim.schema[c].dataType).alias(c) for c in dim.columns]
     )

@@ -314,6 +314,34 @@ def parent_change_split(spark, sf_dir):
     return versions(split, *SPLIT)
 
 
+@register("parent_history_split", with_(f"""
+SELECT {', '.join(SPLIT)}, {RANGE} FROM (
+  SELECT inventory_id, film_id, title, rental_duration, effective_date_from,
+    coalesce(cut_at, effective_date_to) AS effective_date_to, is_active AND cut_at IS NULL AS is_active
+  FROM (SELECT o.*, (SELECT min(sold) FROM feed f WHERE f.film_id = o.film_id
+      AND sold > effective_date_from AND sold < effective_date_to) AS cut_at FROM first o)
+  UNION ALL
+  SELECT o.inventory_id, o.film_id, o.title, f.duration, f.sold, least(next_at, effective_date_to),
+    is_active AND next_at >= effective_date_to
+  FROM first o JOIN feed f ON f.film_id = o.film_id AND f.sold > effective_date_from AND f.sold < effective_date_to)""",
+    disks=f"""SELECT i.*, f.title, f.rental_duration
+      FROM ({inventory(BEFORE)}) i JOIN ({film(BEFORE)}) f USING (film_id)""",
+    first=initial_sql("disks", ", ".join(SPLIT)),
+    feed=f"""SELECT *, coalesce(lead(sold) OVER (PARTITION BY film_id ORDER BY sold), {FOREVER}) AS next_at FROM (
+      SELECT l_partkey AS film_id, l_shipdate AS sold, CAST(max(l_quantity) AS INT) AS duration
+      FROM lineitem WHERE l_shipdate >= TIMESTAMP '{BEFORE}' GROUP BY ALL)"""))
+def parent_history_split(spark, sf_dir):
+    """Disk versions cut at every sale of their film since the first load, not only the last."""
+    films = S.film(spark, sf_dir, BEFORE).select("film_id", "title", "rental_duration")
+    rows = S.inventory(spark, sf_dir, BEFORE).join(films, "film_id")
+    target = H.add_history_columns(rows.select(*SPLIT).limit(0))
+    dim = H.scd2_merge(target, rows, ["inventory_id"], star.TOUCHED, BEFORE)
+    sales = S.table(spark, sf_dir, "lineitem").groupBy(
+        F.col("l_partkey").alias("film_id"), F.col("l_shipdate").alias("last_update")
+    ).agg(F.max("l_quantity").cast("int").alias("rental_duration"))
+    return versions(H.split_by_history(dim, sales, ["film_id"], ["rental_duration"], BEFORE), *SPLIT)
+
+
 _DIMS = {
     "i1": inventory(BEFORE),
     "i2": f"SELECT * FROM ({inventory(AFTER)}) WHERE {SINCE}",

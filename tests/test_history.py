@@ -141,6 +141,44 @@ def test_parent_change_splits_only_its_own_rows(frame, values):
     assert H.split_by_parent(dim, films, ["film"], ["title"], None) is dim
 
 
+def test_a_film_that_changes_three_times_makes_four_pieces(frame, values):
+    dim = H.add_history_columns(frame("pk int, id int, film int, title string", [(1, 1, 10, "a"), (2, 2, 20, "z")]))
+    films = frame("film int, title string, last_update timestamp_ntz", [
+        (10, "b", "2020-02-01"), (10, "c", "2020-03-01"), (10, "d", "2020-04-01"), (10, "d", "2020-04-01"),
+        (10, "early", "2020-01-01"), (None, "n", "2020-02-01"), (10, "n", None)])
+    got = H.split_by_history(dim, films, ["film"], ["title"], "2020-01-15", new_version=["pk"])
+    assert values(got, "pk", "id", "title", "effective_date_from", "effective_date_to", "is_active") == sorted([
+        (1, 1, "a", LO, "2020-02-01", False), (None, 1, "b", "2020-02-01", "2020-03-01", False),
+        (None, 1, "c", "2020-03-01", "2020-04-01", False), (None, 1, "d", "2020-04-01", HI, True),
+        (2, 2, "z", LO, HI, True)], key=repr)
+    assert values(H.split_by_history(dim, films.limit(0), ["film"], ["title"])) == values(dim)
+
+
+def test_pieces_against_brute_force(spark):
+    """Versions with and without gaps, changes at their very borders, one hot parent."""
+    rnd = random.Random(31)
+    day = [datetime(2020, 1, 1) + timedelta(days=i) for i in range(60)]
+    rows, feed = [], {}
+    for i in range(80):
+        cuts = sorted(rnd.sample(range(60), rnd.choice([2, 4, 6])))
+        for a, b in zip(cuts[::2], cuts[1::2], strict=True):  # with gaps between
+            rows.append((i, rnd.choice([0, 0, rnd.randrange(1, 9), None]), f"v{i}", day[a], day[b], b == cuts[-1]))
+    for film in range(8):
+        for at in rnd.sample(range(60), 40 if film == 0 else rnd.randrange(4)):
+            feed[film, day[at]] = f"f{film}-{at}"
+    want = []
+    for i, film, title, low, high, active in rows:
+        at = sorted(t for f, t in feed if f == film and low < t < high)
+        edges = [low, *at, high]
+        for a, b in zip(edges, edges[1:]):
+            want.append((i, film, title if a == low else feed[film, a], a, b, active and b == high))
+    dim = spark.createDataFrame(rows, "id int, film int, title string, effective_date_from timestamp_ntz, "
+                                      "effective_date_to timestamp_ntz, is_active boolean")
+    changes = spark.createDataFrame([(f, t, title) for (f, t), title in feed.items()], "film int, last_update timestamp_ntz, title string")
+    got = H.split_by_history(dim, changes, ["film"], ["title"])
+    assert sorted((tuple(r) for r in got.collect()), key=repr) == sorted(want, key=repr)
+
+
 # --- a plain model of the merge ---------------------------------------------------
 
 

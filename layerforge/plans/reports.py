@@ -14,15 +14,60 @@ from layerforge.functions.scalars import contains_text
 from layerforge.operators.lookup import current_version
 
 
-def sales_by_date_star(fact_payment: DataFrame, calendar: DataFrame) -> DataFrame:
-    """Sum per payment day with the day written out."""
-    per_day = fact_payment.groupBy("payment_date_fk").agg(F.sum("amount").alias("amount"))
+MONEY = "decimal(28,2)"
+
+
+def payment_sums(fact_payment: DataFrame, sign: int = 1) -> DataFrame:
+    """Signed amounts and numbers of payments per day and disk version."""
+    return fact_payment.groupBy("payment_date_fk", "inventory_fk").agg(
+        (sign * F.sum("amount")).cast(MONEY).alias("amount"), F.lit(sign).cast("long").alias("sign"),
+        F.count("*").alias("n"),
+    ).select("payment_date_fk", "inventory_fk", "amount", (F.col("sign") * F.col("n")).alias("n"))
+
+
+def changed_sums(
+    before: DataFrame | None, after: DataFrame, keys: DataFrame, key: str, active: str
+) -> DataFrame:
+    """What a load changed in the sums over open rows: its keys' rows after it, less those before.
+
+    ``keys`` are few against the fact: they are looked up from its side, and rows
+    of other keys reach no aggregate and no shuffle.
+    """
+    def of(rows: DataFrame, sign: int) -> DataFrame:
+        return payment_sums(rows.filter(F.col(active)).join(keys, key, "left_semi"), sign)
+
+    return of(after, 1) if before is None else of(after, 1).unionByName(of(before, -1))
+
+
+def added_up(sums: DataFrame | None, changes: DataFrame, by: str) -> DataFrame:
+    """Committed sums per ``by`` with the changes added; what has no payment left is gone."""
+    rows = changes.select(by, "amount", "n")
+    if sums is not None:
+        rows = rows.unionByName(sums.select(by, "amount", "n"))
+    return rows.groupBy(by).agg(F.sum("amount").cast(MONEY).alias("amount"), F.sum("n").alias("n")).filter("n <> 0")
+
+
+def titled(sums: DataFrame, dim_inventory: DataFrame) -> DataFrame:
+    """Sums per disk version as sums per film title."""
+    titles = dim_inventory.select(F.col("inventory_pk").alias("inventory_fk"), F.col("title").alias("film_title"))
+    return sums.join(titles, "inventory_fk").groupBy("film_title").agg(
+        F.sum("amount").cast(MONEY).alias("amount"), F.sum("n").alias("n")
+    )
+
+
+def day_report(per_day: DataFrame, calendar: DataFrame) -> DataFrame:
+    """Sums per day key with the day written out."""
     title = day_title_or_null(F.col("day_of_month"), F.col("month_name"), F.col("year_actual"))
     return per_day.join(calendar, F.col("payment_date_fk") == F.col("date_dim_pk")).select(
         title.alias("date_title"), "amount", F.col("date_dim_pk").alias("date_sort")
     )
 
 
+def sales_by_date_star(fact_payment: DataFrame, calendar: DataFrame) -> DataFrame:
+    """Sum per payment day with the day written out."""
+    return day_report(fact_payment.groupBy("payment_date_fk").agg(F.sum("amount").alias("amount")), calendar)
+
+
 def sales_by_title_star(fact_payment: DataFrame, dim_inventory: DataFrame) -> DataFrame:
     """Sum per film title; films sharing a title are one row."""
     per_disk = fact_payment.groupBy("inventory_fk").agg(F.sum("amount").alias("amount"))

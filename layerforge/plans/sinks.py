@@ -45,6 +45,10 @@ class StoreSink:
         """Table as written by this load, or as the loads before left it."""
         if name in self._written:
             return self._written[name]
+        return self.before(name)
+
+    def before(self, name: str) -> DataFrame | None:
+        """Table as the loads before this one left it."""
         table = self._before.get(name)
         return None if table is None else self.store.open(name, table, besides=self.load_id)
 

@@ -28,7 +28,7 @@ from layerforge.operators.history import (
     split_by_parent,
 )
 from layerforge.operators.keys import fill_keys
-from layerforge.plans.reports import sales_by_date_star, sales_by_title_star
+from layerforge.plans.reports import added_up, changed_sums, day_report, titled
 from layerforge.plans.sinks import StoreSink
 from layerforge.plans.steps import side_by_side
 
@@ -318,17 +318,37 @@ def load(
 
     facts = side_by_side(["fact_payment", "fact_rental"], to_fact)
 
-    payments = facts["fact_payment"].filter("is_active")
-    marts = {
-        "sales_date": sales_by_date_star(payments, calendar),
-        "sales_film": sales_by_title_star(payments, dims["dim_inventory"]),
-    }
-    reports = side_by_side(marts, lambda name: sink.put(f"report.{name}", marts[name]))
+    reports = _marts(sink, facts["fact_payment"], dims["dim_inventory"], calendar)
     dropped = sink.put("report.dropped", dropped_rows(sink))
     sink.commit()
     return {**staged, **dims, **facts, **reports, "dropped": dropped}
 
 
+def _marts(
+    sink: StoreSink, fact: DataFrame, dim_inventory: DataFrame, calendar: DataFrame
+) -> dict[str, DataFrame]:
+    """Both sales marts, kept up from what this load changed in the payment fact.
+
+    The sums per day and per film title of the load before get the amounts of
+    the staged payments' open rows added and those they had before taken off: a
+    disk version's title never changes, so only those rows can move a sum.
+    Without sums of a load before, all open rows are added.
+    """
+    keys, before = sink.get("work.payments").select("payment_id").distinct(), sink.before("core.fact_payment")
+    names = {"core.sums_by_day": "payment_date_fk", "core.sums_by_title": "film_title"}
+    known = {name: sink.get(name) for name in names}
+    if any(rows is None for rows in known.values()):
+        known, before, keys = dict.fromkeys(names), None, fact.select("payment_id").distinct()
+    changes = sink.put("work.payment_sums", changed_sums(before, fact, keys, "payment_id", DEFAULT.active))
+    moved = {"core.sums_by_day": changes, "core.sums_by_title": titled(changes, dim_inventory)}
+    sums = side_by_side(names, lambda n: sink.put(n, added_up(known[n], moved[n], names[n])))
+    marts = {
+        "sales_date": day_report(sums["core.sums_by_day"], calendar),
+        "sales_film": sums["core.sums_by_title"].select("film_title", "amount"),
+    }
+    return side_by_side(marts, lambda name: sink.put(f"report.{name}", marts[name]))
+
+
 _STEPS = ("disks", "people", "payments", "rentals")
 
 

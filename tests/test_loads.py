@@ -11,6 +11,7 @@ from layerforge.operators import checks
 from layerforge.operators.calendar import calendar_dim
 from layerforge.operators.lookup import overlapping_versions
 from layerforge.plans import layered, star, vault
+from layerforge.plans.reports import sales_by_date_star, sales_by_title_star
 from layerforge.plans.sinks import StoreSink
 from layerforge.sources import schemas
 from layerforge.sources.store import TableStore
@@ -229,6 +230,26 @@ def test_layered_load(spark, sinks, values):
         assert values(third[name]) == values(second[name])  # nothing new
 
 
+def rebuilt(loaded, days, values):
+    """Both marts, summed up from all open payments."""
+    paid = loaded["fact_payment"].filter("is_active")
+    return values(sales_by_date_star(paid, days)), values(sales_by_title_star(paid, loaded["dim_inventory"]))
+
+
+def test_marts_are_kept_up_from_changes(spark, sinks, values):
+    days, at, d = calendar_dim(spark, "2021-01-01", 800), t("2022-03-15"), Decimal
+    rows = changed()
+    for n, (load_ts, source) in enumerate([(T1, base()), (T2, rows), ("2022-04-01", rows), ("2022-05-01", rows)], 1):
+        if n == 3:  # other day and amount, other disk only, deleted; nothing in the fourth load
+            rows["payment"][0] = (*rows["payment"][0][:4], d("9.00"), t("2021-12-25"), at, None)
+            rows["rental"][3] = (104, t("2022-02-15"), 11, 1, None, 1, at, None)
+            rows["payment"][2] = (*rows["payment"][2][:6], at, at)
+        done = star.load(tables(spark, source), sinks(str(n), load_ts), days, load_ts)
+        assert (values(done["sales_date"]), values(done["sales_film"])) == rebuilt(done, days, values)
+        sums = sinks("x", "2023-01-01").get("work.payment_sums")
+        assert sums.agg(F.sum(F.abs("n"))).first()[0] == {1: 3, 2: 4, 3: 5, 4: None}[n]  # open rows added or taken off
+
+
 def test_star_load(spark, sinks, values):
     days = calendar_dim(spark, "2021-01-01", 800)
     first = star.load(tables(spark, base()), sinks("1", T1), days, T1)

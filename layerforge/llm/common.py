@@ -38,11 +38,12 @@ def staged(df: DataFrame, label: str, large: bool = False) -> DataFrame:
 
     Cuts the lineage: a lost executor costs its running tasks, not the stages before.
     Spark drops the shuffle files of a finished plan when the driver collects its
-    garbage; after a ``large`` one it is asked to.
+    garbage; after a ``large`` one it is asked to. A ``large`` one is also
+    compressed more closely.
     """
     spark = df.sparkSession
     path = shared_folder(spark, label)
-    df.write.parquet(path)
+    (df.write.option("compression", "zstd") if large else df.write).parquet(path)
     if large:
         gc.collect()
         spark._jvm.System.gc()

@@ -33,17 +33,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def staged(df: DataFrame, label: str, large: bool = False) -> DataFrame:
+def staged(df: DataFrame, label: str, large: bool = False, codec: str = "snappy") -> DataFrame:
     """``df`` written once to the shared folder and read back.
 
     Cuts the lineage: a lost executor costs its running tasks, not the stages before.
     Spark drops the shuffle files of a finished plan when the driver collects its
-    garbage; after a ``large`` one it is asked to. A ``large`` one is also
-    compressed more closely.
+    garbage; after a ``large`` one it is asked to.
     """
     spark = df.sparkSession
     path = shared_folder(spark, label)
-    (df.write.option("compression", "zstd") if large else df.write).parquet(path)
+    df.write.parquet(path, compression=codec)
     if large:
         gc.collect()
         spark._jvm.System.gc()

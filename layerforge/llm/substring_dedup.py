@@ -288,7 +288,7 @@ def removals(marked: DataFrame, length: int, gram: int, buckets: int) -> DataFra
 
     binaries = ", ".join(f"{c} binary" for c in [*STRINGS, *OCCURRENCES])
     packed = marked.select("id", "h", "text", "marks").mapInArrow(pack, f"bucket long, batch long, {binaries}")
-    packed = staged(packed, "strings", large=True)
+    packed = staged(packed, "strings", large=True, codec="zstd")
     answers = packed.select("bucket", "batch", *STRINGS).groupBy("bucket").applyInPandas(
         lambda pdf: _decided(pdf, length), "bucket long, batch long, " + ", ".join(f"{c} binary" for c in DECIDED)
     )
@@ -357,11 +357,11 @@ def substring_dedup(
     # Every different text once, with its smallest id; an id may have several.
     firsts = staged(named.groupBy("sha", "h").agg(F.min("id").alias("id")), "firsts")
     marks = repeated_grams(read.where(F.col("id").isNotNull() & (F.octet_length("text") >= length)), length, gram, buckets)
-    marks = staged(marks.groupBy("h").agg(F.collect_list("mark").alias("marks")), "marks", large=True)
+    marks = staged(marks.groupBy("h").agg(F.collect_list("mark").alias("marks")), "marks", large=True, codec="zstd")
     wanted = staged(firsts.select("id", "h").join(marks, "h"), "wanted")
 
     marked = marked_ids(read, wanted.select("id")).join(wanted, ["id", "h"])
-    gone = staged(removals(marked, length, gram, buckets), "gone", large=True)
+    gone = staged(removals(marked, length, gram, buckets), "gone", large=True, codec="zstd")
     gone = gone.groupBy("id", "h").agg(F.collect_list("first").alias("firsts"), F.collect_list("last").alias("lasts"))
     gone = staged(gone, "stretches")
     cut = staged(_cut(marked_ids(read, gone.select("id")).join(gone, ["id", "h"]).dropDuplicates(["id", "h"])), "cut")

@@ -33,7 +33,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def staged(df: DataFrame, label: str, large: bool = False, codec: str = "snappy") -> DataFrame:
+def staged(df: DataFrame, label: str, large: bool = False, codec: str | None = None) -> DataFrame:
     """``df`` written once to the shared folder and read back.
 
     Cuts the lineage: a lost executor costs its running tasks, not the stages before.

@@ -220,6 +220,68 @@ def mart_by_film(spark, sf_dir):
     return layered.sales_by_film_report(store)
 
 
+@register("mart_by_date", with_("""
+SELECT c.day_of_month || ' ' || c.month_name || ' ' || c.year_actual AS date_title,
+  CAST(sum(amount) AS DOUBLE) AS amount
+FROM p JOIN c ON c.date_actual = CAST(p.payment_date AS DATE)
+WHERE deleted IS NULL GROUP BY c.date_dim_pk, 1""",
+    c=CALENDAR, payment1=payment(BEFORE), payment2=payment(AFTER), p=_since_target("payment")))
+def mart_by_date(spark, sf_dir):
+    """The report function over the committed mart: day and amount."""
+    store, _ = _loaded("layered", spark, sf_dir, _load_layers)
+    return layered.sales_by_date_report(store)
+
+
+def _key_sql(key: str, first: str, second: str) -> str:
+    """Surrogates after two loads: keys of the first load in order, then the new ones."""
+    return f"""SELECT {key}, row_number() OVER (ORDER BY {key} NOT IN (SELECT {key} FROM {first}), {key}) AS sk
+      FROM (SELECT {key} FROM {first} UNION SELECT {key} FROM {second})"""
+
+
+_LAYERS = {
+    "payment1": payment(BEFORE), "payment2": payment(AFTER), "p": _since_target("payment"),
+    "rental1": rental(BEFORE), "rental2": rental(AFTER), "r": _since_target("rental"),
+    "inventory1": inventory(BEFORE), "inventory2": inventory(AFTER),
+    "staff1": staff(BEFORE), "staff2": staff(AFTER),
+    **{f"k_{t}": _key_sql(f"{t}_id", f"{t}1", f"{t}2") for t in ("payment", "rental", "inventory", "staff")},
+}
+
+
+def _ods_sql(table: str, columns: str) -> str:
+    return f"""SELECT 'ods' AS layer, {columns} FROM {table}1
+    WHERE {table}_id NOT IN (SELECT {table}_id FROM {table}2 WHERE {SINCE})
+  UNION ALL SELECT 'ods', {columns} FROM {table}2 WHERE {SINCE}"""
+
+
+def _layer_rows(spark, sf_dir, table, columns):
+    """One table of ods, integ and dds after two loads, in long form."""
+    loaded = _layered(spark, sf_dir)
+    ods, integ, dds = (
+        loaded[f"{layer}.{table}"].select(F.lit(layer).alias("layer"), *columns) for layer in ("ods", "integ", "dds")
+    )
+    return ods.unionByName(integ).unionByName(dds)
+
+
+@register("layered_load_payment", with_(_ods_sql("payment", "payment_id, staff_id, rental_id, amount") + """
+  UNION ALL SELECT layer, kp.sk, ks.sk, kr.sk, amount
+  FROM p JOIN k_payment kp USING (payment_id) JOIN k_staff ks USING (staff_id)
+    JOIN k_rental kr USING (rental_id), (VALUES ('integ'), ('dds')) AS v(layer)""", **_LAYERS))
+def layered_load_payment(spark, sf_dir):
+    """Payments under natural keys in ods, under surrogates in integ and dds."""
+    return _layer_rows(spark, sf_dir, "payment", ["payment_id", "staff_id", "rental_id", "amount"])
+
+
+@register("layered_load_rental", with_(
+    _ods_sql("rental", f"rental_id, inventory_id, staff_id, {sql_text('return_date')} AS return_date") + f"""
+  UNION ALL SELECT layer, kr.sk, ki.sk, ks.sk, {sql_text('return_date')}
+  FROM r JOIN k_rental kr USING (rental_id) JOIN k_staff ks USING (staff_id)
+    JOIN k_inventory ki USING (inventory_id), (VALUES ('integ'), ('dds')) AS v(layer)""", **_LAYERS))
+def layered_load_rental(spark, sf_dir):
+    """Rentals under natural keys in ods, under surrogates in integ and dds."""
+    rows = _layer_rows(spark, sf_dir, "rental", ["rental_id", "inventory_id", "staff_id", "return_date"])
+    return texts(rows, "return_date")
+
+
 _PAID = ["payment_id", "amount", "payment_date", "rental_id", "inventory_id", "inventory_from",
          "staff_id", "staff_from"]
 _RENTED = ["rental_id", "rental_date", "return_date", "inventory_id", "inventory_from",

@@ -128,18 +128,21 @@ def counts_by_function(spark, sf_dir):
     )
 
 
-@register("payments_per_day", with_("""
+FILM_SHOWN = 7
+
+
+@register("payments_per_day", with_(f"""
 SELECT CAST(date_trunc('day', payment_date) AS TIMESTAMP) AS payment_day,
   CAST(sum(amount) AS DECIMAL(18,2)) AS amount
 FROM i JOIN r USING (inventory_id) JOIN p USING (rental_id)
-WHERE i.film_id = 79 AND amount <> 0 GROUP BY 1 ORDER BY 1""",
+WHERE i.film_id = {FILM_SHOWN} AND amount <> 0 GROUP BY 1 ORDER BY 1""",
     p=payment(AFTER), r=rental(AFTER), i=inventory(AFTER)))
 def payments_per_day(spark, sf_dir):
     return reports.amount_per_day(
         S.payment(spark, sf_dir, AFTER),
         S.rental(spark, sf_dir, AFTER),
         S.inventory(spark, sf_dir, AFTER),
-        79,
+        FILM_SHOWN,
     ).withColumn("amount", F.col("amount").cast("decimal(18,2)"))
 
 

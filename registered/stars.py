@@ -141,12 +141,19 @@ def fact_rental_coarse(spark, sf_dir):
 _LOADED = {}
 
 
+def _files(spark, sf_dir):
+    """Name, size and time of the input files: changed tables are loaded again."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(sf_dir, "*.parquet")
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path) or []
+    return tuple((f.getPath().toString(), f.getLen(), f.getModificationTime()) for f in found)
+
+
 def _loaded(kind, spark, sf_dir, build):
     """Store and tables of two loads; queries of one session on one input share them.
 
     The first query that asks pays for the loads, the others read what they wrote.
     """
-    key = (kind, spark.sparkContext.applicationId, sf_dir)
+    key = (kind, spark.sparkContext.applicationId, _files(spark, sf_dir))
     if key not in _LOADED:
         store = scratch_store(spark)
         _LOADED[key] = store, build(spark, sf_dir, store)

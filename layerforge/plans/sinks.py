@@ -65,7 +65,17 @@ class StoreSink:
     def versions(self, name: str, changes: DataFrame, active: str) -> DataFrame:
         """Open rows and the rows closed by this load; rows closed before stay as they are."""
         self.store.write(name, changes, self.load_id, (active,))
-        return self._note(name, VERSIONS, changes.schema, active)
+        before = self._before.get(name)
+        return self._note(name, VERSIONS, changes.schema, active, emptied=before and before.emptied)
+
+    def replace(self, name: str, rows: DataFrame, active: str) -> DataFrame:
+        """Versions of a table emptied first: no row of an earlier load is read any more.
+
+        Like everything a load writes, it shows with ``commit``: until then, and if
+        the load fails, readers have the table as it was.
+        """
+        self.store.write(name, rows, self.load_id, (active,))
+        return self._note(name, VERSIONS, rows.schema, active, emptied=(str(self.load_ts), self.load_id))
 
     def upsert(self, name: str, delta: DataFrame, key: str) -> DataFrame:
         """Delete-insert by key: the staged rows are written, readers pass over what they replace.

@@ -8,7 +8,7 @@ from dataclasses import replace
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from layerforge.functions.dates import ntz
+from layerforge.functions.dates import ORIGIN, ntz
 from layerforge.operators.delta import Stamp, delta_scan, delta_scan_joined, latest_per_key
 from layerforge.operators.facts import (
     FILM_COLUMNS,
@@ -102,8 +102,14 @@ def load_dim_inventory(
     film_changed_since: Stamp | None,
     load_ts: Stamp,
     keep: Keep = unkept,
+    numbered: DataFrame | None = None,
 ) -> DataFrame:
-    """Disk dimension: staged disks make versions, then changed films split them."""
+    """Disk dimension: staged disks make versions, then changed films split them.
+
+    ``target`` may hold the touched disks only, all versions of each (see
+    ``touched_disks``); ``numbered`` is then the whole dimension, whose keys are
+    numbered on.
+    """
     rows = keep("disks", inventory_rows(inventory_delta, film, "left"))
     if target is None:
         target = _start(rows, ["inventory_id", "film_id", *FILM_COLUMNS], "inventory_pk")
@@ -112,7 +118,22 @@ def load_dim_inventory(
         merged, film, ["film_id"], FILM_COLUMNS, film_changed_since,
         new_version=["inventory_pk"],
     )
-    return fill_keys(keep("disk_versions", split), "inventory_pk", ["inventory_id", DEFAULT.start], target)
+    known = target if numbered is None else numbered
+    return fill_keys(keep("disk_versions", split), "inventory_pk", ["inventory_id", DEFAULT.start], known)
+
+
+def touched_disks(
+    target: DataFrame, staged: DataFrame, film: DataFrame, film_changed_since: Stamp | None
+) -> DataFrame:
+    """Disks whose versions a load may change: the staged ones and all that had a changed film.
+
+    The film of any version counts, a closed one too: a change may lie inside it.
+    """
+    keys = staged.select("inventory_id")
+    if film_changed_since is not None:
+        films = film.filter(F.col("last_update") >= ntz(film_changed_since)).select("film_id")
+        keys = keys.unionByName(target.join(films, "film_id", "left_semi").select("inventory_id"))
+    return keys.distinct()
 
 
 def load_dim_staff(
@@ -123,13 +144,15 @@ def load_dim_staff(
     city: DataFrame,
     load_ts: Stamp,
     keep: Keep = unkept,
+    numbered: DataFrame | None = None,
 ) -> DataFrame:
-    """Staff dimension with the address of the store."""
+    """Staff dimension with the address of the store; ``target`` and ``numbered`` as for disks."""
     rows = keep("people", flatten_staff(staff_delta, store, address, city, "left"))
     if target is None:
         target = _start(rows, STAFF_COLUMNS, "staff_pk")
     merged = scd2_merge(target, rows, ["staff_id"], LOOKED_UP, load_ts)
-    return fill_keys(keep("people_versions", merged), "staff_pk", ["staff_id", DEFAULT.start], target)
+    known = target if numbered is None else numbered
+    return fill_keys(keep("people_versions", merged), "staff_pk", ["staff_id", DEFAULT.start], known)
 
 
 PAYMENT_COLUMNS = [
@@ -246,15 +269,23 @@ def load_fact_rental(
     return fill_keys(keep("rental_versions", merged), "rental_pk", ["rental_id", DEFAULT.start], target)
 
 
-def _staged(source: dict[str, DataFrame], sink: StoreSink) -> dict[str, DataFrame]:
-    """Changed rows of the four delta tables since their last load, the others whole."""
+def _staged(
+    source: dict[str, DataFrame], sink: StoreSink, empty_facts: bool = False
+) -> dict[str, DataFrame]:
+    """Changed rows of the four delta tables since their last load, the others whole.
+
+    Payments and rentals are staged whole for facts that are built again.
+    """
+    def since(name: str) -> Stamp:
+        return ORIGIN if empty_facts else sink.mark(f"staging.{name}")
+
     with_disk = source["payment"].drop("inventory_id")
     scans = {
         "film": source["film"],
         "inventory": delta_scan(source["inventory"], sink.mark("staging.inventory")),
-        "rental": delta_scan(source["rental"], sink.mark("staging.rental")),
+        "rental": delta_scan(source["rental"], since("rental")),
         "payment": delta_scan_joined(
-            with_disk, source["rental"], ["rental_id"], sink.mark("staging.payment"), ["inventory_id"]
+            with_disk, source["rental"], ["rental_id"], since("payment"), ["inventory_id"]
         ),
         "staff": delta_scan(source["staff"], sink.mark("staging.staff")),
         "store": source["store"],
@@ -265,21 +296,29 @@ def _staged(source: dict[str, DataFrame], sink: StoreSink) -> dict[str, DataFram
 
 
 def load(
-    source: dict[str, DataFrame], sink: StoreSink, calendar: DataFrame, load_ts: Stamp
+    source: dict[str, DataFrame], sink: StoreSink, calendar: DataFrame, load_ts: Stamp,
+    empty_facts: bool = False,
 ) -> dict[str, DataFrame]:
     """One load of the star schema; what is new follows from the load log.
 
     Dimensions come before facts: facts look up versions as of ``last_update``.
-    Staged rows whose lookups find nothing are carried over to the next load.
+    A dimension gets all versions of the keys the load touches; the others are
+    read from where they are. Staged rows whose lookups find nothing are carried
+    over to the next load.
+
+    ``empty_facts`` empties both facts and fills them from the whole source, on
+    the dimensions with their history; the marts follow. All of it shows with the
+    load's one commit, and the next load goes on from there.
     """
-    film_mark = ntz(sink.mark("staging.film")) if sink.known("staging.film") else None
-    staged = _staged(source, sink)
+    film_mark = sink.mark("staging.film") if sink.known("staging.film") else None
+    staged = _staged(source, sink, empty_facts)
 
     def keep(name: str, rows: DataFrame) -> DataFrame:
         return sink.put(f"work.{name}", rows)
 
     def rows_of(name: str) -> DataFrame:
-        late = sink.get(f"staging.late_{name}")
+        again = empty_facts and name in ("payment", "rental")  # the whole source has the late rows too
+        late = None if again else sink.get(f"staging.late_{name}")
         return keep(f"staged_{name}", restaged(staged[name], late, LATE_KEY[name]))
 
     def carry_over(name: str, rows: DataFrame, step: str, loaded: DataFrame | None = None) -> None:
@@ -287,18 +326,24 @@ def load(
         sink.put(f"staging.late_{name}", late)
 
     def to_dimension(name: str) -> DataFrame:
-        before = sink.get(f"core.{name}")
+        before, key = sink.get(f"core.{name}"), "inventory_id" if name == "dim_inventory" else "staff_id"
+        given = rows_of("inventory" if name == "dim_inventory" else "staff")
+        mine = before
+        if before is not None:
+            touched = given.select(key).distinct()
+            if name == "dim_inventory":
+                touched = touched_disks(before, given, staged["film"], film_mark)
+            # The few keys go to the large table, not the other way round.
+            mine = keep(f"touched_{name}", before.join(touched, key, "left_semi"))
         if name == "dim_inventory":
-            given = rows_of("inventory")
-            rows = load_dim_inventory(before, given, staged["film"], film_mark, load_ts, keep)
+            rows = load_dim_inventory(mine, given, staged["film"], film_mark, load_ts, keep, before)
             carry_over("inventory", given, "disks")
         else:
-            given = rows_of("staff")
             rows = load_dim_staff(
-                before, given, staged["store"], staged["address"], staged["city"], load_ts, keep
+                mine, given, staged["store"], staged["address"], staged["city"], load_ts, keep, before
             )
             carry_over("staff", given, "people")
-        return sink.put(f"core.{name}", rows)
+        return sink.upsert(f"core.{name}", rows, key)
 
     dims = side_by_side(["dim_inventory", "dim_staff"], to_dimension)
 
@@ -308,36 +353,38 @@ def load(
         )
         given = rows_of(source_name)
         changes = build(
-            sink.get(f"core.{name}"), given, dims["dim_inventory"], dims["dim_staff"], calendar,
+            None if empty_facts else sink.get(f"core.{name}"), given, dims["dim_inventory"], dims["dim_staff"], calendar,
             load_ts, keep=keep, keep_closed=False,
         )
-        loaded = sink.versions(f"core.{name}", changes, DEFAULT.active)
+        write = sink.replace if empty_facts else sink.versions
+        loaded = write(f"core.{name}", changes, DEFAULT.active)
         # A rental may be returned, or change, while its disk or day is unknown.
         carry_over(source_name, given, f"{source_name}s", loaded if source_name == "rental" else None)
         return loaded
 
     facts = side_by_side(["fact_payment", "fact_rental"], to_fact)
 
-    reports = _marts(sink, facts["fact_payment"], dims["dim_inventory"], calendar)
+    reports = _marts(sink, facts["fact_payment"], dims["dim_inventory"], calendar, empty_facts)
     dropped = sink.put("report.dropped", dropped_rows(sink))
     sink.commit()
     return {**staged, **dims, **facts, **reports, "dropped": dropped}
 
 
 def _marts(
-    sink: StoreSink, fact: DataFrame, dim_inventory: DataFrame, calendar: DataFrame
+    sink: StoreSink, fact: DataFrame, dim_inventory: DataFrame, calendar: DataFrame, rebuilt: bool
 ) -> dict[str, DataFrame]:
     """Both sales marts, kept up from what this load changed in the payment fact.
 
     The sums per day and per film title of the load before get the amounts of
     the staged payments' open rows added and those they had before taken off: a
     disk version's title never changes, so only those rows can move a sum.
-    Without sums of a load before, all open rows are added.
+    Without sums of a load before, or if the fact was rebuilt, all open rows are
+    added.
     """
     keys, before = sink.get("work.payments").select("payment_id").distinct(), sink.before("core.fact_payment")
     names = {"core.sums_by_day": "payment_date_fk", "core.sums_by_title": "film_title"}
     known = {name: sink.get(name) for name in names}
-    if any(rows is None for rows in known.values()):
+    if rebuilt or any(rows is None for rows in known.values()):
         known, before, keys = dict.fromkeys(names), None, fact.select("payment_id").distinct()
     changes = sink.put("work.payment_sums", changed_sums(before, fact, keys, "payment_id", DEFAULT.active))
     moved = {"core.sums_by_day": changes, "core.sums_by_title": titled(changes, dim_inventory)}
@@ -374,10 +421,11 @@ def dropped_rows(sink: StoreSink) -> DataFrame:
 def full_reload(
     source: dict[str, DataFrame], sink: StoreSink, calendar: DataFrame, as_of_event: bool = False
 ) -> dict[str, DataFrame]:
-    """Dimensions as they are in the store; both facts emptied and built again from the source.
+    """Facts without history built again from the source, on the dimensions in the store.
 
-    ``as_of_event`` takes the dimension versions valid at the event's date,
-    otherwise the open ones are taken.
+    They are written beside the facts of ``load``, which has ``empty_facts`` to
+    replace its own. ``as_of_event`` takes the dimension versions valid at the
+    event's date, otherwise the open ones are taken.
     """
     disks, people = sink.get("core.dim_inventory"), sink.get("core.dim_staff")
     if as_of_event:

@@ -9,7 +9,8 @@ Kinds of tables, by what a load has to write:
 full      the whole table; readers take the newest load
 append    new rows only; readers take all loads
 versions  open rows and the rows this load closed; readers take the newest
-          load and the closed rows of the earlier ones
+          load and the closed rows of the earlier ones, back to the last load
+          that emptied the table
 keyed     staged rows only, the whole table now and then; for every key, readers
           take the rows of the newest load that has it
 """
@@ -54,11 +55,12 @@ class Loaded:
     key: str | None = None
     rows: int | None = None  # of this load, for keyed tables
     whole: bool = False  # a keyed table's load that stands for all loads before it
+    emptied: tuple[str, str] | None = None  # time and id of the load that emptied a table of versions
 
     def described(self) -> str:
         return json.dumps({
             "schema": self.schema.jsonValue(), "active": self.active, "key": self.key,
-            "rows": self.rows, "whole": self.whole,
+            "rows": self.rows, "whole": self.whole, "emptied": self.emptied,
         })
 
     @staticmethod
@@ -68,6 +70,7 @@ class Loaded:
         return Loaded(
             row["load_id"], row["kind"], StructType.fromJson(d["schema"]), d.get("active"),
             d.get("key"), d.get("rows"), d.get("whole", False),
+            tuple(d["emptied"]) if d.get("emptied") else None,
         )
 
 
@@ -156,9 +159,11 @@ class TableStore:
         rows = reader.schema(StructType([*table.schema.fields]).add("load", "string")).parquet(
             self.path(name)
         )
-        logged = self.log(besides).filter(F.col("table_name") == name).select(
-            F.col("load_id").alias("load")
-        )
+        logged = self.log(besides).filter(F.col("table_name") == name)
+        if table.emptied is not None:
+            at, load_id = table.emptied
+            logged = logged.filter((F.col("update_dt") > ntz(at)) | (F.col("load_id") == load_id))
+        logged = logged.select(F.col("load_id").alias("load"))
         earlier = rows.filter(F.col("load") != table.load_id).join(logged, "load", "left_semi")
         if table.kind == VERSIONS:
             # Also a directory name: earlier loads' open rows are not read.

@@ -15,6 +15,7 @@ SQL: dict[str, str] = {}
 EARLY = "1997-01-01 00:00:00"
 BEFORE = "2000-07-01 00:00:00"
 AFTER = "9998-01-01 00:00:00"
+RELOADED = "9998-06-01 00:00:00"
 
 
 def register(name: str, sql: str | None = None):

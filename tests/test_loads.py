@@ -375,6 +375,58 @@ def test_a_returned_rental_is_not_staged_again(spark, sinks, values):
     assert values(third["fact_rental"].filter("rental_id = 101"), "return_date_fk", "is_active") == [(20220215, True)]
 
 
+def test_a_dimension_gets_the_versions_of_touched_disks(spark, tmp_path, values):
+    """Bytes written follow the disks a load touches; the rest is read from where it is."""
+    days, rows, old = calendar_dim(spark, "2021-01-01", 800), base(), t("2021-12-01")
+    films = [(i, f"FILM {i}", *rows["film"][0][2:]) for i in range(1, 1001)]
+    rows["film"], rows["inventory"] = films, [(10 * i + n, i, 1, old, None) for i in range(1, 1001) for n in (1, 2)]
+    store = TableStore(spark, str(tmp_path))
+    done = star.load(tables(spark, rows), StoreSink(store, "1", T1), days, T1)
+    written, numbers = {}, values(done["dim_inventory"], "inventory_id", "inventory_pk")
+    for n, at, count in ((2, T2, 2), (3, "2022-04-01", 8)):
+        day = t(f"2022-0{n}-15")
+        rows["film"] = [(*f[:1], f"{f[1]} AGAIN", *f[2:10], day, f[11]) if f[0] <= count else f for f in rows["film"]]
+        done = star.load(tables(spark, rows), StoreSink(store, str(n), at), days, at)
+        load = f"{store.path('core.dim_inventory')}/load={n}"
+        written[n] = spark.read.parquet(load).select("film_id").distinct().count()
+        assert spark.read.parquet(load).count() <= 2 * count * 3  # two disks, at most three versions of each
+    assert written == {2: 2, 3: 8}
+    assert size_of(tmp_path / "core/dim_inventory/load=3") < size_of(tmp_path / "core/dim_inventory/whole=1") / 2
+    disk = values(done["dim_inventory"].filter("inventory_id = 11"), "title", "effective_date_from", "is_active")
+    assert disk == [("FILM 1 AGAIN AGAIN", "2022-03-15", True), ("FILM 1 AGAIN", "2022-02-15", False),
+                    ("FILM 1", "1900-01-01", False)]
+    assert done["dim_inventory"].count() == 2000 + 2 * 2 + 2 * 8
+    assert done["dim_inventory"].select("inventory_pk").distinct().count() == 2020
+    assert set(numbers) <= set(values(done["dim_inventory"], "inventory_id", "inventory_pk"))  # keys stay
+
+
+def test_emptied_facts(spark, tmp_path, values):
+    """Facts emptied and filled again under one commit; the next load goes on from there."""
+    days, store = calendar_dim(spark, "2021-01-01", 800), TableStore(spark, str(tmp_path))
+    star.load(tables(spark, base()), StoreSink(store, "1", T1), days, T1)
+    rows = changed()
+    star.load(tables(spark, rows), StoreSink(store, "2", T2), days, T2)
+    before = values(store.read("core.fact_payment"))
+    assert (1001, False) in values(store.read("core.fact_payment"), "payment_id", "is_active")
+    third = "2022-04-01"
+    failed = StoreSink(store, "3", third)
+    failed.replace("core.fact_payment", store.read("core.fact_payment").limit(1), "is_active")  # and then it dies
+    assert values(store.read("core.fact_payment")) == before
+    done = star.load(tables(spark, rows), StoreSink(store, "3", third), days, third, empty_facts=True)
+    paid = values(store.read("core.fact_payment"), "payment_id", "amount", "is_active")
+    d = Decimal
+    # one version a payment, closed where it was deleted; the first amount of 1001 is gone
+    assert paid == [(1001, d("3.99"), True), (1002, d("2.00"), False), (1003, d("1.00"), True), (1004, d("5.00"), True)]
+    assert values(done["sales_film"]) == rebuilt(done, days, values)[1]
+    assert values(done["sales_date"]) == rebuilt(done, days, values)[0]
+    rows["payment"][3] = (*rows["payment"][3][:4], d("6.00"), *rows["payment"][3][5:6], t("2022-04-10"), None)
+    fourth = star.load(tables(spark, rows), StoreSink(store, "4", "2022-05-01"), days, "2022-05-01")
+    paid = values(store.read("core.fact_payment"), "payment_id", "amount", "is_active")
+    assert paid == [(1001, d("3.99"), True), (1002, d("2.00"), False), (1003, d("1.00"), True),
+                    (1004, d("5.00"), False), (1004, d("6.00"), True)]
+    assert values(fourth["sales_film"]) == rebuilt(fourth, days, values)[1]
+
+
 def test_duplicate_source_key_opens_one_version(spark, sinks):
     rows = base()
     rows["city"].append((1, "Oslo again", 7, t("2021-12-05")))
@@ -424,6 +476,35 @@ def test_reconciliation(spark, frame, values):
     assert values(checks.trace_key({"a": df, "b": df.limit(0)}, "id", 1)) == [("a", 1), ("b", 0)]
 
 
+def test_differing_rows(spark, frame, values):
+    """One altered amount, one missing row, one of two equal rows missing, swapped values; nulls in keys and columns."""
+    ddl, d = "id long, amount decimal(8,2), note string", Decimal
+    rows = [(i, d(i), None if i % 7 == 0 else f"n{i % 5}") for i in range(500)]
+    twice = [(900, d(1), "a"), (900, d(2), "b"), (901, d(3), "c"), (901, d(3), "c"), (None, d(4), None)]
+    left = frame(ddl, [*rows, *twice])
+    assert values(checks.differing_rows(left, frame(ddl, [*twice, *reversed(rows)]), ["id"])) == []
+    other = [(i, a + 1 if i == 77 else a, n) for i, a, n in rows if i != 78]
+    other += [(900, d(1), "b"), (900, d(2), "a"), (901, d(3), "c"), (None, None, "4")]
+    got = checks.differing_rows(left, frame(ddl, other), ["id"], buckets=64)
+    assert values(got.withColumn("differing", F.concat_ws(",", "differing"))) == sorted([
+        (77, 1, 1, "amount"), (78, 1, 0, ""), (900, 2, 2, ""), (901, 2, 1, ""), (None, 1, 1, "amount,note")], key=repr)
+    assert values(checks.differing_rows(left, frame(ddl, []), ["id"]), "id") == sorted(
+        [(r[0],) for r in rows] + [(900,), (901,), (None,)], key=repr)
+
+
+def test_only_the_differing_bucket_is_read_again(spark, tmp_path, values):
+    paths = [str(tmp_path / side) for side in ("left", "right")]
+    rows = spark.range(1000).withColumn("amount", F.col("id") * 2).withColumn("cell", F.col("id") % 16)
+    altered = rows.withColumn("amount", F.when(F.col("id") == 123, 0).otherwise(F.col("amount")))
+    for path, df in zip(paths, (rows, altered), strict=True):
+        df.write.partitionBy("cell").parquet(path)
+    left, right = (spark.read.parquet(p) for p in paths)
+    got = checks.differing_rows(left, right, ["id"], ["amount"], bucket="cell")
+    assert values(got) == [(123, 1, 1, ["amount"])]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("PartitionFilters: [cell#") == 2 and f"= {123 % 16})" in plan
+
+
 def test_source_domains(spark, values):
     rows = tables(spark, base())["film"].withColumn(
         "rating", F.when(F.col("film_id") == 1, "X").otherwise(F.lit(None))

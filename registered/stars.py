@@ -21,6 +21,7 @@ from registered.base import (
     BEFORE,
     CALENDAR,
     PLACE,
+    RELOADED,
     RENTAL_ROWS,
     film,
     inventory,
@@ -632,3 +633,55 @@ FROM x LEFT JOIN paid USING (rental_id)""", **_STAR, **_OPEN,
 def fact_rental_asof(spark, sf_dir):
     """All rental facts built again on the versions valid at the rental date."""
     return _reloaded(spark, sf_dir, True)["rental"]
+
+
+_EMPTIED = {
+    **_STAR, "pa": f"""SELECT p.* FROM ({payment(AFTER)}) p SEMI JOIN r2 USING (rental_id)""",
+    "paid_rows": initial_sql(f"({_asof('pa', 'di2', 'ds2')})", ", ".join(_PAID)),
+    "rented_rows": initial_sql(f"({_asof('r2', 'di2', 'ds2')})", ", ".join(_RENTED), start="last_update"),
+}
+
+
+@register("emptied_facts", with_(f"""
+SELECT 'payment' AS fact, payment_id AS id, amount, CAST(strftime(payment_date, '%Y%m%d') AS INT) AS date_fk,
+  inventory_id, staff_id, {sql_text('inventory_from')} AS inventory_from,
+  {sql_text('staff_from')} AS staff_from, {RANGE} FROM paid_rows
+UNION ALL
+SELECT 'rental', rental_id, NULL, CAST(strftime(rental_date, '%Y%m%d') AS INT), inventory_id, staff_id,
+  {sql_text('inventory_from')}, {sql_text('staff_from')}, {RANGE} FROM rented_rows""", **_EMPTIED))
+def emptied_facts(spark, sf_dir):
+    """Both facts as committed by a load that emptied them and filled them from the whole source."""
+    store, _ = _loaded("star", spark, sf_dir, _load_star)
+    sink = StoreSink(store, "emptied", RELOADED)
+    star.load(S.source_tables(spark, sf_dir, AFTER), sink, calendar(spark, sf_dir), RELOADED, empty_facts=True)
+    dims = {name: store.read(f"core.{name}") for name in ("dim_inventory", "dim_staff")}
+    paid = store.read("core.fact_payment").select(
+        F.lit("payment").alias("fact"), F.col("payment_id").alias("id"), "amount",
+        F.col("payment_date_fk").alias("date_fk"), "inventory_fk", "staff_fk",
+        "effective_date_from", "effective_date_to", "is_active")
+    rented = store.read("core.fact_rental").select(
+        F.lit("rental").alias("fact"), F.col("rental_id").alias("id"), F.lit(None).cast("decimal(8,2)").alias("amount"),
+        F.col("rental_date_fk").alias("date_fk"), "inventory_fk", "staff_fk",
+        "effective_date_from", "effective_date_to", "is_active")
+    return _facts(paid.unionByName(rented), dims, [
+        "fact", "id", "amount", "date_fk", "inventory_id", "staff_id", "inventory_from", "staff_from"])
+
+
+_COMPARED = ["staff_id", "rental_id", "amount", "payment_date", "last_update", "deleted"]
+
+
+@register("reconcile_rows", with_(f"""
+SELECT payment_id, CAST(a.staff_id IS NOT NULL AS BIGINT) AS left_rows,
+  CAST(b.staff_id IS NOT NULL AS BIGINT) AS right_rows,
+  CASE WHEN a.staff_id IS NOT NULL AND b.staff_id IS NOT NULL THEN concat_ws(',',
+    {", ".join(f"CASE WHEN a.{c} IS DISTINCT FROM b.{c} THEN '{c}' END" for c in _COMPARED)}) END AS differing
+FROM a FULL JOIN b USING (payment_id)
+WHERE a.staff_id IS NULL OR b.staff_id IS NULL
+  OR {" OR ".join(f"a.{c} IS DISTINCT FROM b.{c}" for c in _COMPARED)}""",
+    a=payment(BEFORE), b=payment(AFTER)))
+def reconcile_rows(spark, sf_dir):
+    """Payments that differ between two states of the source, with the columns that do."""
+    before, after = S.payment(spark, sf_dir, BEFORE), S.payment(spark, sf_dir, AFTER)
+    found = checks.differing_rows(before, after, ["payment_id"], _COMPARED)
+    listed = F.when(F.col("differing").isNotNull(), F.array_join("differing", ","))
+    return found.withColumn("differing", listed)

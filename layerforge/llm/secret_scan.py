@@ -57,6 +57,7 @@ RATE = 0.01
 LENGTH_CLASSES = [20, 28, 40, 64]  # least lengths
 SERIAL_LIMIT = 2.58  # two-sided, one in a hundred
 STEPS = 10  # per decade of p
+CHUNK = 256  # characters of a text that are cut out together
 UPPER, LOWER, DIGITS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789"
 HEX_DIGITS = DIGITS + "abcdef"  # of either case
 MASK = "[SECRET]"
@@ -67,25 +68,41 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def running_sums(values: Column, block: int = 64) -> Column:
-    """Inclusive prefix sums of an array of longs; blocks keep copying far from quadratic."""
-    zero = F.array(F.lit(0).cast("long"))
+def running(values: Column, step: Callable[[Column, Column], Column], block: int = 128) -> Column:
+    """Inclusive running values of an array of longs >= 0 under an associative step, from 0 on.
 
-    def sums(items: Column, of: Callable[[Column], Column]) -> Column:
-        return F.aggregate(items, zero, lambda acc, x: F.concat(acc, F.array(F.element_at(acc, -1) + of(x))))
+    Blocks are run each by itself, then the blocks' totals: arrays are copied within
+    a block, and once more within the totals, which is little below millions of values.
+    """
+    zero = F.lit(0).cast("long")
+
+    def plain(items: Column) -> Column:
+        return F.aggregate(
+            items, F.array(zero), lambda acc, x: F.concat(acc, F.array(step(F.element_at(acc, -1), x))),
+            lambda acc: F.slice(acc, 2, F.size(acc) - 1),
+        )
 
     def joined(s: Column) -> Column:
-        return F.flatten(F.transform(
-            s["inner"],
-            lambda part, i: F.transform(F.slice(part, 2, F.size(part) - 1), lambda v: v + F.get(s["before"], i)),
-        ))
+        return F.flatten(F.transform(s["parts"], lambda part, i: F.transform(
+            part, lambda v: step(F.coalesce(F.get(s["totals"], i - 1), zero), v)
+        )))
+
+    def with_totals(parts: Column) -> Column:
+        totals = plain(F.transform(parts, lambda p: F.element_at(p, -1)))
+        return let(F.struct(parts.alias("parts"), totals.alias("totals")), joined)
 
     blocks = F.sequence(F.lit(0), F.floor((F.size(values) - 1) / F.lit(block)).cast("int"))
-    inner = F.transform(blocks, lambda b: sums(F.slice(values, b * block + 1, F.lit(block)), lambda x: x))
-    full = let(inner, lambda parts: let(
-        F.struct(parts.alias("inner"), sums(parts, lambda p: F.element_at(p, -1)).alias("before")), joined
-    ))
-    return F.when(F.size(values) > 0, full).otherwise(F.expr("array()").cast("array<bigint>"))
+    parts = F.transform(blocks, lambda b: plain(F.slice(values, b * block + 1, F.lit(block))))
+    return F.when(F.size(values) > 0, let(parts, with_totals)).otherwise(F.expr("array()").cast("array<bigint>"))
+
+
+def running_sums(values: Column) -> Column:
+    return running(values, lambda a, b: a + b)
+
+
+def reaches(spans: Column) -> Column:
+    """For each span the furthest end so far, its own included."""
+    return running(F.transform(spans, lambda s: s["end"]), lambda a, b: F.greatest(a, b))
 
 
 def no_matches() -> Column:
@@ -117,20 +134,35 @@ def matches(text: Column, pattern: str, group: int = 0) -> Column:
 
 
 def covered(text: Column, spans: Column, instead: Callable[[Column], Column]) -> Column:
-    """The text with ``instead`` for every sorted span, given how many characters it adds to those before."""
-
-    def step(acc: Column, s: Column) -> Column:
-        between = F.substring(acc["rest"], F.lit(1), F.greatest(s["start"] - acc["at"], F.lit(0)).cast("int"))
-        cut = F.greatest(s["end"] - acc["at"], F.lit(0)).cast("int")
-        new = F.greatest(s["end"] - F.greatest(s["start"], acc["at"]), F.lit(0))
-        return F.struct(
-            F.concat(acc["done"], between, instead(new)).alias("done"),
-            F.substring(acc["rest"], cut + 1, F.lit(2**31 - 1)).alias("rest"),
-            F.greatest(acc["at"], s["end"]).alias("at"),
-        )
+    """The text with ``instead`` for every sorted span, given how many characters it adds to those before.
 
-    start = F.struct(F.lit("").alias("done"), text.alias("rest"), F.lit(0).cast("long").alias("at"))
-    return F.aggregate(spans, start, step, lambda acc: F.concat(acc["done"], acc["rest"]))
+    Every stretch is cut from the few chunks of the text it lies in: positions
+    count characters, and finding one in the whole text would read all before it.
+    """
+    zero = F.lit(0).cast("long")
+
+    def pieced(s: Column) -> Column:
+        def cut(start: Column, end: Column) -> Column:
+            first = F.floor(start / CHUNK)
+            some = F.slice(s["chunks"], (first + 1).cast("int"), (F.floor(end / CHUNK) - first + 1).cast("int"))
+            return F.substring(F.array_join(some, ""), (start - first * CHUNK + 1).cast("int"), (end - start).cast("int"))
+
+        def piece(span: Column, i: Column) -> Column:
+            at = F.coalesce(F.get(s["reach"], i - 1), zero)
+            start = F.greatest(span["start"], at)
+            return F.concat(cut(at, start), instead(F.greatest(span["end"] - start, zero)))
+
+        last = F.coalesce(F.get(s["reach"], F.size(s["reach"]) - 1), zero)
+        return F.concat(F.array_join(F.transform(s["spans"], piece), ""), cut(last, F.greatest(s["length"], last)))
+
+    chunks = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{CHUNK}}}"), F.lit(0))
+    return let(spans, lambda given: let(
+        F.struct(
+            chunks.alias("chunks"), given.alias("spans"), reaches(given).alias("reach"),
+            F.char_length(text).cast("long").alias("length"),
+        ),
+        pieced,
+    ))
 
 
 def base_spans(text: Column) -> Column:
@@ -236,17 +268,16 @@ def length_class(length: Column) -> Column:
 
 
 def outside(text: Column, spans: Column) -> Column:
-    """The text with a space for every character inside the spans."""
+    """The text with a space for every character inside the spans (structs with start and end)."""
+    placed = F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end")))
     return F.when(F.size(spans) == 0, text).otherwise(
-        covered(text, F.array_sort(spans), lambda new: F.repeat(F.lit(" "), new.cast("int")))
+        covered(text, F.array_sort(placed), lambda new: F.repeat(F.lit(" "), new.cast("int")))
     )
 
 
-def candidates(text: Column, base: Column) -> Column:
-    """Array of (start, end, class, step) of the tested strings outside the base spans."""
-    base = F.transform(base, lambda b: F.struct(b["start"].alias("start"), b["end"].alias("end")))
-    some = let(outside(text, base), lambda rest: F.concat(*(matches(rest, c) for c in CANDIDATES)))
-    free = F.when(F.regexp_like(text, F.lit(LONG)), some).otherwise(no_matches())
+def candidates(rest: Column) -> Column:
+    """Array of (start, end, class, step) of the tested strings of a text without its base spans (see ``outside``)."""
+    free = F.when(F.regexp_like(rest, F.lit(LONG)), F.concat(*(matches(rest, c) for c in CANDIDATES))).otherwise(no_matches())
     coded = F.filter(
         F.transform(free, lambda m: F.struct(
             m["start"].alias("start"), m["end"].alias("end"), m["found"].alias("found"), alphabet(m["found"]).alias("symbols")
@@ -297,12 +328,15 @@ def scan(docs: DataFrame, *, text_col: str = "text", spans_col: str = "spans", r
     kept = docs.drop(spans_col)
 
     def tested(df: DataFrame) -> DataFrame:
+        # columns by turns: one nested expression is too deep for the analyzer
+        found, rest = free_name(df, "base"), free_name(df, "rest")
         base = F.when(F.length(text) >= 12, base_spans(text)).otherwise(
             F.expr("array()").cast("array<struct<kind:int,start:bigint,end:bigint>>")
         )
-        return df.withColumn(spans_col, let(base, lambda b: F.struct(
-            b.alias("base"), candidates(text, b).alias("tested")
-        )))
+        some = F.when(F.regexp_like(text, F.lit(LONG)), outside(text, F.col(found))).otherwise(F.lit(""))
+        return df.withColumn(found, base).withColumn(rest, some).withColumn(
+            spans_col, F.struct(F.col(found).alias("base"), candidates(F.col(rest)).alias("tested"))
+        ).drop(found, rest)
 
     least = thresholds(tested(kept.select(text_col)).select(F.col(spans_col)["tested"].alias("tested")), rate)
 
@@ -325,16 +359,17 @@ def scan(docs: DataFrame, *, text_col: str = "text", spans_col: str = "spans", r
 def united(spans: Column) -> Column:
     """Sorted spans of one kind, with one span for those that overlap."""
 
-    def step(acc: Column, s: Column) -> Column:
-        last = F.element_at(acc, -1)
-        longer = F.struct(last["start"].alias("start"), last["kind"].alias("kind"), F.greatest(last["end"], s["end"]).alias("end"))
-        return F.when(s["start"] < last["end"], F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(longer))).otherwise(
-            F.concat(acc, F.array(s))
-        )
+    def whole(s: Column) -> Column:
+        places = F.sequence(F.lit(0), F.size(s["spans"]) - 1)
+        opens = F.filter(places, lambda i: (i == 0) | (F.get(s["spans"], i)["start"] >= F.get(s["reach"], i - 1)))
+        return let(opens, lambda at: F.transform(at, lambda i, k: F.struct(
+            F.get(s["spans"], i)["start"].alias("start"), F.get(s["spans"], i)["kind"].alias("kind"),
+            F.get(s["reach"], F.coalesce(F.get(at, k + 1), F.size(s["spans"])) - 1).alias("end"),
+        )))
 
-    return F.when(F.size(spans) < 2, spans).otherwise(
-        F.aggregate(F.slice(spans, 2, F.size(spans)), F.slice(spans, 1, 1), step)
-    )
+    return let(spans, lambda given: F.when(F.size(given) < 2, given).otherwise(
+        let(F.struct(given.alias("spans"), reaches(given).alias("reach")), whole)
+    ))
 
 
 def joined(spans: Column) -> Column:

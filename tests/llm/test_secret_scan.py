@@ -173,3 +173,36 @@ def test_upper_case_encodings_are_tested(docs, symbols):
     ordinary = ["SEE 12345678901234567890123 THERE", "DE89370400440532013000", "ORDER20240131NUMBER000017", "DEADBEEFCAFE0000000000000000", "A1111111111111111111111111111"]
     _, covered = found_shares(docs, lambda rnd: "".join(rnd.choice(symbols) for _ in range(40)), ["see % there", "auth=%"], ordinary)
     assert min(covered) >= 0.8, covered
+
+
+def test_masks_and_unions_follow_the_spans(spark):
+    """Overlaps, spans within spans, gaps longer than a chunk and characters of several bytes."""
+    rnd, rows = random.Random(3), []
+    for n in (0, 1, 2, 5, 70, 5000):
+        text = "".join(rnd.choice("aé日👍 \n") for _ in range(n * 12 + 700))
+        spans = sorted((at, rnd.randrange(3), at + rnd.randrange(1, 25))
+                       for at in (rnd.randrange(len(text) - 25) for _ in range(n)))
+        rows.append((n, text, spans))
+    df = spark.createDataFrame(rows, "n int, text string, spans array<struct<start:bigint,kind:int,end:bigint>>")
+    got = df.select("n", X.masked(F.col("text"), F.col("spans")).alias("masked"),
+                    X.outside(F.col("text"), F.col("spans")).alias("outside"),
+                    X.united(F.col("spans")).alias("united")).collect()
+    for r, (n, text, spans) in zip(sorted(got, key=lambda r: r.n), rows, strict=True):
+        masked, at, inside, groups = [], 0, set(), []
+        for start, kind, end in spans:
+            masked += [text[at:max(start, at)], X.MASK if end > max(start, at) else ""]
+            if groups and start < groups[-1][2]:
+                groups[-1] = (*groups[-1][:2], max(groups[-1][2], end))
+            else:
+                groups.append((start, kind, end))
+            at = max(at, end)
+            inside.update(range(start, end))
+        assert r.masked == "".join(masked) + text[at:]
+        assert r.outside == "".join(" " if i in inside else c for i, c in enumerate(text))
+        assert [tuple(u) for u in r.united] == groups
+
+
+def test_a_text_of_very_many_secrets(docs):
+    text = " é ".join(f"{i * 0x9E3779B97F4A7C15 % 2**64:016x}" for i in range(60_000))
+    assert [tuple(s)[:3] for s in X.scan(docs([(1, text)])).first()["spans"]] == base(text)
+    assert X.without_secrets(docs([(1, text)])).first()["text"] == " é ".join([X.MASK] * 60_000)

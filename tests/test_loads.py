@@ -13,7 +13,7 @@ from layerforge.operators.lookup import overlapping_versions
 from layerforge.plans import layered, star, vault
 from layerforge.plans.reports import sales_by_date_star, sales_by_title_star
 from layerforge.plans.sinks import StoreSink
-from layerforge.sources import schemas
+from layerforge.sources import schemas, standins
 from layerforge.sources.store import TableStore
 
 T1, T2 = "2022-02-01", "2022-03-01"
@@ -515,3 +515,26 @@ def test_source_domains(spark, values):
         rows, {"rating": checks.MPAA_RATINGS}, {"release_year": checks.YEAR_BOUNDS})
     assert values(bad, "film_id", "violated") == [
         (1, "rating"), (1, "release_year"), (2, "release_year")]
+
+
+# --- what a load reads and writes once ----------------------------------------------
+
+
+def test_order_lines_are_read_once_for_all_steps_of_a_load(spark, tmp_path, values):
+    """Rentals and payments of a load come from lines written once, equal to those read directly."""
+    rows = [  # order 1 twice with line 1, a line without order and one of an unknown order
+        (1, 5, 7, 1, 2.0, 10.0, 0.1, 0.0, "A", "F", t("1996-01-01")), (1, 6, 7, 1, 3.0, 20.0, 0.0, 0.0, "N", "O", t("1996-02-01")),
+        (1, 5, 8, 2, 1.0, 10.0, 0.0, 0.0, "R", "F", t("1996-01-05")), (None, 5, 8, 2, 1.0, 10.0, 0.0, 0.0, "N", "O", t("1996-01-05")),
+        (9, 5, 8, 3, 1.0, 10.0, 0.0, 0.0, "N", "O", t("1996-01-05")), (2, 5, 8, None, 1.0, 10.0, 0.0, 0.0, None, "O", t("1996-01-05")),
+    ]
+    given = {"lineitem": rows, "orders": [(1, 11, "O", 1.0, t("1996-01-01"), "1"), (2, 12, "O", 1.0, t("1996-01-01"), "1")]}
+    for name, ddl in standins.TEST_TABLES.items():
+        spark.createDataFrame(given.get(name, []), ddl).write.parquet(f"{tmp_path}/{name}.parquet")
+    source = standins.source_tables(spark, str(tmp_path), "1997-01-01 00:00:00")
+    for name, direct in (("rental", standins.rental), ("payment", standins.payment)):
+        assert not [f for f in source[name].inputFiles() if "lineitem" in f]
+        assert values(source[name]) == values(direct(spark, str(tmp_path), "1997-01-01 00:00:00"))
+    assert sorted(r["units"] for r in source["payment"].collect()) == [1, 1, 3]
+    plan = standins.payment(spark, str(tmp_path), "1997-01-01 00:00:00")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("hashpartitioning(l_orderkey") == 1 and "hashpartitioning(l_orderkey#" in plan
+    assert "l_linenumber#" not in "".join(p for p in plan.splitlines() if "hashpartitioning" in p)

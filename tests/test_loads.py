@@ -538,3 +538,25 @@ def test_order_lines_are_read_once_for_all_steps_of_a_load(spark, tmp_path, valu
     plan = standins.payment(spark, str(tmp_path), "1997-01-01 00:00:00")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("hashpartitioning(l_orderkey") == 1 and "hashpartitioning(l_orderkey#" in plan
     assert "l_linenumber#" not in "".join(p for p in plan.splitlines() if "hashpartitioning" in p)
+
+
+def test_staged_rows_are_written_again_only_with_carried_ones(spark, sinks):
+    days = calendar_dim(spark, "2021-01-01", 800)
+    first, second = sinks("1", T1), None
+    star.load(tables(spark, base()), first, days, T1)
+    assert first.get("work.staged_payment") is None and first.get("staging.payment").count() == 3
+    second = sinks("2", T2)
+    star.load(tables(spark, changed()), second, days, T2)
+    assert second.get("work.staged_payment").count() == second.get("staging.payment").count()
+
+
+def test_only_keys_found_in_vain_are_ranked(spark, values):
+    ddl = "k long, last_update string, deleted string, found boolean, carried boolean"
+    rows = spark.createDataFrame([
+        (1, "2021", None, False, False), (1, "2022", None, True, False),  # newest found: not carried over
+        (2, "2021", None, True, False), (2, "2022", None, False, False),
+        (3, "2022", "2022", False, False), (None, "2022", None, False, False),
+    ], ddl)
+    late = star.unresolved(rows, rows, "k")
+    assert values(late.select("k", "last_update")) == [(2, "2022")]
+    assert late._jdf.queryExecution().optimizedPlan().toString().count("LeftSemi") == 2

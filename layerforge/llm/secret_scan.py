@@ -109,28 +109,31 @@ def no_matches() -> Column:
     return F.expr("array()").cast("array<struct<start:bigint,end:bigint,found:string>>")
 
 
-def matches(text: Column, pattern: str, group: int = 0) -> Column:
-    """Array of (start, end, found) of the leftmost matches; code points, end exclusive."""
-    parts = F.struct(
+def cut_at(text: Column, pattern: str, group: int = 0) -> Column:
+    """Struct of what lies between the leftmost matches, and of the matches and their group; empty without any."""
+    names = ["between", "whole", "found"]
+    cut = F.struct(
         F.split(text, pattern, -1).alias("between"),
         F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("whole"),
         F.regexp_extract_all(text, F.lit(pattern), F.lit(group)).alias("found"),
     )
+    nothing = F.struct(*[F.expr("array()").cast("array<string>").alias(n) for n in names])
+    return F.when(F.regexp_like(text, F.lit(pattern)), cut).otherwise(nothing)
 
-    def placed(s: Column) -> Column:
-        steps = F.zip_with(
-            F.slice(s["between"], 1, F.size(s["whole"])), s["whole"],
-            lambda a, b: (F.char_length(a) + F.char_length(b)).cast("long"),
-        )
-        ends = let(steps, lambda lengths: running_sums(lengths))
-        return F.zip_with(
-            F.arrays_zip(ends.alias("end"), s["whole"].alias("whole")), s["found"],
-            lambda e, f: F.struct(
-                (e["end"] - F.char_length(e["whole"])).alias("start"), e["end"].alias("end"), f.alias("found")
-            ),
-        )
 
-    return F.when(F.regexp_like(text, F.lit(pattern)), let(parts, placed)).otherwise(no_matches())
+def placed(s: Column) -> Column:
+    """Array of (start, end, found) of the matches of ``cut_at``; code points, end exclusive."""
+    steps = F.zip_with(
+        F.slice(s["between"], 1, F.size(s["whole"])), s["whole"],
+        lambda a, b: (F.char_length(a) + F.char_length(b)).cast("long"),
+    )
+    ends = let(steps, lambda lengths: running_sums(lengths))
+    return F.zip_with(
+        F.arrays_zip(ends.alias("end"), s["whole"].alias("whole")), s["found"],
+        lambda e, f: F.struct(
+            (e["end"] - F.char_length(e["whole"])).alias("start"), e["end"].alias("end"), f.alias("found")
+        ),
+    )
 
 
 def covered(text: Column, spans: Column, instead: Callable[[Column], Column]) -> Column:
@@ -168,13 +171,12 @@ def covered(text: Column, spans: Column, instead: Callable[[Column], Column]) ->
 def base_spans(text: Column) -> Column:
     """Array of (kind, start, end) of the patterns; kinds by number."""
 
-    def of(kind: int, found: Column) -> Column:
-        return F.transform(found, lambda m: F.struct(
-            F.lit(kind).alias("kind"), m["start"].alias("start"), m["end"].alias("end")
-        ))
-
-    assign = F.filter(matches(text, ASSIGN, 2), lambda m: F.char_length(m["found"]) >= ASSIGN_LEAST)
-    return F.concat(of(0, assign), of(1, matches(text, ACCESS)), of(2, matches(text, HEX)))
+    # One expression places the matches of all kinds: plans with one for each take the driver far more memory.
+    cuts = F.array(cut_at(text, ASSIGN, 2), cut_at(text, ACCESS), cut_at(text, HEX))
+    return F.flatten(F.transform(cuts, lambda s, kind: F.transform(
+        F.filter(placed(s), lambda m: (kind > 0) | (F.char_length(m["found"]) >= ASSIGN_LEAST)),
+        lambda m: F.struct(kind.alias("kind"), m["start"].alias("start"), m["end"].alias("end")),
+    )))
 
 
 # --- the battery -------------------------------------------------------------
@@ -277,7 +279,8 @@ def outside(text: Column, spans: Column) -> Column:
 
 def candidates(rest: Column) -> Column:
     """Array of (start, end, class, step) of the tested strings of a text without its base spans (see ``outside``)."""
-    free = F.when(F.regexp_like(rest, F.lit(LONG)), F.concat(*(matches(rest, c) for c in CANDIDATES))).otherwise(no_matches())
+    cuts = F.array(*[cut_at(rest, c) for c in CANDIDATES])
+    free = F.when(F.regexp_like(rest, F.lit(LONG)), F.flatten(F.transform(cuts, placed))).otherwise(no_matches())
     coded = F.filter(
         F.transform(free, lambda m: F.struct(
             m["start"].alias("start"), m["end"].alias("end"), m["found"].alias("found"), alphabet(m["found"]).alias("symbols")
@@ -338,7 +341,8 @@ def scan(docs: DataFrame, *, text_col: str = "text", spans_col: str = "spans", r
             spans_col, F.struct(F.col(found).alias("base"), candidates(F.col(rest)).alias("tested"))
         ).drop(found, rest)
 
-    least = thresholds(tested(kept.select(text_col)).select(F.col(spans_col)["tested"].alias("tested")), rate)
+    both = tested(kept)  # planned once for both passes; the first reads the text alone
+    least = thresholds(both.select(F.col(spans_col)["tested"].alias("tested")), rate)
 
     def discovered(t: Column) -> Column:
         hit = F.lit(False)
@@ -353,7 +357,7 @@ def scan(docs: DataFrame, *, text_col: str = "text", spans_col: str = "spans", r
         ))
         return F.array_sort(F.concat(base, united(F.array_sort(more))))
 
-    return tested(kept).withColumn(spans_col, let(F.col(spans_col), merged))
+    return both.withColumn(spans_col, let(F.col(spans_col), merged))
 
 
 def united(spans: Column) -> Column:

@@ -206,3 +206,12 @@ def test_a_text_of_very_many_secrets(docs):
     text = " é ".join(f"{i * 0x9E3779B97F4A7C15 % 2**64:016x}" for i in range(60_000))
     assert [tuple(s)[:3] for s in X.scan(docs([(1, text)])).first()["spans"]] == base(text)
     assert X.without_secrets(docs([(1, text)])).first()["text"] == " é ".join([X.MASK] * 60_000)
+
+
+def test_one_expression_places_the_matches_of_all_patterns(spark):
+    """A tree for each pattern made plans that took the driver's memory."""
+    text = F.col("text")
+    one = str(X.running_sums(F.array(F.lit(1)))).count("aggregate(")
+    assert one > 0
+    assert str(X.base_spans(text)).count("aggregate(") == one
+    assert str(X.candidates(text)).count("aggregate(") - str(X.score(text, text)).count("aggregate(") == one

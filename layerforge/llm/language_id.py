@@ -77,6 +77,11 @@ def presence(texts: list[str]) -> np.ndarray:
     return rows
 
 
+def _cells(rows: np.ndarray) -> np.ndarray:
+    """Presence rows as booleans; as bytes, they are packed, eight cells to one."""
+    return np.unpackbits(rows, axis=1).view(bool) if rows.dtype == np.uint8 else rows
+
+
 def _norm(rows: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(rows.sum(axis=1, dtype=np.float32), 1.0))
 
@@ -84,8 +89,8 @@ def _norm(rows: np.ndarray) -> np.ndarray:
 def fit(rows: np.ndarray, labels: list[str], landmarks: int = LANDMARKS, ridge: float = RIDGE) -> Model:
     """Nystroem kernel ridge regression, one against the rest, in closed form.
 
-    ``rows`` are presence rows. Landmarks are taken evenly from the languages in
-    the given order. No rows give a model without languages.
+    ``rows`` are presence rows, as booleans or packed. Landmarks are taken evenly
+    from the languages in the given order. No rows give a model without languages.
     """
     languages = sorted(set(labels))
     if not languages:
@@ -97,7 +102,10 @@ def fit(rows: np.ndarray, labels: list[str], landmarks: int = LANDMARKS, ridge:
     chosen = np.lexsort((code, rank))[:landmarks]
 
     def unit(part: np.ndarray) -> np.ndarray:
-        return part.astype(np.float32) / _norm(part)[:, None]
+        part = _cells(part)
+        numbers = part.astype(np.float32)
+        numbers /= _norm(part)[:, None]
+        return numbers
 
     marks = unit(rows[chosen])
     # in blocks: as numbers, the presence rows take 32 times their bits
@@ -108,7 +116,10 @@ def fit(rows: np.ndarray, labels: list[str], landmarks: int = LANDMARKS, ridge:
     weight = 1.0 / np.bincount(code)[code]
     gram = k_nm.T @ (weight[:, None] * k_nm) + ridge * k_mm + 1e-8 * np.eye(len(chosen))
     alpha = np.linalg.solve(gram, k_nm.T @ (weight[:, None] * y))
-    return Model(languages, (marks.T.astype(np.float64) @ alpha).astype(np.float32))
+    weights = np.empty((CELLS, len(languages)), np.float32)
+    for a in range(0, CELLS, 4096):
+        weights[a : a + 4096] = marks[:, a : a + 4096].T.astype(np.float64) @ alpha
+    return Model(languages, weights)
 
 
 def _values(model: Model, rows: np.ndarray) -> np.ndarray:
@@ -138,9 +149,10 @@ def least_lead(rows: np.ndarray, labels: list[str], landmarks: int = LANDMARKS,
             continue
         at = np.flatnonzero(mine)
         for some in np.array_split(at, range(128, len(at), 128)):  # in blocks, as in fit
-            values = _values(model, rows[some])
+            part = _cells(rows[some])
+            values = _values(model, part)
             right = np.array([model.languages[b] == labels[i] for b, i in zip(values.argmax(axis=1), some)], bool)
-            leads.append(_lead(values)[right & (rows[some].sum(axis=1) >= LEAST_CELLS)])
+            leads.append(_lead(values)[right & (part.sum(axis=1) >= LEAST_CELLS)])
     clean = np.concatenate(leads) if leads else np.zeros(0)
     return LEAD_SHARE * float(np.quantile(clean, CLEAN_SHARE)) if len(clean) >= LEAST_CLEAN else 0.0
 
@@ -184,7 +196,7 @@ def sample(
     """Presence rows and languages of at most ``per_language`` rows of each language, picked by a hash of the id.
 
     Rows with ``usable`` not true, a null language, null text or no letter are
-    never used. The sample reaches the driver as 4 KB bit rows.
+    never used. The sample reaches the driver as 4 KB bit rows and stays packed.
     """
     labelled = docs.where(usable & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
         F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), F.col(lang_col).alias("_lang")
@@ -216,9 +228,9 @@ def sample(
 
     found = picked.select("_text", "_lang", "_rank").mapInArrow(bits, "lang string, rank int, bits binary")
     found = sorted(found.collect(), key=lambda r: (r["rank"], r["lang"]))
-    rows = np.zeros((len(found), CELLS), bool)
+    rows = np.zeros((len(found), CELLS // 8), np.uint8)
     for i, r in enumerate(found):
-        rows[i] = np.unpackbits(np.frombuffer(r["bits"], np.uint8)).astype(bool)
+        rows[i] = np.frombuffer(r["bits"], np.uint8)
     return rows, [r["lang"] for r in found]
 
 

@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -106,3 +107,18 @@ def test_the_limit_needs_two_languages_and_enough_texts():
     assert 0.05 < X.least_lead(rows, labels) < 0.5
     assert X.least_lead(rows[:40], labels[:40]) == 0.0 and X.least_lead(rows[::10], labels[::10]) == 0.0
     assert X.least_lead(rows[:0], []) == 0.0
+
+
+def test_packed_rows_fit_the_same_model_in_little_memory():
+    """The driver holds the sample as bits: 2,000 rows are 8 MB, and nothing of 80 MB is made of them."""
+    r = np.random.default_rng(5)
+    packed = r.integers(0, 256, (2000, X.CELLS // 8), dtype=np.uint8) & r.integers(0, 256, X.CELLS // 8, dtype=np.uint8)
+    labels = [("de", "en", "fr", "es")[i % 4] for i in range(len(packed))]
+    whole = np.unpackbits(packed, axis=1).astype(bool)
+    expected, least = X.fit(whole, labels), X.least_lead(whole, labels)
+    tracemalloc.start()
+    got, again = X.fit(packed, labels), X.least_lead(packed, labels)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert got.languages == expected.languages and (got.weights == expected.weights).all() and again == least
+    assert peak < 120e6, peak

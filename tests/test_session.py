@@ -1,8 +1,12 @@
 """The checkpoint folder comes from the session."""
 
+import time
+
 import pytest
 
 from layerforge import session
+from layerforge.plans.steps import side_by_side
+from layerforge.session import written_once
 
 
 class _Context:
@@ -47,3 +51,29 @@ def test_cluster_without_a_folder_is_refused():
 def test_folder_set_on_the_context_is_kept():
     s = made("spark://host:7077", current="hdfs://shared/other")
     assert session.checkpoint_dir(s) == "hdfs://shared/other"
+
+
+def test_steps_done_leave_no_shuffle_files(spark, tmp_path):
+    """The files of a step's plan go when the step is done, not when the driver's memory is full."""
+    def files():
+        found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {str(f) for f in (found.apply(i) for i in range(found.size())) if f.getName().startswith("shuffle_")}
+
+    before, seen = files(), set()
+
+    def step(name):
+        spark.range(100_000).repartition(5).write.parquet(f"{tmp_path}/{name}")
+        seen.update(files() - before)
+        return spark.read.parquet(f"{tmp_path}/{name}")
+
+    side_by_side(["a", "b"], step)
+    assert seen
+    until = time.time() + 30
+    while files() & seen and time.time() < until:
+        time.sleep(0.5)
+    assert not files() & seen
+
+
+def test_files_of_loads_are_zstd(spark):
+    rows = written_once(spark.range(10))
+    assert all(".zstd." in f for f in rows.inputFiles())

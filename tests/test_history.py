@@ -369,3 +369,21 @@ def test_lookup_joins_on_the_key(spark):
     plan = L.asof_lookup(fact, dim.hint("merge"), {"id": "id"}, "at", {"name": "name"})
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in text and "NestedLoop" not in text
+
+
+def test_sorted_lookup_ships_keys_and_time_once(spark):
+    """Keys and times are columns of the shuffled rows already; the rest of the row goes along without them."""
+    fact = spark.sql("SELECT CAST(1 AS INT) AS id, TIMESTAMP_NTZ '2020-05-01' AS at, 7L AS other")
+    dim = spark.sql("""SELECT k, 5L AS pk, TIMESTAMP_NTZ '2020-01-01' AS effective_date_from,
+      TIMESTAMP_NTZ '2021-01-01' AS effective_date_to, true AS is_active FROM (SELECT CAST(1 AS INT) AS k)""")
+    got = L.asof_lookup_sorted(fact, dim, {"id": "k"}, "at", {"pk": "pk"}, "left")
+    plan = got._jdf.queryExecution().analyzed().toString()
+    assert "struct(other, " in plan and "struct(id" not in plan
+    assert got.dtypes == [*fact.dtypes, ("pk", "bigint")]
+    assert [tuple(r) for r in got.select("id", "other", "pk").collect()] == [(1, 7, 5)]
+    # A key of another type than the dimension's comes back as it was.
+    wide = L.asof_lookup_sorted(fact, dim.withColumn("k", F.col("k").cast("long")), {"id": "k"}, "at", {"pk": "pk"})
+    assert wide.dtypes == got.dtypes and wide.select("id", "other", "pk").collect() == got.select("id", "other", "pk").collect()
+    # Nothing but key and time.
+    bare = L.asof_lookup_sorted(fact.select("at", "id"), dim, {"id": "k"}, "at", {"pk": "pk"})
+    assert bare.columns == ["at", "id", "pk"] and bare.first()["pk"] == 5

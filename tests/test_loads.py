@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from layerforge.operators import checks
 from layerforge.operators.calendar import calendar_dim
 from layerforge.operators.lookup import overlapping_versions
+from layerforge.session import written_once
 from layerforge.plans import layered, star, vault
 from layerforge.plans.reports import sales_by_date_star, sales_by_title_star
 from layerforge.plans.sinks import StoreSink
@@ -560,3 +561,24 @@ def test_only_keys_found_in_vain_are_ranked(spark, values):
     late = star.unresolved(rows, rows, "k")
     assert values(late.select("k", "last_update")) == [(2, "2022")]
     assert late._jdf.queryExecution().optimizedPlan().toString().count("LeftSemi") == 2
+
+
+def test_finding_late_rows_shuffles_what_ranks_them(spark):
+    """Of two looked-up rows of a key the newest decides; no other column of theirs is shuffled."""
+    staged = spark.sql("""SELECT * FROM VALUES (1L, 7, TIMESTAMP_NTZ '2020-01-01', false),
+      (1L, 8, TIMESTAMP_NTZ '2020-01-02', false), (2L, 9, TIMESTAMP_NTZ '2020-01-01', false),
+      (2L, 6, TIMESTAMP_NTZ '2020-01-02', false) AS t(id, amount, last_update, carried)""").withColumn(
+        "deleted", F.lit(None).cast("timestamp_ntz"))
+    looked_up = staged.withColumn("found", F.col("amount").isin(7, 6))
+    late = star.unresolved(staged, looked_up, "id")
+    assert [(r["id"], r["amount"]) for r in late.collect()] == [(1, 8)]
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        # As files, so that the optimizer does not fold the rows.
+        given = written_once(looked_up.withColumn("note", F.lit("long text")))
+        plan = star.unresolved(staged, given, "id")._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "_tie" in plan and "Window [row_number() windowspecdefinition(id" in plan
+    assert not [x for x in plan.splitlines() if "Window" in x and "xxhash64(id" in x and "note" in x]

@@ -39,7 +39,7 @@ UNKNOWN = "und"
 CLEAN_SHARE = 0.01  # of the training texts that may lie below the lead the limit is taken from
 LEAD_SHARE = 0.2  # of that lead which a text must reach
 LEAST_CLEAN = 50  # fewer judged training texts set no limit
-LEAST_CELLS = 32  # texts with fewer n-grams are too short to be rejected
+LEAST_CELLS = 32  # a text with fewer n-grams needs as much less of a lead
 _LETTER = re.compile(r"[^\W\d_]")
 ROWS_AT_ONCE = 256
 _SLICE = 1 << 17  # characters that are hashed at once
@@ -166,7 +166,11 @@ def predict(model: Model, texts: list[str | None], rows_at_once: int = 32) -> tu
 def judged(
     model: Model, texts: list[str | None], rows_at_once: int = 32
 ) -> tuple[list[str], list[float], list[float]]:
-    """Language, score and lead of each text; infinite lead of texts too short to be rejected."""
+    """Language, score and lead of each text.
+
+    Few n-grams carry little of a lead: that of a text with fewer than ``LEAST_CELLS``
+    is given as if it had so many. Every text with a letter is judged.
+    """
     names, scores, leads = [UNKNOWN] * len(texts), [0.0] * len(texts), [0.0] * len(texts)
     if not model.languages:
         return names, scores, leads
@@ -176,7 +180,7 @@ def judged(
         rows = presence([texts[i] for i in some])
         values = _values(model, rows)
         best, lead = values.argmax(axis=1), _lead(values)
-        lead[rows.sum(axis=1) < LEAST_CELLS] = np.inf
+        lead = lead * LEAST_CELLS / np.clip(rows.sum(axis=1), 1, LEAST_CELLS)
         for j, i in enumerate(some):
             names[i] = model.languages[best[j]]
             scores[i] = float(np.clip((values[j, best[j]] + 1.0) / 2.0, 0.0, 1.0))
@@ -278,7 +282,8 @@ def identify(
 def accepted(docs: DataFrame) -> DataFrame:
     """Rows whose language is known: a letter in the text, and the lead of a training text.
 
-    Texts too short to tell stay. A text of all languages in equal parts is like none.
+    Short texts are judged too, by a limit in proportion to their n-grams. A text of
+    all languages in equal parts is like none.
     """
     rows, labels = sample(docs, ~held_out())
     model, least = fit(rows, labels), least_lead(rows, labels)

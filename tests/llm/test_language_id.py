@@ -100,6 +100,15 @@ def test_the_stage_drops_unlearned_languages_and_gibberish(docs, rows):
     assert {i for i, t, _ in rows if t and X.has_letter(t)} <= left
 
 
+def test_short_texts_are_judged_too(docs, rows):
+    """A few words in an unlearned script go, a few words of a learned language stay."""
+    short = [(3000, "ελλάδα", "xx"), (3001, "日月火水木金", "xx"), (3002, "שלום לך", "xx")]
+    own = [(3010 + k, text(l, 2, 100 + k), l) for k, l in enumerate(SYLLABLES)]
+    df = docs([*rows, *short, *own]).withColumn("lang", F.when(F.col("doc_id") < 3000, F.col("lang")))
+    left = {r.doc_id for r in X.accepted(df).collect()}
+    assert not left & {i for i, *_ in short} and {i for i, *_ in own} <= left
+
+
 def test_the_limit_needs_two_languages_and_enough_texts():
     texts = [text(l, 30, s) for l in SYLLABLES for s in range(40)]
     labels = [l for l in SYLLABLES for _ in range(40)]
